@@ -166,6 +166,23 @@ def train(labelled: DataFrame, train_texts: int = TRAIN_TEXTS, *, id_col: str =
 _models: dict[str, PpmModel] = {}
 
 
+def _held(model: PpmModel) -> PpmModel:
+    """The copy of a model that this worker keeps, with its index."""
+    if model.key not in _models:
+        _models.clear()
+        _models[model.key] = model
+    return _models[model.key]
+
+
+def _judged(ppm: PpmModel, text: pa.Array, lettered: pa.Array) -> tuple[np.ndarray, ...]:
+    """Best language, its posterior, its code length, whether there is a letter, and bytes (1 at least)."""
+    texts = [raw if ok else b"" for raw, ok in zip(as_bytes(text), lettered.to_pylist(), strict=True)]
+    bits = ppm.bits(texts)
+    least = bits.min(1)
+    sure = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(1)
+    return bits.argmin(1), sure, least, np.array([len(x) > 0 for x in texts]), np.array([max(1, len(x)) for x in texts])
+
+
 def identify(docs: DataFrame, model: PpmModel | None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns: doc_id, lang_pred, score, bits_per_byte.
 
@@ -180,18 +197,28 @@ def identify(docs: DataFrame, model: PpmModel | None, *, id_col: str = "doc_id",
     frozen = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the training sample and the classes
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ppm = _models.get(frozen.value.key) or _models.setdefault(frozen.value.key, frozen.value)
+        ppm = _held(frozen.value)
         for batch in slices(batches, 1):
-            texts = [raw if ok else b"" for raw, ok in zip(as_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True)]
-            bits = ppm.bits(texts)
-            best = bits.argmin(1)
-            least = bits.min(1)
-            sure = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(1)
-            lettered = np.array([len(x) > 0 for x in texts])
-            sizes = np.array([max(1, len(x)) for x in texts])
+            best, sure, least, lettered, sizes = _judged(ppm, batch.column(1), batch.column(2))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([ppm.langs[j] if ok else UNKNOWN for j, ok in zip(best, lettered, strict=True)]), pa.array(np.where(lettered, sure, 0.0)), pa.array(least / sizes, mask=~lettered)],
                 ["doc_id", "lang_pred", "score", "bits_per_byte"],
             )
 
     return rows.mapInArrow(score, "doc_id long, lang_pred string, score double, bits_per_byte double")
+
+
+def accepted_rows(docs: DataFrame, model: PpmModel | None, min_score: float = 0.5, *, text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns as they are, whose language is recognised with a score of min_score or more."""
+    lettered = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+    if model is None:
+        return docs.where(F.lit(False))
+    frozen, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ppm = _held(frozen.value)
+        for batch in slices(batches, at):
+            _, sure, _, known, _ = _judged(ppm, batch.column(at), batch.column(batch.num_columns - 1))
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1], schema=pa.schema(list(batch.schema)[:-1])).filter(pa.array(known & (sure >= min_score)))
+
+    return docs.select("*", lettered.alias("has_letter")).mapInArrow(keep, docs.schema)

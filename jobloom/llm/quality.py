@@ -123,6 +123,11 @@ RULES: dict[str, Callable[[Text], bool]] = {
 SAMPLE_ROWS = 1000
 
 
+def first_rejection(t: Text, order: list[str]) -> str | None:
+    """The rule that rejects a text, "base" for the base limits, None if it is kept."""
+    return "base" if t.base_failed else next((name for name in order if RULES[name](t)), None)
+
+
 def rule_order(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, *, id_col: str = "doc_id", text_col: str = "text") -> list[str]:
     """Rule names by rejected share per second, estimated on the sample_rows rows of lowest id hash."""
 
@@ -156,15 +161,26 @@ def quality_rules(docs: DataFrame, order: list[str] | None = None, *, id_col: st
         raise ValueError("order must name every rule once")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cascade = [(name, RULES[name]) for name in order]
         for batch in slices(batches, 1):
             counts: list[tuple] = []
             for raw in as_bytes(batch.column(1)):
                 t = Text.of(raw or b"")
-                by = "base" if t.base_failed else next((name for name, rule in cascade if rule(t)), None)
+                by = first_rejection(t, order)
                 counts.append((len(t.words), t.word_chars, t.n_symbols, t.n_dup_lines, t.n_repeat_words, t.base_failed, by is None, by))
             cols = list(zip(*counts, strict=True))
             types = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.string()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, types, strict=True))], ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by"])
 
     return text_rows(docs, id_col, text_col).mapInArrow(judge, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, rejected_by string")
+
+
+def kept_rows(docs: DataFrame, order: list[str] | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns as they are, whose text quality_rules() keeps."""
+    order = rule_order(docs, id_col=id_col, text_col=text_col) if order is None else order
+    at = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, at):
+            yield batch.filter(pa.array([first_rejection(Text.of(raw or b""), order) is None for raw in as_bytes(batch.column(at))], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import language_id, packing, quality, sharding
+from jobloom.llm import bpe, chat, language_id, lm_scoring, media, near_dedup, packing, quality, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,20 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _vocabulary_path("byte_bpe_50k.tiktoken"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.pseudo_likelihood(_table(spark, sf_dir, "documents"))
+
+
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), _vocabulary_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -44,13 +58,24 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), 16)
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(_table(spark, sf_dir, "conversations"))
+
+
+def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_features(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {
-        "op1_language_id": op1_language_id,
-        "op2_best_fit_packing": op2_best_fit_packing,
-        "op6_quality_rules": op6_quality_rules,
-        "op7_sharding": op7_sharding,
-    }
+    found = [
+        op1_language_id, op2_best_fit_packing, op3_lm_scoring, op4_minhash_near_dedup, op5_byte_bpe,
+        op6_quality_rules, op7_sharding, op8_warc, op9_chat_formatting, op10_media_columns,
+    ]
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
