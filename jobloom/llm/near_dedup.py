@@ -10,19 +10,20 @@ or more, and a group is a connected component of links. The steps:
    so some run of four is shared as soon as the sets have more than 16 shingles (two in a row in
    smaller ones, which get runs of two). Where a sketch holds the whole set this is certain; in
    larger sets a pair at exactly 0.8 is missed with a probability of about 2e-6 at k = 96.
-3. In every list each member is compared with the first one, the leader, only: the union of the two
-   sketches estimates J, and the full sets verify it. Members that aren't linked to the leader may
-   still be linked to others, which is settled without pairing everybody:
-   a. Near members (J with the leader b not far below 0.8): write a set x as its difference from b.
-      If u isn't linked to b but to x, the differences of u and x must overlap in at least about
-      half of x's (from |u ^ x| <= (|u| + |x|) / 9), so a prefix of the differences, elements that
-      b hasn't first, finds the pair. Copies of one text share few such elements.
-   b. Far members (J with b below 0.66): by the triangle inequality of the Jaccard distance they
-      aren't linked to anyone close to b. Lists with few of them are paired; the members of longer
-      lists (a passage that many documents share) go to a prefix filter over full sets, rarest
-      shingles first, which finds every pair with J >= 0.8.
-4. Candidates are filtered by the union sketch, verified on full sets, and the links' components are
-   labelled by alternating star contractions.
+3. A list's first member is its leader, and all representatives that share a leader are compared
+   inside one task: sketches first (the estimate from their union), full sets where that leaves a
+   chance. Members linked to the leader are in its component already, so they aren't compared with
+   each other, and only links that join components leave the task, fewer than there are members.
+   Leaders with very many members are settled without bringing these together:
+   a. Members linked to the leader b against the others: by the triangle inequality of the Jaccard
+      distance only for J with b of 0.6 or more. Write a set x as its difference from b. If u isn't
+      linked to b but to x, the differences of u and x must overlap in at least about half of x's
+      (from |u ^ x| <= (|u| + |x|) / 9), so a prefix of the differences, elements that b hasn't
+      first, finds the pair. Copies of one text share few such elements.
+   b. The others among themselves: a prefix filter over full sets, rarest shingles first, which
+      finds every pair with J >= 0.8.
+   Their candidates are filtered by the union sketch and verified on full sets.
+4. The components of all links are labelled by alternating star contractions.
 """
 
 from __future__ import annotations
@@ -40,10 +41,11 @@ from jobloom.llm._common import as_bytes, cut, slices, stored, text_rows
 SKETCH = 96
 RUN, SHORT_RUN = 4, 2
 SHORT_SET, LONG_SET = 16, 13  # sets of up to SHORT_SET get short runs, those from LONG_SET on long ones
-SHORT_LIST = 32
-NEAR = 0.3
-FAR = 0.66
-MAYBE = 0.6  # 0.8 less almost five standard errors of the estimate
+GROUP_LIMIT = 8192
+BLOCK = 1024
+NEAR = 0.5  # 0.6 less two standard errors; at 0.6 itself a member can only just be linked to a linked one
+MAYBE = 0.6  # 0.8 less more than four standard errors of the estimate
+HEAVY = 200_000
 BROADCAST_IDS = 1_000_000
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -152,28 +154,140 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return _sides(pairs, sets, "n", "elems").withColumn("shared", F.size(F.array_intersect("elems_a", "elems_b"))).where(_linked()).select("a", "b")
 
 
-def _near_pairs(near: DataFrame) -> DataFrame:
-    """Step 3a. near: (a leader, b member, n_a, n_b, diff array, linked) -> candidate pairs (a, b)."""
-    rings = near.where("not linked").select("a").distinct()
+def _ring_pairs(near: DataFrame) -> DataFrame:
+    """Step 3a. near: (a leader, b member, n_a, n_b, shared, diff, linked) -> candidate pairs (a, b)."""
+    ring = ~F.col("linked") & (F.col("shared") >= 0.6 * (F.col("n_a") + F.col("n_b") - F.col("shared")) - 1e-6)
+    tagged = near.where(ring | F.col("linked"))
+    both = tagged.groupBy("a").agg(F.bool_and("linked").alias("all"), F.bool_or("linked").alias("any")).where("not all and any").select("a")
     size = F.size("diff")
     half = F.greatest(F.lit(1), F.floor((size + (F.col("n_a") - F.col("n_b")) / 9.0) / 2))
     whole = F.greatest(F.lit(1), F.floor((size - (F.col("n_a") + F.col("n_b")) / 9.0) / 2))
-    members = near.join(rings, "a", "left_semi").select("a", "b", "linked", "diff", (size - half + 1).cast("int").alias("near_to"), (size - whole + 1).cast("int").alias("far_to"))
-    keyed = members.select("a", "b", "linked", "near_to", "far_to", F.posexplode("diff").alias("pos", "elem"))
-    right = keyed.where("pos < near_to").select("a", "elem", F.col("b").alias("y"), F.col("linked").alias("y_linked"))
-    left = keyed.where("not linked and pos < far_to").select("a", "elem", F.col("b").alias("x"), (F.col("pos") < F.col("near_to")).alias("x_near"))
-    found = left.join(right, ["a", "elem"]).where("y_linked or (x_near and x < y)")
-    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    # diff lists what the member has and the leader hasn't first, so prefixes hold mostly that.
+    prefix = F.slice("diff", 1, (size - F.when(F.col("linked"), half).otherwise(whole) + 1).cast("int"))
+    keyed = tagged.join(both, "a", "left_semi").select("a", "b", "linked", F.explode(prefix).alias("elem"))
+    left = keyed.where("not linked").select("a", "elem", F.col("b").alias("x"))
+    right = keyed.where("linked").select("a", "elem", F.col("b").alias("y"))
+    return left.join(right, ["a", "elem"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
+def _counts(rows: np.ndarray, values: np.ndarray, owner: np.ndarray, m: int) -> np.ndarray:
+    """How many values each of the chosen rows has in common with each of the m owners."""
+    place = np.full(m, -1)
+    place[rows] = np.arange(len(rows))
+    ours = np.unique(values[place[owner] >= 0])
+    at = np.searchsorted(ours, values)
+    hit = (at < len(ours)) & (ours[np.minimum(at, len(ours) - 1)] == values)
+    at, owner = at[hit], owner[hit]
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], owner[order]
+    edges = np.flatnonzero(np.diff(at)) + 1
+    common = np.zeros((len(rows), m), np.int32)
+    for i, j in zip([0, *edges.tolist()], [*edges.tolist(), len(at)], strict=True):
+        who = owner[i:j]
+        mine = place[who]
+        mine = mine[mine >= 0]
+        if len(mine) and j - i > 1:
+            common[np.ix_(mine, who)] += 1
+    return common
+
+
+def group_links(ids: np.ndarray, sets: list[np.ndarray], k: int = SKETCH) -> list[tuple[int, int]]:
+    """Links of J >= 0.8 that join the members of a group into components; ids[0] is the leader."""
+    m, sizes = len(sets), np.array([len(x) for x in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    shared = np.add.reduceat(np.isin(flat, sets[0]).astype(np.int64), np.cumsum(sizes) - sizes)
+    linked = 100 * shared >= 80 * (sizes + sizes[0] - shared)
+    out = [(int(ids[0]), int(x)) for x in ids[1:][linked[1:]]]
+    label = np.where(linked, 0, np.arange(m))
+    others = np.flatnonzero(~linked)
+    if not len(others) or m < 3:
+        return out
+    kept = np.minimum(sizes, k)
+    sketch, of = np.concatenate([x[:k] for x in sets]), np.repeat(np.arange(m), kept)
+    for at in range(0, len(others), BLOCK):
+        rows = others[at : at + BLOCK]
+        alike = _counts(rows, sketch, of, m)
+        maybe = alike >= MAYBE * (kept[rows][:, None] + kept[None, :] - alike)
+        maybe[np.arange(len(rows)), rows] = False
+        some = maybe.any(1)
+        rows, maybe = rows[some], maybe[some]
+        if not len(rows):
+            continue
+        common = _counts(rows, flat, owner, m)
+        links = maybe & (100 * common >= 80 * (sizes[rows][:, None] + sizes[None, :] - common))
+        for i, row in enumerate(rows.tolist()):
+            near = np.flatnonzero(links[i])
+            for other in np.unique(label[near]).tolist():
+                if other != label[row]:
+                    x = int(near[label[near] == other][0])
+                    out.append((int(min(ids[row], ids[x])), int(max(ids[row], ids[x]))))
+                    label[label == other] = label[row]
+    return out
+
+
+def _links_by_leader(star: DataFrame, sets: DataFrame, k: int) -> DataFrame:
+    """star: (a leader, b member) -> links (a, b). A task gets a leader's sets together, one leader after the other."""
+    members = star.union(star.select("a", F.col("a").alias("b")).distinct())
+    rows = members.join(sets.select(F.col("rep").alias("b"), "elems"), "b").select("a", "b", "elems")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leader, ids, held = None, [], []
+        found: list[tuple[int, int]] = []
+
+        def give() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+            found.clear()
+            return made
+
+        for batch in batches:
+            elems = batch.column(2)
+            values, cuts = elems.values.to_numpy().view(np.uint64), elems.offsets.to_numpy()
+            for i, (a, b) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                if a != leader:
+                    if len(ids) > 1:
+                        found += group_links(np.array(ids), held, k)
+                    leader, ids, held = a, [], []
+                ids.append(b)
+                held.append(values[cuts[i] : cuts[i + 1]].copy())
+            yield give()
+        if len(ids) > 1:
+            found += group_links(np.array(ids), held, k)
+        yield give()
+
+    return rows.repartition("a").sortWithinPartitions("a", "b").mapInArrow(compare, "a long, b long")
 
 
 def _rarest_first_pairs(sets: DataFrame) -> DataFrame:
-    """All pairs of sets that can have J >= 0.8, by a prefix filter with the rarest elements first."""
-    from pyspark.sql import Window
+    """All pairs of sets that can have J >= 0.8, by a prefix filter with the rarest elements first.
+
+    Any order of the elements that is the same for all sets is right; the counts that make it a good
+    one are of the HEAVY elements that occur most, as far as they repeat within a batch.
+    """
+
+    def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            elem, n = np.unique(batch.column(2).flatten().to_numpy(), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(elem[n > 1]), pa.array(n[n > 1])], ["elem", "n"])
 
-    elems = sets.select("rep", "n", F.explode("elems").alias("elem"))
-    spread = elems.groupBy("elem").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = elems.join(spread, "elem", "left").withColumn("nth", F.row_number().over(Window.partitionBy("rep").orderBy(F.coalesce("df", F.lit(1)), "elem")))
-    prefix = ranked.where("nth <= n - ceil(0.8 * n) + 1 and df > 1").select("elem", "rep", "n")
+    counted = sets.mapInArrow(repeats, "elem long, n long").groupBy("elem").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "elem").limit(HEAVY).toArrow()
+    order = np.argsort(counted["elem"].to_numpy())
+    heavy = sets.sparkSession.sparkContext.broadcast((counted["elem"].to_numpy()[order], counted["n"].to_numpy()[order]))  # at most HEAVY
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, often = heavy.value
+        for batch in batches:
+            rep, n, elems = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
+            out, owner = [np.empty(0, np.int64)], []
+            for i in range(batch.num_rows):
+                own = elems[i].values.to_numpy()
+                at = np.minimum(np.searchsorted(known, own), max(0, len(known) - 1))
+                weight = np.where(known[at] == own, often[at], 0) if len(known) else np.zeros(len(own))
+                kept = own[np.lexsort((own, weight))][: len(own) - -(-4 * len(own) // 5) + 1]
+                out.append(kept)
+                owner += [i] * len(kept)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array([rep[i] for i in owner], pa.int64()), pa.array([n[i] for i in owner], pa.int64())], ["elem", "rep", "n"])
+
+    prefix = sets.select("rep", "n", "elems").mapInArrow(prefixes, "elem long, rep long, n long")
     x, y = prefix.toDF("elem", "a", "n_a"), prefix.toDF("elem", "b", "n_b")
     return x.join(y, "elem").where("a < b and 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)").select("a", "b")
 
@@ -197,7 +311,20 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     raise RuntimeError(f"links of the components did not settle in {rounds} rounds")
 
 
-def near_duplicates(docs: DataFrame, width: int = 2, k: int = SKETCH, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _links_of_crowds(star: DataFrame, sets: DataFrame, sketched: DataFrame, k: int) -> DataFrame:
+    """Links among the members of leaders that have too many for one task."""
+    est = cut(_estimated(star, sketched, k))
+    full = _sides(est.where(F.col("est") >= NEAR).select("a", "b"), sets, "n", "elems")
+    # What the member has and the leader hasn't comes first; what it lacks is marked by the complement.
+    diff = F.concat(F.array_except("elems_b", "elems_a"), F.transform(F.array_except("elems_a", "elems_b"), F.bitwise_not))
+    near = stored(full.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("elems_a", "elems_b")).alias("shared"), diff.alias("diff")).withColumn("linked", _linked()), "near")
+    others = star.join(near.where("linked").select("a", "b"), ["a", "b"], "left_anti").select(F.col("b").alias("rep")).distinct()
+    pairs = cut(_ring_pairs(near).union(_rarest_first_pairs(sets.join(others, "rep", "left_semi"))).distinct())
+    maybe = _estimated(pairs, sketched, k).where(F.col("est") >= MAYBE).select("a", "b")
+    return near.where("linked").select("a", "b").union(_verified(maybe, sets))
+
+
+def near_duplicates(docs: DataFrame, width: int = 2, k: int = SKETCH, group_limit: int = GROUP_LIMIT, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns: doc_id, n_shingles, component_id, kept; one row for each row of docs.
 
     component_id is the smallest doc_id reachable over links, kept is doc_id = component_id. Null
@@ -211,30 +338,17 @@ def near_duplicates(docs: DataFrame, width: int = 2, k: int = SKETCH, *, id_col:
 
     rows = _run_keys(classes).repartition("key")
     leaders = rows.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("members")).where("members > 1")
-    listed = stored(rows.join(leaders, "key").where("rep != leader").select("key", "leader", "rep"), "lists")
-    star = cut(listed.select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct())
+    star = cut(rows.join(leaders, "key").where("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct())
     wanted = cut(star.select(F.col("a").alias("rep")).union(star.select("b")).distinct())
-    sketched = cut(classes.select("rep", "sketch").join(wanted, "rep", "left_semi"))
     sets = stored(_sets(docs, width, id_col, text_col, wanted), "sets")
 
-    est = cut(_estimated(star, sketched, k))
-    full = _sides(est.where(F.col("est") >= NEAR).select("a", "b"), sets, "n", "elems")
-    # What the member has and the leader hasn't comes first; what it lacks is marked by the complement.
-    diff = F.concat(F.array_except("elems_b", "elems_a"), F.transform(F.array_except("elems_a", "elems_b"), F.bitwise_not))
-    near = stored(full.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("elems_a", "elems_b")).alias("shared"), diff.alias("diff")).withColumn("linked", _linked()), "near")
-
-    jaccard = near.select("a", "b", (F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))).alias("j"))
-    close = jaccard.where(F.col("j") >= FAR).select(F.col("a").alias("leader"), F.col("b").alias("rep"))
-    far = cut(listed.join(close, ["leader", "rep"], "left_anti").select("key", "rep"))
-    sizes = far.groupBy("key").agg(F.count("*").alias("members"))
-    few = far.join(sizes.where(f"members > 1 and members <= {SHORT_LIST}"), "key")
-    in_lists = few.select("key", F.col("rep").alias("a")).join(few.select("key", F.col("rep").alias("b")), "key").where("a < b").select("a", "b")
-    crowd = far.join(sizes.where(f"members > {SHORT_LIST}"), "key", "left_semi").select("rep").distinct()
-    crowded = _rarest_first_pairs(sets.join(crowd, "rep", "left_semi"))
-
-    pairs = cut(_near_pairs(near).union(in_lists).union(crowded).distinct())
-    maybe = _estimated(pairs, sketched, k).where(F.col("est") >= MAYBE).select("a", "b")
-    links = near.where("linked").select("a", "b").union(_verified(maybe, sets))
+    groups = star.groupBy("a").agg(F.count("*").alias("members"))
+    small = star.join(groups.where(F.col("members") <= group_limit), "a", "left_semi")
+    crowds = cut(groups.where(F.col("members") > group_limit).select("a"))
+    links = _links_by_leader(small, sets, k)
+    if crowds.count():
+        sketched = cut(classes.select("rep", "sketch").join(wanted, "rep", "left_semi"))
+        links = links.union(_links_of_crowds(star.join(crowds, "a", "left_semi"), sets, sketched, k))
 
     labels = components(links)
     of_class = classes.select("set_key", "rep").join(labels, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
