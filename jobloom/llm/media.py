@@ -25,7 +25,7 @@ from jobloom.llm._common import as_bytes, slices, text_rows
 UNIT = 192
 RATE = 16_000
 HEADER = struct.Struct("<4sI4s4sIHHIIHH4sI")
-MIN_CHUNK, MAX_CHUNK, MASK_BITS = 2048, 32768, 12
+MIN_CHUNK, MAX_CHUNK, MASK_BITS = 4096, 65536, 13
 WINDOW = 16
 
 
@@ -98,7 +98,7 @@ def chunk_store(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """Columns: digest, packed (zstd). Every distinct chunk once."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1)
+        press = zstandard.ZstdCompressor(level=3)
         for batch in slices(batches, 1):
             kept: dict[bytes, bytes] = {}
             for raw in as_bytes(batch.column(1)):
