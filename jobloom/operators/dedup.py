@@ -96,7 +96,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         now = up.join(roots, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(roots).distinct().checkpoint()
         state = now.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 31)))).first()
         if state == seen:
-            return now.toDF("node", "component")
+            return now.union(now.select("v", "v").distinct()).toDF("node", "component")
         seen = state
     raise RuntimeError("components did not settle")
 

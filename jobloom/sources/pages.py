@@ -10,11 +10,17 @@ from urllib.parse import urljoin, urlparse
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from jobloom.functions import extract as X
 from jobloom.functions.normalise import html_to_text
 from jobloom.operators.dedup import first_by_id
 
+
+def _strings(*names: str) -> ArrayType:
+    return ArrayType(StructType([StructField(n, StringType()) for n in names]))
+
+
 # ---- H6, P10, P11. Titles of pages that aren't vacancies.
 GENERIC_TITLES = [
     r"^javascript is disabled$", r"^enable javascript", r"^access denied$", r"^careers?$", r"^jobs?$", r"^vacanc(?:y|ies)$", r"^current vacancies$", r"^career opportunities$", r"^job opportunities$",
@@ -79,7 +85,7 @@ def _job_texts(scripts: list[str]) -> list[str]:
     return found
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def _ld_jobs(scripts: pd.Series) -> pd.Series:
     return scripts.map(lambda x: _job_texts(list(x)) if x is not None and len(x) else [])
 
@@ -184,7 +190,7 @@ def page_links(markup: str | None, base: str | None) -> list[dict]:
     return out
 
 
-@F.pandas_udf("array<struct<link:string,text:string,context:string>>")
+@F.pandas_udf(_strings("link", "text", "context"))
 def _links(markup: pd.Series, base: pd.Series) -> pd.Series:
     return pd.Series([page_links(m, b) for m, b in zip(markup, base, strict=True)])
 
@@ -324,7 +330,7 @@ def _table_rows(markup: str | None, base: str, form: str | None) -> list[dict]:
     return out
 
 
-_ROW = "array<struct<title:string,advert_reference:string,grade:string,ministry:string,positions:string,experience:string,posted:string,deadline:string,apply_url:string>>"
+_ROW = _strings("title", "advert_reference", "grade", "ministry", "positions", "experience", "posted", "deadline", "apply_url")
 
 
 @F.pandas_udf(_ROW)
