@@ -4,8 +4,8 @@ Instead of merging word by word, the distinct words of a chunk of the corpus are
 inverted index leads from the rank of a token pair to all positions where it stands, ranks are
 replayed in ascending order, and each merge touches only its positions and their two neighbours.
 Words stand in one flat array, linked both ways. A merge that makes a pair of a lower rank than its
-own would have to come before other merges of its rank in the same word; words in which that happens
-are merged again one step at a time. Chunks are merged inside Spark tasks, so texts aren't shuffled,
+own, even if only until the next merge of its rank, would have to give way to that pair; words in which
+that happens are merged again one step at a time. Chunks are merged inside Spark tasks, so texts aren't shuffled,
 and words met before by the same worker come from a cache of bounded size.
 """
 
@@ -120,9 +120,13 @@ def replay(words: list[bytes], table: MergeTable) -> list[bytes]:
         if not len(at):
             continue
         gone = after[at]
+        nxt = after[gone]
+        pair = rank[nxt] == r  # two merges side by side: what the left one makes with the right one's first symbol
+        if pair.any():
+            between = table.rank(np.full(int(pair.sum()), r), symbol[nxt[pair]])
+            odd.update(owner[nxt[pair][between < r]].tolist())
         symbol[at] = r
         rank[gone] = _NONE
-        nxt = after[gone]
         after[at] = nxt
         before[nxt] = at
         left = before[at]
