@@ -67,13 +67,13 @@ def _record(kind: bytes, record_id: str, fields: dict[str, object], block: bytes
     return CRLF.join([*lines, b"Content-Length: %d" % len(block), b"", block])
 
 
-def records_of(row: int, page_id: int | None, url: str | None, payload: bytes, first_row: int, segment_bytes: int = SEGMENT_BYTES) -> list[bytes]:
-    """The records of one page: a revisit, a whole response, or a response with its continuations."""
-    name = f"urn:page:{row}"
+def records_of(row: int, page_id: int | None, url: str | None, payload: bytes, first_id: int | None, segment_bytes: int = SEGMENT_BYTES) -> list[bytes]:
+    """The records of one page: a revisit, a whole response, or a response with its continuations. row tells records apart."""
+    name = f"urn:record:{row}"
     clean = None if url is None else "".join(url.split()) or None  # a header line holds no white space here
     about = {"WARC-Target-URI": clean, "X-Page-ID": page_id, "WARC-Payload-Digest": f"sha1:{base32_sha1(payload)}"}
-    if row != first_row:
-        return [_record(b"revisit", name, about | {"WARC-Refers-To": f"<urn:page:{first_row}>", "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"}, HTTP_HEAD)]
+    if page_id != first_id:
+        return [_record(b"revisit", name, about | {"X-Refers-To-Page-ID": first_id, "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"}, HTTP_HEAD)]
     block = HTTP_HEAD + to_chunked(payload)
     if len(block) <= segment_bytes:
         return [_record(b"response", name, about, block)]
@@ -108,11 +108,10 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
         F.col(id_col).cast("long").alias("page_id"),
         F.col(url_col).cast("string").alias("url"),
         F.encode(F.coalesce(F.col(html_col).cast("string"), F.lit("")), "UTF-8").alias("payload"),
-    ).withColumn("row", F.monotonically_increasing_id())
+    )
     named = rows.withColumn("sha", F.unhex(F.sha1("payload"))).withColumn("size", F.length("payload"))
-    # Equal payloads: the smallest id, then the first row; pages without an id come last.
-    firsts = named.groupBy("sha", "size").agg(F.min(F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "row")).alias("first"))
-    joined = named.join(firsts.select("sha", "size", F.col("first.row").alias("first_row")), ["sha", "size"])
+    firsts = named.groupBy("sha", "size").agg(F.min("page_id").alias("first_id"))
+    joined = named.join(firsts, ["sha", "size"]).withColumn("row", F.monotonically_increasing_id())
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,15 +120,15 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
                 made = [r for row in zip(*cols, strict=True) for r in records_of(*row, segment_bytes)]
                 yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["record"])
 
-    records = joined.select("row", "page_id", "url", "payload", "first_row").mapInArrow(make, "record binary")
+    records = joined.select("row", "page_id", "url", "payload", "first_id").mapInArrow(make, "record binary")
     records.select(F.col("record").cast("string")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Columns: page_id, payload_bytes, payload_digest, record_type, refers_to: one row for each page."""
 
-    names = ["kind", "record_id", "page_id", "refers_id", "digest", "segment", "total", "payload_bytes", "block"]
-    types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["kind", "record_id", "page_id", "refers_to", "digest", "segment", "total", "payload_bytes", "block"]
+    types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,14 +144,13 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                         size = len(payload)
                         if base32_sha1(payload) != digest:
                             raise ValueError(f"{own}: the payload doesn't match its digest")
-                    page = fields.get("x-page-id")
-                    total = fields.get("warc-segment-total-length")
-                    rows.append((kind, fields.get("warc-segment-origin-id", own), None if page is None else int(page), fields.get("warc-refers-to"), digest, segment, None if total is None else int(total), size, block if segment else None))
+                    page, refers, total = (int(fields[x]) if x in fields else None for x in ("x-page-id", "x-refers-to-page-id", "warc-segment-total-length"))
+                    rows.append((kind, fields.get("warc-segment-origin-id", own), page, refers, digest, segment, total, size, block if segment else None))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True)], names)
 
     files = spark.read.format("binaryFile").load(path).select("content")
-    parsed = cut(files.mapInArrow(split, "kind string, record_id string, page_id long, refers_id string, digest string, segment int, total long, payload_bytes long, block binary"))
+    parsed = cut(files.mapInArrow(split, "kind string, record_id string, page_id long, refers_to long, digest string, segment int, total long, payload_bytes long, block binary"))
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,9 +170,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     )
     whole = parsed.where("kind = 'response' and segment is null").select("record_id", "page_id", "digest", "payload_bytes")
     responses = whole.union(segments.mapInArrow(assemble, "record_id string, page_id long, digest string, payload_bytes long"))
-    told = responses.select(F.col("record_id").alias("refers_id"), F.col("page_id").alias("refers_to"), F.col("digest").alias("told"), "payload_bytes")
-    revisits = parsed.where("kind = 'revisit'").select("page_id", "refers_id", "digest").join(told, "refers_id", "left")
-    checked = revisits.withColumn("digest", F.when(F.col("digest") == F.col("told"), F.col("digest")).otherwise(F.raise_error(F.concat(F.lit("no response with this payload: "), "refers_id"))))
+    told = responses.select(F.col("page_id").alias("refers_to"), "digest", "payload_bytes").distinct()
+    revisits = parsed.where("kind = 'revisit'").select("page_id", "refers_to", "digest").join(told, ["refers_to", "digest"], "left")
+    missing = F.raise_error(F.concat(F.lit("no response with the payload of a revisit to page "), F.col("refers_to").cast("string")))
+    checked = revisits.withColumn("payload_bytes", F.coalesce("payload_bytes", missing.cast("long")))
     return responses.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to")).union(
         checked.select("page_id", "payload_bytes", "digest", F.lit("revisit"), "refers_to")
     )
@@ -183,9 +182,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 def archive_round_trip(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Write the archives of all pages to the shared folder and read them back; columns as read_archives().
 
-    A null html is an empty payload; empty payloads are equal to each other. Rows that repeat an id
-    are pages of their own, so a repeated row is a revisit of the first. Pages without an id are
-    responses only if no page with an id has the payload. An empty table gives no rows.
+    A null html is an empty payload; empty payloads are equal to each other. Rows that repeat an id are
+    pages of their own: those with the smallest id of a payload are all responses. Pages without an id
+    are responses only if no page with an id has the payload. An empty table gives no rows.
     """
     path = scratch_path(pages.sparkSession, "warc")
     write_archives(pages, path, segment_bytes, id_col=id_col, url_col=url_col, html_col=html_col)
