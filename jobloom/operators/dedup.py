@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobloom.functions.normalise import norm_dedup
+from jobloom.operators.lineage import settled
 
 # Parameters that only track visitors, names that identify nobody, weights of sources.
 TRACKING = ["utm_source", "utm_medium", "utm_campaign", "utm_content", "utm_term", "ref", "source"]
@@ -86,14 +87,14 @@ def precedence(rows: DataFrame) -> Column:
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """(a, b) -> (node, component), the smallest id reachable; star contractions, checkpointed each round."""
-    now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct().checkpoint()
+    now = settled(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
     seen = None
     for _ in range(rounds):
         around = now.union(now.select("v", "u"))
         least = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         up = around.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         roots = up.groupBy("u").agg(F.min("v").alias("m"))
-        now = up.join(roots, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(roots).distinct().checkpoint()
+        now = settled(up.join(roots, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(roots).distinct())
         state = now.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 31)))).first()
         if state == seen:
             return now.union(now.select("v", "v").distinct()).toDF("node", "component")
@@ -131,10 +132,10 @@ def resolve_duplicates(postings: DataFrame, order_col: str = "pos", component_li
     kept has slot: the position of the row that opened the slot. events (D6) name both rows, the keys
     that matched, and for a removed government row whether an identity key explains it.
     """
-    light = postings.select(F.col(order_col).alias("pos"), "keys", "precedence", "is_government").checkpoint()
+    light = settled(postings.select(F.col(order_col).alias("pos"), "keys", "precedence", "is_government"))
     keyed = light.select("pos", F.explode("keys").alias("key"))
     first = keyed.groupBy("key").agg(F.min("pos").alias("first"), F.count("*").alias("n")).where("n > 1")
-    shared = keyed.join(first, "key").select("pos", "key", "first").checkpoint()
+    shared = settled(keyed.join(first, "key").select("pos", "key", "first"))
     labels = components(shared.select(F.col("first").alias("a"), F.col("pos").alias("b")))
     members = shared.groupBy("pos").agg(F.collect_set("key").alias("keys")).join(labels, F.col("pos") == F.col("node")).select("component", "pos", "keys")
     largest = members.groupBy("component").count().agg(F.max("count")).first()[0] or 0
@@ -154,7 +155,7 @@ def resolve_duplicates(postings: DataFrame, order_col: str = "pos", component_li
             out.append((None, stays, goes, better, hit, kind))
         return pd.DataFrame(out, columns=["kept", "stays", "goes", "replaced", "matched_by", "kind"])
 
-    played = grouped.groupBy("component").applyInPandas(run, "kept long, stays long, goes long, replaced boolean, matched_by array<string>, kind string").checkpoint()
+    played = settled(grouped.groupBy("component").applyInPandas(run, "kept long, stays long, goes long, replaced boolean, matched_by array<string>, kind string"))
     staying = played.where("kept is not null").select(F.col("kept").alias(order_col))
     touched = members.select(F.col("pos").alias(order_col)).distinct()
     kept = postings.join(touched, order_col, "left_anti").unionByName(postings.join(staying, order_col, "left_semi"))

@@ -623,8 +623,12 @@ def h1_s20_json_ld(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(FOUND)
+    from jobloom.plans import enriched_queries as more
+
+    return FOUND | more.FOUND
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    from jobloom.plans import enriched_queries as more
+
+    return SQL | more.SQL
