@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm._common import as_bytes, cut, scratch_path
+from jobloom.llm._common import cut, scratch_path, slices
 
 SEGMENT_BYTES = 16_384
 HTTP_CHUNK = 4096
-RECORDS_PER_FILE = 1000
+RECORDS_PER_FILE = 250
 CRLF = b"\r\n"
 DATE = b"2026-01-01T00:00:00Z"
 HTTP_HEAD = CRLF.join([b"HTTP/1.1 200 OK", b"Content-Type: text/html; charset=utf-8", b"Transfer-Encoding: chunked", b"", b""])
@@ -114,11 +114,9 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
     joined = named.join(firsts, ["sha", "size"]).withColumn("row", F.monotonically_increasing_id())
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                cols = [c.to_pylist() for c in batch.slice(at, 500).columns]
-                made = [r for row in zip(*cols, strict=True) for r in records_of(*row, segment_bytes)]
-                yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["record"])
+        for batch in slices(batches, 3, 2 << 20):
+            made = [r for row in zip(*(c.to_pylist() for c in batch.columns), strict=True) for r in records_of(*row, segment_bytes)]
+            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["record"])
 
     records = joined.select("row", "page_id", "url", "payload", "first_id").mapInArrow(make, "record binary")
     records.select(F.col("record").cast("string")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
@@ -132,9 +130,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for packed in as_bytes(batch.column(0)):
+            for packed in batch.column(0):  # one archive at a time
                 rows = []
-                for fields, block in parse(gzip.decompress(packed)):
+                for fields, block in parse(gzip.decompress(packed.as_buffer())):
                     kind, own = fields["warc-type"], fields["warc-record-id"]
                     segment = int(fields["warc-segment-number"]) if "warc-segment-number" in fields else None
                     digest = fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
