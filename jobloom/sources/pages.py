@@ -230,7 +230,8 @@ def location_candidates(markup: Column | str, context: Column | str) -> Column:
         pull(clean_text(h), rf"{LOCATION_LABELS}\s*:\s*([^|;.:\n]{{2,80}}?)(?=\s{{2}}|[|;.:]|$)"),
         pull(c, rf"{LOCATION_LABELS}\s*:\s*([^|;.\n]{{2,80}})"),
     )
-    return F.filter(F.transform(found, clean_text), lambda x: x.isNotNull())
+    bare = lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, "<[A-Za-z/!][^>]*>", " "), r"(?U)\s+", " "))  # noqa: E731  entities are left to clean_text
+    return F.filter(F.transform(found, bare), lambda x: x != "")
 
 
 def vacancy_evidence(markup: Column | str, url: Column | str, title: Column | str, has_json_ld: Column | None = None) -> Column:
@@ -261,7 +262,7 @@ def from_pages(pages: DataFrame, as_of: Column, prefix: str = "official") -> Dat
     years = X.years_experience(text)
     times = F.regexp_extract("html", r"(?is)<time[^>]*datetime=[\"']([^\"']+)[\"']", 1)
     rows = bare.where(vacancy_evidence("html", "url", title)).select(
-        F.concat(F.lit(f"{prefix}-"), "organisation_id", F.lit("-"), F.substring(F.sha2("url", 256), 1, 16)).alias("id"), title.alias("title"), F.try_element_at(location_candidates("html", "context"), F.lit(1)).alias("location_raw"),
+        F.concat(F.lit(f"{prefix}-"), "organisation_id", F.lit("-"), F.substring(F.sha2("url", 256), 1, 16)).alias("id"), title.alias("title"), clean_text(F.try_element_at(location_candidates("html", "context"), F.lit(1))).alias("location_raw"),
         X.timestamp(F.nullif(times, F.lit(""))).alias("posted_at"), X.deadline(text, F.year(as_of)).alias("deadline"), html_to_text("html").alias("summary"), F.col("url").alias("apply_url"), X.contract_type(title, text).alias("contract_type"),
         years["years_min"].alias("years_experience_min"), years["years_max"].alias("years_experience_max"), "organisation_id", F.lit("page").alias("found_by"), F.lit(0).alias("pos"),
     )
