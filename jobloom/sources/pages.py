@@ -39,9 +39,8 @@ def _plain(title: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(title, F.lit(""))), "[^a-z0-9]+", " "))
 
 
-def valid_title(title: Column | str, organisation: Column | str | None = None) -> Column:
-    """P10: 4 to 220 characters, no page's generic title, not the organisation's name."""
-    text = clean_text(title)
+def _valid(text: Column, organisation: Column | str | None = None) -> Column:
+    """P10 of a title that is clean already."""
     plain = _plain(text)
     ok = F.length(text).between(4, 220) & ~plain.rlike("|".join(GENERIC_TITLES))
     if organisation is not None:
@@ -50,14 +49,23 @@ def valid_title(title: Column | str, organisation: Column | str | None = None) -
     return F.coalesce(ok, F.lit(False))
 
 
-def choose_title(listing: Column | str, page: Column | str, organisation: Column | str | None = None) -> Column:
-    """The listing's title, unless only the page's is valid, or the page's extends it by up to 90 characters."""
-    a, b = clean_text(listing), clean_text(page)
-    ok_a, ok_b = valid_title(listing, organisation), valid_title(page, organisation)
+def _choose(a: Column, b: Column, organisation: Column | str | None = None) -> Column:
+    """P11 of titles that are clean already."""
+    ok_a, ok_b = _valid(a, organisation), _valid(b, organisation)
     richer = _plain(b).contains(_plain(a)) & (F.length(b) <= F.length(a) + 90)
     return F.when(ok_a & ok_b, F.when(richer, b).otherwise(a)).when(ok_a, a).when(ok_b, b)
 
 
+def valid_title(title: Column | str, organisation: Column | str | None = None) -> Column:
+    """P10: 4 to 220 characters, no page's generic title, not the organisation's name."""
+    return _valid(clean_text(title), organisation)
+
+
+def choose_title(listing: Column | str, page: Column | str, organisation: Column | str | None = None) -> Column:
+    """The listing's title, unless only the page's is valid, or the page's extends it by up to 90 characters."""
+    return _choose(clean_text(listing), clean_text(page), organisation)
+
+
 # ---- H1, S20: JSON-LD.
 _LD_KEYS = ("@graph", "itemListElement", "mainEntity", "hasPart")
 
@@ -227,19 +235,18 @@ def location_candidates(markup: Column | str, context: Column | str) -> Column:
         pull(h, r"itemprop=[\"']jobLocation[\"'][^>]*>([^<]{2,120})<"),
         pull(h, r"data-(?:job-)?location=[\"']([^\"']{2,120})[\"']"),
         pull(h, rf"<(?:dt|th)[^>]*>\s*{LOCATION_LABELS}\s*:?\s*</(?:dt|th)>\s*<(?:dd|td)[^>]*>(.{{2,120}}?)</(?:dd|td)>"),
-        pull(clean_text(h), rf"{LOCATION_LABELS}\s*:\s*([^|;.:\n]{{2,80}}?)(?=\s{{2}}|[|;.:]|$)"),
+        pull(F.regexp_replace(h, "<[A-Za-z/!][^>]*>", "  "), rf"{LOCATION_LABELS}\s*:\s*([^|;.:\n]{{2,80}}?)(?=\s{{2}}|[|;.:]|$)"),
         pull(c, rf"{LOCATION_LABELS}\s*:\s*([^|;.\n]{{2,80}})"),
     )
     bare = lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, "<[A-Za-z/!][^>]*>", " "), r"(?U)\s+", " "))  # noqa: E731  entities are left to clean_text
     return F.filter(F.transform(found, bare), lambda x: x != "")
 
 
-def vacancy_evidence(markup: Column | str, url: Column | str, title: Column | str, has_json_ld: Column | None = None) -> Column:
-    """H4: is this a vacancy's page, and not a page about vacancies?"""
-    text = clean_text(markup)
+def vacancy_evidence(text: Column | str, url: Column | str, title: Column | str, has_json_ld: Column | None = None) -> Column:
+    """H4: is this a vacancy's page, and not a page about vacancies? text and title are clean already."""
+    text, title = (F.col(c) if isinstance(c, str) else c for c in (text, title))
     u = F.lower(F.coalesce(F.col(url) if isinstance(url, str) else url, F.lit("")))
-    name = clean_text(title)
-    specific = valid_title(title) & (F.size(F.split(name, " ")) >= 2)
+    specific = _valid(title) & (F.size(F.split(title, " ")) >= 2)
     sections = sum((X.has(text, p).cast("int") for p in SECTIONS[1:]), X.has(text, SECTIONS[0]).cast("int"))
     found = (u.rlike(STRONG_URL) & specific) | X.has(text, REQUISITION) | (specific & X.has(text, DATES) & (sections >= 1)) | (specific & (sections >= 2))
     return F.coalesce(found | (has_json_ld if has_json_ld is not None else F.lit(False)), F.lit(False))
@@ -257,11 +264,13 @@ def from_pages(pages: DataFrame, as_of: Column, prefix: str = "official") -> Dat
     drop (P12), repeated ids keep the first. pages: (page_id, url, html, organisation_id, listing_title, context)."""
     jobs = from_job_objects(json_ld_jobs(pages), prefix)
     bare = pages.join(json_ld_jobs(pages).select("page_id").distinct(), "page_id", "left_anti")
-    title = choose_title("listing_title", page_title("html"))
-    text = clean_text("html")
+    # Each clean text is a column of its own, so that it is computed once.
+    bare = bare.select("*", clean_text("html").alias("page_text"), clean_text("listing_title").alias("listed"), page_title("html").alias("headed"))
+    bare = bare.withColumn("chosen", _choose(F.col("listed"), F.col("headed")))
+    title, text = F.col("chosen"), F.col("page_text")
     years = X.years_experience(text)
     times = F.regexp_extract("html", r"(?is)<time[^>]*datetime=[\"']([^\"']+)[\"']", 1)
-    rows = bare.where(vacancy_evidence("html", "url", title)).select(
+    rows = bare.where(vacancy_evidence("page_text", "url", "chosen")).select(
         F.concat(F.lit(f"{prefix}-"), "organisation_id", F.lit("-"), F.substring(F.sha2("url", 256), 1, 16)).alias("id"), title.alias("title"), clean_text(F.try_element_at(location_candidates("html", "context"), F.lit(1))).alias("location_raw"),
         X.timestamp(F.nullif(times, F.lit(""))).alias("posted_at"), X.deadline(text, F.year(as_of)).alias("deadline"), html_to_text("html").alias("summary"), F.col("url").alias("apply_url"), X.contract_type(title, text).alias("contract_type"),
         years["years_min"].alias("years_experience_min"), years["years_max"].alias("years_experience_max"), "organisation_id", F.lit("page").alias("found_by"), F.lit(0).alias("pos"),
