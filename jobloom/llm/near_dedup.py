@@ -11,8 +11,8 @@ or more, and a group is a connected component of links. The steps:
    smaller ones, which get runs of two). Where a sketch holds the whole set this is certain; in
    larger sets a pair at exactly 0.8 is missed with a probability of about 2e-6 at k = 96.
 3. A list's first member is its leader, and all representatives that share a leader are compared
-   inside one task: sketches first (the estimate from their union), full sets where that leaves a
-   chance. Members linked to the leader are in its component already, so they aren't compared with
+   inside one task: sketches first (the estimate from their union, over the hash range that both
+   sketches cover), full sets where that leaves a chance. Members linked to the leader are in its component already, so they aren't compared with
    each other, and only links that join components leave the task, fewer than there are members.
    Leaders with very many members are settled without bringing these together:
    a. Members linked to the leader b against the others: by the triangle inequality of the Jaccard
@@ -43,8 +43,7 @@ RUN, SHORT_RUN = 4, 2
 SHORT_SET, LONG_SET = 16, 13  # sets of up to SHORT_SET get short runs, those from LONG_SET on long ones
 GROUP_LIMIT = 8192
 BLOCK = 1024
-NEAR = 0.5  # 0.6 less two standard errors; at 0.6 itself a member can only just be linked to a linked one
-MAYBE = 0.6  # 0.8 less more than four standard errors of the estimate
+MAYBE = 0.5  # 0.8 less more than seven standard errors of an estimate from 96 values: a link is below it in 1 of 10**9
 HEAVY = 200_000
 BROADCAST_IDS = 1_000_000
 
@@ -191,6 +190,23 @@ def _counts(rows: np.ndarray, values: np.ndarray, owner: np.ndarray, m: int) ->
     return common
 
 
+def _alike(rows: np.ndarray, sets: list[np.ndarray], k: int) -> np.ndarray:
+    """Estimated Jaccard similarity of the chosen sets with all, from the union of their sketches.
+
+    Up to the smaller of the two sketches' last values both sets are known in full, so the share of
+    common values in that range, at least k values or all, is an unbiased sample of the union.
+    """
+    sketch = [x[:k] for x in sets]
+    top = np.array([x[-1] if len(s) > k else np.iinfo(np.uint64).max for x, s in zip(sketch, sets, strict=True)], np.uint64)
+    both = _counts(rows, np.concatenate(sketch), np.repeat(np.arange(len(sets)), [len(x) for x in sketch]), len(sets))
+    union = -both
+    for j, x in enumerate(sketch):
+        union[:, j] += np.searchsorted(x, np.minimum(top[rows], top[j]), "right").astype(np.int32)
+    for i, row in enumerate(rows.tolist()):
+        union[i] += np.searchsorted(sketch[row], np.minimum(top, top[row]), "right").astype(np.int32)
+    return both / np.maximum(union, 1)
+
+
 def group_links(ids: np.ndarray, sets: list[np.ndarray], k: int = SKETCH) -> list[tuple[int, int]]:
     """Links of J >= 0.8 that join the members of a group into components; ids[0] is the leader."""
     m, sizes = len(sets), np.array([len(x) for x in sets])
@@ -202,12 +218,9 @@ def group_links(ids: np.ndarray, sets: list[np.ndarray], k: int = SKETCH) -> lis
     others = np.flatnonzero(~linked)
     if not len(others) or m < 3:
         return out
-    kept = np.minimum(sizes, k)
-    sketch, of = np.concatenate([x[:k] for x in sets]), np.repeat(np.arange(m), kept)
     for at in range(0, len(others), BLOCK):
         rows = others[at : at + BLOCK]
-        alike = _counts(rows, sketch, of, m)
-        maybe = alike >= MAYBE * (kept[rows][:, None] + kept[None, :] - alike)
+        maybe = _alike(rows, sets, k) >= MAYBE
         maybe[np.arange(len(rows)), rows] = False
         some = maybe.any(1)
         rows, maybe = rows[some], maybe[some]
@@ -313,8 +326,7 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
 
 def _links_of_crowds(star: DataFrame, sets: DataFrame, sketched: DataFrame, k: int) -> DataFrame:
     """Links among the members of leaders that have too many for one task."""
-    est = cut(_estimated(star, sketched, k))
-    full = _sides(est.where(F.col("est") >= NEAR).select("a", "b"), sets, "n", "elems")
+    full = _sides(star, sets, "n", "elems")
     # What the member has and the leader hasn't comes first; what it lacks is marked by the complement.
     diff = F.concat(F.array_except("elems_b", "elems_a"), F.transform(F.array_except("elems_a", "elems_b"), F.bitwise_not))
     near = stored(full.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("elems_a", "elems_b")).alias("shared"), diff.alias("diff")).withColumn("linked", _linked()), "near")

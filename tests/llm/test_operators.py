@@ -220,6 +220,33 @@ def test_near_duplicates_against_all_pairs(spark, limit):
     check_components(spark, pairs, group_limit=limit)
 
 
+@pytest.mark.parametrize("n", [250, 500, 1000, 3000])
+def test_links_of_truncated_and_extended_copies_away_from_the_leader(n):
+    rng = np.random.default_rng(n)
+    draw = lambda size: rng.integers(0, 1 << 64, size, np.uint64, endpoint=False)
+    sets, want = [np.unique(draw(n))], set()
+    for share in (0.8, 0.82, 0.85):
+        for _ in range(40):
+            whole = draw(n)
+            sets += [np.unique(whole), np.unique(whole[: int(n * share + 0.999)])]
+            want.add((len(sets) - 2, len(sets) - 1))
+    assert set(near_dedup.group_links(np.arange(len(sets)), sets)) == want
+
+
+@pytest.mark.parametrize("limit", [8192, 2])
+def test_near_duplicates_of_truncated_copies(spark, limit):
+    rng = np.random.default_rng(8)
+    passage = [f"p{i}" for i in range(8)]  # shared, so that texts get leaders they aren't linked to
+    pairs = []
+    for n in (150, 400, 900):
+        for share in (0.81, 0.83, 0.9):
+            for _ in range(6):
+                words = passage + [f"w{x}" for x in rng.integers(10**6, size=n)]
+                cut = words[: int(len(words) * share)]
+                pairs += [(len(pairs), " ".join(words)), (len(pairs) + 1, " ".join(cut)), (len(pairs) + 2, " ".join(cut[: int(len(cut) * share)]))]
+    check_components(spark, pairs, group_limit=limit)
+
+
 def test_near_duplicates_on_given_documents(spark, docs):
     check_components(spark, [(r.doc_id, r.text) for r in docs.collect()])
 
