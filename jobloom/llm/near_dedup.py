@@ -14,7 +14,7 @@ or more, and a group is a connected component of links. The steps:
    inside one task: sketches first (the estimate from their union, over the hash range that both
    sketches cover), full sets where that leaves a chance. Members linked to the leader are in its component already, so they aren't compared with
    each other, and only links that join components leave the task, fewer than there are members.
-   Leaders with very many members are settled without bringing these together:
+   Leaders with very many members or shingles are settled without bringing these together:
    a. Members linked to the leader b against the others: by the triangle inequality of the Jaccard
       distance only for J with b of 0.6 or more. Write a set x as its difference from b. If u isn't
       linked to b but to x, the differences of u and x must overlap in at least about half of x's
@@ -42,6 +42,7 @@ SKETCH = 96
 RUN, SHORT_RUN = 4, 2
 SHORT_SET, LONG_SET = 16, 13  # sets of up to SHORT_SET get short runs, those from LONG_SET on long ones
 GROUP_LIMIT = 8192
+SHINGLE_LIMIT = 4_000_000  # of a leader's group in one task: about 100 bytes each with the work arrays
 BLOCK = 1024
 MAYBE = 0.5  # 0.8 less more than seven standard errors of an estimate from 96 values: a link is below it in 1 of 10**9
 HEAVY = 200_000
@@ -325,7 +326,7 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
 
 
 def _links_of_crowds(star: DataFrame, sets: DataFrame, sketched: DataFrame, k: int) -> DataFrame:
-    """Links among the members of leaders that have too many for one task."""
+    """Links among the members of leaders that have too many, or too large ones, for one task."""
     full = _sides(star, sets, "n", "elems")
     # What the member has and the leader hasn't comes first; what it lacks is marked by the complement.
     diff = F.concat(F.array_except("elems_b", "elems_a"), F.transform(F.array_except("elems_a", "elems_b"), F.bitwise_not))
@@ -336,7 +337,7 @@ def _links_of_crowds(star: DataFrame, sets: DataFrame, sketched: DataFrame, k: i
     return near.where("linked").select("a", "b").union(_verified(maybe, sets))
 
 
-def near_duplicates(docs: DataFrame, width: int = 2, k: int = SKETCH, group_limit: int = GROUP_LIMIT, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 2, k: int = SKETCH, group_limit: int = GROUP_LIMIT, shingle_limit: int = SHINGLE_LIMIT, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns: doc_id, n_shingles, component_id, kept; one row for each row of docs.
 
     component_id is the smallest doc_id reachable over links, kept is doc_id = component_id. Null
@@ -354,9 +355,9 @@ def near_duplicates(docs: DataFrame, width: int = 2, k: int = SKETCH, group_limi
     wanted = cut(star.select(F.col("a").alias("rep")).union(star.select("b")).distinct())
     sets = stored(_sets(docs, width, id_col, text_col, wanted), "sets")
 
-    groups = star.groupBy("a").agg(F.count("*").alias("members"))
-    small = star.join(groups.where(F.col("members") <= group_limit), "a", "left_semi")
-    crowds = cut(groups.where(F.col("members") > group_limit).select("a"))
+    groups = _sides(star, classes, "n").groupBy("a").agg(F.count("*").alias("members"), (F.sum("n_b") + F.max("n_a")).alias("shingles"))
+    crowds = cut(groups.where((F.col("members") > group_limit) | (F.col("shingles") > shingle_limit)).select("a"))
+    small = star.join(crowds, "a", "left_anti")
     links = _links_by_leader(small, sets, k)
     if crowds.count():
         sketched = cut(classes.select("rep", "sketch").join(wanted, "rep", "left_semi"))

@@ -247,6 +247,25 @@ def test_near_duplicates_of_truncated_copies(spark, limit):
     check_components(spark, pairs, group_limit=limit)
 
 
+def test_groups_of_long_texts_are_not_brought_together(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    short, long = ([f"{x}{i}" for i in range(n)] for x, n in (("s", 60), ("l", 600)))
+    pairs = family(rng, short, 8, 0.1, 0) + family(rng, long, 8, 0.1, 100) + family(rng, long, 4, 0.3, 200)
+    size = {i: len(set(zip(t.split(), t.split()[1:], strict=False))) for i, t in pairs}
+    plain_way, held = near_dedup._links_by_leader, []
+
+    def noted(star, sets, k):
+        groups = defaultdict(list)
+        for r in star.collect():
+            groups[r.a].append(r.b)
+        held.extend(size[a] + sum(size[b] for b in of) for a, of in groups.items())
+        return plain_way(star, sets, k)
+
+    monkeypatch.setattr(near_dedup, "_links_by_leader", noted)
+    check_components(spark, pairs, shingle_limit=1000)
+    assert held and max(held) <= 1000
+
+
 def test_near_duplicates_on_given_documents(spark, docs):
     check_components(spark, [(r.doc_id, r.text) for r in docs.collect()])
 
