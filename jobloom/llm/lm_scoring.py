@@ -1,11 +1,13 @@
 """Masked pseudo-likelihood scores from a bidirectional window network.
 
 Tokens are lower-cased words: the most frequent ones of the whole corpus, and a fixed number of hash
-buckets for all others. A small network predicts each token from the tokens on both sides of it:
+buckets for all others. Within its bucket a word has the probability that the counts of all words of
+the corpus give it, its own occurrence left out (Witten-Bell; words not seen elsewhere by their bytes).
+A small network predicts each token from the tokens on both sides of it:
 softmax(W tanh(L[left] + R[right] + b) + c). All (left, token, right) windows of the corpus are
 counted by Spark, so the network is trained on every window there is; each training step is a Spark
 job in which tasks compute gradients in numpy over their share of the counted contexts. A text's
-score is the sum of log P(token | both sides) over its tokens.
+score is the sum of log P(token | both sides) + log P(word | token) over its words.
 """
 
 from __future__ import annotations
@@ -18,10 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm._common import as_bytes, cut, slices, text_rows
+from jobloom.llm._common import as_bytes, cut, slices, stored, text_rows
 
 TOKENS = 256
 BUCKETS = 15  # ids from TOKENS - 1 - BUCKETS; the last id is the boundary of a text
@@ -42,8 +45,8 @@ def token_ids(raw: bytes, ids: _Ids) -> np.ndarray:
     return np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
 
 
-def vocabulary(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> list[bytes]:
-    """The most frequent words of all texts, ties by the word."""
+def word_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Columns: word, n; every word of all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0, 32 << 20):
@@ -55,10 +58,79 @@ def vocabulary(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
                 some = words[at : at + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()), pa.array([seen[w] for w in some], pa.int64())], ["word", "n"])
 
-    counted = text_rows(docs, id_col, text_col).select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return text_rows(docs, id_col, text_col).select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _frequent(counted: DataFrame) -> list[bytes]:
     return [bytes(r.word) for r in counted.orderBy(F.desc("n"), "word").limit(TOKENS - 1 - BUCKETS).collect()]
 
 
+def vocabulary(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> list[bytes]:
+    """The most frequent words of all texts, ties by the word."""
+    return _frequent(word_counts(docs, id_col=id_col, text_col=text_col))
+
+
+@dataclass
+class BucketWords:
+    """What the corpus says of the words in buckets: hashes (sorted) and counts of those that occur
+    twice or more, and the tokens and distinct words of each bucket."""
+
+    hashes: np.ndarray
+    counts: np.ndarray
+    tokens: np.ndarray
+    types: np.ndarray
+
+    @classmethod
+    def of(cls, counted: DataFrame, words: list[bytes]) -> BucketWords:
+        """counted: as word_counts(). The driver gets 16 bytes for each word that repeats."""
+        own = set(words)
+
+        def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                some = [(xxhash.xxh3_64_intdigest(w), zlib.crc32(w) % BUCKETS, n) for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if w not in own]
+                h, bucket, n = (np.array([x[i] for x in some], kind) for i, kind in enumerate((np.uint64, np.int32, np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(bucket), pa.array(n)], ["hash", "bucket", "n"])
+
+        table = stored(counted.mapInArrow(hashed, "hash long, bucket int, n long"), "words")
+        tokens, types = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        for r in table.groupBy("bucket").agg(F.sum("n").alias("tokens"), F.count("*").alias("types")).collect():
+            tokens[r.bucket], types[r.bucket] = r.tokens, r.types
+        repeated = table.where("n > 1").select("hash", "n").toArrow()
+        h = repeated["hash"].to_numpy().view(np.uint64)
+        order = np.argsort(h)
+        return cls(h[order], repeated["n"].to_numpy()[order], tokens, types)
+
+    def log_probs(self, some: list[bytes]) -> np.ndarray:
+        """log P(word | bucket) from all occurrences but one of each word."""
+        h = np.array([xxhash.xxh3_64_intdigest(w) for w in some], np.uint64)
+        bucket = np.array([zlib.crc32(w) % BUCKETS for w in some], np.int64)
+        others = np.zeros(len(some))
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            others = np.where(self.hashes[at] == h, self.counts[at] - 1, 0).astype(float)
+        tokens, types = self.tokens[bucket] - 1, self.types[bucket] - (others == 0)
+        spelt = np.minimum(0, np.log(BUCKETS) - np.log(257) * (np.array([len(w) for w in some]) + 1))  # 256 bytes and the end
+        seen = np.log(np.maximum(others + types * np.exp(spelt), 1e-300) / np.maximum(tokens + types, 1))
+        unseen = spelt + np.where(types > 0, np.log(np.maximum(types, 1) / np.maximum(tokens + types, 1)), 0)
+        return np.where(others > 0, seen, unseen)
+
+
+class _InBucket(dict):
+    """word -> log P(word | token); 0 for words with an id of their own."""
+
+    def __init__(self, words: list[bytes], known: BucketWords) -> None:
+        self.words, self.known = words, known
+        super().__init__(dict.fromkeys(words, 0.0))
+
+    def learn(self, some: set[bytes]) -> None:
+        if len(self) > 500_000:
+            self.clear()
+            self.update(dict.fromkeys(self.words, 0.0))
+        new = [w for w in some if w not in self]
+        if new:
+            self.update(zip(new, self.known.log_probs(new).tolist(), strict=True))
+
+
 def _codes(ids: np.ndarray) -> np.ndarray:
     """(left, right, token) of every token as one number."""
     edge = np.array([TOKENS - 1])
@@ -177,18 +249,23 @@ def _table(flat: np.ndarray) -> np.ndarray:
     return _tables[key]
 
 
-def score(docs: DataFrame, words: list[bytes], net: WindowNetwork, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, words: list[bytes], net: WindowNetwork, known: BucketWords | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns: doc_id, n_tokens, log_likelihood, mean_log_likelihood.
 
-    A null or empty text and one without a word have no tokens, the sum 0 and a null mean. Rows are
+    Without known, bucket words are scored as their bucket. A null or empty text and one without a word have no tokens, the sum 0 and a null mean. Rows are
     independent: repeated ones give repeated results.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((words, net.flat()))  # fixed size
+    sent = docs.sparkSession.sparkContext.broadcast((words, net.flat(), known))  # known has 16 bytes for each word that repeats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, table = _Ids((w, i) for i, w in enumerate(sent.value[0])), _table(sent.value[1])
+        inside = None if sent.value[2] is None else _InBucket(sent.value[0], sent.value[2])
         for batch in slices(batches, 1):
-            found = [(len(x), float(table[_codes(x)].sum(dtype=np.float64))) for raw in as_bytes(batch.column(1)) for x in [token_ids(raw or b"", ids)]]
+            texts = [raw or b"" for raw in as_bytes(batch.column(1))]
+            found = [(len(x), float(table[_codes(x)].sum(dtype=np.float64))) for raw in texts for x in [token_ids(raw, ids)]]
+            if inside is not None:
+                inside.learn({w for raw in texts for w in raw.lower().split()})
+                found = [(n, total + sum(map(inside.__getitem__, raw.lower().split()))) for (n, total), raw in zip(found, texts, strict=True)]
             n, total = np.array([x[0] for x in found]), np.array([x[1] for x in found])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(total), pa.array(total / np.maximum(n, 1), mask=n == 0)], ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
 
@@ -197,6 +274,7 @@ def score(docs: DataFrame, words: list[bytes], net: WindowNetwork, *, id_col: st
 
 def pseudo_likelihood(docs: DataFrame, steps: int = STEPS, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Train on all texts and score them; columns as score(). An empty table gives no rows."""
-    words = vocabulary(docs, id_col=id_col, text_col=text_col)
+    counted = stored(word_counts(docs, id_col=id_col, text_col=text_col), "counts")
+    words = _frequent(counted)
     net, _ = train(window_counts(docs, words, id_col=id_col, text_col=text_col), steps)
-    return score(docs, words, net, id_col=id_col, text_col=text_col)
+    return score(docs, words, net, BucketWords.of(counted, words), id_col=id_col, text_col=text_col)

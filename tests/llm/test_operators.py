@@ -167,6 +167,29 @@ def test_lm_edges(edge_docs, no_docs):
     assert rows(lm_scoring.pseudo_likelihood(no_docs, steps=1)) == []
 
 
+def test_lm_tells_words_of_a_bucket_apart(spark):
+    words = [f"common{i}" for i in range(lm_scoring.TOKENS - 1 - lm_scoring.BUCKETS)]
+    bucket = lambda w: zlib.crc32(w.encode()) % lm_scoring.BUCKETS
+    junk = next(w for i in range(10**4) if bucket(w := f"zqx{i:04}") == bucket("lantern"))  # as long, in the same bucket
+    texts = [" ".join(words)] * 12 + [f"common1 {w} common2" for w in ["lantern"] * 10 + [junk]] + [f"rare{i // 2}" for i in range(60)] + ["x" * 5000, "", None]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in lm_scoring.pseudo_likelihood(table, steps=2).collect()}
+    own = lm_scoring.vocabulary(table)
+    net, _ = lm_scoring.train(lm_scoring.window_counts(table, own), 2)
+    plain = {r.doc_id: r for r in lm_scoring.score(table, own, net).collect()}
+    assert got[12].log_likelihood > got[22].log_likelihood + 10 and plain[12].log_likelihood == plain[22].log_likelihood
+    count = Counter(w for text in texts for w in (text or "").split() if w.encode() not in own)
+    for i, text in enumerate(texts):
+        want = plain[i].log_likelihood
+        for w in (text or "").split():
+            if w in count:
+                n = sum(c for v, c in count.items() if bucket(v) == bucket(w)) - 1
+                kinds = sum(bucket(v) == bucket(w) for v in count) - (count[w] == 1)
+                spelt = min(0, np.log(lm_scoring.BUCKETS) - (len(w) + 1) * np.log(257))
+                want += spelt + np.log(kinds / (n + kinds) if kinds else 1) if count[w] == 1 else np.log((count[w] - 1 + kinds * np.exp(spelt)) / (n + kinds))
+        assert got[i].log_likelihood == pytest.approx(want, rel=1e-5) and np.isfinite(want)
+
+
 # ---- 4
 def brute_components(pairs):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
