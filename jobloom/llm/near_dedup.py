@@ -42,7 +42,7 @@ SKETCH = 96
 RUN, SHORT_RUN = 4, 2
 SHORT_SET, LONG_SET = 16, 13  # sets of up to SHORT_SET get short runs, those from LONG_SET on long ones
 GROUP_LIMIT = 8192
-SHINGLE_LIMIT = 4_000_000  # of a leader's group in one task: about 100 bytes each with the work arrays
+SHINGLE_LIMIT = 4_000_000  # of a leader's group in one task: by estimate 100 bytes each with the work arrays, not measured
 BLOCK = 1024
 MAYBE = 0.5  # 0.8 less more than seven standard errors of an estimate from 96 values: a link is below it in 1 of 10**9
 HEAVY = 200_000
