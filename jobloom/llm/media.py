@@ -2,9 +2,16 @@
 
 A payload is stored as 8-bit mono PCM samples in a WAV container. The container's bytes are cut where
 a rolling gear hash meets a mask, so equal passages give equal chunks wherever they stand. Chunks are
-named by a digest and kept once; a media value is an ordered list of digests. Reading joins the lists
-with the chunk store, puts the chunks in order, verifies the whole against its digest, and computes
-features of the samples. Chunks move compressed, media of one chunk aren't moved again after the join.
+named by a digest and kept once; a media value is an ordered list of digests. Two tables in the shared
+folder hold the media, and reading back uses nothing else:
+
+- records: for each row its ordered digests, and beside them the chunks that no other row can have;
+- shared: every other chunk once, by digest.
+
+Which chunks can be shared is counted by Spark over the digests of all rows. Tasks that write learn it
+from a Bloom filter of the repeated digests, of bounded size: a false positive only sends a chunk the
+way of shared ones. So the payload of unrepeated chunks is written where it is made and is never
+shuffled, and only shared chunks travel: to be kept once, and to be joined with the lists by digest.
 """
 
 from __future__ import annotations
@@ -16,17 +23,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm._common import as_bytes, slices, text_rows
+from jobloom.llm._common import as_bytes, slices, stored, text_rows
 
 UNIT = 192
 RATE = 16_000
 HEADER = struct.Struct("<4sI4s4sIHHIIHH4sI")
-MIN_CHUNK, MAX_CHUNK, MASK_BITS = 4096, 65536, 13
+MIN_CHUNK, MAX_CHUNK, MASK_BITS = 256, 4096, 8  # about 490 bytes on average
 WINDOW = 16
+PROBES = 4  # bits of the filter for each digest
+LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27  # 8 kB to 16 MB
 
 
 def _gear() -> np.ndarray:
@@ -94,81 +102,148 @@ def features(samples: bytes) -> str:
     return f"mean={x.mean():.4f};rms={np.sqrt((x * x).mean()):.4f};crossings={np.count_nonzero(np.diff(x >= 0)) / len(x):.6f};peak={int(np.abs(x).max())}"
 
 
-def chunk_store(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns: digest, packed (zstd). Every distinct chunk once."""
+def chunk_lists(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Column digest: one row for each chunk of each row's media."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=3)
-        for batch in slices(batches, 1):
-            kept: dict[bytes, bytes] = {}
-            for raw in as_bytes(batch.column(1)):
-                for chunk in chunks(to_wav(pad(raw or b""))):
-                    if (name := digest(chunk)) not in kept:
-                        kept[name] = press.compress(chunk)
-            yield pa.RecordBatch.from_arrays([pa.array(list(kept), pa.binary()), pa.array(list(kept.values()), pa.binary())], ["digest", "packed"])
+        for batch in slices(batches, 0):
+            found = [digest(c) for raw in as_bytes(batch.column(0)) for c in chunks(to_wav(pad(raw or b"")))]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["digest"])
 
-    return text_rows(docs, id_col, text_col).mapInArrow(make, "digest binary, packed binary").groupBy("digest").agg(F.first("packed").alias("packed"))
+    return text_rows(docs, id_col, text_col).select("text").mapInArrow(make, "digest binary")
 
 
-def chunk_lists(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns: row, doc_id, n_bytes, media_sha256, n_chunks, place, digest: one row for each chunk of each media value."""
+def _places(names: list[bytes], bits: int) -> np.ndarray:
+    """PROBES places for each digest, from its four 32-bit parts."""
+    parts = np.frombuffer(b"".join(names), "<u4").reshape(-1, 4).astype(np.int64)
+    return parts[:, :PROBES] & (bits - 1)
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["row", "doc_id", "n_bytes", "media_sha256", "n_chunks", "place", "digest"]
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary()]
-        for batch in slices(batches, 1):
-            rows = []
-            for doc_id, raw, row in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+
+class Filter:
+    """Says of a digest that it is not repeated, or that it may be."""
+
+    def __init__(self, words: np.ndarray) -> None:
+        self.words = words  # of 32 bits each
+
+    @classmethod
+    def of(cls, repeated: DataFrame) -> Filter:
+        """repeated: distinct digests. Tasks set bits, Spark joins them by OR; MOST_BITS bounds what the driver gets."""
+        bits = 1 << max(LEAST_BITS.bit_length() - 1, min(MOST_BITS.bit_length() - 1, (16 * repeated.count()).bit_length()))
+
+        def light(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = np.unique(_places(batch.column(0).to_pylist(), bits).ravel())
+                word, first = np.unique(at >> 5, return_index=True)
+                value = np.bitwise_or.reduceat(np.int64(1) << (at & 31), first) if len(at) else at
+                yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(value)], ["word", "value"])
+
+        lit = repeated.mapInArrow(light, "word long, value long").groupBy("word").agg(F.bit_or("value").alias("value")).toArrow()
+        words = np.zeros(bits // 32, np.uint32)
+        words[lit["word"].to_numpy()] = lit["value"].to_numpy()
+        return cls(words)
+
+    def maybe(self, names: list[bytes]) -> list[bool]:
+        at = _places(names, 32 * len(self.words))
+        return ((self.words[at >> 5] >> (at & 31).astype(np.uint32)) & 1).all(1).tolist()
+
+
+_ENTRIES = "array<struct<digest:binary,own:binary>>"
+_RECORD = f"doc_id long, n_bytes long, media_sha256 binary, n_shared int, entries {_ENTRIES}"
+_ENTRY = pa.list_(pa.struct([("digest", pa.binary()), ("own", pa.binary())]))
+
+
+def _batch(rows: list[tuple], names: str, *kinds: pa.DataType) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names.split())
+
+
+def write_media(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Store the media of all rows; returns the two tables as they are read from the shared folder.
+
+    records: doc_id, n_bytes, media_sha256, n_shared, entries (digest, and the chunk if it is no shared one), in order.
+    shared: digest, chunk.
+    """
+    digests = chunk_lists(docs, id_col=id_col, text_col=text_col)
+    repeated = stored(digests.groupBy("digest").count().where("count > 1").select("digest"), "repeated")
+    sent = docs.sparkSession.sparkContext.broadcast(Filter.of(repeated))  # at most MOST_BITS
+
+    def media_of(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[list[tuple]]:
+        for batch in slices(batches, at):
+            made = []
+            for i, raw in enumerate(as_bytes(batch.column(at))):
                 media = to_wav(pad(raw or b""))
-                parts, whole = chunks(media), hashlib.sha256(media).digest()
-                rows += [(row, doc_id, len(raw or b""), whole, len(parts), i, digest(part)) for i, part in enumerate(parts)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True)], names)
-
-    numbered = text_rows(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
-    return numbered.mapInArrow(make, "row long, doc_id long, n_bytes long, media_sha256 binary, n_chunks int, place int, digest binary")
-
-
-def read_back(lists: DataFrame, store: DataFrame) -> DataFrame:
-    """Columns: doc_id, n_bytes, media_sha256, media: the bytes put together again from the store, verified."""
-    joined = lists.join(store, "digest")
-    one = joined.where("n_chunks = 1").select("doc_id", "n_bytes", "media_sha256", F.array("packed").alias("parts"))
-    many = (
-        joined.where("n_chunks > 1")
-        .groupBy("row", "doc_id", "n_bytes", "media_sha256")
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "packed"))), lambda x: x["packed"]).alias("parts"))
-        .drop("row")
-    )
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                parts = chunks(media)
+                names = [digest(c) for c in parts]
+                made.append((batch.column(0)[i].as_py(), len(raw or b""), media, parts, names, sent.value.maybe(names)))
+            yield made
+
+    def record(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for made in media_of(batches, 1):
+            rows = [
+                (doc_id, n, hashlib.sha256(media).digest(), sum(common), [(name, None if other else part) for name, part, other in zip(names, parts, common, strict=True)])
+                for doc_id, n, media, parts, names, common in made
+            ]
+            yield _batch(rows, "doc_id n_bytes media_sha256 n_shared entries", pa.int64(), pa.int64(), pa.binary(), pa.int32(), _ENTRY)
+
+    def common_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for made in media_of(batches, 1):
+            kept = {name: part for *_, parts, names, common in made for name, part, other in zip(names, parts, common, strict=True) if other}
+            yield _batch(list(kept.items()), "digest chunk", pa.binary(), pa.binary())
+
+    rows = text_rows(docs, id_col, text_col)
+    shared = rows.mapInArrow(common_chunks, "digest binary, chunk binary").groupBy("digest").agg(F.first("chunk").alias("chunk"))
+    return stored(rows.mapInArrow(record, _RECORD), "records", compression="zstd"), stored(shared, "shared", compression="zstd")
+
+
+FEATURES = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+_FEATURE_KINDS = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+
+
+def measured(parts: list[bytes], whole: bytes) -> tuple:
+    """The columns of FEATURES of chunks put together, verified against the digest of the whole."""
+    media = b"".join(parts)
+    if hashlib.sha256(media).digest() != whole:
+        raise ValueError("media put together from chunks differ from those that were stored")
+    samples = from_wav(media)
+    return len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-16:]), len(media), whole.hex(), features(samples)
+
+
+def read_media(records: DataFrame, shared: DataFrame) -> DataFrame:
+    """Columns: doc_id, n_bytes and FEATURES, from the two tables only.
+
+    Rows without shared chunks are put together where they are read. Of the others each media value is
+    put together once: its shared chunks are joined by digest, its own ones come along, in the order of
+    the list; what is measured is then given to all rows with this value.
+    """
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            press = zstandard.ZstdDecompressor()
             for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                media = [b"".join(map(press.decompress, x)) for x in some.column(3).to_pylist()]
-                if [hashlib.sha256(x).digest() for x in media] != some.column(2).to_pylist():
-                    raise ValueError("media put together from chunks differ from those that were stored")
-                yield pa.RecordBatch.from_arrays([*some.columns[:3], pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media_sha256", "media"])
+                rows = [(doc_id, n, *measured([e["own"] for e in entries], whole)) for doc_id, n, whole, entries in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True)]
+                yield _batch(rows, "doc_id n_bytes payload_bytes payload_sha256 tail_crc32 media_bytes media_sha256 feature", pa.int64(), pa.int64(), *_FEATURE_KINDS)
 
-    schema = "doc_id long, n_bytes long, media_sha256 binary, media binary"
-    return one.mapInArrow(build, schema).union(many.mapInArrow(build, schema))
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                rows = [(whole, *measured(parts, whole)) for whole, parts in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True)]
+                yield _batch(rows, "whole payload_bytes payload_sha256 tail_crc32 media_bytes media_sha256 feature", pa.binary(), *_FEATURE_KINDS)
+
+    first = records.where("n_shared = 0").select("doc_id", "n_bytes", "media_sha256", "entries").mapInArrow(alone, f"doc_id long, n_bytes long, {FEATURES}")
+    mixed = records.where("n_shared > 0")
+    once = mixed.groupBy("media_sha256").agg(F.first("entries").alias("entries"))
+    listed = once.select("media_sha256", F.posexplode("entries").alias("place", "e")).select("media_sha256", "place", "e.digest", "e.own")
+    lost = F.raise_error(F.lit("a shared chunk is missing")).cast("binary")
+    found = listed.where("own is null").join(shared, "digest", "left").select("media_sha256", "place", F.coalesce("chunk", lost).alias("chunk"))
+    parts = found.union(listed.where("own is not null").select("media_sha256", "place", "own")).groupBy("media_sha256").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "chunk"))), lambda x: x["chunk"]).alias("parts"))
+    told = parts.mapInArrow(joined, f"whole binary, {FEATURES}")
+    rest = mixed.select("doc_id", "n_bytes", F.col("media_sha256").alias("whole")).join(told, "whole")
+    return first.unionByName(rest.drop("whole"))
 
 
 def media_features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns: doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature.
 
-    A null text is empty, and an empty one is UNIT spaces. Each row is stored on its own, so repeated
-    ids and rows give a row each; equal texts give equal values. An empty table gives no rows.
+    A null text is empty, and an empty one is UNIT spaces. Repeated ids and rows give a row each; equal
+    texts give equal values. An empty table gives no rows.
     """
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for media in batch.column(2).to_pylist():
-                samples = from_wav(media)
-                rows.append((len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-16:]), len(media), hashlib.sha256(media).hexdigest(), features(samples)))
-            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            cols = list(zip(*rows, strict=True)) if rows else [()] * 6
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(c, k) for c, k in zip(cols, types, strict=True))], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
-
-    found = read_back(chunk_lists(docs, id_col=id_col, text_col=text_col), chunk_store(docs, id_col=id_col, text_col=text_col))
-    return found.select("doc_id", "n_bytes", "media").mapInArrow(measure, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return read_media(*write_media(docs, id_col=id_col, text_col=text_col))

@@ -528,3 +528,21 @@ def test_media_chunks(no_docs):
     moved = media.chunks(b"some words before" + data)
     assert len(set(map(media.digest, moved)) & set(map(media.digest, parts))) >= len(parts) - 3
     assert rows(media.media_features(no_docs)) == [] and media.pad(b"") == b" " * 192 and len(media.pad(b"x" * 192)) == 192
+
+
+def test_media_is_cut_and_read_from_the_tables(spark, docs, monkeypatch):
+    records, shared = media.write_media(docs)
+    sizes = [len(r.entries) for r in records.collect()]
+    assert np.mean(np.array(sizes) > 1) > 0.7 and np.median(sizes) >= 3
+    names = [r.digest for r in shared.collect()]
+    assert len(names) == len(set(names))
+    own = [e.digest for r in records.collect() for e in r.entries if e.own is not None]
+    assert len(own) == len(set(own)) and not set(own) & set(names)  # every chunk is stored once
+    want = Counter(tuple(r) for r in media.read_media(records, shared).collect())
+    monkeypatch.setattr(media, "LEAST_BITS", 32)
+    monkeypatch.setattr(media, "MOST_BITS", 32)  # a full filter: all chunks go the way of shared ones
+    records, shared = media.write_media(docs)
+    assert records.where("n_shared < size(entries)").count() < 5
+    assert Counter(tuple(r) for r in media.read_media(records, shared).collect()) == want
+    with pytest.raises(Exception, match="missing|differ"):
+        media.read_media(records, shared.where("digest > unhex('80')")).collect()
