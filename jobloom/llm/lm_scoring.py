@@ -1,22 +1,26 @@
 """Masked pseudo-likelihood scores from a bidirectional window network.
 
-Tokens are lower-cased words: the most frequent ones of the whole corpus, and a fixed number of hash
-buckets for all others. Within its bucket a word has the probability that the counts of all words of
-the corpus give it, its own occurrence left out (Witten-Bell; words not seen elsewhere by their bytes).
-A small network predicts each token from the tokens on both sides of it:
-softmax(W tanh(L[left] + R[right] + b) + c). All (left, token, right) windows of the corpus are
-counted by Spark, so the network is trained on every window there is; each training step is a Spark
-job in which tasks compute gradients in numpy over their share of the counted contexts. A text's
-score is the sum of log P(token | both sides) + log P(word | token) over its words.
+Tokens are lower-cased words. A network sees two tokens on each side of a place and predicts the one in
+the middle: h = tanh(sum of E[position, token] + b), then a two-level softmax. Words with a share of
+MIN_SHARE or more of all tokens have an output of their own: they are ranked by count and cut into
+classes of about the square root of their number, and P(word) = P(class | h) P(word | class, h). All
+other words fall into hash buckets, which the first level predicts too; within its bucket a word has the
+probability that the counts of all words of the corpus give it, its own occurrence left out
+(Witten-Bell; words not seen elsewhere by their bytes). A text's score is the sum of log P over its words.
+
+Training reads every window of the corpus once. Tasks start from the same weights and go through their
+texts in minibatches (numpy, AdaGrad); Spark sums the changes of each row of weights over the tasks,
+weighted by how often the row was used, and the average starts the next round, which reads other texts.
+The counts of rare words stay a Spark table: texts' rare words are joined with it, nothing of them is
+gathered on the driver.
 """
 
 from __future__ import annotations
 
-import hashlib
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,29 +28,41 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm._common import as_bytes, cut, slices, stored, text_rows
+from jobloom.llm._common import as_bytes, slices, stored, text_rows
 
-TOKENS = 256
-BUCKETS = 15  # ids from TOKENS - 1 - BUCKETS; the last id is the boundary of a text
-HIDDEN = 24
-STEPS = 30
-PARTS = 6
+#: A word with this share of all tokens is told apart by the network; so there are 32,768 such words at most.
+MIN_SHARE = 2.0**-15
+BUCKETS = 16  # a power of two
+AROUND = (-2, -1, 1, 2)
+HIDDEN = 16
+ROUNDS = 2
+MINIBATCH = 16_384
+RATE = 0.05
+_RARE = -(1 << 63)
 
 
-class _Ids(dict):
-    """word -> id; words without an id of their own go to a bucket and aren't kept."""
+def rare_code(word: bytes) -> int:
+    """A negative number that stands for a rare word; its lowest bits are the bucket."""
+    return (xxhash.xxh64_intdigest(word, seed=42) | 1 << 63) - (1 << 64)
 
-    def __missing__(self, word: bytes) -> int:
-        return TOKENS - 1 - BUCKETS + zlib.crc32(word) % BUCKETS
 
+class _Codes(dict):
+    """word -> its place among the network's words, or its rare_code."""
+
+    def __init__(self, words: list[bytes]) -> None:
+        self.words = words
+        super().__init__(zip(words, range(len(words)), strict=True))
 
-def token_ids(raw: bytes, ids: _Ids) -> np.ndarray:
-    words = raw.lower().split()
-    return np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > len(self.words) + 500_000:
+            self.clear()
+            self.update(zip(self.words, range(len(self.words)), strict=True))
+        got = self[word] = rare_code(word)
+        return got
 
 
 def word_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns: word, n; every word of all texts."""
+    """Columns: word, n; every word of all texts. Null and empty texts have none."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0, 32 << 20):
@@ -61,220 +77,260 @@ def word_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     return text_rows(docs, id_col, text_col).select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _frequent(counted: DataFrame) -> list[bytes]:
-    return [bytes(r.word) for r in counted.orderBy(F.desc("n"), "word").limit(TOKENS - 1 - BUCKETS).collect()]
-
-
-def vocabulary(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> list[bytes]:
-    """The most frequent words of all texts, ties by the word."""
-    return _frequent(word_counts(docs, id_col=id_col, text_col=text_col))
-
-
 @dataclass
-class BucketWords:
-    """What the corpus says of the words in buckets: hashes (sorted) and counts of those that occur
-    twice or more, and the tokens and distinct words of each bucket."""
+class Vocabulary:
+    """The words that the network tells apart, by falling count (ties by the word), and the tokens of each bucket."""
 
-    hashes: np.ndarray
+    words: list[bytes]
     counts: np.ndarray
-    tokens: np.ndarray
-    types: np.ndarray
+    bucket_tokens: np.ndarray
+    least: int  # words with this count or more are in
 
     @classmethod
-    def of(cls, counted: DataFrame, words: list[bytes]) -> BucketWords:
-        """counted: as word_counts(). The driver gets 16 bytes for each word that repeats."""
-        own = set(words)
-
-        def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                some = [(xxhash.xxh3_64_intdigest(w), zlib.crc32(w) % BUCKETS, n) for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if w not in own]
-                h, bucket, n = (np.array([x[i] for x in some], kind) for i, kind in enumerate((np.uint64, np.int32, np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(bucket), pa.array(n)], ["hash", "bucket", "n"])
-
-        table = stored(counted.mapInArrow(hashed, "hash long, bucket int, n long"), "words")
-        tokens, types = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        for r in table.groupBy("bucket").agg(F.sum("n").alias("tokens"), F.count("*").alias("types")).collect():
-            tokens[r.bucket], types[r.bucket] = r.tokens, r.types
-        repeated = table.where("n > 1").select("hash", "n").toArrow()
-        h = repeated["hash"].to_numpy().view(np.uint64)
-        order = np.argsort(h)
-        return cls(h[order], repeated["n"].to_numpy()[order], tokens, types)
-
-    def log_probs(self, some: list[bytes]) -> np.ndarray:
-        """log P(word | bucket) from all occurrences but one of each word."""
-        h = np.array([xxhash.xxh3_64_intdigest(w) for w in some], np.uint64)
-        bucket = np.array([zlib.crc32(w) % BUCKETS for w in some], np.int64)
-        others = np.zeros(len(some))
-        if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-            others = np.where(self.hashes[at] == h, self.counts[at] - 1, 0).astype(float)
-        tokens, types = self.tokens[bucket] - 1, self.types[bucket] - (others == 0)
-        spelt = np.minimum(0, np.log(BUCKETS) - np.log(257) * (np.array([len(w) for w in some]) + 1))  # 256 bytes and the end
-        seen = np.log(np.maximum(others + types * np.exp(spelt), 1e-300) / np.maximum(tokens + types, 1))
-        unseen = spelt + np.where(types > 0, np.log(np.maximum(types, 1) / np.maximum(tokens + types, 1)), 0)
-        return np.where(others > 0, seen, unseen)
-
-
-class _InBucket(dict):
-    """word -> log P(word | token); 0 for words with an id of their own."""
-
-    def __init__(self, words: list[bytes], known: BucketWords) -> None:
-        self.words, self.known = words, known
-        super().__init__(dict.fromkeys(words, 0.0))
-
-    def learn(self, some: set[bytes]) -> None:
-        if len(self) > 500_000:
-            self.clear()
-            self.update(dict.fromkeys(self.words, 0.0))
-        new = [w for w in some if w not in self]
-        if new:
-            self.update(zip(new, self.known.log_probs(new).tolist(), strict=True))
-
-
-def _codes(ids: np.ndarray) -> np.ndarray:
-    """(left, right, token) of every token as one number."""
-    edge = np.array([TOKENS - 1])
-    around = np.concatenate([edge, ids, edge])
-    return (around[:-2] * TOKENS + around[2:]) * TOKENS + ids
-
-
-def window_counts(docs: DataFrame, words: list[bytes], *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns: context (left * TOKENS + right), tokens, counts: what stands between each two tokens in all texts."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _Ids((w, i) for i, w in enumerate(words))
-        for batch in slices(batches, 0, 32 << 20):
-            codes = [_codes(token_ids(raw, ids)) for raw in as_bytes(batch.column(0)) if raw]
-            code, n = np.unique(np.concatenate([np.empty(0, np.int64), *codes]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n, pa.int64())], ["code", "n"])
-
-    summed = text_rows(docs, id_col, text_col).select("text").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    return summed.groupBy((F.col("code") / TOKENS).cast("long").alias("context")).agg(F.collect_list(F.struct((F.col("code") % TOKENS).cast("int").alias("token"), "n")).alias("seen")).select("context", F.col("seen.token").alias("tokens"), F.col("seen.n").alias("counts"))
+    def of(cls, counted: DataFrame, min_share: float = MIN_SHARE) -> Vocabulary:
+        """counted: as word_counts(). min_share bounds the number of words that come to the driver."""
+        total = counted.agg(F.sum("n")).first()[0] or 0
+        least = max(2, int(np.ceil(total * min_share)))
+        rows = counted.where(F.col("n") >= least).orderBy(F.desc("n"), "word").collect()
+        tokens = np.zeros(BUCKETS)
+        for r in counted.where(F.col("n") < least).groupBy(F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).alias("b")).agg(F.sum("n").alias("n")).collect():  # one row for each bucket
+            tokens[r.b] = r.n
+        return cls([bytes(r.word) for r in rows], np.array([r.n for r in rows], float), tokens, least)
+
+    @property
+    def in_class(self) -> int:
+        return max(1, int(np.ceil(np.sqrt(len(self.words)))))
+
+    @property
+    def classes(self) -> int:
+        return -(-len(self.words) // self.in_class)
+
+    @property
+    def ids(self) -> int:
+        """Own words, buckets, and the boundary of a text, which is the last id."""
+        return len(self.words) + BUCKETS + 1
+
+    def rows(self) -> tuple[int, int, int, int]:
+        """First rows of the hidden bias, the first level's outputs, the second level's, and the number of all rows."""
+        bias = len(AROUND) * self.ids
+        return bias, bias + 1, bias + 1 + self.classes + BUCKETS, bias + 1 + self.classes + BUCKETS + self.classes * self.in_class
+
+    def fresh(self, seed: int = 0) -> np.ndarray:
+        """Weights, one row for each input and each output (the last column is its bias), at unigram probabilities."""
+        bias, first, second, rows = self.rows()
+        table = np.zeros((rows, HIDDEN + 1), np.float32)
+        rng = np.random.default_rng(seed)
+        table[:bias, :HIDDEN] = rng.normal(0, 0.1, (bias, HIDDEN))
+        table[first:, :HIDDEN] = rng.normal(0, 0.1, (rows - first, HIDDEN))
+        counts = np.zeros(self.classes * self.in_class)
+        counts[: len(self.words)] = self.counts
+        by_class = counts.reshape(self.classes, self.in_class).sum(1)
+        table[first:second, HIDDEN] = np.log(np.concatenate([by_class, self.bucket_tokens]) + 0.5)
+        table[second:, HIDDEN] = np.where(counts > 0, np.log(np.maximum(counts, 1)), -1e4)  # no word: never predicted
+        return table
 
 
 @dataclass
-class WindowNetwork:
-    left: np.ndarray
-    right: np.ndarray
-    bias: np.ndarray
-    out: np.ndarray
-    out_bias: np.ndarray
+class Windows:
+    """The places of some texts: codes of the tokens, the text of each, rows of its inputs, and its output."""
 
-    @classmethod
-    def fresh(cls, seed: int = 0) -> WindowNetwork:
-        rng = np.random.default_rng(seed)
-        draw = lambda *shape: rng.normal(0, 0.1, shape)
-        return cls(draw(TOKENS, HIDDEN), draw(TOKENS, HIDDEN), np.zeros(HIDDEN), draw(HIDDEN, TOKENS), np.zeros(TOKENS))
+    codes: np.ndarray
+    owner: np.ndarray
+    inputs: np.ndarray
+    output: np.ndarray
 
-    def parts(self) -> list[np.ndarray]:
-        return [self.left, self.right, self.bias, self.out, self.out_bias]
+    @classmethod
+    def of(cls, texts: list[bytes], codes: _Codes, vocabulary: Vocabulary) -> Windows:
+        split = [raw.lower().split() for raw in texts]
+        lengths = np.array([len(x) for x in split], np.int64)
+        found = np.fromiter(map(codes.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum()))
+        ids = np.where(found < 0, len(vocabulary.words) + (found & (BUCKETS - 1)), found)
+        owner = np.repeat(np.arange(len(texts)), lengths)
+        edge = max(AROUND)
+        line = np.full(len(ids) + edge * (len(texts) + 1), vocabulary.ids - 1, np.int32)
+        at = np.arange(len(ids)) + edge * (owner + 1)
+        line[at] = ids
+        inputs = np.stack([line[at + step] + i * vocabulary.ids for i, step in enumerate(AROUND)])
+        return cls(found, owner, inputs, ids)
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in self.parts()])
 
-    @classmethod
-    def of(cls, flat: np.ndarray) -> WindowNetwork:
-        like, out, at = cls.fresh(), [], 0
-        for x in like.parts():
-            out.append(flat[at : at + x.size].reshape(x.shape))
-            at += x.size
-        return cls(*out)
-
-    def log_probs(self, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        hidden = np.tanh(self.left[contexts // TOKENS] + self.right[contexts % TOKENS] + self.bias)
-        z = hidden @ self.out + self.out_bias
-        z -= z.max(1, keepdims=True)
-        return hidden, z - np.log(np.exp(z).sum(1, keepdims=True))
-
-    def gradient(self, contexts: np.ndarray, seen: np.ndarray) -> tuple[float, np.ndarray]:
-        """Summed loss and its gradient; seen: contexts x tokens, how often each token stood there."""
-        hidden, log_p = self.log_probs(contexts)
-        d_z = np.exp(log_p) * seen.sum(1, keepdims=True) - seen
-        d_h = (d_z @ self.out.T) * (1 - hidden * hidden)
-        left, right = np.zeros_like(self.left), np.zeros_like(self.right)
-        np.add.at(left, contexts // TOKENS, d_h)
-        np.add.at(right, contexts % TOKENS, d_h)
-        return float(-(log_p * seen).sum()), WindowNetwork(left, right, d_h.sum(0), hidden.T @ d_z, d_z.sum(0)).flat()
-
-
-def train(counted: DataFrame, steps: int = STEPS, rate: float = 0.08) -> tuple[WindowNetwork, list[float]]:
-    """Adam over full passes; what a step sends to the driver is one gradient of fixed size for each task.
-
-    The table of contexts is bounded by TOKENS**2 rows, whatever the corpus.
+class WindowNetwork:
+    def __init__(self, vocabulary: Vocabulary, table: np.ndarray) -> None:
+        self.v, self.table = vocabulary, table
+
+    def run(self, inputs: np.ndarray, output: np.ndarray, grad: np.ndarray | None = None) -> np.ndarray:
+        """log P of each output. Sums the gradient of -log P into grad (like the table) if it is given."""
+        bias, first, second, _ = self.v.rows()
+        n_words, size, classes, n = len(self.v.words), self.v.in_class, self.v.classes, len(output)
+        if not n:
+            return np.zeros(0)
+        order = np.argsort(output, kind="stable")  # by class, so that each class is one block of rows
+        inputs, output = inputs[:, order], output[order]
+        pre = self.table[inputs[0], :HIDDEN] + self.table[bias, :HIDDEN]
+        for row in inputs[1:]:
+            pre += self.table[row, :HIDDEN]
+        h = np.ones((n, HIDDEN + 1), pre.dtype)
+        h[:, :HIDDEN] = np.tanh(pre)
+        own = int(np.searchsorted(output, n_words))
+        target = np.where(output < n_words, output // size, output - n_words + classes)
+        place = np.arange(n)
+
+        def softmax(rows: np.ndarray, weights: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            z, at = rows @ weights.T, place[: len(rows)]
+            if z.max() > 60:  # else no exponential overflows
+                z -= z.max(1, keepdims=True)
+            lp = z[at, wanted]
+            np.exp(z, z)
+            total = z.sum(1)
+            if grad is not None:
+                z *= (1 / total)[:, None]
+                z[at, wanted] -= 1
+            return lp - np.log(total), z
+
+        top = self.table[first:second]
+        log_p, d_z = softmax(h, top, target)
+        if grad is not None:
+            grad[first:second] += d_z.T @ h
+            d_h = d_z @ top[:, :HIDDEN]
+        ends = np.searchsorted(output[:own], np.arange(classes + 1) * size)
+        for c in range(classes):
+            rows = slice(ends[c], ends[c + 1])
+            if ends[c] < ends[c + 1]:
+                at = slice(second + c * size, second + (c + 1) * size)
+                lp, d_z = softmax(h[rows], self.table[at], output[rows] - c * size)
+                log_p[rows] += lp
+                if grad is not None:
+                    grad[at] += d_z.T @ h[rows]
+                    d_h[rows] += d_z @ self.table[at, :HIDDEN]
+        if grad is not None:
+            d_h *= 1 - h[:, :HIDDEN] ** 2
+            grad[bias, :HIDDEN] += d_h.sum(0)
+            flat = inputs.ravel()
+            for j in range(HIDDEN):
+                grad[:bias, j] += np.bincount(flat, weights=np.tile(d_h[:, j], len(AROUND)), minlength=bias)
+        given = np.empty_like(log_p)
+        given[order] = log_p
+        return given
+
+
+_WEIGHTS = [f"w{i}" for i in range(HIDDEN + 1)]
+
+
+def _round(docs: DataFrame, vocabulary: Vocabulary, table: np.ndarray) -> tuple[np.ndarray, float, int]:
+    """One pass over docs (doc_id, text): the averaged weights, the summed loss, and the number of tokens."""
+    sent = docs.sparkSession.sparkContext.broadcast((vocabulary, table))  # bounded by MIN_SHARE
+
+    def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab, start = sent.value
+        codes, net, bias = _Codes(vocab.words), WindowNetwork(vocab, start.copy()), vocab.rows()[0]
+        squares, grad, used = np.ones_like(start), np.zeros_like(start), np.zeros(len(start), np.int64)
+        loss, tokens = 0.0, 0
+        for batch in slices(batches, 1):
+            some = Windows.of([raw or b"" for raw in as_bytes(batch.column(1))], codes, vocab)
+            order = np.random.default_rng(0).permutation(len(some.output))
+            for at in range(0, len(order), MINIBATCH):
+                rows = order[at : at + MINIBATCH]
+                grad[:] = 0
+                loss -= float(net.run(some.inputs[:, rows], some.output[rows], grad).sum(dtype=np.float64))
+                squares += grad * grad
+                net.table -= np.float32(RATE) * grad / np.sqrt(squares)
+                used[:bias] += np.bincount(some.inputs[:, rows].ravel(), minlength=bias)
+            used[bias:] += len(order)
+            tokens += len(order)
+        rows = np.flatnonzero(used)
+        change = (net.table[rows].astype(float) - start[rows]) * used[rows][:, None]
+        columns = [np.append(rows, -1), np.append(used[rows], tokens), *np.vstack([change, np.full((1, HIDDEN + 1), loss)]).T]
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], ["row", "used", *_WEIGHTS])
+
+    schema = ", ".join(["row long", "used long", *(f"{w} double" for w in _WEIGHTS)])
+    got = docs.mapInArrow(descend, schema).groupBy("row").agg(*(F.sum(c).alias(c) for c in ("used", *_WEIGHTS))).toArrow()
+    row, used = got["row"].to_numpy(), got["used"].to_numpy()
+    change = np.stack([got[w].to_numpy() for w in _WEIGHTS], 1) if len(row) else np.zeros((0, HIDDEN + 1))
+    told = row < 0
+    table = table.copy()
+    table[row[~told]] += (change[~told] / used[~told][:, None]).astype(np.float32)
+    sent.unpersist()
+    return table, float(change[told, 0].sum()), int(used[told].sum())
+
+
+def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, *, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, list[float]]:
+    """Weights after every text was read once, and each round's mean loss of a token before it was learnt from.
+
+    A round reads the texts whose id's hash falls to it (null ids to the first).
     """
-    counted = cut(counted.repartition(PARTS, "context"))
-    total = counted.agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    net = WindowNetwork.fresh()
-    if not total:
-        return net, []
-    flat, m, v, losses = net.flat(), 0.0, 0.0, []
-    spark = counted.sparkSession
-    for step in range(1, steps + 1):
-        sent = spark.sparkContext.broadcast(flat)  # fixed size
-
-        def descend(batches: Iterator[pa.RecordBatch], sent: object = sent) -> Iterator[pa.RecordBatch]:
-            now, loss, grad = WindowNetwork.of(sent.value), 0.0, np.zeros(len(sent.value))
-            for batch in batches:
-                for at in range(0, batch.num_rows, 4096):
-                    some = batch.slice(at, 4096)
-                    contexts = some.column(0).to_numpy()
-                    seen = np.zeros((len(contexts), TOKENS))
-                    owner = np.repeat(np.arange(len(contexts)), np.diff(some.column(1).offsets.to_numpy()))
-                    seen[owner, some.column(1).flatten().to_numpy()] = some.column(2).flatten().to_numpy()
-                    l, g = now.gradient(contexts, seen)
-                    loss, grad = loss + l, grad + g
-            yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([grad.tobytes()], pa.binary())], ["loss", "grad"])
-
-        got = counted.mapInArrow(descend, "loss double, grad binary").collect()
-        grad = sum(np.frombuffer(bytes(r.grad)) for r in got) / total
-        losses.append(sum(r.loss for r in got) / total)
-        m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
-        flat = flat - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
-        sent.unpersist()
-    return WindowNetwork.of(flat), losses
-
-
-_tables: dict[str, np.ndarray] = {}
-
-
-def _table(flat: np.ndarray) -> np.ndarray:
-    """log P of every (left, right, token), laid out once for each worker (TOKENS**3 floats)."""
-    key = hashlib.sha1(flat.tobytes()).hexdigest()
-    if key not in _tables:
-        _tables.clear()
-        net, out = WindowNetwork.of(flat.astype(np.float32)), np.empty((TOKENS * TOKENS, TOKENS), np.float32)
-        for at in range(0, len(out), 4096):
-            out[at : at + 4096] = net.log_probs(np.arange(at, at + 4096))[1]
-        _tables[key] = out.ravel()
-    return _tables[key]
-
-
-def score(docs: DataFrame, words: list[bytes], net: WindowNetwork, known: BucketWords | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns: doc_id, n_tokens, log_likelihood, mean_log_likelihood.
+    table, losses = vocabulary.fresh(), []
+    rows = text_rows(docs, id_col, text_col)
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(rounds))
+    for r in range(rounds):
+        table, loss, tokens = _round(rows.where(part == r), vocabulary, table)
+        losses.append(loss / max(1, tokens))
+    return table, losses
 
-    Without known, bucket words are scored as their bucket. A null or empty text and one without a word have no tokens, the sum 0 and a null mean. Rows are
-    independent: repeated ones give repeated results.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast((words, net.flat(), known))  # known has 16 bytes for each word that repeats
+
+def network_scores(docs: DataFrame, vocabulary: Vocabulary, table: np.ndarray, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Columns: doc_id, n_tokens, network (summed log P of words and buckets), codes, times (rare words and how often they occur)."""
+    sent = docs.sparkSession.sparkContext.broadcast((vocabulary, table))  # bounded by MIN_SHARE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, table = _Ids((w, i) for i, w in enumerate(sent.value[0])), _table(sent.value[1])
-        inside = None if sent.value[2] is None else _InBucket(sent.value[0], sent.value[2])
+        vocab, weights = sent.value
+        codes, net = _Codes(vocab.words), WindowNetwork(vocab, weights)
         for batch in slices(batches, 1):
-            texts = [raw or b"" for raw in as_bytes(batch.column(1))]
-            found = [(len(x), float(table[_codes(x)].sum(dtype=np.float64))) for raw in texts for x in [token_ids(raw, ids)]]
-            if inside is not None:
-                inside.learn({w for raw in texts for w in raw.lower().split()})
-                found = [(n, total + sum(map(inside.__getitem__, raw.lower().split()))) for (n, total), raw in zip(found, texts, strict=True)]
-            n, total = np.array([x[0] for x in found]), np.array([x[1] for x in found])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(total), pa.array(total / np.maximum(n, 1), mask=n == 0)], ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
+            n = batch.num_rows
+            some = Windows.of([raw or b"" for raw in as_bytes(batch.column(1))], codes, vocab)
+            lp = np.empty(len(some.output))
+            for at in range(0, len(lp), MINIBATCH):
+                lp[at : at + MINIBATCH] = net.run(some.inputs[:, at : at + MINIBATCH], some.output[at : at + MINIBATCH])
+            rare = some.codes < 0
+            owner, code = some.owner[rare], some.codes[rare]
+            order = np.lexsort((code, owner))
+            owner, code = owner[order], code[order]
+            new = np.append(True, (owner[1:] != owner[:-1]) | (code[1:] != code[:-1])) if len(code) else np.zeros(0, bool)
+            starts = np.flatnonzero(new)
+            times = np.diff(np.append(starts, len(code)))
+            ends = pa.array(np.searchsorted(owner[starts], np.arange(n + 1)), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), pa.array(np.bincount(some.owner, minlength=n).astype(np.int64)), pa.array(np.bincount(some.owner, weights=lp, minlength=n).astype(float)),
+                    pa.ListArray.from_arrays(ends, pa.array(code[starts])), pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32))),
+                ],
+                ["doc_id", "n_tokens", "network", "codes", "times"],
+            )
+
+    return text_rows(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, network double, codes array<long>, times array<int>")
+
+
+def rare_words(counted: DataFrame, least: int) -> DataFrame:
+    """Columns: code, log_p: log P(word | bucket) of every rare word, one occurrence left out. counted: as word_counts()."""
+    rare = counted.where(F.col("n") < least).select(F.xxhash64("word").bitwiseOR(F.lit(_RARE)).alias("code"), F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).alias("bucket"), F.length("word").alias("size"), "n")
+    buckets = rare.groupBy("bucket").agg(F.sum("n").alias("tokens"), F.count("*").alias("types"))
+    rows = rare.join(F.broadcast(buckets), "bucket")  # one row for each bucket
+    others, tokens = F.col("n") - 1, F.col("tokens") - 1
+    types = F.col("types") - (others == 0).cast("int")
+    spelt = F.least(F.lit(0.0), F.lit(float(np.log(BUCKETS))) - F.lit(float(np.log(257))) * (F.col("size") + 1))  # 256 bytes and the end
+    seen = F.log((others + types * F.exp(spelt)) / (tokens + types))
+    unseen = spelt + F.when(types > 0, F.log(types / (tokens + types))).otherwise(0.0)
+    return rows.select("code", F.when(others > 0, seen).otherwise(unseen).alias("log_p"))
+
+
+def score(docs: DataFrame, counted: DataFrame, vocabulary: Vocabulary, table: np.ndarray, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Columns: doc_id, n_tokens, log_likelihood, mean_log_likelihood.
 
-    return text_rows(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")
+    A null or empty text and one without a word have no tokens, the sum 0 and a null mean. Rows are
+    independent: repeated ones give repeated results, null ids are scored like others.
+    """
+    # Row numbers hold only for one run of the scan, so they are stored with the scores.
+    scored = stored(network_scores(docs, vocabulary, table, id_col=id_col, text_col=text_col).withColumn("row", F.monotonically_increasing_id()), "scores")
+    words = scored.select("row", F.explode(F.arrays_zip("codes", "times")).alias("x")).select("row", "x.codes", "x.times")
+    # A rare word has less than MIN_SHARE of all tokens, so no key of this join is hot.
+    inside = words.join(rare_words(counted, vocabulary.least), F.col("codes") == F.col("code")).groupBy("row").agg(F.sum(F.col("times") * F.col("log_p")).alias("inside"))
+    total = F.col("network") + F.coalesce("inside", F.lit(0.0))
+    found = scored.select("row", "doc_id", "n_tokens", "network").join(inside, "row", "left")
+    return found.select("doc_id", "n_tokens", total.alias("log_likelihood"), F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_likelihood"))
 
 
-def pseudo_likelihood(docs: DataFrame, steps: int = STEPS, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Train on all texts and score them; columns as score(). An empty table gives no rows."""
     counted = stored(word_counts(docs, id_col=id_col, text_col=text_col), "counts")
-    words = _frequent(counted)
-    net, _ = train(window_counts(docs, words, id_col=id_col, text_col=text_col), steps)
-    return score(docs, words, net, BucketWords.of(counted, words), id_col=id_col, text_col=text_col)
+    vocabulary = Vocabulary.of(counted)
+    table, _ = train(docs, vocabulary, rounds, id_col=id_col, text_col=text_col)
+    return score(docs, counted, vocabulary, table, id_col=id_col, text_col=text_col)

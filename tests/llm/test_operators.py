@@ -135,59 +135,91 @@ def test_packing_is_close_to_the_bound():
 
 
 # ---- 3
-def test_lm_gradient_and_training(spark, docs):
-    net = lm_scoring.WindowNetwork.fresh(3)
-    contexts, seen = np.array([5, 70_000 % 65_536, 9_000]), np.random.default_rng(0).integers(0, 3, (3, lm_scoring.TOKENS)).astype(float)
-    loss, grad = net.gradient(contexts, seen)
-    flat = net.flat()
-    for i in (5, 40_0 % len(flat), len(flat) - 3, 2 * lm_scoring.TOKENS * lm_scoring.HIDDEN + 4):
-        step = np.zeros_like(flat)
-        step[i] = 1e-5
-        up, down = (lm_scoring.WindowNetwork.of(flat + s).gradient(contexts, seen)[0] for s in (step, -step))
-        assert grad[i] == pytest.approx((up - down) / 2e-5, rel=1e-3, abs=1e-4)
-    words = lm_scoring.vocabulary(docs)
-    true = Counter(w for r in docs.collect() for w in (r.text or "").encode().lower().split())
-    assert words == [w for w, _ in sorted(true.items(), key=lambda x: (-x[1], x[0]))[: len(words)]]
-    trained, losses = lm_scoring.train(lm_scoring.window_counts(docs, words), steps=12)
-    assert losses[-1] < 0.9 * losses[0]
-    got = {r["doc_id"]: r for r in rows(lm_scoring.score(docs, words, trained))}
-    ids = lm_scoring._Ids((w, i) for i, w in enumerate(words))
-    for r in docs.limit(5).collect():
-        x = lm_scoring.token_ids(r.text.encode(), ids)
-        around = [lm_scoring.TOKENS - 1, *x, lm_scoring.TOKENS - 1]
-        want = sum(trained.log_probs(np.array([around[i] * lm_scoring.TOKENS + around[i + 2]]))[1][0, t] for i, t in enumerate(x))
-        assert got[r.doc_id]["log_likelihood"] == pytest.approx(want, rel=1e-4) and got[r.doc_id]["n_tokens"] == len(x)
+def lm_texts():
+    """Common words in an order of their own, rare ones, words of one text only."""
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"{'ab'[i % 2]}{int(x)}" for i, x in enumerate(rng.zipf(1.3, int(rng.integers(5, 80))) % 400)) for _ in range(120)]
+    return [*texts, *texts[:3], *[f"rare{i // 2} a1 b1" for i in range(60)], "x" * 5000, "", None, " \t", "ÀB ab"]
+
+
+def lm_table(spark):
+    return spark.createDataFrame(list(enumerate(lm_texts())), "doc_id long, text string").repartition(3)
+
+
+def plain_log_p(vocab, table, codes, i):
+    """log P of a place by the definition, without batches or blocks."""
+    bias, first, second, _ = vocab.rows()
+    ids = [len(vocab.words) + (c & (lm_scoring.BUCKETS - 1)) if c < 0 else c for c in codes]
+    at = [ids[i + d] if 0 <= i + d < len(ids) else vocab.ids - 1 for d in lm_scoring.AROUND]
+    w = table.astype(float)
+    h = np.append(np.tanh(sum(w[k * vocab.ids + x, :-1] for k, x in enumerate(at)) + w[bias, :-1]), 1)
+    log_softmax = lambda z: z - np.log(np.exp(z - z.max()).sum()) - z.max()
+    top, own = log_softmax(w[first:second] @ h), ids[i] < len(vocab.words)
+    if not own:
+        return top[vocab.classes + ids[i] - len(vocab.words)]
+    c, j = divmod(ids[i], vocab.in_class)
+    return top[c] + log_softmax(w[second + c * vocab.in_class : second + (c + 1) * vocab.in_class] @ h)[j]
+
+
+def test_lm_vocabulary_and_gradient(spark):
+    counted = lm_scoring.word_counts(lm_table(spark))
+    true = Counter(w for t in lm_texts() for w in (t or "").encode().lower().split())
+    assert {bytes(r.word): r.n for r in counted.collect()} == true
+    vocab = lm_scoring.Vocabulary.of(counted, 0.004)
+    least = max(2, int(np.ceil(0.004 * sum(true.values()))))
+    assert vocab.words == [w for w, n in sorted(true.items(), key=lambda x: (-x[1], x[0])) if n >= least] and 20 < len(vocab.words) < len(true)
+    assert vocab.bucket_tokens.sum() == sum(n for n in true.values() if n < least)
+    table = vocab.fresh(1).astype(float)
+    some = lm_scoring.Windows.of([(t or "").encode() for t in lm_texts()[:4]], lm_scoring._Codes(vocab.words), vocab)
+    grad = np.zeros_like(table)
+    log_p = lm_scoring.WindowNetwork(vocab, table).run(some.inputs, some.output, grad)
+    of_first = some.codes[some.owner == 0].tolist()
+    np.testing.assert_allclose(log_p[: len(of_first)], [plain_log_p(vocab, table, of_first, i) for i in range(len(of_first))], rtol=1e-6)
+    bias, first, second, rows = vocab.rows()
+    busy = np.argwhere(np.abs(grad) > 1e-3)
+    assert {0, 1, 2, 3} == {int(np.searchsorted([bias, first, second], r, "right")) for r, _ in busy}
+    for r, c in busy[:: max(1, len(busy) // 60)]:
+        up, down = (lm_scoring.WindowNetwork(vocab, table + step).run(some.inputs, some.output).sum() for step in (lambda e: (e, -e))(1e-5 * (np.arange(rows) == r)[:, None] * (np.arange(table.shape[1]) == c)))
+        assert grad[r, c] == pytest.approx(-(up - down) / 2e-5, rel=1e-3, abs=1e-5)
+
+
+def test_lm_training_and_scores_by_the_definition(spark):
+    docs, texts = lm_table(spark), lm_texts()
+    counted = lm_scoring.word_counts(docs)
+    vocab = lm_scoring.Vocabulary.of(counted, 0.004)
+    table, losses = lm_scoring.train(docs, vocab, 2)
+    again, _ = lm_scoring.train(docs, vocab, 2)
+    np.testing.assert_allclose(table, again, rtol=1e-4, atol=1e-6)
+    _, after, n = lm_scoring._round(docs, vocab, table)
+    assert n == sum(len((t or "").split()) for t in texts) and after / n < losses[0]
+    got = {r.doc_id: r for r in lm_scoring.score(docs, counted, vocab, table).collect()}
+    true = Counter(w for t in texts for w in (t or "").encode().lower().split())
+    rare = {w: n for w, n in true.items() if w not in vocab.words}
+    bucket = lambda w: lm_scoring.rare_code(w) & (lm_scoring.BUCKETS - 1)
+    codes = lm_scoring._Codes(vocab.words)
+    for i, text in enumerate(texts):
+        words = (text or "").encode().lower().split()
+        here = [codes[w] for w in words]
+        want = sum(plain_log_p(vocab, table, here, k) for k in range(len(here)))
+        for w in words:
+            if w in rare:
+                n = sum(c for v, c in rare.items() if bucket(v) == bucket(w)) - 1
+                kinds = sum(bucket(v) == bucket(w) for v in rare) - (rare[w] == 1)
+                spelt = min(0, np.log(lm_scoring.BUCKETS) - (len(w) + 1) * np.log(257))
+                want += spelt + np.log(kinds / (n + kinds) if kinds else 1) if rare[w] == 1 else np.log((rare[w] - 1 + kinds * np.exp(spelt)) / (n + kinds))
+        assert got[i].n_tokens == len(words) and got[i].log_likelihood == pytest.approx(want, rel=1e-4, abs=1e-4) and np.isfinite(want)
+    assert got[123].mean_log_likelihood > got[len(texts) - 5].mean_log_likelihood  # words that occur elsewhere against a single one
+    assert got[0].log_likelihood == pytest.approx(got[120].log_likelihood)
 
 
 def test_lm_edges(edge_docs, no_docs):
-    got = rows(lm_scoring.pseudo_likelihood(edge_docs, steps=2))
+    got = rows(lm_scoring.pseudo_likelihood(edge_docs))
     assert len(got) == 11
     empty = [r for r in got if r["doc_id"] in (3, 4, 5)]
     assert all(r["n_tokens"] == 0 and r["log_likelihood"] == 0 and r["mean_log_likelihood"] is None for r in empty)
-    assert rows(lm_scoring.pseudo_likelihood(no_docs, steps=1)) == []
-
-
-def test_lm_tells_words_of_a_bucket_apart(spark):
-    words = [f"common{i}" for i in range(lm_scoring.TOKENS - 1 - lm_scoring.BUCKETS)]
-    bucket = lambda w: zlib.crc32(w.encode()) % lm_scoring.BUCKETS
-    junk = next(w for i in range(10**4) if bucket(w := f"zqx{i:04}") == bucket("lantern"))  # as long, in the same bucket
-    texts = [" ".join(words)] * 12 + [f"common1 {w} common2" for w in ["lantern"] * 10 + [junk]] + [f"rare{i // 2}" for i in range(60)] + ["x" * 5000, "", None]
-    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    got = {r.doc_id: r for r in lm_scoring.pseudo_likelihood(table, steps=2).collect()}
-    own = lm_scoring.vocabulary(table)
-    net, _ = lm_scoring.train(lm_scoring.window_counts(table, own), 2)
-    plain = {r.doc_id: r for r in lm_scoring.score(table, own, net).collect()}
-    assert got[12].log_likelihood > got[22].log_likelihood + 10 and plain[12].log_likelihood == plain[22].log_likelihood
-    count = Counter(w for text in texts for w in (text or "").split() if w.encode() not in own)
-    for i, text in enumerate(texts):
-        want = plain[i].log_likelihood
-        for w in (text or "").split():
-            if w in count:
-                n = sum(c for v, c in count.items() if bucket(v) == bucket(w)) - 1
-                kinds = sum(bucket(v) == bucket(w) for v in count) - (count[w] == 1)
-                spelt = min(0, np.log(lm_scoring.BUCKETS) - (len(w) + 1) * np.log(257))
-                want += spelt + np.log(kinds / (n + kinds) if kinds else 1) if count[w] == 1 else np.log((count[w] - 1 + kinds * np.exp(spelt)) / (n + kinds))
-        assert got[i].log_likelihood == pytest.approx(want, rel=1e-5) and np.isfinite(want)
+    assert rows(lm_scoring.pseudo_likelihood(no_docs)) == []
+    none = no_docs.union(edge_docs.where("doc_id in (3, 4)"))
+    assert [r["n_tokens"] for r in rows(lm_scoring.pseudo_likelihood(none))] == [0, 0]
 
 
 # ---- 4
@@ -532,17 +564,17 @@ def test_media_chunks(no_docs):
 
 def test_media_is_cut_and_read_from_the_tables(spark, docs, monkeypatch):
     records, shared = media.write_media(docs)
-    sizes = [len(r.entries) for r in records.collect()]
+    sizes = [len(r.digests) for r in records.collect()]
     assert np.mean(np.array(sizes) > 1) > 0.7 and np.median(sizes) >= 3
     names = [r.digest for r in shared.collect()]
     assert len(names) == len(set(names))
-    own = [e.digest for r in records.collect() for e in r.entries if e.own is not None]
+    own = [d for r in records.collect() for d, x in zip(r.digests, r.own, strict=True) if x is not None]
     assert len(own) == len(set(own)) and not set(own) & set(names)  # every chunk is stored once
     want = Counter(tuple(r) for r in media.read_media(records, shared).collect())
     monkeypatch.setattr(media, "LEAST_BITS", 32)
     monkeypatch.setattr(media, "MOST_BITS", 32)  # a full filter: all chunks go the way of shared ones
     records, shared = media.write_media(docs)
-    assert records.where("n_shared < size(entries)").count() < 5
+    assert records.where("size(shared_at) < size(digests)").count() < 5
     assert Counter(tuple(r) for r in media.read_media(records, shared).collect()) == want
     with pytest.raises(Exception, match="missing|differ"):
         media.read_media(records, shared.where("digest > unhex('80')")).collect()
