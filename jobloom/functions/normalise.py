@@ -45,7 +45,7 @@ _unescape = _vectorised(html.unescape)
 
 
 def _or_empty(value: Column | str) -> Column:
-    return F.coalesce(F.col(value) if isinstance(value, str) else value, F.lit(""))
+    return F.coalesce((F.col(value) if isinstance(value, str) else value).cast("string"), F.lit(""))
 
 
 def norm_unicode(value: Column | str) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from jobloom.functions.extract import eligibility_signals, has
 from jobloom.functions.normalise import norm_ascii_fold, norm_ngo, norm_word
-from jobloom.operators.matching import global_country, nationality_codes, phrase_hits
+from jobloom.operators.matching import by_value, global_country, nationality_codes, phrase_hits
 from jobloom.registries import track_phrases, track_table
 
 
@@ -37,7 +37,8 @@ def _listed_hits(titles: DataFrame, lists: dict[str, list[str]], normaliser, id_
     return grouped.agg(*(F.transform(F.array_sort(F.collect_list(F.when(F.col("list") == name, F.struct("ord", "phrase")))), lambda x: x["phrase"]).alias(name) for name in lists))
 
 
-def investment_profile(postings: DataFrame, taxonomy: dict, id_col: str = "id") -> DataFrame:
+@by_value("title", "body", "specialisations", "org_type")
+def investment_profile(postings: DataFrame, taxonomy: dict, *, id_col: str = "id") -> DataFrame:
     """Adds investment_profile. postings: id, title, body (text beside the title), specialisations, org_type.
 
     A track scores by canonical specialisation (.82), title phrase (.88 and up to .12 by length),
@@ -120,7 +121,7 @@ def investment_profile(postings: DataFrame, taxonomy: dict, id_col: str = "id")
     return postings.join(rows.select(F.col(id_col).alias("profile_id"), profile.alias("investment_profile")), F.col(id_col) == F.col("profile_id"), "left").drop("profile_id")
 
 
-def promote_role(postings: DataFrame, themes: DataFrame, id_col: str = "id") -> DataFrame:
+def promote_role(postings: DataFrame, themes: DataFrame, *, id_col: str = "id") -> DataFrame:
     """An investment role gets the family "investment", its canonical specialisation, and that one's themes."""
     role = F.col("investment_profile.is_investment_role")
     spec = F.col("investment_profile.canonical_specialisation")
@@ -130,7 +131,8 @@ def promote_role(postings: DataFrame, themes: DataFrame, id_col: str = "id") ->
     return rows.withColumn("thematic_sectors", F.array_distinct(F.concat(F.coalesce("thematic_sectors", _none()), F.coalesce("more_themes", _none())))).drop("more_themes")
 
 
-def ngo_profile(postings: DataFrame, taxonomy: dict, id_col: str = "id") -> DataFrame:
+@by_value("title", "summary", "role_subfamily", "industry", "specialisations", "org_type")
+def ngo_profile(postings: DataFrame, taxonomy: dict, *, id_col: str = "id") -> DataFrame:
     """Adds ngo_profile. postings: id, title, summary, role_subfamily, industry, specialisations, org_type.
 
     A title phrase lifts a track to .96 at least; only the first phrase in a list's order is evidence.
@@ -201,7 +203,8 @@ def access_text() -> Column:
     return F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in ("title", "summary", "eligibility_notes", "location_raw", "location_scope", "work_mode")))
 
 
-def africa_relevance(postings: DataFrame, terms: DataFrame, countries: DataFrame, id_col: str = "id") -> DataFrame:
+@by_value("title", "summary", "eligibility_notes", "location_raw", "location_scope", "work_mode", "loc", "location_country", "is_remote_from_kenya", "apply_is_official", "apply_url", "source_confidence", "source_kind")
+def africa_relevance(postings: DataFrame, terms: DataFrame, countries: DataFrame, *, id_col: str = "id") -> DataFrame:
     """Adds africa_relevance, the first of eight states that holds.
 
     postings: id, title, summary, eligibility_notes, location_raw, location_scope, work_mode,
@@ -209,7 +212,7 @@ def africa_relevance(postings: DataFrame, terms: DataFrame, countries: DataFrame
     apply_url, source_confidence, source_kind.
     """
     rows = postings.withColumn("known_code", F.coalesce("loc.country_code", "loc.country_iso3")).withColumn("known_name", F.coalesce("loc.country", "location_country"))
-    rows = global_country(rows, terms, countries, "location_raw", "known_code", "known_name", "world", id_col)
+    rows = global_country(rows, terms, countries, "location_raw", "known_code", "known_name", "world", id_col=id_col)
     text = access_text()
     african = F.coalesce(F.col("loc.is_african"), F.lit(False)) | F.coalesce(F.col("world.is_african"), F.lit(False))
     foreign = F.coalesce(~F.col("world.is_african"), F.lit(False))
@@ -232,16 +235,17 @@ def africa_relevance(postings: DataFrame, terms: DataFrame, countries: DataFrame
         .when(official & specific, state("official_location_pending", 0.55, ["verified_official_vacancy", "duty_station_not_confirmed"], "unverified", False, False))
         .otherwise(state("unresolved", 0.2, ["insufficient_geographic_evidence"], "unverified", False, False))
     )
-    return rows.withColumn("africa_relevance", profile).drop("known_code", "known_name")
+    return rows.withColumn("africa_relevance", profile).drop("known_code", "known_name", "world")
 
 
-def applicant_access(postings: DataFrame, terms: DataFrame, countries: DataFrame, id_col: str = "id") -> DataFrame:
+@by_value("title", "summary", "eligibility_notes", "location_raw", "location_scope", "work_mode", "africa_relevance", "government_profile")
+def applicant_access(postings: DataFrame, terms: DataFrame, countries: DataFrame, *, id_col: str = "id") -> DataFrame:
     """C4: adds african_applicant_access, the first of nine states that holds; structured government
     data come before wording. Needs africa_relevance and government_profile (may be null)."""
     african = [r.iso2 for r in countries.where("is_african").select("iso2").collect()]  # the registry of countries
     rows = postings.withColumn("all_text", access_text())
     explicit = rows.where(has("all_text", NATIONALITY))
-    codes = nationality_codes(explicit.select(id_col, "all_text"), terms, "all_text", "named", id_col).select(F.col(id_col).alias("code_id"), "named")
+    codes = nationality_codes(explicit.select(id_col, "all_text"), terms, "all_text", "named", id_col=id_col).select(F.col(id_col).alias("code_id"), "named")
     rows = rows.join(codes, F.col(id_col) == F.col("code_id"), "left").drop("code_id")
     text = F.col("all_text")
     required = F.coalesce("government_profile.citizenship_required", F.lit(False))
@@ -353,12 +357,13 @@ def multinational_profile() -> Column:
     return F.struct(is_one.alias("is_multinational"), F.col("sector").alias("sector"), F.col("org_id").alias("registry_id"), F.coalesce("priority", F.lit(False)).alias("priority_employer"), F.coalesce("cities", _none()).alias("african_city_footprint"))
 
 
-def enrich_locations(postings: DataFrame, african_terms: DataFrame, world_terms: DataFrame, countries: DataFrame, id_col: str = "id") -> DataFrame:
+@by_value("location_raw", "location_country")
+def enrich_locations(postings: DataFrame, african_terms: DataFrame, world_terms: DataFrame, countries: DataFrame, *, id_col: str = "id") -> DataFrame:
     """C11: resolve African places; where no country code is found, look among all countries."""
     from jobloom.operators.matching import resolve_locations
 
     rows = resolve_locations(postings, african_terms, countries, id_col=id_col).withColumn("no_code", F.lit(None).cast("string"))
-    rows = global_country(rows, world_terms, countries, "location_raw", "no_code", "location_country", "world", id_col)
+    rows = global_country(rows, world_terms, countries, "location_raw", "no_code", "location_country", "world", id_col=id_col)
     use = F.col("loc.country_code").isNull() & F.col("world").isNotNull()
     iso3 = countries.select(F.col("iso2").alias("w2"), F.col("iso3").alias("w3"))
     rows = rows.join(iso3, F.col("world.iso2") == F.col("w2"), "left")

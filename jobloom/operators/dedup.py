@@ -4,12 +4,16 @@ The rule is greedy: rows come in order, each brings a set of keys, and a row tha
 rows goes to the kept row with the smallest index, where the better of the two stays; the keys of both
 then point there. Other kept rows that were hit stay, so the result isn't one row for each connected
 component. But rows in different components of the graph of rows and keys can't affect each other, so
-the rule is replayed per component, in order, and only keys that are on two rows or more matter.
+the rule is replayed per component, in order, and only keys that are on two rows or more matter. A task
+streams through the sorted rows of one component after the other and holds the present component's keys and
+slots, never its rows, so there is no limit on the rows of a component.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +25,6 @@ TRACKING = ["utm_source", "utm_medium", "utm_campaign", "utm_content", "utm_term
 GENERIC_EMPLOYERS = ["unknown employer", "unknown organisation", "confidential", "confidential employer", "not disclosed", "undisclosed", "reliefweb listed organisation"]
 CONFIDENCE_SCORE = {"official": 45, "aggregated": 20, "community": 5, "unverified": 0}
 KIND_SCORE = {"employer_ats": 35, "employer_official": 35, "government_official": 35, "institution_official": 35, "institutional_aggregator": 12, "commercial_aggregator": 0}
-COMPONENT_LIMIT = 1_000_000
 
 
 def canonical_url(url: Column | str) -> Column:
@@ -51,7 +54,7 @@ def content_hash(summary: Column | str) -> Column:
 def identity_keys(postings: DataFrame) -> DataFrame:
     """Adds keys. postings: id, title, org_name, country_code, country, city, deadline, summary, apply_url,
     raw_description_url, source_kind, government (struct is_government, registry_id, advert_reference, grade), org_id."""
-    n = {c: norm_dedup(c) for c in ("title", "org_name", "city", "deadline")}
+    n = {c: norm_dedup(c) for c in ("title", "org_name", "city")} | {"deadline": norm_dedup(_as_text(postings, "deadline"))}
     rows = postings.withColumns({f"n_{c}": v for c, v in n.items()}).withColumn("n_country", norm_dedup(F.coalesce("country_code", "country"))).withColumn("n_content", content_hash("summary"))
     rows = rows.withColumn("n_registry", norm_dedup(F.coalesce("government.registry_id", "org_id", "org_name"))).withColumn("n_reference", norm_dedup("government.advert_reference")).withColumn("n_grade", norm_dedup("government.grade"))
     rows = rows.withColumn("is_government", F.coalesce("government.is_government", F.lit(False)) | F.coalesce(F.col("source_kind") == "government_official", F.lit(False)))
@@ -69,6 +72,15 @@ def identity_keys(postings: DataFrame) -> DataFrame:
     return rows.withColumn("keys", F.array_distinct(F.array_compact(keys))).drop(*(c for c in rows.columns if c.startswith("n_") and c not in postings.columns))
 
 
+def _as_text(rows: DataFrame, column: str) -> Column:
+    """A time as ISO text in UTC, a date as ISO text, other types as they are."""
+    kind = dict(rows.dtypes)[column]
+    if kind.startswith("timestamp"):
+        at = F.to_utc_timestamp(column, F.current_timezone()) if kind == "timestamp" else F.col(column)
+        return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return F.col(column).cast("string")
+
+
 def sum_and(first: Column, *more: Column) -> Column:
     for x in more:
         first = first & x
@@ -102,35 +114,71 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def replay(rows: list[tuple]) -> tuple[list, list[tuple]]:
-    """The greedy rule over rows (pos, keys, precedence) in order.
+class Replay:
+    """The greedy rule over the rows of one component, given in order."""
 
-    Returns the kept rows by slot, and one event (kept, removed, replaced, matched keys) for each removal.
-    """
-    slots: list[tuple] = []
-    points: dict[str, int] = {}
-    events: list[tuple] = []
-    for row in rows:
-        hit = [k for k in row[1] if k in points]
+    def __init__(self) -> None:
+        self.slots: list[tuple] = []  # the row that holds each slot
+        self.points: dict[str, int] = {}
+
+    def add(self, row: tuple) -> tuple | None:
+        """row: (pos, keys, precedence, ...). An event (row that stays, row that goes, replaced, matched keys) if one is removed."""
+        hit = [k for k in row[1] if k in self.points]
         if not hit:
-            points.update(dict.fromkeys(row[1], len(slots)))
-            slots.append(row)
-            continue
-        at = min(points[k] for k in hit)
-        held = slots[at]
+            self.points.update(dict.fromkeys(row[1], len(self.slots)))
+            self.slots.append(row)
+            return None
+        at = min(self.points[k] for k in hit)
+        held = self.slots[at]
         better = row[2] > held[2]
         stays, goes = (row, held) if better else (held, row)
-        slots[at] = stays
-        points.update(dict.fromkeys((*stays[1], *goes[1]), at))
-        events.append((stays[0], goes[0], better, sorted(hit)[:8]))
-    return slots, events
+        self.slots[at] = stays
+        self.points.update(dict.fromkeys((*stays[1], *goes[1]), at))
+        return stays, goes, better, sorted(hit)[:8]
 
 
-def resolve_duplicates(postings: DataFrame, order_col: str = "pos", component_limit: int = COMPONENT_LIMIT) -> tuple[DataFrame, DataFrame]:
+def replay(rows: list[tuple]) -> tuple[list, list[tuple]]:
+    """Kept rows by slot, and the events as (kept pos, removed pos, replaced, matched keys)."""
+    run = Replay()
+    events = [e for row in rows if (e := run.add(row))]
+    return run.slots, [(stays[0], goes[0], better, hit) for stays, goes, better, hit in events]
+
+
+_PLAYED = "kept long, stays long, goes long, replaced boolean, matched_by array<string>, kind string"
+
+
+def _played(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (component, pos, keys, score, completeness, is_government), sorted by the first two, to _PLAYED."""
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.string()), pa.string()]
+    names = ["kept", "stays", "goes", "replaced", "matched_by", "kind"]
+    now, run, out = None, Replay(), []
+
+    def give() -> pa.RecordBatch:
+        cols = list(zip(*out, strict=True)) if out else [()] * 6
+        out.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
+
+    for batch in batches:
+        for component, pos, keys, score, completeness, public in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if component != now:
+                out += [(row[0], row[0], None, None, None, None) for row in run.slots]
+                now, run = component, Replay()
+            event = run.add((pos, keys, (score, completeness), public))
+            if event:
+                stays, goes, better, hit = event
+                safe = stays[3] and any(k.startswith(("government:", "id:")) for k in hit)
+                kind = None if not goes[3] else "safe_identity_consolidation" if safe else "destructive_or_unexplained_loss"
+                out.append((None, stays[0], goes[0], better, hit, kind))
+        yield give()
+    out += [(row[0], row[0], None, None, None, None) for row in run.slots]
+    yield give()
+
+
+def resolve_duplicates(postings: DataFrame, order_col: str = "pos") -> tuple[DataFrame, DataFrame]:
     """(kept, events). postings: pos (unique, the order of input), keys, precedence, id, is_government.
 
-    kept has slot: the position of the row that opened the slot. events (D6) name both rows, the keys
-    that matched, and for a removed government row whether an identity key explains it.
+    kept are the rows that hold a slot at the end. events (D6) name both rows, the keys that matched, and for a
+    removed government row whether an identity key explains it.
     """
     light = settled(postings.select(F.col(order_col).alias("pos"), "keys", "precedence", "is_government"))
     keyed = light.select("pos", F.explode("keys").alias("key"))
@@ -138,24 +186,9 @@ def resolve_duplicates(postings: DataFrame, order_col: str = "pos", component_li
     shared = settled(keyed.join(first, "key").select("pos", "key", "first"))
     labels = components(shared.select(F.col("first").alias("a"), F.col("pos").alias("b")))
     members = shared.groupBy("pos").agg(F.collect_set("key").alias("keys")).join(labels, F.col("pos") == F.col("node")).select("component", "pos", "keys")
-    largest = members.groupBy("component").count().agg(F.max("count")).first()[0] or 0
-    if largest > component_limit:
-        raise ValueError(f"a component of {largest} rows is over the limit of {component_limit}: some key says nothing")
     grouped = members.join(light.drop("keys"), "pos").select("component", "pos", "keys", "precedence.score", "precedence.completeness", "is_government")
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("pos")
-        rows = [(p, list(k), (s, c)) for p, k, s, c in zip(group["pos"], group["keys"], group["score"], group["completeness"], strict=True)]
-        public = dict(zip(group["pos"], group["is_government"], strict=True))
-        slots, events = replay(rows)
-        out = [(row[0], row[0], None, None, None, None) for row in slots]
-        for stays, goes, better, hit in events:
-            safe = public[stays] and any(k.startswith(("government:", "id:")) for k in hit)
-            kind = None if not public[goes] else "safe_identity_consolidation" if safe else "destructive_or_unexplained_loss"
-            out.append((None, stays, goes, better, hit, kind))
-        return pd.DataFrame(out, columns=["kept", "stays", "goes", "replaced", "matched_by", "kind"])
-
-    played = settled(grouped.groupBy("component").applyInPandas(run, "kept long, stays long, goes long, replaced boolean, matched_by array<string>, kind string"))
+    played = settled(grouped.repartition("component").sortWithinPartitions("component", "pos").mapInArrow(_played, _PLAYED))
     staying = played.where("kept is not null").select(F.col("kept").alias(order_col))
     touched = members.select(F.col("pos").alias(order_col)).distinct()
     kept = postings.join(touched, order_col, "left_anti").unionByName(postings.join(staying, order_col, "left_semi"))

@@ -7,12 +7,53 @@ texts, whatever the number of phrases, and no nested loop is needed.
 
 from __future__ import annotations
 
+import inspect
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobloom.functions.normalise import norm_ascii_fold, norm_unicode, taxonomy_key
 
 
+VALUE_KEY = "value_key"
+
+
+def value_key(*columns: str) -> Column:
+    """A name for what is in these columns: rows with equal inputs have equal results."""
+    return F.md5(F.to_json(F.struct(*columns)))
+
+
+def by_value(*inputs: str) -> Callable:
+    """Run a step once for each distinct content of its input columns, and give the results to all rows.
+
+    The steps group what they find by id_col, which must be unique and not null. Business ids are neither
+    before de-duplication, so a caller that names no id_col gets a key of the inputs themselves. inputs are
+    columns, or parameters of the step that name columns.
+    """
+
+    def wrap(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        signature = inspect.signature(step)
+
+        @wraps(step)
+        def run(postings: DataFrame, *args: object, id_col: str | None = None, **more: object) -> DataFrame:
+            if id_col is not None:
+                return step(postings, *args, id_col=id_col, **more)
+            bound = signature.bind(postings, *args, id_col=VALUE_KEY, **more)
+            bound.apply_defaults()
+            columns = list(dict.fromkeys(c for c in (bound.arguments.get(i, i) for i in inputs) if c is not None))
+            rows = postings.withColumn(VALUE_KEY, value_key(*columns))
+            found = step(rows.select(VALUE_KEY, *columns).dropDuplicates([VALUE_KEY]), *args, id_col=VALUE_KEY, **more)
+            new = [c for c in found.columns if c not in columns]
+            kept = [c for c in rows.columns if c == VALUE_KEY or c not in new]
+            return rows.select(*kept).join(found.select(*new), VALUE_KEY, "left").drop(VALUE_KEY)
+
+        return run
+
+    return wrap
+
+
 def _grams(text: Column, most: int) -> Column:
     """All runs of 1 to most tokens of a text of single-spaced tokens, with their first positions."""
     tokens = F.filter(F.split(text, " "), lambda x: x != "")
@@ -46,7 +87,8 @@ def best_first(name: str, *order: Column, **fields: Column) -> Column:
 NAME_SUFFIXES = [" careers", " jobs", " plc", " limited", " ltd"]
 
 
-def match_organisations(postings: DataFrame, names: DataFrame, name_col: str = "org_name", id_col: str = "id") -> DataFrame:
+@by_value("name_col")
+def match_organisations(postings: DataFrame, names: DataFrame, name_col: str = "org_name", *, id_col: str = "id") -> DataFrame:
     """The organisation of a name or alias, else of the name less one suffix; all columns of names are added."""
     key = norm_ascii_fold(name_col)
     keyed = postings.select(id_col, key.alias("k"))
@@ -58,7 +100,8 @@ def match_organisations(postings: DataFrame, names: DataFrame, name_col: str = "
 
 
 # ---- J2: sources.
-def match_sources(postings: DataFrame, sources: DataFrame, platforms: dict[str, str], url_col: str = "source_url", name_col: str = "source_label", id_col: str = "id") -> DataFrame:
+@by_value("url_col", "name_col")
+def match_sources(postings: DataFrame, sources: DataFrame, platforms: dict[str, str], url_col: str = "source_url", name_col: str = "source_label", *, id_col: str = "id") -> DataFrame:
     """By host or a parent domain (in the registry's order), else by name, else by the platform's domain."""
     host = F.lower(F.coalesce(F.try_parse_url(url_col, F.lit("HOST")), F.lit("")))
     parts = F.split(host, r"\.")
@@ -113,13 +156,15 @@ def resolve_specialisations(postings: DataFrame, aliases: DataFrame, source_alia
     return found.withColumn("mapped", F.coalesce("t1", "t2", "t3")).join(known, "mapped", "left").select(id_col, "source_key", "key", "raw", "pos", F.when(F.col("known"), F.col("mapped")).alias("target"))
 
 
-def map_specialisations(postings: DataFrame, aliases: DataFrame, source_aliases: DataFrame, ignored: DataFrame, raw_col: str, source_col: str, out: str = "specialisations", limit: int = 3, id_col: str = "id") -> DataFrame:
+@by_value("raw_col", "source_col")
+def map_specialisations(postings: DataFrame, aliases: DataFrame, source_aliases: DataFrame, ignored: DataFrame, raw_col: str, source_col: str, out: str = "specialisations", limit: int = 3, *, id_col: str = "id") -> DataFrame:
     """Distinct targets, the first `limit` in order."""
     resolved = resolve_specialisations(postings, aliases, source_aliases, ignored, raw_col, source_col, id_col)
     return _attach(postings, _first_distinct(resolved.where("target is not null"), id_col, limit), id_col, out)
 
 
-def map_skills(postings: DataFrame, aliases: DataFrame, raw_col: str, out: str = "skills", id_col: str = "id") -> DataFrame:
+@by_value("raw_col")
+def map_skills(postings: DataFrame, aliases: DataFrame, raw_col: str, out: str = "skills", *, id_col: str = "id") -> DataFrame:
     """Distinct targets in order; unmapped terms drop."""
     return _attach(postings, _first_distinct(_raw_terms(postings, raw_col, id_col).join(aliases, "key"), id_col, None), id_col, out)
 
@@ -129,14 +174,16 @@ def unmapped_terms(resolved: DataFrame) -> DataFrame:
     return resolved.where("target is null").select("source_key", "key").distinct()
 
 
-def first_parent(postings: DataFrame, parents: DataFrame, terms_col: str, out: str, id_col: str = "id") -> DataFrame:
+@by_value("terms_col")
+def first_parent(postings: DataFrame, parents: DataFrame, terms_col: str, out: str, *, id_col: str = "id") -> DataFrame:
     """Of the terms in order, the first one's parent that isn't null. parents: (term, parent)."""
     hits = postings.select(id_col, F.posexplode(terms_col).alias("pos", "term")).join(parents, "term").where("parent is not null")
     first = hits.groupBy(id_col).agg(F.min_by("parent", "pos").alias(out)).withColumnRenamed(id_col, "term_id")
     return postings.join(first, F.col(id_col) == F.col("term_id"), "left").drop("term_id")
 
 
-def infer_specialisations(postings: DataFrame, aliases: DataFrame, title_col: str, context_col: str, out: str, limit: int = 3, id_col: str = "id") -> DataFrame:
+@by_value("title_col", "context_col")
+def infer_specialisations(postings: DataFrame, aliases: DataFrame, title_col: str, context_col: str, out: str, limit: int = 3, *, id_col: str = "id") -> DataFrame:
     """Aliases of 4 or more characters in the title, of 8 or more in the context, between characters
     that aren't a-z or 0-9; title before context, longer before shorter, then by id.
 
@@ -160,7 +207,8 @@ def role_family(postings: DataFrame, by_specialisation: DataFrame, by_industry:
     return rows.withColumn("role_family", F.when(family.isin(families), family)).drop("f1", "f2")
 
 
-def thematic_sectors(postings: DataFrame, themes: DataFrame, spec_col: str = "specialisations", industry_col: str = "industry", out: str = "thematic_sectors", id_col: str = "id") -> DataFrame:
+@by_value("spec_col", "industry_col")
+def thematic_sectors(postings: DataFrame, themes: DataFrame, spec_col: str = "specialisations", industry_col: str = "industry", out: str = "thematic_sectors", *, id_col: str = "id") -> DataFrame:
     """Distinct themes of the industry and the specialisations, in order. themes: (key, themes array)."""
     keys = F.concat(F.array(industry_col), F.coalesce(spec_col, F.array().cast("array<string>")))
     hits = postings.select(id_col, F.posexplode(keys).alias("pos", "key")).join(themes, "key")
@@ -191,7 +239,8 @@ def _iso_hit(rows: DataFrame, countries: DataFrame, id_col: str) -> DataFrame:
     return tokens.join(codes, "token").groupBy(id_col).agg(F.min_by("iso2", "pos").alias("iso_hit"))
 
 
-def resolve_locations(postings: DataFrame, terms: DataFrame, countries: DataFrame, raw_col: str = "location_raw", existing_col: str = "location_country", id_col: str = "id") -> DataFrame:
+@by_value("raw_col", "existing_col")
+def resolve_locations(postings: DataFrame, terms: DataFrame, countries: DataFrame, raw_col: str = "location_raw", existing_col: str = "location_country", *, id_col: str = "id") -> DataFrame:
     """Adds loc: country_code, country_iso3, country, city, admin_area, region, lat, lon, confidence, evidence, matched_alias, is_african.
 
     The longest term of a kind counts, ties by the registry's order. A city counts only in the country
@@ -246,7 +295,8 @@ def resolve_locations(postings: DataFrame, terms: DataFrame, countries: DataFram
 
 
 # ---- J13, J14: any country of the world.
-def global_country(postings: DataFrame, terms: DataFrame, countries: DataFrame, raw_col: str, code_col: str, country_col: str, out: str = "world", id_col: str = "id") -> DataFrame:
+@by_value("raw_col", "code_col", "country_col")
+def global_country(postings: DataFrame, terms: DataFrame, countries: DataFrame, raw_col: str, code_col: str, country_col: str, out: str = "world", *, id_col: str = "id") -> DataFrame:
     """Struct (iso2, name, is_african) by an existing code, an exact name, an upper-case code in the text, or the longest name in it."""
     rows = postings.select(id_col, F.coalesce(raw_col, F.lit("")).alias("raw"), F.upper(code_col).alias("code"), norm_unicode(country_col).alias("known"), norm_unicode(raw_col).alias("text"))
     codes = countries.select(F.col("iso2").alias("code"), F.col("iso2").alias("c1")).union(countries.select("iso3", "iso2"))
@@ -263,7 +313,8 @@ def global_country(postings: DataFrame, terms: DataFrame, countries: DataFrame,
     return postings.join(full.select("world_id", F.struct("iso2", "name", "is_african").alias(out)), F.col(id_col) == F.col("world_id"), "left").drop("world_id")
 
 
-def nationality_codes(postings: DataFrame, terms: DataFrame, text_col: str, out: str = "nationalities", id_col: str = "id") -> DataFrame:
+@by_value("text_col")
+def nationality_codes(postings: DataFrame, terms: DataFrame, text_col: str, out: str = "nationalities", *, id_col: str = "id") -> DataFrame:
     """Distinct country codes, those of nationality terms first, then of country names; longer terms first."""
     rows = postings.select(id_col, norm_unicode(text_col).alias("text"))
     hits = phrase_hits(rows, "text", terms.withColumnRenamed("term", "phrase"))

@@ -52,34 +52,62 @@ class Registries:
         )
 
 
+#: What the steps read of a posting; rows that agree in these columns get the same results.
+INPUTS = [
+    "title", "org_name", "summary", "eligibility_notes", "location_raw", "location_country", "raw_terms", "source_key", "source_url",
+    "source_label", "mode_hint", "industry", "apply_url", "apply_is_official", "government_fields", "government_profile",
+]
+
+
 def enrich(postings: DataFrame, registries: Registries | None = None) -> DataFrame:
     """Organisation, location, role and investment, NGO, government, public institution, multinational,
     access, eligibility, source, in this order (an investment role's subfamily is read by the NGO classes).
 
-    The employer is matched once and access is classified once; all profiles read these columns. Each
-    step joins the postings with what it found in them, so lineage is cut between steps: otherwise every
-    step would compute all steps before it again.
+    Steps don't touch the postings themselves: each reads the few columns it needs of the distinct inputs and
+    gives what it found by a key of these inputs. What was found is joined with the postings once, at the end,
+    so ids may repeat or be missing. Two narrow tables are checkpointed, because several steps read them.
     """
     g = registries or Registries.default(postings.sparkSession)
-    rows = postings.withColumns({c: F.lit(None).cast(kind) for c, kind in DEFAULTS.items() if c not in postings.columns})
-    rows = M.match_organisations(rows, g.organisations).withColumn("organisation_profile", C.institution_profile(F.col("org_type"))).withColumnRenamed("organisation_profile", "institution_profile")
-    rows = settled(C.enrich_locations(settled(rows), g.african_terms, g.world_terms, g.countries))
-    rows = rows.withColumn("work_mode", X.work_mode("location_raw", norm_unicode("mode_hint"), "loc.country_code", "loc.region"))
-    remote = X.has("location_raw", X.REMOTE) | X.has("location_raw", X.OPEN_REGION)
+    key = M.VALUE_KEY
+    rows = postings.withColumns({c: F.lit(None).cast(kind) for c, kind in DEFAULTS.items() if c not in postings.columns}).withColumn(key, M.value_key(*INPUTS))
+    values = rows.select(key, *INPUTS).dropDuplicates([key])
+    of = lambda *columns: values.select(key, *columns)
+
+    organisations = M.match_organisations(of("org_name"), g.organisations, id_col=key).drop("org_name")
+    places = C.enrich_locations(of("location_raw", "location_country"), g.african_terms, g.world_terms, g.countries, id_col=key).select(key, "loc")
+    terms = M.map_specialisations(of("raw_terms", "source_key"), g.specialisations, g.source_aliases, g.ignored, "raw_terms", "source_key", id_col=key).select(key, "specialisations")
+    sources = M.match_sources(of("source_url", "source_label"), g.sources, g.platforms, id_col=key).drop("source_url", "source_label")
+    facts = settled(organisations.join(places, key).join(terms, key).join(sources, key))
+
+    parents = M.first_parent(facts.select(key, "specialisations"), g.parents, "specialisations", "parent_industry", id_col=key).select(key, "parent_industry")
+    roles = of("title", "summary", "industry", "location_raw", "mode_hint").join(facts.select(key, "loc", "specialisations"), key).join(parents, key)
+    code, region = F.col("loc.country_code"), F.col("loc.region")
     open_region = X.has("location_raw", X.OPEN_REGION)
-    code = F.col("loc.country_code")
-    scope = F.when(code == "KE", "national").when(F.col("loc.is_african") & code.isNotNull(), "regional").when(code.isNotNull(), "international").when(remote & open_region, "international").when(F.col("loc.region").isNotNull(), "regional")
-    rows = rows.withColumn("location_scope", scope).withColumn("is_remote_from_kenya", F.coalesce(remote & ((code == "KE") | (code.isNull() & (open_region | F.col("loc.region").isNotNull()))), F.lit(False)))
-    rows = M.map_specialisations(rows, g.specialisations, g.source_aliases, g.ignored, "raw_terms", "source_key")
-    rows = M.first_parent(settled(rows), g.parents, "specialisations", "parent_industry").withColumn("industry", F.coalesce("parent_industry", "industry", X.industry("title", "summary"))).drop("parent_industry")
-    rows = settled(M.thematic_sectors(settled(M.role_family(rows, *g.families)), g.themes))
-    rows = settled(C.promote_role(C.investment_profile(rows.withColumn("body", F.concat_ws(" ", "summary", "eligibility_notes")), g.investment).drop("body"), g.themes))
-    rows = settled(C.ngo_profile(rows, g.ngo))
-    rows = rows.withColumn("government_profile", C.government_profile()).withColumn("public_institution_profile", C.public_institution_profile()).withColumn("multinational_profile", C.multinational_profile())
-    rows = settled(M.match_sources(rows, g.sources, g.platforms))
-    rows = settled(C.africa_relevance(rows, g.world_terms, g.countries).drop("world"))
-    rows = C.applicant_access(rows, g.world_terms, g.countries)
-    return rows.withColumn("eligibility", C.eligibility_from_access()).drop("sector", "priority", "cities", "source_pack")
+    remote = X.has("location_raw", X.REMOTE) | open_region
+    scope = F.when(code == "KE", "national").when(F.col("loc.is_african") & code.isNotNull(), "regional").when(code.isNotNull(), "international").when(remote & open_region, "international").when(region.isNotNull(), "regional")
+    roles = roles.withColumns({
+        "work_mode": X.work_mode("location_raw", norm_unicode("mode_hint"), "loc.country_code", "loc.region"),
+        "location_scope": scope,
+        "is_remote_from_kenya": F.coalesce(remote & ((code == "KE") | (code.isNull() & (open_region | region.isNotNull()))), F.lit(False)),
+        "industry": F.coalesce("parent_industry", "industry", X.industry("title", "summary")),
+    })
+    roles = M.role_family(roles, *g.families).select(key, "specialisations", "industry", "work_mode", "location_scope", "is_remote_from_kenya", "role_family", "role_subfamily")
+    roles = M.thematic_sectors(roles, g.themes, id_col=key)
+    body = of("title", "summary", "eligibility_notes").select(key, "title", F.concat_ws(" ", "summary", "eligibility_notes").alias("body"))
+    invested = C.investment_profile(body.join(facts.select(key, "specialisations", "org_type"), key), g.investment, id_col=key).select(key, "investment_profile")
+    roles = settled(C.promote_role(roles.join(invested, key), g.themes).drop("specialisations"))
+
+    joined = of("title", "summary").join(facts.select(key, "specialisations", "org_type"), key).join(roles.select(key, "role_subfamily", "industry"), key)
+    programmes = C.ngo_profile(joined, g.ngo, id_col=key).select(key, "ngo_profile")
+    employers = ["org_id", "org_type", "source_pack", "sector", "priority", "cities"]
+    told = of("title", "summary", "eligibility_notes", "location_raw", "location_country", "apply_is_official", "apply_url", "government_fields", "government_profile")
+    told = told.join(facts.select(key, "loc", "source_kind", "source_confidence", *employers), key).join(roles.select(key, "work_mode", "location_scope", "is_remote_from_kenya"), key)
+    told = told.withColumns({"institution_profile": C.institution_profile(F.col("org_type")), "government_profile": C.government_profile(), "public_institution_profile": C.public_institution_profile(), "multinational_profile": C.multinational_profile()})
+    told = C.applicant_access(C.africa_relevance(told, g.world_terms, g.countries, id_col=key), g.world_terms, g.countries, id_col=key)
+    told = told.select(key, "institution_profile", "government_profile", "public_institution_profile", "multinational_profile", "africa_relevance", "african_applicant_access").withColumn("eligibility", C.eligibility_from_access())
+
+    found = facts.drop("source_pack", "sector", "priority", "cities").join(roles, key).join(programmes, key).join(told, key)
+    return rows.select(*(c for c in rows.columns if c == key or c not in found.columns)).join(found, key).drop(key)
 
 
 def refresh(postings: DataFrame, registries: Registries | None = None) -> dict[str, DataFrame]:

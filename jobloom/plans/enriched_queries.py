@@ -144,13 +144,22 @@ def p9_split_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.agg(F.count("*").alias("kept")).crossJoin(rejected.agg(F.count("*").alias("rejected")))  # two single rows
 
 
-@query()
+@query("""WITH r AS (SELECT o_orderkey % 8 AS t, o_orderkey // 24 AS b FROM orders), g AS (SELECT DISTINCT t, b FROM r WHERE t <> 5)
+SELECT (SELECT count(*) FROM g) AS kept, count(*) FILTER (t = 5) AS rejected, count(*) FILTER (t <> 5) - (SELECT count(*) FROM g) AS merged FROM r""")
 def refresh_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole chain of a refresh: rows kept, rejected and merged."""
+    """The whole chain of a refresh: rows kept, rejected and merged. Up to three postings are one opening: they
+    share the numbered title, the summary, the deadline and the address, and differ in their ids."""
     rows = spark.read.parquet(f"{sf_dir}/orders.parquet")
     from jobloom.plans.cases import _dealt
 
-    row = F.pmod(F.col("o_orderkey"), F.lit(CHAIN.n)).cast("int")
-    dealt = rows.select(F.col("o_orderkey").cast("long").alias("pos"), F.col("o_orderkey").cast("string").alias("id"), *(_dealt(v, row).alias(c) for c, v in _IN.items() if c != "apply_url"), F.concat(F.lit("https://a.test/"), (F.col("o_orderkey") / 3).cast("long").cast("string")).alias("apply_url"))
-    out = refresh(dealt)
+    k = F.col("o_orderkey")
+    row, opening = F.pmod(k, F.lit(CHAIN.n)).cast("int"), (k / 24).cast("long").cast("string")
+    told = {c: _dealt(v, row) for c, v in _IN.items()}
+    told |= {
+        "title": F.concat_ws(" ", told["title"], opening),
+        "summary": F.concat_ws(" ", told["summary"], F.repeat(F.lit("the notice goes on with wording of no consequence "), 3)),
+        "apply_url": F.concat(F.lit("http://www.a.test//"), row.cast("string"), F.lit("/"), opening, F.lit("/?utm_source=x")),
+        "deadline": F.timestamp_seconds(F.lit(1_800_000_000) + (k / 24).cast("long") * 86_400),
+    }
+    out = refresh(rows.select(k.cast("long").alias("pos"), k.cast("string").alias("id"), *(v.alias(c) for c, v in told.items())))
     return out["kept"].agg(F.count("*").alias("kept")).crossJoin(out["rejected"].agg(F.count("*").alias("rejected"))).crossJoin(out["events"].agg(F.count("*").alias("merged")))  # three single rows
