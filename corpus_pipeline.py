@@ -15,23 +15,26 @@ from jobloom.llm.queries import _vocabulary_path, held_out
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go, null and empty texts among them. Rows are judged one by one."""
     return quality.kept_rows(docs)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognised language go."""
+    """Documents without a recognised language go: null texts and those without a letter, and all if no text is labelled."""
     return language_id.accepted_rows(docs, language_id.train(docs.where(~held_out())))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays."""
-    dropped = near_dedup.near_duplicates(docs).where("not kept").select("doc_id")
+    """Of each group of near-duplicates on five-word shingles the document with the smallest id stays.
+
+    Texts without words and rows without an id stay; rows that repeat the id of one that goes, go with it.
+    """
+    dropped = near_dedup.near_duplicates(docs, width=5).where("not kept").select("doc_id")
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' tokens, packed into sequences."""
+    """Pieces of the documents' tokens, packed into sequences. Every row is packed on its own; none gives none."""
     return packing.pack(docs, _vocabulary_path("byte_bpe_50k.tiktoken"))
 
 
