@@ -6,6 +6,8 @@ keeping the turn, merging it into the turn before (same role), giving it another
 empty turns before it. What a turn does to the automaton depends on its role only, so a block of turns
 is a small min-plus matrix: long conversations are split into blocks, the blocks' matrices are
 chained per conversation, and each block is then repaired and rendered on its own.
+
+Markers can't be forged: "<|" in a text is written as "<||", which plain() turns back.
 """
 
 from __future__ import annotations
@@ -107,17 +109,50 @@ def repair(roles: list[str | None], start: int = START, end: int | None = None)
     return out
 
 
+def escaped(text: str) -> str:
+    return text.replace("<|", "<||")
+
+
+def plain(text: str) -> str:
+    return text.replace("<||", "<|")
+
+
+_NAMES = ["conv_id", "block", "place", "turn", "role_in", "role_out", "action", "cost", "rendered"]
+_KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.string()]
+_SCHEMA = "conv_id long, block long, place int, turn long, role_in string, role_out string, action string, cost int, rendered string"
+
+
+def _rendered(conv: int | None, block: int, turns: list[dict], enter: int, leave: int | None, first: bool, last: bool) -> Iterator[tuple]:
+    """The pieces of a block, repaired; turns are dicts with turn, role and text."""
+    steps = repair([x["role"] for x in turns], enter, None if last else leave)
+    for place, (i, action, state, cost) in enumerate(steps):
+        text, role = (escaped(turns[i]["text"]) if i >= 0 else ""), ROLES[state - 1]
+        piece = f"\n\n{text}" if action == "merge" else f"{'' if first and not place else '<|end|>\n'}<|{role}|>\n{text}"
+        piece += "<|end|>\n" if last and place == len(steps) - 1 else ""
+        yield conv, block, place, turns[i]["turn"] if i >= 0 else None, turns[i]["role"] if i >= 0 else None, role, action, cost, piece
+
+
+def _pieces(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [()] * 9, _KINDS, strict=True)], _NAMES)
+
+
 def format_chats(turns: DataFrame, block: int = BLOCK, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """Columns: conv_id, block, place, turn, role_in, role_out, action, cost, rendered.
 
     One row for each turn and each inserted turn; rendered pieces in the order (block, place) make the
     conversation's text. Turns are ordered by turn, then role and text's hash (so equal rows in either
-    order); a null turn comes first, a null text is empty, a null or unknown role takes any legal one,
-    a null conv_id is a conversation of its own. An empty table gives no rows.
+    order); null turns come first, in the order of a hash of role and text. A null text is empty, a null or
+    unknown role takes any legal one. Each row with a null conv_id is a conversation of its own, with null as
+    its conv_id. An empty table gives no rows.
     """
     rows = turns.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.lower(F.trim(F.col(role_col).cast("string"))).alias("role"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     # The block follows from the turn's number, so no task has to order a whole conversation.
-    rows = rows.withColumn("block", F.floor(F.coalesce("turn", F.lit(-(1 << 40))) / block).cast("long")).withColumn("tie", F.xxhash64("text"))
+    # Turns without a number are many at times: their blocks are ranges of the hash that orders them.
+    rows = rows.withColumn("tie", F.when(F.col("turn").isNull(), F.xxhash64("role", "text")).otherwise(F.xxhash64("text")))
+    unnumbered = F.shiftright("tie", 52) - (1 << 60)
+    orphans = rows.where("conv_id is null")
+    rows = rows.where("conv_id is not null").withColumn("block", F.when(F.col("turn").isNull(), unnumbered).otherwise(F.floor(F.col("turn") / block).cast("long")))
+    nth = F.when(F.col("turn").isNull(), F.col("tie")).otherwise(0).alias("nth")
     grouped = rows.groupBy("conv_id", "block")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +160,7 @@ def format_chats(turns: DataFrame, block: int = BLOCK, *, conv_col: str = "conv_
             found = [chain([x["role"] for x in turns]).ravel().tolist() for turns in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.float64()))], ["conv_id", "block", "costs"])
 
-    ordered = grouped.agg(F.array_sort(F.collect_list(F.struct("turn", "role", "tie"))).alias("turns"))
+    ordered = grouped.agg(F.array_sort(F.collect_list(F.struct("turn", nth, "role", "tie"))).alias("turns"))
     costs = ordered.mapInArrow(measure, "conv_id long, block long, costs array<double>")
 
     def pass_through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,19 +176,14 @@ def format_chats(turns: DataFrame, block: int = BLOCK, *, conv_col: str = "conv_
     ways = cut(chained.mapInArrow(pass_through, "conv_id long, block long, enter int, leave int, first boolean, last boolean"))
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["conv_id", "block", "place", "turn", "role_in", "role_out", "action", "cost", "rendered"]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.string()]
         for batch in batches:
-            out = []
-            for conv, at, turns, enter, leave, first, last in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                steps = repair([x["role"] for x in turns], enter, None if last else leave)
-                for place, (i, action, state, cost) in enumerate(steps):
-                    text, role = (turns[i]["text"], ROLES[state - 1]) if i >= 0 else ("", ROLES[state - 1])
-                    piece = f"\n\n{text}" if action == "merge" else f"{'' if first and not place else '<|end|>\n'}<|{role}|>\n{text}"
-                    piece += "<|end|>\n" if last and place == len(steps) - 1 else ""
-                    out.append((conv, at, place, turns[i]["turn"] if i >= 0 else None, turns[i]["role"] if i >= 0 else None, role, action, cost, piece))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [()] * 9, kinds, strict=True)], names)
-
-    texts = grouped.agg(F.array_sort(F.collect_list(F.struct("turn", "role", "tie", "text"))).alias("turns"))
-    both = texts.join(ways.withColumnsRenamed({"conv_id": "c", "block": "b"}), F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b")))
-    return both.select("conv_id", "block", "turns", "enter", "leave", "first", "last").mapInArrow(render, "conv_id long, block long, place int, turn long, role_in string, role_out string, action string, cost int, rendered string")
+            yield _pieces([piece for row in zip(*(c.to_pylist() for c in batch.columns), strict=True) for piece in _rendered(*row)])
+
+    def render_alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _pieces([piece for turn, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True) for piece in _rendered(None, 0, [{"turn": turn, "role": role, "text": text}], START, None, True, True)])
+
+    texts = grouped.agg(F.array_sort(F.collect_list(F.struct("turn", nth, "role", "tie", "text"))).alias("turns"))
+    both = texts.join(ways, ["conv_id", "block"])
+    pieces = both.select("conv_id", "block", "turns", "enter", "leave", "first", "last").mapInArrow(render, _SCHEMA)
+    return pieces.union(orphans.select("turn", "role", "text").mapInArrow(render_alone, _SCHEMA))

@@ -7,17 +7,16 @@ a context of T symbols, D of them distinct, gives a symbol seen n times n / (T +
 D / (T + D)). The language with the shortest code of the whole text wins.
 
 Frozen statistics make the code length a function of the last four bytes. So the tree is laid out as
-tables: rows for the four-byte strings seen in any language, and below them the cost over two bytes
-of context plus the escape of the third. Bytes are first mapped to 64 classes: the 62 most frequent
-ones of the sample, one class for all others (within it the code is uniform, so it costs the same in
-every language) and the boundary before a text.
+sorted tables of the four-byte and three-byte strings that were seen in any language, each with its
+cost in every language, and dense tables below them. Contexts are of bytes proper, whatever the script;
+0xFF, which UTF-8 never has, stands before a text.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 from jobloom.llm._common import as_bytes, slices, text_rows
 
 ORDER = 3
-CLASSES = 64
+EDGE = 0xFF
 PIECE = 1 << 20
 #: About so many texts of each language are sampled for the counts (by id hash, whole texts).
 TRAIN_TEXTS = 250
@@ -37,19 +36,15 @@ UNKNOWN = "und"
 @dataclass
 class PpmModel:
     langs: list[str]
-    class_of: np.ndarray  # byte -> class
-    seen: np.ndarray  # sorted codes of four classes
-    seen_cost: np.ndarray  # len(seen) x langs, bits
-    back_cost: np.ndarray  # classes**3 x langs: cost of a class after two
-    escape: np.ndarray  # classes**3 x langs: cost of leaving a context of three
+    grams: np.ndarray  # four-byte strings, sorted
+    gram_cost: np.ndarray  # bits of the last byte, for each language
+    triples: np.ndarray  # three-byte strings, sorted
+    triple_cost: np.ndarray  # bits of the last byte after two
+    contexts: np.ndarray  # contexts of three bytes, sorted
+    context_escape: np.ndarray  # bits to leave them
+    pair_cost: np.ndarray  # 2**16 x langs: bits of a byte after one
+    pair_escape: np.ndarray  # 2**16 x langs: bits to leave a context of two
     key: str = ""
-    _index: np.ndarray | None = field(default=None, repr=False)
-
-    def index(self) -> np.ndarray:
-        if self._index is None:
-            self._index = np.full(CLASSES**4, -1, np.int32)
-            self._index[self.seen] = np.arange(len(self.seen), dtype=np.int32)
-        return self._index
 
     def bits(self, texts: list[bytes]) -> np.ndarray:
         """Code length of each text under each language: len(texts) x langs."""
@@ -68,62 +63,66 @@ class PpmModel:
             np.add.at(out, owners, self._score(held))
         return out
 
+    def costs(self, key: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each four-byte string, for each language."""
+        at, known = _find(self.grams, key)
+        cost = self.gram_cost[at]
+        miss = np.flatnonzero(~known)
+        if len(miss):
+            k = key[miss]
+            at, known = _find(self.triples, k & 0xFFFFFF)
+            lower = np.where(known[:, None], self.triple_cost[at], self.pair_escape[(k >> 8) & 0xFFFF] + self.pair_cost[k & 0xFFFF])
+            at, known = _find(self.contexts, k >> 8)
+            cost[miss] = lower + np.where(known[:, None], self.context_escape[at], 0)
+        return cost
+
     def _score(self, parts: list[tuple[int, bytes]]) -> np.ndarray:
+        edge = bytes([EDGE]) * ORDER
         lengths = np.array([len(x) for _, x in parts])
         starts = np.cumsum(lengths + ORDER) - lengths
-        code = self.class_of[np.frombuffer(b"".join(bytes(ORDER) + x for _, x in parts), np.uint8)].astype(np.int32)
-        blank = (starts[:, None] - np.arange(1, ORDER + 1)).ravel()
-        code[blank] = CLASSES - 1
-        key = code.copy()
+        raw = np.frombuffer(b"".join(edge + x for _, x in parts), np.uint8).astype(np.uint32)
+        key = raw.copy()
         for back in range(1, ORDER + 1):
-            key[ORDER:] |= code[ORDER - back : -back] << (6 * back)
-        row = self.index()[key]
-        cost = self.seen_cost[row]
-        miss = np.flatnonzero(row < 0)
-        k = key[miss]
-        cost[miss] = self.escape[k >> 6] + self.back_cost[k & (CLASSES**3 - 1)]
-        cost[blank] = 0
+            key[ORDER:] |= raw[ORDER - back : -back] << np.uint32(8 * back)
+        cost = self.costs(key)
+        cost[(starts[:, None] - np.arange(1, ORDER + 1)).ravel()] = 0
         for (context, _), at in zip(parts, starts, strict=True):
             cost[at : at + context] = 0  # scored with the piece before
         return np.add.reduceat(cost.astype(np.float64), starts, axis=0)
 
 
+def _find(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of values in a sorted table, and which of them are there."""
+    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
+    return at, table[at] == values
+
+
 def fit(langs: list[str], grams: np.ndarray, counts: np.ndarray) -> PpmModel:
-    """grams: four bytes as big-endian uint32 with 0 bytes before a text; counts: len(grams) x langs."""
-    last = np.bincount(grams & 255, weights=counts.sum(1), minlength=256)
-    by_count = [b for b in np.lexsort((np.arange(256), -last)) if last[b] > 0 and b][: CLASSES - 2]
-    class_of = np.full(256, CLASSES - 2, np.uint8)
-    class_of[by_count] = np.arange(len(by_count))
-    inner = class_of.astype(np.int64)
-    inner[0] = CLASSES - 1  # in a context: the boundary
-    code = (inner[grams >> 24] << 18) | (inner[(grams >> 16) & 255] << 12) | (inner[(grams >> 8) & 255] << 6) | class_of[grams & 255]
+    """grams: distinct four bytes as big-endian uint32, sorted, EDGE before a text; counts: len(grams) x langs."""
     n_langs = len(langs)
 
-    def table(size: int, codes: np.ndarray) -> np.ndarray:
-        return np.stack([np.bincount(codes, weights=counts[:, j], minlength=size) for j in range(n_langs)], 1)
-
-    cost = np.full((CLASSES, n_langs), np.log2(CLASSES))  # order -1: uniform
-    for order in range(ORDER):
-        size = CLASSES ** (order + 1)
-        n = table(size, code & (size - 1)).reshape(-1, CLASSES, n_langs)
-        total, distinct = n.sum(1, keepdims=True), (n > 0).sum(1, keepdims=True)
-        known = total > 0
-        escape = np.where(known, -np.log2(np.where(known, distinct, 1) / np.where(known, total + distinct, 1)), 0.0)
-        lower = np.tile(cost.reshape(-1, CLASSES, n_langs), (CLASSES if order else 1, 1, 1))
+    def grouped(codes: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+        return np.stack([np.bincount(codes, weights=values[:, j], minlength=size) for j in range(n_langs)], 1)
+
+    def level(codes: np.ndarray, n: np.ndarray, lower: np.ndarray, context: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Costs of symbols, and what it costs to leave each context (0 if a language never saw it)."""
+        total, distinct = grouped(context, n, size), grouped(context, (n > 0).astype(float), size)
         with np.errstate(divide="ignore", invalid="ignore"):
-            cost = np.where(n > 0, -np.log2(n / (total + distinct)), escape + lower).reshape(size, n_langs)
-    seen, where = np.unique(code, return_inverse=True)
-    n = np.stack([np.bincount(where, weights=counts[:, j], minlength=len(seen)) for j in range(n_langs)], 1)
-    context = seen >> 6
-    total, distinct = np.zeros((CLASSES**3, n_langs)), np.zeros((CLASSES**3, n_langs))
-    np.add.at(total, context, n)
-    np.add.at(distinct, context, n > 0)
-    known = total > 0
-    escape = np.where(known, -np.log2(np.where(known, distinct, 1) / np.where(known, total + distinct, 1)), 0.0)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        top = np.where(n > 0, -np.log2(n / (total + distinct)[context]), escape[context] + cost[seen & (CLASSES**3 - 1)])
-    digest = hashlib.sha1(seen.tobytes() + n.tobytes() + "\0".join(langs).encode()).hexdigest()
-    return PpmModel(langs, class_of, seen, top.astype(np.float32), cost.astype(np.float32), escape.astype(np.float32), digest)
+            escape = np.where(total > 0, -np.log2(distinct / (total + distinct)), 0.0)
+            return np.where(n > 0, -np.log2(n / (total + distinct)[context]), escape[context] + lower), escape
+
+    last = (grams & 0xFF).astype(np.int64)
+    cost, _ = level(last, grouped(last, counts, 256), np.full((256, n_langs), 8.0), np.zeros(256, np.int64), 1)
+    pairs = np.arange(1 << 16)
+    pair_cost, _ = level(pairs, grouped((grams & 0xFFFF).astype(np.int64), counts, 1 << 16), cost[pairs & 0xFF], pairs >> 8, 256)
+    triples, at = np.unique(grams & np.uint32(0xFFFFFF), return_inverse=True)
+    whole = triples.astype(np.int64)
+    triple_cost, pair_escape = level(whole, grouped(at, counts, len(triples)), pair_cost[whole & 0xFFFF], whole >> 8, 1 << 16)
+    contexts, of = np.unique(grams >> np.uint32(8), return_inverse=True)
+    gram_cost, context_escape = level(grams, counts, triple_cost[at], of, len(contexts))
+    digest = hashlib.sha1(grams.tobytes() + counts.tobytes() + "\0".join(langs).encode()).hexdigest()
+    small = [x.astype(np.float32) for x in (gram_cost, triple_cost, context_escape, pair_cost, pair_escape)]
+    return PpmModel(langs, grams, small[0], triples, small[1], contexts, small[2], small[3], small[4], digest)
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,9 +131,9 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, raw in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
             by_lang.setdefault(lang, []).append(raw)
         for lang, texts in by_lang.items():
-            raw = np.frombuffer(b"".join(bytes(ORDER) + x.replace(b"\0", b"\1") for x in texts), np.uint8).astype(np.uint32)
+            raw = np.frombuffer(b"".join(bytes([EDGE]) * ORDER + x for x in texts), np.uint8).astype(np.uint32)
             gram = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]
-            grams, n = np.unique(gram[raw[3:] > 0], return_counts=True)
+            grams, n = np.unique(gram[raw[3:] != EDGE], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams.astype(np.int64)), pa.array(n, pa.int64())], ["lang", "gram", "n"])
 
 
@@ -167,7 +166,7 @@ _models: dict[str, PpmModel] = {}
 
 
 def _held(model: PpmModel) -> PpmModel:
-    """The copy of a model that this worker keeps, with its index."""
+    """The copy of a model that this worker keeps."""
     if model.key not in _models:
         _models.clear()
         _models[model.key] = model
@@ -209,8 +208,11 @@ def identify(docs: DataFrame, model: PpmModel | None, *, id_col: str = "doc_id",
 
 
 def accepted_rows(docs: DataFrame, model: PpmModel | None, min_score: float = 0.5, *, text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns as they are, whose language is recognised with a score of min_score or more."""
-    lettered = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+    """The rows of docs, all columns as they are, whose language is recognised with a score of min_score or more.
+
+    Null and empty texts and texts without a letter are never recognised; nothing is without a model. Rows are
+    independent: repeated rows and ids stay or go alike. Other columns may have any name.
+    """
     if model is None:
         return docs.where(F.lit(False))
     frozen, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
@@ -221,4 +223,6 @@ def accepted_rows(docs: DataFrame, model: PpmModel | None, min_score: float = 0.
             _, sure, _, known, _ = _judged(ppm, batch.column(at), batch.column(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays(batch.columns[:-1], schema=pa.schema(list(batch.schema)[:-1])).filter(pa.array(known & (sure >= min_score)))
 
-    return docs.select("*", lettered.alias("has_letter")).mapInArrow(keep, docs.schema)
+    lettered = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+    flag = "lettered" + "_" * max(map(len, docs.columns))  # longer than any name there
+    return docs.select("*", lettered.alias(flag)).mapInArrow(keep, docs.schema)

@@ -5,16 +5,19 @@ sketch keeps the k smallest. Documents are linked if the Jaccard similarity of t
 or more, and a group is a connected component of links. The steps:
 
 1. Equal sets form one class; only class representatives go on.
-2. Inverted lists: a list gathers the representatives that retain the same run of four values that
+2. Candidate groups: a list gathers the representatives that retain the same run of four values that
    follow each other in hash order. If J >= 0.8, i shared shingles are cut by at most i / 4 others,
    so some run of four is shared as soon as the sets have more than 16 shingles (two in a row in
    smaller ones, which get runs of two). Where a sketch holds the whole set this is certain; in
-   larger sets a pair at exactly 0.8 is missed with a probability of about 2e-6 at k = 96.
+   larger sets a pair at exactly 0.8 is missed with a probability of about 2e-6 at k = 96. Lists of
+   single values would be too long: natural shingles stand in hundreds of documents.
 3. A list's first member is its leader, and all representatives that share a leader are compared
-   inside one task: sketches first (the estimate from their union, over the hash range that both
-   sketches cover), full sets where that leaves a chance. Members linked to the leader are in its component already, so they aren't compared with
-   each other, and only links that join components leave the task, fewer than there are members.
-   Leaders with very many members or shingles are settled without bringing these together:
+   inside one task: inverted lists of their retained values generate the overlaps of all pairs, the
+   estimate from the union of two sketches (over the hash range that both cover) filters them, and full
+   sets decide on what is left. Members linked to the leader are in its component already, so they
+   aren't compared with each other, and only links that join components leave the task, fewer than
+   there are members. Leaders with very many members or shingles are settled without bringing these
+   together:
    a. Members linked to the leader b against the others: by the triangle inequality of the Jaccard
       distance only for J with b of 0.6 or more. Write a set x as its difference from b. If u isn't
       linked to b but to x, the differences of u and x must overlap in at least about half of x's
@@ -117,18 +120,21 @@ def _run_keys(reps: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, width: int, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
-    """Full sets (rep, n, elems) of the wanted representatives."""
+    """Full sets (rep, n, elems) of the wanted classes (rep, doc, set_key); doc is the id of a row with the set."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             sets = [shingle_set(raw or b"", width) for raw in as_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), _lists([x.view(np.int64) for x in sets], pa.int64())], ["rep", "n", "elems"])
+            keys = [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array([len(x) for x in sets], pa.int64()), _lists([x.view(np.int64) for x in sets], pa.int64())], ["doc", "set_key", "n", "elems"])
 
-    ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
+    ids = wanted.select(F.col("doc").alias("doc_id")).distinct()
     if ids.count() <= BROADCAST_IDS:  # 8 MB; beyond that the texts are shuffled by id instead
         ids = F.broadcast(ids)
-    rows = text_rows(docs, id_col, text_col).join(ids, "doc_id", "left_semi")
-    return rows.mapInArrow(make, "rep long, n long, elems array<long>").dropDuplicates(["rep"])
+    rows = text_rows(docs, id_col, text_col).join(ids, "doc_id", "left_semi").mapInArrow(make, "doc long, set_key binary, n long, elems array<long>")
+    if wanted.where("rep != doc").isEmpty():  # a class is named by an id of its own, so the set's key needn't be looked at
+        return rows.select(F.col("doc").alias("rep"), "n", "elems").dropDuplicates(["rep"])
+    return rows.join(wanted, ["doc", "set_key"]).select("rep", "n", "elems").dropDuplicates(["rep"])
 
 
 def _sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
@@ -213,7 +219,7 @@ def group_links(ids: np.ndarray, sets: list[np.ndarray], k: int = SKETCH) -> lis
     m, sizes = len(sets), np.array([len(x) for x in sets])
     flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
     shared = np.add.reduceat(np.isin(flat, sets[0]).astype(np.int64), np.cumsum(sizes) - sizes)
-    linked = 100 * shared >= 80 * (sizes + sizes[0] - shared)
+    linked = (100 * shared >= 80 * (sizes + sizes[0] - shared)) & (_alike(np.array([0]), sets, k)[0] >= MAYBE)
     out = [(int(ids[0]), int(x)) for x in ids[1:][linked[1:]]]
     label = np.where(linked, 0, np.arange(m))
     others = np.flatnonzero(~linked)
@@ -342,18 +348,24 @@ def near_duplicates(docs: DataFrame, width: int = 2, k: int = SKETCH, group_limi
 
     component_id is the smallest doc_id reachable over links, kept is doc_id = component_id. Null
     and empty texts and those without a word have no shingles and are linked with nothing. Rows with
-    a null id take part in no link: component_id is null and they are kept. Rows that repeat an id
-    share its component if their texts are linked. An empty table gives no rows.
+    a null id take part in no link: component_id is null and they are kept. Where rows repeat an id with
+    unlike texts, each row is linked by its own text: component_id is the smallest doc_id of the rows that
+    this row reaches, so rows of one id may be in different components. An empty table gives no rows.
     """
     base = stored(sketches(docs, width, k, id_col=id_col, text_col=text_col), "sketches")
     named = base.where("set_key is not null and doc_id is not null")
-    classes = stored(named.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.any_value("sketch").alias("sketch")), "classes")
+    classes = stored(named.groupBy("set_key").agg(F.min("doc_id").alias("doc"), F.max("n_shingles").alias("n"), F.any_value("sketch").alias("sketch")).withColumn("rep", F.col("doc")), "classes")
+    shared = cut(classes.groupBy("doc").count().where("count > 1").select("doc"))
+    repeated = not shared.isEmpty()
+    if repeated:  # an id names several classes: these get negative names from their sets
+        again = classes.join(shared.withColumn("again", F.lit(True)), "doc", "left")
+        classes = stored(again.withColumn("rep", F.when(F.col("again"), -1 - F.pmod(F.xxhash64("set_key"), F.lit(1 << 62))).otherwise(F.col("doc"))).drop("again"), "classes")
 
     rows = _run_keys(classes).repartition("key")
     leaders = rows.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("members")).where("members > 1")
     star = cut(rows.join(leaders, "key").where("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct())
     wanted = cut(star.select(F.col("a").alias("rep")).union(star.select("b")).distinct())
-    sets = stored(_sets(docs, width, id_col, text_col, wanted), "sets")
+    sets = stored(_sets(docs, width, id_col, text_col, classes.select("rep", "doc", "set_key").join(wanted, "rep", "left_semi")), "sets")
 
     groups = _sides(star, classes, "n").groupBy("a").agg(F.count("*").alias("members"), (F.sum("n_b") + F.max("n_a")).alias("shingles"))
     crowds = cut(groups.where((F.col("members") > group_limit) | (F.col("shingles") > shingle_limit)).select("a"))
@@ -364,7 +376,11 @@ def near_duplicates(docs: DataFrame, width: int = 2, k: int = SKETCH, group_limi
         links = links.union(_links_of_crowds(star.join(crowds, "a", "left_semi"), sets, sketched, k))
 
     labels = components(links)
-    of_class = classes.select("set_key", "rep").join(labels, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
+    of_class = classes.select("set_key", "rep", "doc").join(labels, "rep", "left").select("set_key", "doc", F.coalesce("component", "rep").alias("component"))
+    if repeated:  # components are named by rep so far
+        least = of_class.groupBy("component").agg(F.min("doc").alias("least"))
+        of_class = of_class.join(least, "component").select("set_key", F.col("least").alias("component"))
+    of_class = of_class.select("set_key", "component")
     return (
         base.select("doc_id", "n_shingles", "set_key")
         .join(of_class, "set_key", "left")

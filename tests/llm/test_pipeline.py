@@ -16,7 +16,7 @@ def test_run_against_plain_stages(spark):
     model = language_id.train(table.where("crc32(cast(cast(doc_id as string) as binary)) % 3 != 1"))
     known = {r.doc_id for r in language_id.identify(table, model).where("lang_pred != 'und' and score >= 0.5").collect()}
     left = [r for r in left if r.doc_id in known]
-    groups = brute_components([(r.doc_id, r.text) for r in left])
+    groups = brute_components([(r.doc_id, r.text) for r in left], 5)
     want = {i for i, (_, root) in groups.items() if i == root}
     got = corpus_pipeline.run(spark, sf)
     assert {r.doc_id for r in got.collect()} == want
