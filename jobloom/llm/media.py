@@ -147,9 +147,7 @@ class Filter:
         return ((self.words[at >> 5] >> (at & 31).astype(np.uint32)) & 1).all(1).tolist()
 
 
-_ENTRIES = "array<struct<digest:binary,own:binary>>"
-_RECORD = f"doc_id long, n_bytes long, media_sha256 binary, n_shared int, entries {_ENTRIES}"
-_ENTRY = pa.list_(pa.struct([("digest", pa.binary()), ("own", pa.binary())]))
+_RECORD = "doc_id long, n_bytes long, media_sha256 binary, digests array<binary>, own array<binary>, shared_at array<int>"
 
 
 def _batch(rows: list[tuple], names: str, *kinds: pa.DataType) -> pa.RecordBatch:
@@ -160,7 +158,7 @@ def _batch(rows: list[tuple], names: str, *kinds: pa.DataType) -> pa.RecordBatch
 def write_media(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Store the media of all rows; returns the two tables as they are read from the shared folder.
 
-    records: doc_id, n_bytes, media_sha256, n_shared, entries (digest, and the chunk if it is no shared one), in order.
+    records: doc_id, n_bytes, media_sha256, digests and own (a chunk, or null for a shared one), both in order, and shared_at, the places of shared ones.
     shared: digest, chunk.
     """
     digests = chunk_lists(docs, id_col=id_col, text_col=text_col)
@@ -180,10 +178,10 @@ def write_media(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     def record(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for made in media_of(batches, 1):
             rows = [
-                (doc_id, n, hashlib.sha256(media).digest(), sum(common), [(name, None if other else part) for name, part, other in zip(names, parts, common, strict=True)])
+                (doc_id, n, hashlib.sha256(media).digest(), names, [None if other else part for part, other in zip(parts, common, strict=True)], [i for i, other in enumerate(common) if other])
                 for doc_id, n, media, parts, names, common in made
             ]
-            yield _batch(rows, "doc_id n_bytes media_sha256 n_shared entries", pa.int64(), pa.int64(), pa.binary(), pa.int32(), _ENTRY)
+            yield _batch(rows, "doc_id n_bytes media_sha256 digests own shared_at", pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.list_(pa.int32()))
 
     def common_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for made in media_of(batches, 1):
@@ -219,23 +217,26 @@ def read_media(records: DataFrame, shared: DataFrame) -> DataFrame:
     def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                rows = [(doc_id, n, *measured([e["own"] for e in entries], whole)) for doc_id, n, whole, entries in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True)]
+                rows = [(doc_id, n, *measured(own, whole)) for doc_id, n, whole, own in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True)]
                 yield _batch(rows, "doc_id n_bytes payload_bytes payload_sha256 tail_crc32 media_bytes media_sha256 feature", pa.int64(), pa.int64(), *_FEATURE_KINDS)
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                rows = [(whole, *measured(parts, whole)) for whole, parts in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True)]
+                rows = []
+                for whole, own, found in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True):
+                    for x in found:
+                        own[x["place"]] = x["chunk"]
+                    rows.append((whole, *measured(own, whole)))
                 yield _batch(rows, "whole payload_bytes payload_sha256 tail_crc32 media_bytes media_sha256 feature", pa.binary(), *_FEATURE_KINDS)
 
-    first = records.where("n_shared = 0").select("doc_id", "n_bytes", "media_sha256", "entries").mapInArrow(alone, f"doc_id long, n_bytes long, {FEATURES}")
-    mixed = records.where("n_shared > 0")
-    once = mixed.groupBy("media_sha256").agg(F.first("entries").alias("entries"))
-    listed = once.select("media_sha256", F.posexplode("entries").alias("place", "e")).select("media_sha256", "place", "e.digest", "e.own")
+    first = records.where("size(shared_at) = 0").select("doc_id", "n_bytes", "media_sha256", "own").mapInArrow(alone, f"doc_id long, n_bytes long, {FEATURES}")
+    mixed = records.where("size(shared_at) > 0")
+    once = lambda *columns: mixed.groupBy("media_sha256").agg(*(F.first(c).alias(c) for c in columns))
+    wanted = once("digests", "shared_at").select("media_sha256", "digests", F.explode("shared_at").alias("place")).select("media_sha256", "place", F.get("digests", "place").alias("digest"))
     lost = F.raise_error(F.lit("a shared chunk is missing")).cast("binary")
-    found = listed.where("own is null").join(shared, "digest", "left").select("media_sha256", "place", F.coalesce("chunk", lost).alias("chunk"))
-    parts = found.union(listed.where("own is not null").select("media_sha256", "place", "own")).groupBy("media_sha256").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "chunk"))), lambda x: x["chunk"]).alias("parts"))
-    told = parts.mapInArrow(joined, f"whole binary, {FEATURES}")
+    found = wanted.join(shared, "digest", "left").groupBy("media_sha256").agg(F.collect_list(F.struct("place", F.coalesce("chunk", lost).alias("chunk"))).alias("found"))
+    told = once("own").join(found, "media_sha256").mapInArrow(joined, f"whole binary, {FEATURES}")
     rest = mixed.select("doc_id", "n_bytes", F.col("media_sha256").alias("whole")).join(told, "whole")
     return first.unionByName(rest.drop("whole"))
 
