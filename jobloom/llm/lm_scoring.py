@@ -17,10 +17,8 @@ gathered on the driver.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +39,23 @@ RATE = 0.05
 _RARE = -(1 << 63)
 
 
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+
+
+def split_words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of all texts, for each word in order its place among them, and the number of words of each text."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    raw = np.frombuffer(b"\n".join([*texts, b""]).lower(), np.uint8)  # on bytes: A-Z only
+    inside = ~_SPACE[raw]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    edges = np.append(0, edges) if len(inside) and inside[0] else edges
+    starts, ends = edges[::2], edges[1::2]  # the last byte is a separator, so every word ends
+    offsets = np.append(0, np.cumsum(ends - starts))
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw[inside])]).dictionary_encode()
+    lengths = np.diff(np.searchsorted(starts, np.append(0, np.cumsum(sizes + 1))))
+    return words.dictionary, words.indices.to_numpy(), lengths
+
+
 def rare_code(word: bytes) -> int:
     """A negative number that stands for a rare word; its lowest bits are the bucket."""
     return (xxhash.xxh64_intdigest(word, seed=42) | 1 << 63) - (1 << 64)
@@ -66,13 +81,10 @@ def word_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0, 32 << 20):
-            seen: Counter[bytes] = Counter()
-            for raw in as_bytes(batch.column(0)):
-                seen.update((raw or b"").lower().split())
-            words = list(seen)
-            for at in range(0, len(words), 50_000):
-                some = words[at : at + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()), pa.array([seen[w] for w in some], pa.int64())], ["word", "n"])
+            words, at, _ = split_words([raw or b"" for raw in as_bytes(batch.column(0))])
+            times = np.bincount(at, minlength=len(words)).astype(np.int64)
+            for start in range(0, len(words), 50_000):
+                yield pa.RecordBatch.from_arrays([words[start : start + 50_000].cast(pa.binary()), pa.array(times[start : start + 50_000])], ["word", "n"])
 
     return text_rows(docs, id_col, text_col).select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -141,9 +153,8 @@ class Windows:
 
     @classmethod
     def of(cls, texts: list[bytes], codes: _Codes, vocabulary: Vocabulary) -> Windows:
-        split = [raw.lower().split() for raw in texts]
-        lengths = np.array([len(x) for x in split], np.int64)
-        found = np.fromiter(map(codes.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum()))
+        words, places, lengths = split_words(texts)
+        found = np.fromiter(map(codes.__getitem__, words.to_pylist()), np.int64, len(words))[places]
         ids = np.where(found < 0, len(vocabulary.words) + (found & (BUCKETS - 1)), found)
         owner = np.repeat(np.arange(len(texts)), lengths)
         edge = max(AROUND)
@@ -278,11 +289,13 @@ def network_scores(docs: DataFrame, vocabulary: Vocabulary, table: np.ndarray, *
             n = batch.num_rows
             some = Windows.of([raw or b"" for raw in as_bytes(batch.column(1))], codes, vocab)
             lp = np.empty(len(some.output))
-            for at in range(0, len(lp), MINIBATCH):
-                lp[at : at + MINIBATCH] = net.run(some.inputs[:, at : at + MINIBATCH], some.output[at : at + MINIBATCH])
+            for at in range(0, len(lp), 2 * MINIBATCH):
+                here = slice(at, at + 2 * MINIBATCH)
+                lp[here] = net.run(some.inputs[:, here], some.output[here])
             rare = some.codes < 0
             owner, code = some.owner[rare], some.codes[rare]
-            order = np.lexsort((code, owner))
+            order = np.argsort(code)
+            order = order[np.argsort(owner[order], kind="stable")]
             owner, code = owner[order], code[order]
             new = np.append(True, (owner[1:] != owner[:-1]) | (code[1:] != code[:-1])) if len(code) else np.zeros(0, bool)
             starts = np.flatnonzero(new)
