@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from jobloom.functions.extract import eligibility_signals, has
 from jobloom.functions.normalise import norm_ascii_fold, norm_ngo, norm_word
 from jobloom.operators.matching import by_value, global_country, nationality_codes, phrase_hits
-from jobloom.registries import track_phrases, track_table
+from jobloom.registries import small_table, track_phrases, track_table
 
 
 
@@ -21,7 +21,7 @@ def _under(text: Column) -> Column:
 
 
 def _phrase_list(spark, phrases: list[str], name: str, normaliser) -> DataFrame:
-    rows = spark.createDataFrame([(name, p, i) for i, p in enumerate(phrases)], "list string, raw string, ord int")
+    rows = small_table(spark, [(name, p, i) for i, p in enumerate(phrases)], "list string, raw string, ord int")
     return rows.withColumn("phrase", normaliser("raw")).drop("raw")
 
 

@@ -86,6 +86,33 @@ def violations(rows: DataFrame, rules: dict[str, Column] | None = None, id_col:
     return rows.select(F.col(id_col).cast("string").alias("id"), F.explode(broken).alias("rule")).withColumn("severity", F.lit(severity))
 
 
+#: Versions that a feed's meta data may name.
+META_VERSIONS = {
+    "location_registry_version": ["2.0"], "investment_taxonomy_version": ["1.0"], "investment_classifier_version": ["1.0"], "dfi_source_pack_version": ["1.0"], "enterprise_adapter_version": ["1.0", "1.1"],
+    "ngo_source_pack_version": ["1.0"], "ngo_taxonomy_version": ["1.0"], "ngo_classifier_version": ["1.0", "1.1"], "official_vacancy_quality_version": ["1.0", "1.1"], "government_source_pack_version": ["1.0"],
+    "government_schema_version": ["1.0"], "kenya_public_institutions_version": ["1.0"], "multinational_source_pack_version": ["1.0"], "africa_access_certification_version": ["1.0"],
+    "government_deduplication_version": ["3.0"], "eligibility_evidence_version": ["2.0"],
+}
+EXTRACTION_LANGUAGES = ["ar", "en", "fr", "pt", "sw"]
+
+
+def meta_violations(metas: DataFrame, meta: str = "meta", id_col: str = "id") -> DataFrame:
+    """V3: (id, rule, severity) over feeds' meta data, a map of strings: required fields, ISO times, languages, versions.
+
+    A key that isn't there breaks no rule but "required"; supported_languages is a list joined by commas.
+    """
+    at = lambda key: F.try_element_at(F.col(meta), F.lit(key))
+    present = lambda key: F.array_contains(F.map_keys(meta), key)
+    iso = lambda key: at(key).rlike(r"^\d{4}-\d\d-\d\d(T\d\d:\d\d(:\d\d(\.\d+)?)?(Z|[+-]\d\d:\d\d)?)?$") & at(key).try_cast("timestamp").isNotNull()
+    rules = {f"meta.{key}.required": ~present(key) for key in ("feed_version", "generated_at")}
+    rules["meta.generated_at.iso"] = present("generated_at") & ~F.coalesce(iso("generated_at"), F.lit(False))
+    rules["meta.next_expected_update.iso"] = at("next_expected_update").isNotNull() & ~F.coalesce(iso("next_expected_update"), F.lit(False))
+    spoken = F.array_sort(F.array_distinct(F.split(F.coalesce(at("supported_languages"), F.lit("")), ",")))
+    rules["meta.supported_languages"] = present("supported_languages") & (spoken != F.lit(EXTRACTION_LANGUAGES))
+    rules |= {f"meta.{key}": present(key) & ~F.coalesce(at(key).isin(known), F.lit(False)) for key, known in META_VERSIONS.items()}
+    return violations(metas, rules, id_col)
+
+
 def duplicate_keys(rows: DataFrame, *keys: str) -> DataFrame:
     """V2, U8: keys that are on more than one row, with their number."""
     return rows.groupBy(*keys).agg(F.count("*").alias("count")).where("count > 1")

@@ -39,6 +39,71 @@ def counters(postings: DataFrame, dimensions: dict[str, tuple[Column, str]], arr
     return counted.withColumn("rank", F.row_number().over(Window.partitionBy("dimension").orderBy(F.desc("count"), "value")))
 
 
+def coverage_dimensions(resolution: Column | None = None) -> dict[str, tuple[Column, str]]:
+    """A1: the 34 single-valued dimensions of the coverage report over enriched postings, and the label of what is missing.
+
+    resolution is A4's location_resolution() where the table has its columns.
+    """
+    c = F.col
+    word = lambda flag: F.when(F.coalesce(flag, F.lit(False)), "priority").otherwise("other")
+    investment, institution, ngo = c("investment_profile"), c("institution_profile"), c("ngo_profile")
+    multinational, relevance, access = c("multinational_profile"), c("africa_relevance"), c("african_applicant_access")
+    level = lambda p: _label(p["certification_level"], "missing")
+    found = {
+        "by_source": (c("source_name"), "Unknown"), "by_source_confidence": (c("source_confidence"), "unknown"), "by_organisation_type": (c("org_type"), "unknown"),
+        "by_opportunity_type": (c("opportunity_type"), "unknown"), "by_industry": (c("industry"), "unknown"), "by_country": (F.coalesce("loc.country", "location_country"), "unknown"),
+        "by_location_scope": (c("location_scope"), "unknown"), "by_work_mode": (c("work_mode"), "unknown"), "by_role_family": (c("role_family"), "unknown"),
+        "by_eligibility_status": (c("eligibility.status"), "unknown"), "by_city": (c("loc.city"), "unknown"), "by_region_canonical": (c("loc.region"), "unknown"),
+        "by_location_language": (c("location_language"), "unknown"), "by_location_confidence": (bucket(c("loc.confidence"), *LOCATION_BUCKETS), "unknown"), "by_admin_area": (c("loc.admin_area"), "unknown"),
+        "by_investment_classification": (investment["classification"], "unknown"), "by_investment_track": (investment["track"], "none"), "by_dfi_relevance": (investment["dfi_relevance"], "unknown"),
+        "by_investment_confidence": (bucket(investment["confidence"], *INVESTMENT_BUCKETS), "unknown"), "by_institution_type": (institution["institution_type"], "unknown"),
+        "by_institution_source_pack": (institution["source_pack"], "none"), "by_institution_priority": (word(institution["priority_institution"]), "other"),
+        "by_ngo_classification": (ngo["classification"], "unknown"), "by_ngo_track": (ngo["track"], "none"), "by_ngo_organisation_group": (ngo["organisation_group"], "other"),
+        "by_ngo_priority": (word((institution["source_pack"] == "ngo") & c("org_priority")), "other"), "by_public_institution_category": (c("public_institution_profile.category"), "none"),
+        "by_multinational_sector": (multinational["sector"], "none"), "by_multinational_priority": (word(multinational["priority_employer"]), "other"),
+        "by_africa_relevance": (relevance["status"], "missing"), "by_african_applicant_access": (access["status"], "missing"), "by_access_evidence_strength": (access["evidence_strength"], "missing"),
+        "by_certification_level": (F.concat_ws("|", level(relevance), level(access)), "missing|missing"),
+    }
+    return found if resolution is None else found | {"by_location_resolution": (resolution, "unresolved")}
+
+
+def certification_cross(postings: DataFrame) -> DataFrame:
+    """A5: (relevance_level, access_level, count): the levels of both profiles against each other, "missing" for none."""
+    level = lambda p: _label(F.col(f"{p}.certification_level"), "missing")
+    return postings.groupBy(level("africa_relevance").alias("relevance_level"), level("african_applicant_access").alias("access_level")).agg(F.count("*").alias("count"))
+
+
+def completeness_fields(columns: list[str]) -> dict[str, Column]:
+    """The predicates of the completeness report, as far as the table has their columns."""
+    given = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) != ""
+    some = lambda c: F.coalesce(F.size(c), F.lit(0)) > 0
+    flag = lambda c: F.coalesce(F.col(c), F.lit(False))
+    there = lambda c: F.col(c).isNotNull()
+    tests = {
+        "country": F.coalesce(given("loc.country"), F.lit(False)) | given("location_country"), "work_mode": given("work_mode"), "industry": given("industry"), "specialisations": some("specialisations"),
+        "seniority": given("seniority"), "years_experience": there("years_experience_min"), "education_required": given("education_required"), "contract_type_known": given("contract_type") & (F.col("contract_type") != "unknown"),
+        "deadline": there("deadline"), "skills_required": some("skills_required"), "compensation": there("compensation"), "eligibility_notes": given("eligibility_notes"), "official_apply_url": flag("apply_is_official"),
+        "organisation_registry_id": given("org_id"), "country_code": given("loc.country_code"), "city": given("loc.city"), "role_family": given("role_family"), "thematic_sectors": some("thematic_sectors"),
+        "eligibility_evidence": some("eligibility.evidence"), "meaningful_eligibility_evidence": F.coalesce(F.col("african_applicant_access.evidence_strength") != "none", F.lit(False)),
+        "africa_relevance_profile": there("africa_relevance"), "african_applicant_access_profile": there("african_applicant_access"), "source_registry_id": given("source_id"), "country_iso3": given("loc.country_iso3"),
+        "admin_area": given("loc.admin_area"), "coordinates": there("loc.lat") & there("loc.lon"), "location_evidence": some("loc.evidence"), "location_language": given("location_language"),
+        "eligibility_language": given("eligibility_language"), "investment_profile": there("investment_profile"), "investment_evidence": some("investment_profile.evidence") | some("investment_profile.negative_evidence"),
+        "institution_profile": there("institution_profile"), "institution_registry_id": given("institution_profile.registry_id"), "public_institution_profile": there("public_institution_profile"), "multinational_profile": there("multinational_profile"),
+    }
+    needs = {
+        "country": "loc", "years_experience": "years_experience_min", "contract_type_known": "contract_type", "official_apply_url": "apply_is_official", "organisation_registry_id": "org_id", "country_code": "loc", "city": "loc",
+        "eligibility_evidence": "eligibility", "meaningful_eligibility_evidence": "african_applicant_access", "africa_relevance_profile": "africa_relevance", "african_applicant_access_profile": "african_applicant_access",
+        "source_registry_id": "source_id", "country_iso3": "loc", "admin_area": "loc", "coordinates": "loc", "location_evidence": "loc", "investment_evidence": "investment_profile", "institution_registry_id": "institution_profile",
+    }
+    return {name: test for name, test in tests.items() if needs.get(name, name) in columns}
+
+
+def most_common(rows: DataFrame, column: str, order: str) -> DataFrame:
+    """One row (value, count): the value on most rows; of equal ones the one that comes first in the given order. Nulls don't count."""
+    counted = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("count"), F.min(order).alias("first"))
+    return counted.orderBy(F.desc("count"), "first").limit(1).select("value", "count")
+
+
 def _tagger(name: str):
     return lambda x: F.struct(F.lit(name).alias("dimension"), x.alias("value"))
 

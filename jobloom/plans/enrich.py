@@ -13,8 +13,9 @@ from jobloom.functions.normalise import norm_unicode
 from jobloom.operators import classify as C
 from jobloom.operators import dedup as D
 from jobloom.operators import matching as M
+from jobloom.operators import quality as V
 from jobloom.operators.lineage import settled
-from jobloom.operators.predicates import split_rejected
+from jobloom.operators.predicates import relevant, split_rejected
 
 _GOVERNMENT = "struct<advert_reference:string,public_service_grade:string,salary_scale:string,number_of_positions:int,citizenship_required:boolean,application_method:string,application_form_url:string,county_or_region_requirement:string,source_document_url:string,eligible_nationalities:array<string>,internal_only:boolean"
 DEFAULTS = {
@@ -47,7 +48,7 @@ class Registries:
         t, r = R.TAXONOMY, R.ROLES
         return cls(
             R.organisation_names(spark), R.source_table(spark), R.PLATFORM_DOMAINS, R.location_terms(spark), R.country_terms(spark), R.country_table(spark), R.alias_table(spark, "specialisations"),
-            spark.createDataFrame(t["source_aliases"], "source_key string, key string, target string"), spark.createDataFrame(t["ignored"], "source_key string, key string"), spark.createDataFrame([(s[0], s[2]) for s in t["specialisations"]], "term string, parent string"),
+            R.small_table(spark, t["source_aliases"], "source_key string, key string, target string"), R.small_table(spark, t["ignored"], "source_key string, key string"), R.small_table(spark, [(s[0], s[2]) for s in t["specialisations"]], "term string, parent string"),
             (R.map_table(spark, r["specialisation_family"], "s", "f"), R.map_table(spark, r["industry_family"], "i", "f"), r["families"]), R.map_table(spark, r["themes"], "key", "themes"), R.INVESTMENT, R.NGO,
         )
 
@@ -65,12 +66,13 @@ def enrich(postings: DataFrame, registries: Registries | None = None) -> DataFra
 
     Steps don't touch the postings themselves: each reads the few columns it needs of the distinct inputs and
     gives what it found by a key of these inputs. What was found is joined with the postings once, at the end,
-    so ids may repeat or be missing. Two narrow tables are checkpointed, because several steps read them.
+    so ids may repeat or be missing. The distinct inputs and two narrow tables of findings are checkpointed,
+    because many steps read them: otherwise each would scan, hash and shuffle the postings again.
     """
     g = registries or Registries.default(postings.sparkSession)
     key = M.VALUE_KEY
     rows = postings.withColumns({c: F.lit(None).cast(kind) for c, kind in DEFAULTS.items() if c not in postings.columns}).withColumn(key, M.value_key(*INPUTS))
-    values = rows.select(key, *INPUTS).dropDuplicates([key])
+    values = settled(rows.select(key, *INPUTS).dropDuplicates([key]))
     of = lambda *columns: values.select(key, *columns)
 
     organisations = M.match_organisations(of("org_name"), g.organisations, id_col=key).drop("org_name")
@@ -110,6 +112,38 @@ def enrich(postings: DataFrame, registries: Registries | None = None) -> DataFra
     return rows.select(*(c for c in rows.columns if c == key or c not in found.columns)).join(found, key).drop(key)
 
 
+def _audit(rows: DataFrame, reason: str) -> DataFrame:
+    return rows.select("id", "title", F.col("org_name").alias("organisation"), F.col("location_raw").alias("location"), F.lit(reason).alias("reason"))
+
+
+def upgrade(postings: DataFrame, registries: Registries | None = None) -> dict[str, DataFrame]:
+    """An older snapshot brought up to date: enriched again, known foreign duty stations rejected with an audit,
+    duplicates resolved again, and counts of all of it. Returns published, rejected, stats."""
+    out = refresh(postings, registries)
+    rejected = _audit(out["rejected"], "known_non_african_without_africa_remit")
+    one = out["kept"].agg(F.count("*").alias("published")).crossJoin(rejected.agg(F.count("*").alias("non_african_removed"))).crossJoin(out["events"].agg(F.count("*").alias("merged")))  # three single rows
+    return {"published": out["kept"], "rejected": rejected, "stats": one.withColumn("input", F.col("published") + F.col("non_african_removed") + F.col("merged"))}
+
+
+def migrate_baseline(postings: DataFrame, registries: Registries | None = None, is_sample: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(kept, rejected with an audit) of a snapshot that must be clean afterwards.
+
+    Rows stay if they are in Africa, open to it from afar, or offer mobility for the role (P5); samples all
+    stay. Terms are mapped again by enrich(). If a kept row breaks a rule (V1) or repeats an id, nothing is
+    migrated: an error says how many do.
+    """
+    g = registries or Registries.default(postings.sparkSession)
+    african = [r.iso2 for r in g.countries.where("is_african").select("iso2").collect()]  # the registry of countries
+    rows = settled(enrich(postings, g).withColumns({"place_code": F.col("loc.country_code"), "in_africa": F.col("loc.is_african")}))
+    stays = F.lit(True) if is_sample else relevant("is_remote_from_kenya", "in_africa", "place_code", african, "summary")
+    kept, gone = rows.where(stays).drop("place_code", "in_africa"), rows.where(~stays)
+    checked = kept.withColumn("country_code", F.col("loc.country_code"))
+    bad = V.violations(checked).count() + V.duplicate_keys(kept, "id").count()
+    if bad:
+        raise ValueError(f"the migrated snapshot is not clean: {bad} errors")
+    return kept, _audit(gone, "no verified African or global location, and no mobility tied to the role")
+
+
 def refresh(postings: DataFrame, registries: Registries | None = None) -> dict[str, DataFrame]:
     """The full refresh after projection: enrich, reject what is out of scope, resolve duplicates.
 

@@ -140,8 +140,8 @@ case("j3_map_industry", {"raw": ["IT", "Software &amp; Data", "banking", "unknow
 def _taxonomy(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
     return (
         R.alias_table(spark, "specialisations"),
-        spark.createDataFrame(R.TAXONOMY["source_aliases"], "source_key string, key string, target string"),
-        spark.createDataFrame(R.TAXONOMY["ignored"], "source_key string, key string"),
+        R.small_table(spark, R.TAXONOMY["source_aliases"], "source_key string, key string, target string"),
+        R.small_table(spark, R.TAXONOMY["ignored"], "source_key string, key string"),
     )
 
 
@@ -153,7 +153,7 @@ case(
     "j7_first_parent",
     {"terms": [["data_analysis", "private_equity"], ["nothing", "accounting"], [], None]},
     {"parent": ("string", ["technology", "financial_services", None, None])},
-    lambda d: M.first_parent(d, d.sparkSession.createDataFrame([(s[0], s[2]) for s in R.TAXONOMY["specialisations"]], "term string, parent string"), "terms", "parent"),
+    lambda d: M.first_parent(d, R.small_table(d.sparkSession, [(s[0], s[2]) for s in R.TAXONOMY["specialisations"]], "term string, parent string"), "terms", "parent"),
 )
 case(
     "j8_infer_specialisations",
@@ -623,12 +623,12 @@ def h1_s20_json_ld(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from jobloom.plans import enriched_queries as more
+    from jobloom.plans import enriched_queries, table_queries
 
-    return FOUND | more.FOUND
+    return FOUND | enriched_queries.FOUND | table_queries.FOUND
 
 
 def oracle_sql() -> dict[str, str]:
-    from jobloom.plans import enriched_queries as more
+    from jobloom.plans import enriched_queries, table_queries
 
-    return SQL | more.SQL
+    return SQL | enriched_queries.SQL | table_queries.SQL

@@ -8,11 +8,22 @@ from __future__ import annotations
 
 import json
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from jobloom.functions.normalise import norm_ascii_fold, norm_unicode, norm_word, taxonomy_key
 
+def small_table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    """Rows that the driver holds as a table of known size: by its statistics Spark broadcasts it in joins while it
+    is small, and shuffles it beyond spark.sql.autoBroadcastJoinThreshold."""
+    struct = StructType.fromDDL(schema)
+    held = pa.Table.from_pylist([dict(zip(struct.names, row, strict=True)) for row in rows], schema=to_arrow_schema(struct))
+    return spark.createDataFrame(held, struct)
+
+
 COUNTRIES = [
     {"iso2": "KE", "iso3": "KEN", "name": "Kenya", "region": "East Africa", "is_african": True, "aliases": ["Quenia", "كينيا"], "nationality_terms": ["kenyan", "kenyans"],
      "cities": [{"name": "Nairobi", "aliases": [], "lat": -1.2921, "lon": 36.8219}, {"name": "Mombasa", "aliases": [], "lat": -4.0435, "lon": 39.6682}], "admin_areas": [{"name": "Turkana County", "aliases": ["Turkana"]}]},
@@ -98,7 +109,7 @@ def load(path: str) -> dict | list:
 
 
 def _ranked(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame([(*row, i) for i, row in enumerate(rows)], f"{schema}, rank int")
+    return small_table(spark, [(*row, i) for i, row in enumerate(rows)], f"{schema}, rank int")
 
 
 def location_terms(spark: SparkSession, countries: list[dict] = COUNTRIES, regions: dict[str, list[str]] = REGIONS) -> DataFrame:
@@ -116,7 +127,7 @@ def location_terms(spark: SparkSession, countries: list[dict] = COUNTRIES, regio
 
 
 def country_table(spark: SparkSession, countries: list[dict] = COUNTRIES) -> DataFrame:
-    return spark.createDataFrame([(c["iso2"], c["iso3"], c["name"], c["region"], c["is_african"]) for c in countries], "iso2 string, iso3 string, name string, region string, is_african boolean")
+    return small_table(spark, [(c["iso2"], c["iso3"], c["name"], c["region"], c["is_african"]) for c in countries], "iso2 string, iso3 string, name string, region string, is_african boolean")
 
 
 def country_terms(spark: SparkSession, countries: list[dict] = COUNTRIES) -> DataFrame:
@@ -143,26 +154,26 @@ def source_table(spark: SparkSession, sources: list[dict] = SOURCES) -> DataFram
 def alias_table(spark: SparkSession, kind: str, taxonomy: dict = TAXONOMY) -> DataFrame:
     """(key, target): every id, label and alias of industries, specialisations or skills."""
     rows = [(k, e[0]) for e in taxonomy[kind] for k in (e[0], e[1], *e[-1])]
-    return spark.createDataFrame(rows, "raw string, target string").select(taxonomy_key("raw").alias("key"), "target").distinct()
+    return small_table(spark, rows, "raw string, target string").select(taxonomy_key("raw").alias("key"), "target").distinct()
 
 
 def track_phrases(spark: SparkSession, taxonomy: dict, normaliser=norm_word) -> DataFrame:
     """(track, track_ord, classification, canonical, kind, phrase, ord) of title and context phrases."""
     rows = [(t["id"], i, t["classification"], t["canonical"], kind, p, j) for i, t in enumerate(taxonomy["tracks"]) for kind in ("title", "context") for j, p in enumerate(t[kind])]
-    made = spark.createDataFrame(rows, "track string, track_ord int, classification string, canonical string, kind string, raw string, ord int")
+    made = small_table(spark, rows, "track string, track_ord int, classification string, canonical string, kind string, raw string, ord int")
     return made.withColumn("phrase", normaliser("raw")).where("phrase != ''").drop("raw")
 
 
 def track_table(spark: SparkSession, taxonomy: dict) -> DataFrame:
-    return spark.createDataFrame([(t["id"], i, t["classification"], t["canonical"]) for i, t in enumerate(taxonomy["tracks"])], "track string, track_ord int, classification string, canonical string")
+    return small_table(spark, [(t["id"], i, t["classification"], t["canonical"]) for i, t in enumerate(taxonomy["tracks"])], "track string, track_ord int, classification string, canonical string")
 
 
 def map_table(spark: SparkSession, mapping: dict, key: str, value: str) -> DataFrame:
-    return spark.createDataFrame([(k, v) for k, v in mapping.items()], f"{key} string, {value} {'array<string>' if isinstance(next(iter(mapping.values())), list) else 'string'}")
+    return small_table(spark, [(k, v) for k, v in mapping.items()], f"{key} string, {value} {'array<string>' if isinstance(next(iter(mapping.values())), list) else 'string'}")
 
 
 def fx_rates(spark: SparkSession, units_per_usd: dict[str, float] = UNITS_PER_USD) -> DataFrame:
     """US dollars for one unit, 8 decimals; rates that aren't positive are dropped, USD is 1."""
-    given = spark.createDataFrame(list(units_per_usd.items()), "currency string, units double")
-    usd = spark.createDataFrame([("USD", 1.0)], "currency string, usd_per_unit double")
+    given = small_table(spark, list(units_per_usd.items()), "currency string, units double")
+    usd = small_table(spark, [("USD", 1.0)], "currency string, usd_per_unit double")
     return given.where("units > 0 and currency != 'USD'").select("currency", F.round(1 / F.col("units"), 8).alias("usd_per_unit")).union(usd)

@@ -33,10 +33,23 @@ def test_greedy_rule_is_not_connected_components(spark):
     assert [s[0] for s in slots] == [0, 1] and events == [(0, 2, False, ["a", "b"])]
 
 
-def test_components_limit(spark):
-    table = spark.createDataFrame([(i, ["k"], {"score": 0, "completeness": 0}, str(i), False) for i in range(5)], "pos long, keys array<string>, precedence struct<score:int,completeness:int>, id string, is_government boolean")
-    with pytest.raises(ValueError, match="over the limit"):
-        D.resolve_duplicates(table, component_limit=4)
+def test_one_component_of_many_rows(spark):
+    """No limit on a component: rows stream through, the first of equal ones stays."""
+    rows = spark.range(20_000).select(F.col("id").alias("pos"), F.array(F.lit("k"), F.concat(F.lit("j"), F.pmod("id", F.lit(7)))).alias("keys"), F.struct(F.lit(0).alias("score"), F.lit(0).alias("completeness")).alias("precedence"), F.col("id").cast("string").alias("id"), F.lit(False).alias("is_government"))
+    kept, events = D.resolve_duplicates(rows)
+    assert [r.pos for r in kept.collect()] == [0] and events.where("kept_pos = 0").count() == 19_999
+
+
+def test_equal_and_missing_ids_keep_their_own_results(spark):
+    from jobloom.operators import classify as C
+
+    data = [("x", "Private Equity Associate", "Harbour Growth Fund", "Nairobi"), ("x", "Driver", "Open Relief", "Dakar"), (None, "Driver", "Open Relief", "Dakar"), (None, "Clerk", None, None), ("x", "Driver", "Open Relief", "Dakar")]
+    rows = spark.createDataFrame(data, "id string, title string, org_name string, location_raw string").withColumn("location_country", F.lit(None).cast("string"))
+    rows = M.match_organisations(rows, R.organisation_names(spark))
+    rows = M.resolve_locations(rows, R.location_terms(spark), R.country_table(spark))
+    got = C.investment_profile(rows.withColumns({"body": F.lit(""), "specialisations": F.array().cast("array<string>")}), R.INVESTMENT)
+    found = sorted((r.title, r.org_id or "", r.loc.city or "", r.investment_profile.is_investment_role) for r in got.collect())
+    assert found == sorted([("Private Equity Associate", "harbour-fund", "Nairobi", True), ("Clerk", "", "", False), *[("Driver", "open-relief", "Dakar", False)] * 3])
 
 
 def test_identity_keys_of_government_rows(spark):
