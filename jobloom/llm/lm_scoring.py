@@ -35,6 +35,8 @@ AROUND = (-2, -1, 1, 2)
 HIDDEN = 16
 ROUNDS = 2
 MINIBATCH = 16_384
+SLICE = 3 << 20  # bytes of text whose windows are laid out at once
+KNOWN = 150_000  # rare words whose codes a worker keeps
 RATE = 0.05
 _RARE = -(1 << 63)
 
@@ -69,7 +71,7 @@ class _Codes(dict):
         super().__init__(zip(words, range(len(words)), strict=True))
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > len(self.words) + 500_000:
+        if len(self) > len(self.words) + KNOWN:
             self.clear()
             self.update(zip(self.words, range(len(self.words)), strict=True))
         got = self[word] = rare_code(word)
@@ -80,7 +82,7 @@ def word_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """Columns: word, n; every word of all texts. Null and empty texts have none."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0, 32 << 20):
+        for batch in slices(batches, 0, 12 << 20):
             words, at, _ = split_words([raw or b"" for raw in as_bytes(batch.column(0))])
             times = np.bincount(at, minlength=len(words)).astype(np.int64)
             for start in range(0, len(words), 50_000):
@@ -236,7 +238,7 @@ def _round(docs: DataFrame, vocabulary: Vocabulary, table: np.ndarray) -> tuple[
         codes, net, bias = _Codes(vocab.words), WindowNetwork(vocab, start.copy()), vocab.rows()[0]
         squares, grad, used = np.ones_like(start), np.zeros_like(start), np.zeros(len(start), np.int64)
         loss, tokens = 0.0, 0
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE):
             some = Windows.of([raw or b"" for raw in as_bytes(batch.column(1))], codes, vocab)
             order = np.random.default_rng(0).permutation(len(some.output))
             for at in range(0, len(order), MINIBATCH):
@@ -285,7 +287,7 @@ def network_scores(docs: DataFrame, vocabulary: Vocabulary, table: np.ndarray, *
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, weights = sent.value
         codes, net = _Codes(vocab.words), WindowNetwork(vocab, weights)
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE):
             n = batch.num_rows
             some = Windows.of([raw or b"" for raw in as_bytes(batch.column(1))], codes, vocab)
             lp = np.empty(len(some.output))
