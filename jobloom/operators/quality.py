@@ -7,81 +7,15 @@ from pyspark.sql import functions as F
 
 from jobloom.functions.extract import percent
 from jobloom.operators.predicates import CERTIFIED_RELEVANCE, certified_default, location_resolution
-
-# Vocabularies.
-OPPORTUNITY_TYPES = ["job", "internship", "fellowship", "consultancy", "volunteer", "graduate_programme", "scholarship"]
-WORK_MODES = ["onsite", "hybrid", "remote_kenya", "remote_regional", "remote_global"]
-SENIORITIES = ["entry", "mid", "senior", "leadership"]
-SCOPES = ["national", "regional", "international"]
-DEADLINE_CONFIDENCES = ["explicit", "inferred", "unknown"]
-EDUCATION = ["phd", "masters", "bachelor", "diploma", "secondary"]
-CONTRACTS = ["permanent", "fixed_term", "contract", "consultant", "part_time", "volunteer", "unknown"]
-CONFIDENCES = ["official", "aggregated", "community", "unverified"]
-
-
-def _blank(c: str) -> Column:
-    return F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == ""
-
+from jobloom.operators.row_rules import CONFIDENCES, blank, row_rules
 
 def _not_in(c: str, allowed: list[str]) -> Column:
     return F.col(c).isNotNull() & ~F.col(c).isin(allowed)
 
 
-def _outside(c: str, low: float, high: float) -> Column:
-    return F.col(c).isNotNull() & ~F.col(c).between(low, high)
-
-
-def _not_like(c: str, pattern: str) -> Column:
-    return F.col(c).isNotNull() & ~F.col(c).rlike(pattern)
-
-
-def row_rules(columns: list[str]) -> dict[str, Column]:
-    """V1: rule -> condition under which a row violates it, for the columns that the table has."""
-    rules: dict[str, Column] = {}
-    have = set(columns)
-
-    def rule(name: str, bad: Column, *needs: str) -> None:
-        if set(needs) <= have:
-            rules[name] = F.coalesce(bad, F.lit(False))
-
-    for c in ("id", "title", "opportunity_type", "org_name", "source_name", "apply_url"):
-        if c in have:
-            rule(f"{c}.required", _blank(c), c)
-    rule("id.characters", ~_blank("id") & _not_like("id", r"^[a-zA-Z0-9_.-]+$"), "id")
-    for c, allowed in {
-        "opportunity_type": OPPORTUNITY_TYPES, "work_mode": WORK_MODES, "seniority": SENIORITIES, "location_scope": SCOPES, "deadline_confidence": DEADLINE_CONFIDENCES,
-        "education_required": EDUCATION, "contract_type": CONTRACTS, "source_confidence": CONFIDENCES,
-    }.items():
-        if c in have:
-            rule(f"{c}.vocabulary", _not_in(c, allowed), c)
-    rule("country_code.format", _not_like("country_code", "^[A-Z]{2}$"), "country_code")
-    rule("country_iso3.format", _not_like("country_iso3", "^[A-Z]{3}$"), "country_iso3")
-    rule("lat.range", _outside("lat", -90, 90), "lat")
-    rule("lon.range", _outside("lon", -180, 180), "lon")
-    for c in ("location_confidence", "investment_confidence", "ngo_confidence", "relevance_confidence", "access_confidence", "eligibility_confidence"):
-        if c in have:
-            rule(f"{c}.range", _outside(c, 0, 1), c)
-    rule("years_experience_min.range", _outside("years_experience_min", 0, 50), "years_experience_min")
-    rule("years_experience_max.range", _outside("years_experience_max", 0, 50), "years_experience_max")
-    rule("years_experience.order", F.col("years_experience_max") < F.col("years_experience_min"), "years_experience_min", "years_experience_max")
-    rule("deadline.before_posted", F.col("deadline") < F.col("posted_at"), "deadline", "posted_at")
-    rule("apply_url.scheme", ~_blank("apply_url") & _not_like("apply_url", "^https?://"), "apply_url")
-    rule("compensation.order", F.col("compensation.max") < F.col("compensation.min"), "compensation")
-    rule("compensation.currency", F.col("compensation").isNotNull() & _not_like("compensation.currency", "^[A-Z]{3}$"), "compensation")
-    rule("number_of_positions.positive", F.col("government_profile.number_of_positions") < 1, "government_profile")
-    rule("citizenship.codes", F.col("government_profile.citizenship_required") & (F.size("government_profile.eligible_nationalities") == 0), "government_profile")
-    rule("investment.track", F.col("investment_profile.is_investment_role") & F.col("investment_profile.track").isNull(), "investment_profile")
-    rule("investment.class", ~F.col("investment_profile.is_investment_role") & ~F.col("investment_profile.classification").isin("institutional_support", "not_investment"), "investment_profile")
-    rule("ngo.track", F.col("ngo_profile.is_programme_role") & F.col("ngo_profile.track").isNull(), "ngo_profile")
-    rule("relevance.visible", (F.col("africa_relevance.status") == "non_african") & F.col("africa_relevance.default_visible"), "africa_relevance")
-    rule("access.not_open_level", F.col("african_applicant_access.status").isin("not_open", "internal_only") & (F.col("african_applicant_access.certification_level") != "excluded"), "african_applicant_access")
-    rule("access.nationality", (F.col("african_applicant_access.status") == "confirmed_specific_african_nationality") & (F.size("african_applicant_access.eligible_nationalities") == 0), "african_applicant_access")
-    return rules
-
-
 def violations(rows: DataFrame, rules: dict[str, Column] | None = None, id_col: str = "id", severity: str = "error") -> DataFrame:
     """V1, V3: one row for each rule that a row violates: (id, rule, severity). Every violation counts, not just the first."""
-    rules = row_rules(rows.columns) if rules is None else rules
+    rules = row_rules(rows.schema) if rules is None else rules
     broken = F.array_compact(F.array(*(F.when(bad, F.lit(name)) for name, bad in rules.items())))
     return rows.select(F.col(id_col).cast("string").alias("id"), F.explode(broken).alias("rule")).withColumn("severity", F.lit(severity))
 
@@ -135,7 +69,7 @@ def registry_violations(organisations: DataFrame, types: list[str], countries: D
     dup = lambda c: duplicate_keys(organisations, c).select(F.lit(f"{c}.unique").alias("rule"), F.col(c).alias("key"))
     kinds = organisations.where(_not_in("type", types)).select(F.lit("type.vocabulary"), "id")
     lands = organisations.where(F.col("country_code").isNotNull()).join(countries.select(F.col("iso2").alias("country_code")), "country_code", "left_anti").select(F.lit("country_code.reference"), "id")
-    why = organisations.where(~F.col("enabled") & _blank("disabled_reason")).select(F.lit("disabled_reason.required"), "id")
+    why = organisations.where(~F.col("enabled") & blank("disabled_reason")).select(F.lit("disabled_reason.required"), "id")
     return dup("id").union(dup("name")).union(kinds).union(lands).union(why)
 
 
@@ -148,7 +82,7 @@ def source_violations(sources: DataFrame) -> DataFrame:
 def publication_checks(rows: DataFrame, generated_at: Column, as_of: Column, required: list[str], max_age_hours: int = 24) -> DataFrame:
     """V7: (check, failures): missing fields, and whether the snapshot is fresh (old, or over 5 minutes ahead)."""
     age = (F.unix_timestamp(as_of) - F.unix_timestamp(generated_at)) / 60
-    fields = [F.count_if(_blank(c)).alias(f"{c}.missing") for c in required]
+    fields = [F.count_if(blank(c)).alias(f"{c}.missing") for c in required]
     one = rows.agg(*fields, F.lit((age > 60 * max_age_hours).cast("long")).alias("snapshot.stale"), F.lit((age < -5).cast("long")).alias("snapshot.future"))
     return one.select(F.explode(F.array(*(F.struct(F.lit(c).alias("check"), F.col(f"`{c}`").alias("failures")) for c in one.columns))).alias("x")).select("x.*")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from jobloom.operators import matching as M
 from jobloom.operators import quality as V
 from jobloom.operators.lineage import settled
 from jobloom.operators.predicates import relevant, split_rejected
+from jobloom.operators.row_rules import row_rules
 
 _GOVERNMENT = "struct<advert_reference:string,public_service_grade:string,salary_scale:string,number_of_positions:int,citizenship_required:boolean,application_method:string,application_form_url:string,county_or_region_requirement:string,source_document_url:string,eligible_nationalities:array<string>,internal_only:boolean"
 DEFAULTS = {
@@ -42,6 +43,7 @@ class Registries:
     themes: DataFrame
     investment: dict
     ngo: dict
+    vocabularies: dict[str, list[str]] = field(default_factory=dict)  # what V1 allows besides its fixed values
 
     @classmethod
     def default(cls, spark: SparkSession) -> Registries:
@@ -49,7 +51,7 @@ class Registries:
         return cls(
             R.organisation_names(spark), R.source_table(spark), R.PLATFORM_DOMAINS, R.location_terms(spark), R.country_terms(spark), R.country_table(spark), R.alias_table(spark, "specialisations"),
             R.small_table(spark, t["source_aliases"], "source_key string, key string, target string"), R.small_table(spark, t["ignored"], "source_key string, key string"), R.small_table(spark, [(s[0], s[2]) for s in t["specialisations"]], "term string, parent string"),
-            (R.map_table(spark, r["specialisation_family"], "s", "f"), R.map_table(spark, r["industry_family"], "i", "f"), r["families"]), R.map_table(spark, r["themes"], "key", "themes"), R.INVESTMENT, R.NGO,
+            (R.map_table(spark, r["specialisation_family"], "s", "f"), R.map_table(spark, r["industry_family"], "i", "f"), r["families"]), R.map_table(spark, r["themes"], "key", "themes"), R.INVESTMENT, R.NGO, R.vocabularies(),
         )
 
 
@@ -137,8 +139,7 @@ def migrate_baseline(postings: DataFrame, registries: Registries | None = None,
     rows = settled(enrich(postings, g).withColumns({"place_code": F.col("loc.country_code"), "in_africa": F.col("loc.is_african")}))
     stays = F.lit(True) if is_sample else relevant("is_remote_from_kenya", "in_africa", "place_code", african, "summary")
     kept, gone = rows.where(stays).drop("place_code", "in_africa"), rows.where(~stays)
-    checked = kept.withColumn("country_code", F.col("loc.country_code"))
-    bad = V.violations(checked).count() + V.duplicate_keys(kept, "id").count()
+    bad = V.violations(kept, row_rules(kept.schema, g.vocabularies)).count() + V.duplicate_keys(kept, "id").count()
     if bad:
         raise ValueError(f"the migrated snapshot is not clean: {bad} errors")
     return kept, _audit(gone, "no verified African or global location, and no mobility tied to the role")

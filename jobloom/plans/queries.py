@@ -109,7 +109,7 @@ case(
 )
 case("f17_first_integer", {"t": ["12 posts", "1,200 units", "none", None, "no. 7 of 9"]}, {"o": ("int", [12, 1200, None, None, 7])}, lambda d: d.withColumn("o", X.first_integer("t")))
 case("f17_day_month_year", {"t": ["closes 31-12-2026", "1/2/2026", "2026", None]}, {"o": ("timestamp", ["2026-12-31 23:59:59", "2026-02-01 23:59:59", None, None])}, lambda d: d.withColumn("o", X.day_month_year("t")))
-case("f19_opportunity_type", {"t": ["Summer Internship", "Research Fellow", "Tax Consultant", "Volunteer", "Clerk", None]}, {"o": ("string", ["internship", "fellowship", "consultancy", "volunteer", "job", "job"])}, lambda d: d.withColumn("o", X.opportunity_type("t")))
+case("f19_opportunity_type", {"t": ["Summer Internship", "Research Fellow", "Tax Consultant", "Volunteer", "Clerk", None]}, {"o": ("string", ["internship", "fellowship", "job", "job", "job", "job"])}, lambda d: d.withColumn("o", X.opportunity_type("t")))
 case("a20_industry", {"a": ["Backend developer", "Nurse", "Clerk", None, "Ongoing programme officer"], "b": ["python", "clinical work", "nothing", None, "livelihoods"]}, {"o": ("string", ["technology", "healthcare", None, None, "development_humanitarian"])}, lambda d: d.withColumn("o", X.industry("a", "b")))
 case(
     "p6_p7_sponsorship",

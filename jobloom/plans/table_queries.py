@@ -207,6 +207,36 @@ def v6_source_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.source_violations(rows)
 
 
+# A rule, the divisor of the keys that break it, the column it is about, and its values where the key is so divided and elsewhere.
+_BROKEN = [
+    ("org_type.vocabulary", 3, "org_type", "'club'", "'ngo'"),
+    ("location_scope.vocabulary", 4, "location_scope", "'village'", "'local'"),
+    ("education_required.vocabulary", 6, "education_required", "'school'", "'none'"),
+    ("source_confidence.vocabulary", 7, "source_confidence", "CAST(NULL AS STRING)", "'official'"),
+    ("source_url.url", 8, "source_url", "'ftp://a.test'", "'https://a.test/x'"),
+    ("apply_url.url", 9, "apply_url", "'http://'", "'HTTP://b.test'"),
+    ("org_id.identifier", 10, "org_id", "'A b'", "'a-b_c'"),
+    ("posted_at.iso", 11, "posted_at", "'May 4'", "'2024-05-04T10:00:00Z'"),
+    ("flags.vocabulary", 12, "flags", "array('urgent', 'loud')", "array('urgent')"),
+    ("years_experience_max.range", 13, "years_experience_max", "51", "50"),
+    ("eligibility.status.vocabulary", 14, "eligibility", "named_struct('status', 'maybe', 'confidence', 0.5D)", "named_struct('status', 'eligible', 'confidence', 1D)"),
+    ("africa_relevance.confidence.range", 15, "africa_relevance", "named_struct('confidence', CAST(NULL AS DOUBLE))", "CAST(NULL AS STRUCT<confidence: DOUBLE>)"),
+    ("investment_profile.role_family", 16, "investment_profile", "named_struct('is_investment_role', true)", "named_struct('is_investment_role', false)"),
+    ("ngo_profile.is_ngo_or_un.required", 17, "ngo_profile", "named_struct('is_ngo_or_un', CAST(NULL AS BOOLEAN))", "named_struct('is_ngo_or_un', true)"),
+    ("government_profile.eligible_nationalities.strings", 18, "government_profile", "named_struct('eligible_nationalities', CAST(NULL AS ARRAY<STRING>))", "named_struct('eligible_nationalities', array('KE'))"),
+    ("institution_profile.dfi_type", 19, "institution_profile", "named_struct('is_dfi_or_multilateral', true, 'institution_type', 'university')", "named_struct('is_dfi_or_multilateral', true, 'institution_type', 'dfi')"),
+    ("public_institution_profile.country", 21, "public_institution_profile", "named_struct('is_public_institution', true, 'country_code', 'UG')", "named_struct('is_public_institution', true, 'country_code', 'KE')"),
+]
+
+
+@query(" UNION ALL ".join(f"SELECT CAST(o_orderkey AS VARCHAR) AS id, '{rule}' AS rule, 'error' AS severity FROM orders WHERE o_orderkey % {n} = 0" for rule, n, *_ in _BROKEN))
+def v1_profile_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules of places, sources and profiles over one posting for each order; a row breaks several."""
+    told = [F.expr(f"IF(o_orderkey % {n} = 0, {bad}, {good})").alias(c) for _, n, c, bad, good in _BROKEN]
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.lit("banking_and_finance").alias("role_family"), *told)
+    return V.violations(rows)
+
+
 @query("""SELECT 'id.missing' AS "check", CAST(0 AS BIGINT) AS failures UNION ALL SELECT 'title.missing', count(*) FROM orders WHERE o_orderkey % 6 = 0 UNION ALL SELECT 'snapshot.stale', 1 UNION ALL SELECT 'snapshot.future', 0""")
 def v7_publication_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 6 != 0, F.col("o_orderpriority")).otherwise(" ").alias("title"))
@@ -269,7 +299,7 @@ def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     row = F.pmod(k, F.lit(E.CHAIN.n)).cast("int")
     told = {c: _dealt(v, row) for c, v in E._IN.items()}
-    told |= {"title": F.concat_ws(" ", told["title"], k.cast("string")), "apply_url": F.concat(F.lit("https://a.test/"), k.cast("string"))}
+    told |= {"title": F.concat_ws(" ", told["title"], k.cast("string")), "apply_url": F.concat(F.lit("https://a.test/"), k.cast("string")), "source_url": F.lit("https://boards.example.com/list")}
     return table(spark, sf_dir, "orders").select(k.cast("long").alias("pos"), k.cast("string").alias("id"), *(v.alias(c) for c, v in told.items()))
 
 

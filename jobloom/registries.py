@@ -157,6 +157,13 @@ def alias_table(spark: SparkSession, kind: str, taxonomy: dict = TAXONOMY) -> Da
     return small_table(spark, rows, "raw string, target string").select(taxonomy_key("raw").alias("key"), "target").distinct()
 
 
+def vocabularies(organisations: list[dict] = ORGANISATIONS, taxonomy: dict = TAXONOMY, tracks: list[dict] = [*INVESTMENT["tracks"], *NGO["tracks"]]) -> dict[str, list[str]]:  # noqa: B006
+    """What registries add to the vocabularies of row_rules()."""
+    given = lambda field: sorted({o[field] for o in organisations if o[field] is not None})
+    canonical = {s[0] for s in taxonomy["specialisations"]} | {t["canonical"] for t in tracks}
+    return {"organisation_type": given("type"), "sector": given("sector"), "category": given("sector"), "specialisation": sorted(canonical)}
+
+
 def track_phrases(spark: SparkSession, taxonomy: dict, normaliser=norm_word) -> DataFrame:
     """(track, track_ord, classification, canonical, kind, phrase, ord) of title and context phrases."""
     rows = [(t["id"], i, t["classification"], t["canonical"], kind, p, j) for i, t in enumerate(taxonomy["tracks"]) for kind in ("title", "context") for j, p in enumerate(t[kind])]

@@ -11,6 +11,7 @@ from jobloom.operators import dedup as D
 from jobloom.operators import matching as M
 from jobloom.operators import quality as V
 from jobloom.operators import snapshot as U
+from jobloom.operators.row_rules import row_rules, row_warnings
 from jobloom.sources import landed as L
 from jobloom.sources import pages as H
 from jobloom.streaming import jobs as T
@@ -89,6 +90,28 @@ def test_registry_references(spark):
 
 
 # ---- quality
+def test_row_rules(spark):
+    schema = "id string, title string, org_id string, posted_at string, deadline string, lat double, lon double, flags array<string>, source_confidence string, institution_profile struct<is_dfi_or_multilateral:boolean,institution_type:string,priority_institution:boolean,source_pack:string>"
+    clean = ("a-1", "Clerk", None, "2024-05-01", "2024-05-02", 1.0, 2.0, [], "official", (True, "dfi", True, "dfi"))
+    bare = ("b", "Clerk", None, None, None, None, None, None, "community", None)  # nulls break nothing but what is needed
+    bad = ("c d", " ", "A", "soon", "2024", 91.0, None, ["sample", None], "official", (True, "ngo", None, None))
+    late = ("", "Clerk", "a--b", "2024-05-02T00:00:00Z", "2024-05-01", -90.0, -180.5, ["urgent"], None, (None, None, True, "x"))
+    rows = spark.createDataFrame([clean, bare, bad, late], schema)
+    got = {}
+    for r in V.violations(rows).collect():
+        got.setdefault(r.id, set()).add(r.rule)
+    assert got == {
+        "c d": {"id.characters", "title.required", "org_id.identifier", "posted_at.iso", "deadline.iso", "lat.range", "lon.range", "flags.strings", "flags.sample_official", "institution_profile.dfi_type", "institution_profile.priority_institution.required"},
+        "": {"id.required", "org_id.identifier", "lon.range", "deadline.before_posted", "source_confidence.vocabulary", "institution_profile.institution_type.vocabulary", "institution_profile.is_dfi_or_multilateral.required", "institution_profile.source_pack"},
+    }
+    assert V.violations(rows.limit(0)).count() == 0
+    more = row_rules(rows.schema, {"organisation_type": ["club"]})["institution_profile.institution_type.vocabulary"]
+    one = spark.createDataFrame([(("club",),), (("band",),)], "institution_profile struct<institution_type:string>")
+    assert [r.bad for r in one.select(more.alias("bad")).collect()] == [False, True]
+    link = spark.createDataFrame([(None,), ("https://a.test",)], "apply_url string")
+    assert V.violations(link.withColumn("id", F.lit("x"))).count() == 0 and link.where(row_warnings(link.schema)["apply_url.missing"]).count() == 1
+
+
 def test_registry_and_publication_checks(spark):
     orgs = spark.createDataFrame([("a", "N", "ngo", True, None, "KE"), ("a", "M", "bad", False, None, "XX")], "id string, name string, type string, enabled boolean, disabled_reason string, country_code string")
     assert {(r.rule, r.key) for r in V.registry_violations(orgs, ["ngo"], R.country_table(spark)).collect()} == {("id.unique", "a"), ("type.vocabulary", "a"), ("country_code.reference", "a"), ("disabled_reason.required", "a")}
