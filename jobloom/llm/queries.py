@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import bpe, chat, language_id, lm_scoring, media, near_dedup, packing, quality, sharding, warc
+from jobloom.llm import bpe, chat, hard_negatives, language_id, lm_scoring, media, near_dedup, packing, quality, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,10 +70,15 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_language_id, op2_best_fit_packing, op3_lm_scoring, op4_minhash_near_dedup, op5_byte_bpe,
-        op6_quality_rules, op7_sharding, op8_warc, op9_chat_formatting, op10_media_columns,
+        op6_quality_rules, op7_sharding, op8_warc, op9_chat_formatting, op10_media_columns, op11_hard_negatives,
     ]
     return {f.__name__: f for f in found}
 
@@ -87,6 +92,17 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM f"""
 
 
+OP11_SQL = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+ FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS row_id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, row_id) <= 5),
+n AS (SELECT p.anchor_id, p.row_id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.row_id ORDER BY s.score DESC, s.row_id) AS INTEGER) AS rank,
+ s.row_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+ FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT * FROM n WHERE rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The others need CRC-32, tokenizers, models or components of links, which DuckDB has not; tests hold them against brute force."""
-    return {"op8_warc": OP8_SQL}
+    return {"op8_warc": OP8_SQL, "op11_hard_negatives": OP11_SQL}
