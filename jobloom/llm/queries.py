@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import bpe, chat, hard_negatives, language_id, lm_scoring, media, near_dedup, packing, quality, sharding, warc
+from jobloom.llm import bpe, chat, hard_negatives, language_id, lm_scoring, media, near_dedup, packing, quality, sharding, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,10 +75,15 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows, rows.where(F.col("vec_id") % 100 == 0))
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(_table(spark, sf_dir, "documents"), _vocabulary_path("byte_bpe_50k.tiktoken"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_language_id, op2_best_fit_packing, op3_lm_scoring, op4_minhash_near_dedup, op5_byte_bpe,
         op6_quality_rules, op7_sharding, op8_warc, op9_chat_formatting, op10_media_columns, op11_hard_negatives,
+        op13_token_files,
     ]
     return {f.__name__: f for f in found}
 
