@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import bpe, chat, hard_negatives, language_id, lm_scoring, media, near_dedup, packing, quality, sharding, token_files, warc
+from jobloom.llm import bpe, chat, hard_negatives, language_id, lm_scoring, media, near_dedup, packing, prefix_trie, quality, sharding, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +75,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows, rows.where(F.col("vec_id") % 100 == 0))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_of(prefix_trie.share_heads(prefix_trie.segments(_table(spark, sf_dir, "conversations"))))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_table(spark, sf_dir, "documents"), _vocabulary_path("byte_bpe_50k.tiktoken"))
 
@@ -83,7 +87,7 @@ def queries() -> dict[str, Query]:
     found = [
         op1_language_id, op2_best_fit_packing, op3_lm_scoring, op4_minhash_near_dedup, op5_byte_bpe,
         op6_quality_rules, op7_sharding, op8_warc, op9_chat_formatting, op10_media_columns, op11_hard_negatives,
-        op13_token_files,
+        op12_prefix_trie, op13_token_files,
     ]
     return {f.__name__: f for f in found}
 
@@ -108,6 +112,25 @@ n AS (SELECT p.anchor_id, p.row_id AS positive_id, CAST(row_number() OVER (PARTI
 SELECT * FROM n WHERE rank <= 10"""
 
 
+#: CRC-32 bit by bit over the digits; nodes by the hash of all turns up to them; subtrees by pairs of a node and its ancestors on its owner's path.
+OP12_SQL = """
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS r FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+u AS (SELECT c.conv_id, t.r AS place, t.role, t.text FROM c JOIN t ON t.conv_id = c.base AND t.r <= c.h
+ UNION ALL SELECT c.conv_id, 1000000 + t.r, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.r > c.h),
+s AS (SELECT conv_id, row_number() OVER w AS depth, sha256(string_agg(sha256(strlen(role) || ':' || role || text), '') OVER w) AS k, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words
+ FROM u WINDOW w AS (PARTITION BY conv_id ORDER BY place)),
+p AS (SELECT conv_id, depth, k, lag(k, 1, 'root') OVER (PARTITION BY conv_id ORDER BY depth) AS up, words FROM s UNION ALL SELECT conv_id, 0, 'root', NULL, 0 FROM c),
+n AS (SELECT k, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(up) AS up, count(*) AS n_convs, any_value(words) AS words FROM p GROUP BY k),
+kids AS (SELECT up, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids ON kids.up = n.k),
+subs AS (SELECT a.k, count(*) FILTER (m.n_children = 0) AS n_leaves, sum((m.n_convs - 1) * m.words) AS saved FROM m JOIN p a ON a.conv_id = m.conv_id AND a.depth <= m.depth GROUP BY a.k),
+ends AS (SELECT k, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends FROM (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY depth DESC) = 1) GROUP BY k)
+SELECT m.conv_id, CAST(m.depth AS BIGINT) AS depth, b.conv_id AS parent_conv_id, m.n_convs, m.n_children, subs.n_leaves, CAST(saved AS BIGINT) AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM m JOIN subs USING (k) LEFT JOIN ends USING (k) LEFT JOIN n b ON b.k = m.up"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The others need CRC-32, tokenizers, models or components of links, which DuckDB has not; tests hold them against brute force."""
-    return {"op8_warc": OP8_SQL, "op11_hard_negatives": OP11_SQL}
+    return {"op8_warc": OP8_SQL, "op11_hard_negatives": OP11_SQL, "op12_prefix_trie": OP12_SQL}
