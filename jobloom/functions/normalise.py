@@ -13,7 +13,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 _NOT_ASCII = r"[^a-z0-9]+"
 
@@ -36,9 +36,13 @@ def _vectorised(plain):
     return run
 
 
+def _words(text: str) -> str:
+    return re.sub(r"[^\w]+", " ", _fold(unicodedata.normalize("NFKD", html.unescape(text)).casefold())).strip()
+
+
 _unicode = _vectorised(_letters_and_numbers)
 _ascii_fold = _vectorised(lambda x: _fold(x).lower())
-_word = _vectorised(lambda x: re.sub(r"[^\w]+", " ", _fold(unicodedata.normalize("NFKD", html.unescape(x)).casefold())).strip())
+_word = _vectorised(_words)
 _ngo = _vectorised(lambda x: _fold(x).casefold())
 _casefold = _vectorised(str.casefold)
 _unescape = _vectorised(html.unescape)
@@ -83,10 +87,31 @@ def taxonomy_key(value: Column | str) -> Column:
     return _casefold(F.trim(F.regexp_replace(_unescape(_or_empty(value)), r"(?U)\s+", " ")))
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def _keys_of(values: pd.Series) -> pd.Series:
+    known: dict = {}
+    plain = lambda x: re.sub(r"[^\S\x1c-\x1f]+", " ", html.unescape(x)).strip(" ").casefold()
+    return values.map(lambda xs: None if xs is None else [known[x] if x in known else known.setdefault(x, plain(x)) for x in ("" if x is None else x for x in xs)])
+
+
+def taxonomy_keys(values: Column | str) -> Column:
+    """taxonomy_key of each element of an array; null elements become empty."""
+    return _keys_of(values)
+
+
 def slug(value: Column | str) -> Column:
     return F.regexp_replace(norm_ascii_fold(value), " ", "-")
 
 
+#: Normalisers as plain functions of a text, for steps that match in the same pass over a batch.
+PLAIN = {
+    norm_unicode: _letters_and_numbers,
+    norm_word: _words,
+    norm_ascii_fold: lambda x: re.sub(_NOT_ASCII, " ", _fold(x).lower()).strip(" "),
+    norm_ngo: lambda x: re.sub(_NOT_ASCII, " ", _fold(x).casefold()).strip(" "),
+}
+
+
 def html_to_text(markup: Column | str, max_chars: int = 300) -> Column:
     """text of a fragment of HTML, white space collapsed, cut to max_chars and "..."; null if there is none.
 

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from jobloom.functions.extract import eligibility_signals, has
 from jobloom.functions.normalise import norm_ascii_fold, norm_ngo, norm_word
-from jobloom.operators.matching import by_value, global_country, nationality_codes, phrase_hits
-from jobloom.registries import small_table, track_phrases, track_table
-
+from jobloom.operators.lexicon import derived, first, lookup, once, ordered, phrases_in, whole
+from jobloom.operators.matching import african_codes, global_country, nationality_codes, resolve_locations
+from jobloom.registries import remembered, small_table, track_phrases, track_table
 
 
 def _none() -> Column:
@@ -20,92 +20,123 @@ def _under(text: Column) -> Column:
     return F.regexp_replace(text, " ", "_")
 
 
-def _phrase_list(spark, phrases: list[str], name: str, normaliser) -> DataFrame:
-    rows = small_table(spark, [(name, p, i) for i, p in enumerate(phrases)], "list string, raw string, ord int")
-    return rows.withColumn("phrase", normaliser("raw")).drop("raw")
+@remembered
+def _listed(spark, lists: dict[str, list[str]], taxonomy: dict, normaliser) -> DataFrame:
+    """Phrases of titles in one registry: of tracks (kind title or context) and of lists (kind is the list's name)."""
+    rows = small_table(spark, [(name, p, i) for name, words in lists.items() for i, p in enumerate(words)], "kind string, raw string, ord int")
+    return track_phrases(spark, taxonomy, normaliser).unionByName(rows.withColumn("phrase", normaliser("raw")).drop("raw"), allowMissingColumns=True)
+
+
+def _of_list(hits: str, name: str) -> Column:
+    """Distinct phrases of a list in its order."""
+    mine = F.filter(hits, lambda x: x["kind"] == name)
+    return F.array_distinct(F.transform(ordered(mine, lambda x: x["ord"], phrase=lambda x: x["phrase"]), lambda x: x["phrase"]))
+
+
+def _by_track(**hits: Column) -> Column:
+    """One struct for each track that is hit, with a field for each kind of hit: its first entry's phrase.
+
+    hits: arrays of structs (track_ord, track, classification, canonical, phrase), the deciding one first.
+    """
+    every = F.concat(*(F.transform(h, lambda x: F.struct(*(x[c].alias(c) for c in ("track_ord", "track", "classification", "canonical")))) for h in hits.values()))
+    one = lambda h, t: first(F.filter(h, lambda x: x["track_ord"] == t["track_ord"]))["phrase"]
+    return F.transform(F.array_distinct(every), lambda t: F.struct(t["track_ord"].alias("track_ord"), t["track"].alias("track"), t["classification"].alias("classification"), t["canonical"].alias("canonical"), *(one(h, t).alias(n) for n, h in hits.items())))
+
+
+def _kind(hits: str, kind: str, *order) -> Column:
+    fields = {c: (lambda x, c=c: x[c]) for c in ("track_ord", "track", "classification", "canonical", "phrase")}
+    return ordered(F.filter(hits, lambda x: x["kind"] == kind), *order, **fields)
+
+
+def _canonical(tracks: str) -> Column:
+    fields = {c: (lambda x, c=c: x[c]) for c in ("track_ord", "track", "classification", "canonical")}
+    return ordered(tracks, lambda x: x["track_ord"], phrase=lambda x: x["canonical"], **fields)
+
 
+def _investment_lists(taxonomy: dict) -> dict[str, list[str]]:
+    return {"absolute": taxonomy["absolute_negatives"], "hard": taxonomy["hard_negatives"], "support": taxonomy["support_titles"], "generic": taxonomy["generic_titles"]}
 
-def _listed_hits(titles: DataFrame, lists: dict[str, list[str]], normaliser, id_col: str) -> DataFrame:
-    """(id, one array of phrases in order for each list)."""
-    spark = titles.sparkSession
-    phrases = None
-    for name, words in lists.items():
-        made = _phrase_list(spark, words, name, normaliser)
-        phrases = made if phrases is None else phrases.union(made)
-    hits = phrase_hits(titles, "title_text", phrases).dropDuplicates([id_col, "list", "ord"])
-    grouped = hits.groupBy(id_col)
-    return grouped.agg(*(F.transform(F.array_sort(F.collect_list(F.when(F.col("list") == name, F.struct("ord", "phrase")))), lambda x: x["phrase"]).alias(name) for name in lists))
 
+def _contexts(spark, taxonomy: dict, normaliser) -> DataFrame:
+    return derived("contexts", lambda t: t.where("kind = 'context'"), track_phrases(spark, taxonomy, normaliser))
 
-@by_value("title", "body", "specialisations", "org_type")
-def investment_profile(postings: DataFrame, taxonomy: dict, *, id_col: str = "id") -> DataFrame:
-    """Adds investment_profile. postings: id, title, body (text beside the title), specialisations, org_type.
+
+def investment_hits(postings: DataFrame, taxonomy: dict, body_col: str) -> DataFrame:
+    """Adds what investment_profile finds in the title and the body, unless it is there already."""
+    spark = postings.sparkSession
+    rows = phrases_in(postings, "title", norm_word, _listed(spark, _investment_lists(taxonomy), taxonomy, norm_word), "phrase", "_investment_in_title")
+    return phrases_in(rows, body_col, norm_word, _contexts(spark, taxonomy, norm_word), "phrase", f"_investment_in_{body_col}")
+
+
+def ngo_title_hits(postings: DataFrame, taxonomy: dict) -> DataFrame:
+    """Adds what ngo_profile finds in the title, unless it is there already."""
+    lists = {"negatives": taxonomy["negatives"], "supports": taxonomy["support_titles"]}
+    return phrases_in(postings, "title", norm_ngo, _listed(postings.sparkSession, lists, taxonomy, norm_ngo), "phrase", "_ngo_in_title")
+
+
+def investment_profile(postings: DataFrame, taxonomy: dict, body_col: str = "body") -> DataFrame:
+    """Adds investment_profile. postings: title, body_col (text beside the title), specialisations, org_type.
 
     A track scores by canonical specialisation (.82), title phrase (.88 and up to .12 by length),
     context phrase in the title (.78) and in the body (.42). Title evidence outweighs negatives; an
     institution's own context only strengthens evidence that is there.
     """
     spark = postings.sparkSession
-    texts = postings.select(id_col, norm_word("title").alias("title_text"), norm_word("body").alias("body_text"), F.coalesce("specialisations", _none()).alias("specs"), F.coalesce("org_type", F.lit("unverified")).alias("org_type"))
-    phrases = track_phrases(spark, taxonomy)
-    tracks = track_table(spark, taxonomy)
-
-    in_title = phrase_hits(texts.select(id_col, "title_text"), "title_text", phrases)
-    in_body = phrase_hits(texts.select(id_col, "body_text"), "body_text", phrases.where("kind = 'context'"))
-    canonical = texts.select(id_col, F.explode("specs").alias("canonical")).distinct().join(tracks, "canonical").select(id_col, "track", F.lit("spec").alias("place"), F.col("canonical").alias("phrase"), F.lit(0).alias("ord"))
-    hits = in_title.select(id_col, "track", F.when(F.col("kind") == "title", "title").otherwise("title_context").alias("place"), "phrase", "ord").union(in_body.select(id_col, "track", F.lit("body"), "phrase", "ord")).union(canonical)
-    pick = lambda place, order: F.min_by(F.when(F.col("place") == place, F.col("phrase")), F.when(F.col("place") == place, order))
-    by_track = hits.groupBy(id_col, "track").agg(
-        F.max(F.when(F.col("place") == "spec", F.col("phrase"))).alias("spec"),
-        pick("title", F.struct(-F.length("phrase"), "ord")).alias("title_phrase"),
-        pick("title_context", F.struct(F.lit(0), "ord")).alias("title_context"),
-        pick("body", F.struct(F.lit(0), "ord")).alias("body_context"),
-    )
-    score = (
-        F.when(F.col("spec").isNotNull(), 0.82).otherwise(0.0) + F.when(F.col("title_phrase").isNotNull(), 0.88 + F.least(F.lit(0.12), F.length("title_phrase") / 250.0)).otherwise(0.0)
-        + F.when(F.col("title_context").isNotNull(), 0.78).otherwise(0.0) + F.when(F.col("body_context").isNotNull(), 0.42).otherwise(0.0)
-    )
-    scored = by_track.join(tracks, "track").withColumn("score", score)
-    best = scored.groupBy(id_col).agg(F.max_by(F.struct("track", "classification", "canonical", "score", "spec", "title_phrase", "title_context", "body_context"), F.struct("score", -F.col("track_ord"))).alias("b"))
-    lists = {"absolute": taxonomy["absolute_negatives"], "hard": taxonomy["hard_negatives"], "support": taxonomy["support_titles"], "generic": taxonomy["generic_titles"]}
-    named = _listed_hits(texts.select(id_col, "title_text"), lists, norm_word, id_col)
-    rows = texts.join(best, id_col, "left").join(named, id_col, "left")
-    for name in lists:
-        rows = rows.withColumn(name, F.coalesce(name, _none()))
+    own_columns = [c for c in postings.columns if c != "investment_profile"]
+    lists = _investment_lists(taxonomy)
+    rows = investment_hits(postings, taxonomy, body_col)
+    rows = once(rows, {"in_title": F.col("_investment_in_title"), "in_body": F.col(f"_investment_in_{body_col}"), "specs": F.coalesce("specialisations", _none()), "kind": F.coalesce("org_type", F.lit("unverified"))})
+    rows = rows.select(F.struct(*own_columns).alias("_row"), "in_title", "in_body", "specs", F.col("kind").alias("org_type"))
+    rows = lookup(rows, F.array_distinct("specs"), track_table(spark, taxonomy), "canonical", "in_specs")
+    rows = once(rows, {
+        "by_spec": _canonical("in_specs"), "by_title": _kind("in_title", "title", lambda x: -F.length(x["phrase"]), lambda x: x["ord"]),
+        "by_context": _kind("in_title", "context", lambda x: x["ord"]), "by_body": _kind("in_body", "context", lambda x: x["ord"]),
+    })
+    rows = once(rows, {"tracks": _by_track(spec=F.col("by_spec"), title_phrase=F.col("by_title"), title_context=F.col("by_context"), body_context=F.col("by_body"))})
+
+    def score(t: Column) -> Column:
+        return (
+            F.when(t["spec"].isNotNull(), 0.82).otherwise(0.0) + F.when(t["title_phrase"].isNotNull(), 0.88 + F.least(F.lit(0.12), F.length(t["title_phrase"]) / 250.0)).otherwise(0.0)
+            + F.when(t["title_context"].isNotNull(), 0.78).otherwise(0.0) + F.when(t["body_context"].isNotNull(), 0.42).otherwise(0.0)
+        )
+
+    found = {c: (lambda x, c=c: x[c]) for c in ("track", "classification", "canonical", "spec", "title_phrase", "title_context", "body_context")}
+    rows = once(rows, {"b": first(ordered("tracks", lambda t: -score(t), lambda t: t["track_ord"], score=score, **found))}).drop("by_spec", "by_title", "by_context", "by_body")
+    rows = once(rows, {name: _of_list("in_title", name) for name in lists})
     fallback = next(t for t in taxonomy["tracks"] if t["id"] == taxonomy["fallback_track"])
 
     is_investment, is_dfi, is_finance = (F.col("org_type").isin(taxonomy[k]) for k in ("investment_types", "dfi_types", "finance_types"))
     some = lambda name: F.size(name) > 0
-    first = lambda name: F.try_element_at(F.col(name), F.lit(1))
+    top = lambda name: first(F.col(name))
     generic = some("generic") & (F.coalesce("b.score", F.lit(0.0)) < 0.75)
     prefixed = lambda prefix, col: F.when(F.col(col).isNotNull(), F.concat(F.lit(prefix), _under(F.col(col))))
     own = F.array_compact(F.array(F.when(F.col("b.spec").isNotNull(), F.concat(F.lit("canonical_specialisation:"), "b.spec")), prefixed("title_phrase:", "b.title_phrase"), prefixed("title_context:", "b.title_context"), prefixed("description_context:", "b.body_context")))
-    rows = rows.select(
-        "*",
-        F.when(generic, F.lit(fallback["id"])).otherwise(F.col("b.track")).alias("track0"),
-        F.when(generic, F.lit(fallback["classification"])).otherwise(F.col("b.classification")).alias("class0"),
-        F.when(generic, F.lit(fallback["canonical"])).otherwise(F.col("b.canonical")).alias("canonical0"),
-        F.when(generic, F.lit(0.82)).otherwise(F.coalesce("b.score", F.lit(0.0))).alias("score0"),
-        F.when(generic, F.array(F.concat(F.lit("generic_investment_title:"), _under(first("generic"))))).otherwise(own).alias("evidence0"),
-        (generic | F.col("b.title_phrase").isNotNull() | F.col("b.title_context").isNotNull()).alias("by_title"),
-        (~generic & F.col("b.spec").isNotNull()).alias("by_spec"),
-    )
+    rows = once(rows, {
+        "track0": F.when(generic, F.lit(fallback["id"])).otherwise(F.col("b.track")),
+        "class0": F.when(generic, F.lit(fallback["classification"])).otherwise(F.col("b.classification")),
+        "canonical0": F.when(generic, F.lit(fallback["canonical"])).otherwise(F.col("b.canonical")),
+        "score0": F.when(generic, F.lit(0.82)).otherwise(F.coalesce("b.score", F.lit(0.0))),
+        "evidence0": F.when(generic, F.array(F.concat(F.lit("generic_investment_title:"), _under(top("generic"))))).otherwise(own),
+        "by_title": (generic | F.col("b.title_phrase").isNotNull() | F.col("b.title_context").isNotNull()),
+        "by_spec": (~generic & F.col("b.spec").isNotNull()),
+    })
     dropped = some("absolute") | (some("hard") & ~F.col("by_title"))
-    rows = rows.withColumn("live", F.col("track0").isNotNull() & ~dropped)
+    rows = once(rows, {"live": F.col("track0").isNotNull() & ~dropped})
     weak = ~F.col("by_title") & ~F.col("by_spec")
     institution = is_investment | is_dfi
     lifted = F.col("score0") + F.when(institution, F.when(weak, 0.30).otherwise(0.08)).when(is_finance, 0.04).otherwise(0.0)
-    rows = rows.withColumn("score1", lifted).withColumn("live", F.col("live") & ~(weak & (lifted < 0.55)))
-    role = F.col("live") & (F.col("score1") >= 0.7)
+    rows = once(rows, {"score1": lifted, "live": F.col("live") & ~(weak & (lifted < 0.55))})
+    rows = once(rows, {"role": F.col("live") & (F.col("score1") >= 0.7)})
+    role = F.col("role")
     context = F.when(institution, F.concat(F.lit("institution_context:"), "org_type")).when(is_finance, F.concat(F.lit("finance_institution_context:"), "org_type"))
     evidence = (
         F.when(role, F.array_distinct(F.concat(F.col("evidence0"), F.array_compact(F.array(context)))))
-        .when(institution, F.array_compact(F.array(F.concat(F.lit("institution_context:"), "org_type"), F.when(some("support"), F.concat(F.lit("support_function:"), _under(first("support")))))))
+        .when(institution, F.array_compact(F.array(F.concat(F.lit("institution_context:"), "org_type"), F.when(some("support"), F.concat(F.lit("support_function:"), _under(top("support")))))))
         .otherwise(_none())
     )
     negative = F.concat(
         F.transform(F.concat("absolute", "hard"), lambda p: F.concat(F.lit("non_investment_title:"), _under(p))),
-        F.array_compact(F.array(F.when(some("support") & ~role, F.concat(F.lit("support_function_title:"), _under(first("support")))), F.when(F.arrays_overlap("specs", F.lit(taxonomy["non_investment_specialisations"])) & ~role, F.lit("non_investment_finance_specialisation")))),
+        F.array_compact(F.array(F.when(some("support") & ~role, F.concat(F.lit("support_function_title:"), _under(top("support")))), F.when(F.arrays_overlap("specs", F.lit(taxonomy["non_investment_specialisations"])) & ~role, F.lit("non_investment_finance_specialisation")))),
     )
     profile = F.struct(
         F.when(role, F.col("class0")).when(institution, "institutional_support").otherwise("not_investment").alias("classification"),
@@ -118,53 +149,61 @@ def investment_profile(postings: DataFrame, taxonomy: dict, *, id_col: str = "id
         F.when(is_dfi & role, 0.96).when(is_dfi, 0.9).when(role, 0.76).otherwise(0.82).alias("dfi_confidence"),
         role.alias("is_investment_role"),
     )
-    return postings.join(rows.select(F.col(id_col).alias("profile_id"), profile.alias("investment_profile")), F.col(id_col) == F.col("profile_id"), "left").drop("profile_id")
+    return rows.select("_row.*", whole(profile).alias("investment_profile"))
 
 
-def promote_role(postings: DataFrame, themes: DataFrame, *, id_col: str = "id") -> DataFrame:
+def promote_role(postings: DataFrame, themes: DataFrame) -> DataFrame:
     """An investment role gets the family "investment", its canonical specialisation, and that one's themes."""
     role = F.col("investment_profile.is_investment_role")
     spec = F.col("investment_profile.canonical_specialisation")
-    more = themes.toDF("theme_key", "more_themes")
-    rows = postings.join(more, F.when(role, spec) == F.col("theme_key"), "left").drop("theme_key")
-    rows = rows.withColumn("role_family", F.when(role, F.lit("investment")).otherwise(F.col("role_family"))).withColumn("role_subfamily", F.when(role & spec.isNotNull(), spec).otherwise(F.col("role_subfamily")))
-    return rows.withColumn("thematic_sectors", F.array_distinct(F.concat(F.coalesce("thematic_sectors", _none()), F.coalesce("more_themes", _none())))).drop("more_themes")
+    rows = lookup(postings, F.array(F.when(role, spec)), themes, "key", "_more")
+    more = F.flatten(F.transform("_more", lambda x: x["themes"]))
+    rows = once(rows, {"role_family": F.when(role, F.lit("investment")).otherwise(F.col("role_family")), "role_subfamily": F.when(role & spec.isNotNull(), spec).otherwise(F.col("role_subfamily"))})
+    return once(rows, {"thematic_sectors": F.array_distinct(F.concat(F.coalesce("thematic_sectors", _none()), F.coalesce(more, _none())))}).drop("_more")
 
 
-@by_value("title", "summary", "role_subfamily", "industry", "specialisations", "org_type")
-def ngo_profile(postings: DataFrame, taxonomy: dict, *, id_col: str = "id") -> DataFrame:
-    """Adds ngo_profile. postings: id, title, summary, role_subfamily, industry, specialisations, org_type.
+def ngo_profile(postings: DataFrame, taxonomy: dict) -> DataFrame:
+    """Adds ngo_profile. postings: title, summary, role_subfamily, industry, specialisations, org_type.
 
     A title phrase lifts a track to .96 at least; only the first phrase in a list's order is evidence.
     """
     spark = postings.sparkSession
-    texts = postings.select(
-        id_col, norm_ngo("title").alias("title_text"), norm_ngo(F.concat_ws(" ", "title", "summary", "role_subfamily", "industry")).alias("context_text"),
-        F.coalesce("specialisations", _none()).alias("specs"), F.coalesce("org_type", F.lit("unverified")).alias("org_type"),
-    )
-    phrases, tracks = track_phrases(spark, taxonomy, norm_ngo), track_table(spark, taxonomy)
-    title = phrase_hits(texts.select(id_col, "title_text"), "title_text", phrases.where("kind = 'title'")).groupBy(id_col, "track").agg(F.min_by("phrase", "ord").alias("title_phrase"))
-    context = phrase_hits(texts.select(id_col, "context_text"), "context_text", phrases.where("kind = 'context'")).groupBy(id_col, "track").agg(F.min_by("phrase", "ord").alias("context_phrase"))
-    canonical = texts.select(id_col, F.explode("specs").alias("canonical")).distinct().join(tracks.select("canonical", "track"), "canonical").select(id_col, "track", F.col("canonical").alias("spec"))
-    scored = title.join(context, [id_col, "track"], "full").join(canonical, [id_col, "track"], "full").join(tracks, "track")
-    base = F.when(F.col("title_phrase").isNotNull(), F.lit(0.96)).when(F.col("spec").isNotNull(), F.lit(0.82)).otherwise(F.lit(0.0))
-    uses_context = (base < 0.9) & F.col("context_phrase").isNotNull()
-    evidence = F.array_compact(F.array(
-        F.when(F.col("spec").isNotNull(), F.concat(F.lit("canonical_specialisation:"), "spec")), F.when(F.col("title_phrase").isNotNull(), F.concat(F.lit("title_phrase:"), _under(F.col("title_phrase")))),
-        F.when(uses_context, F.concat(F.lit("context_phrase:"), _under(F.col("context_phrase")))),
-    ))
-    scored = scored.withColumn("score", base + F.when(uses_context, 0.24).otherwise(0.0)).withColumn("evidence", evidence)
-    best = scored.groupBy(id_col).agg(F.max_by(F.struct("track", "classification", "canonical", "score", "evidence"), F.struct("score", -F.col("track_ord"))).alias("b"))
-    named = _listed_hits(texts.select(id_col, "title_text"), {"negatives": taxonomy["negatives"], "supports": taxonomy["support_titles"]}, norm_ngo, id_col)
-    rows = texts.join(best, id_col, "left").join(named, id_col, "left").withColumn("negatives", F.coalesce("negatives", _none())).withColumn("supports", F.coalesce("supports", _none()))
+    own_columns = [c for c in postings.columns if c != "ngo_profile"]
+    lists = {"negatives": taxonomy["negatives"], "supports": taxonomy["support_titles"]}
+    rows = once(ngo_title_hits(postings, taxonomy), {"_context": F.concat_ws(" ", "title", "summary", "role_subfamily", "industry")})
+    rows = phrases_in(rows, "_context", norm_ngo, _contexts(spark, taxonomy, norm_ngo), "phrase", "_ngo_in_context")
+    rows = once(rows, {"in_title": F.col("_ngo_in_title"), "in_context": F.col("_ngo_in_context"), "specs": F.coalesce("specialisations", _none()), "kind": F.coalesce("org_type", F.lit("unverified"))})
+    rows = rows.select(F.struct(*own_columns).alias("_row"), "in_title", "in_context", "specs", F.col("kind").alias("org_type"))
+    rows = lookup(rows, F.array_distinct("specs"), track_table(spark, taxonomy), "canonical", "in_specs")
+    rows = once(rows, {"by_spec": _canonical("in_specs"), "by_title": _kind("in_title", "title", lambda x: x["ord"]), "by_context": _kind("in_context", "context", lambda x: x["ord"])})
+    rows = once(rows, {"tracks": _by_track(spec=F.col("by_spec"), title_phrase=F.col("by_title"), context_phrase=F.col("by_context"))})
+
+    def base(t: Column) -> Column:
+        return F.when(t["title_phrase"].isNotNull(), F.lit(0.96)).when(t["spec"].isNotNull(), F.lit(0.82)).otherwise(F.lit(0.0))
+
+    def uses_context(t: Column) -> Column:
+        return (base(t) < 0.9) & t["context_phrase"].isNotNull()
+
+    def score_of(t: Column) -> Column:
+        return base(t) + F.when(uses_context(t), 0.24).otherwise(0.0)
+
+    def evidence(t: Column) -> Column:
+        return F.array_compact(F.array(
+            F.when(t["spec"].isNotNull(), F.concat(F.lit("canonical_specialisation:"), t["spec"])), F.when(t["title_phrase"].isNotNull(), F.concat(F.lit("title_phrase:"), _under(t["title_phrase"]))),
+            F.when(uses_context(t), F.concat(F.lit("context_phrase:"), _under(t["context_phrase"]))),
+        ))
+
+    found = {c: (lambda x, c=c: x[c]) for c in ("track", "classification", "canonical")}
+    rows = once(rows, {"b": first(ordered("tracks", lambda t: -score_of(t), lambda t: t["track_ord"], score=score_of, evidence=evidence, **found))})
+    rows = once(rows, {name: _of_list("in_title", name) for name in lists})
 
     is_ngo = F.col("org_type").isin(taxonomy["ngo_types"])
     score = F.coalesce("b.score", F.lit(0.0))
     joins_in = is_ngo & (score >= 0.45)
-    rows = rows.withColumn("s", F.when(joins_in, F.least(F.lit(0.99), score + 0.05)).otherwise(score))
-    rows = rows.withColumn("s", F.when((F.size("negatives") > 0) & (F.col("s") < 0.9), F.greatest(F.lit(0.0), F.col("s") - 0.45)).otherwise(F.col("s")))
-    rows = rows.withColumn("s", F.when((F.size("supports") > 0) & (F.col("s") < 0.9), F.greatest(F.lit(0.0), F.col("s") - 0.35)).otherwise(F.col("s")))
-    rows = rows.withColumn("s", F.least(F.lit(0.99), F.greatest(F.lit(0.0), "s")))
+    rows = once(rows, {"s": F.when(joins_in, F.least(F.lit(0.99), score + 0.05)).otherwise(score)})
+    rows = once(rows, {"s": F.when((F.size("negatives") > 0) & (F.col("s") < 0.9), F.greatest(F.lit(0.0), F.col("s") - 0.45)).otherwise(F.col("s"))})
+    rows = once(rows, {"s": F.when((F.size("supports") > 0) & (F.col("s") < 0.9), F.greatest(F.lit(0.0), F.col("s") - 0.35)).otherwise(F.col("s"))})
+    rows = once(rows, {"s": F.least(F.lit(0.99), F.greatest(F.lit(0.0), "s"))})
     programme = F.coalesce((F.col("s") >= 0.75) & F.col("b.track").isNotNull(), F.lit(False))
     groups = F.create_map(*(F.lit(x) for item in taxonomy["groups"].items() for x in item))
     warned = F.concat(F.transform("negatives", lambda p: F.concat(F.lit("title_phrase:"), _under(p))), F.transform("supports", lambda p: F.concat(F.lit("support_title:"), _under(p))))
@@ -180,7 +219,7 @@ def ngo_profile(postings: DataFrame, taxonomy: dict, *, id_col: str = "id") -> D
         F.array_distinct(warned).alias("negative_evidence"),
         programme.alias("is_programme_role"),
     )
-    return postings.join(rows.select(F.col(id_col).alias("profile_id"), profile.alias("ngo_profile")), F.col(id_col) == F.col("profile_id"), "left").drop("profile_id")
+    return rows.select("_row.*", whole(profile).alias("ngo_profile"))
 
 
 # ---- C3, C4. Wording of remit, scope and access.
@@ -203,17 +242,16 @@ def access_text() -> Column:
     return F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in ("title", "summary", "eligibility_notes", "location_raw", "location_scope", "work_mode")))
 
 
-@by_value("title", "summary", "eligibility_notes", "location_raw", "location_scope", "work_mode", "loc", "location_country", "is_remote_from_kenya", "apply_is_official", "apply_url", "source_confidence", "source_kind")
-def africa_relevance(postings: DataFrame, terms: DataFrame, countries: DataFrame, *, id_col: str = "id") -> DataFrame:
+def africa_relevance(postings: DataFrame, terms: DataFrame, countries: DataFrame) -> DataFrame:
     """Adds africa_relevance, the first of eight states that holds.
 
     postings: id, title, summary, eligibility_notes, location_raw, location_scope, work_mode,
     loc (as resolve_locations gives it), location_country, is_remote_from_kenya, apply_is_official,
     apply_url, source_confidence, source_kind.
     """
-    rows = postings.withColumn("known_code", F.coalesce("loc.country_code", "loc.country_iso3")).withColumn("known_name", F.coalesce("loc.country", "location_country"))
-    rows = global_country(rows, terms, countries, "location_raw", "known_code", "known_name", "world", id_col=id_col)
-    text = access_text()
+    rows = once(postings, {"known_code": F.coalesce("loc.country_code", "loc.country_iso3"), "known_name": F.coalesce("loc.country", "location_country"), "all_text": access_text()})
+    rows = global_country(rows, terms, countries, "location_raw", "known_code", "known_name", "world")
+    text = F.col("all_text")
     african = F.coalesce(F.col("loc.is_african"), F.lit(False)) | F.coalesce(F.col("world.is_african"), F.lit(False))
     foreign = F.coalesce(~F.col("world.is_african"), F.lit(False))
     remit, access = has(text, AFRICA_REMIT), has(text, AFRICA_ACCESS)
@@ -235,18 +273,16 @@ def africa_relevance(postings: DataFrame, terms: DataFrame, countries: DataFrame
         .when(official & specific, state("official_location_pending", 0.55, ["verified_official_vacancy", "duty_station_not_confirmed"], "unverified", False, False))
         .otherwise(state("unresolved", 0.2, ["insufficient_geographic_evidence"], "unverified", False, False))
     )
-    return rows.withColumn("africa_relevance", profile).drop("known_code", "known_name", "world")
+    return rows.withColumn("africa_relevance", whole(profile)).drop("known_code", "known_name", "world", "all_text")
 
 
-@by_value("title", "summary", "eligibility_notes", "location_raw", "location_scope", "work_mode", "africa_relevance", "government_profile")
-def applicant_access(postings: DataFrame, terms: DataFrame, countries: DataFrame, *, id_col: str = "id") -> DataFrame:
+def applicant_access(postings: DataFrame, terms: DataFrame, countries: DataFrame) -> DataFrame:
     """C4: adds african_applicant_access, the first of nine states that holds; structured government
     data come before wording. Needs africa_relevance and government_profile (may be null)."""
-    african = [r.iso2 for r in countries.where("is_african").select("iso2").collect()]  # the registry of countries
-    rows = postings.withColumn("all_text", access_text())
-    explicit = rows.where(has("all_text", NATIONALITY))
-    codes = nationality_codes(explicit.select(id_col, "all_text"), terms, "all_text", "named", id_col=id_col).select(F.col(id_col).alias("code_id"), "named")
-    rows = rows.join(codes, F.col(id_col) == F.col("code_id"), "left").drop("code_id")
+    african = african_codes(countries)
+    rows = once(postings, {"all_text": access_text()})
+    # Codes are read in texts only that say something of nationality.
+    rows = nationality_codes(rows.withColumn("_told", F.when(has("all_text", NATIONALITY), F.col("all_text"))), terms, "_told", "named").drop("_told")
     text = F.col("all_text")
     required = F.coalesce("government_profile.citizenship_required", F.lit(False))
     told = F.array_sort(F.array_distinct(F.transform(F.coalesce("government_profile.eligible_nationalities", _none()), F.upper)))
@@ -278,7 +314,7 @@ def applicant_access(postings: DataFrame, terms: DataFrame, countries: DataFrame
         .when(F.col("africa_relevance.status") == "remote_confirmed_open_to_africa", state("likely_open", 0.82, "remote_confirmed_open_to_africa", "strong_inference", _none(), None, None, "conditional"))
         .otherwise(state("unknown", 0.25, "applicant_access_not_stated", "none", told, given, None, "unverified"))
     )
-    return rows.withColumn("african_applicant_access", profile).drop("all_text", "named")
+    return rows.withColumn("african_applicant_access", whole(profile)).drop("all_text", "named")
 
 
 #: Access status -> legacy eligibility.
@@ -357,16 +393,12 @@ def multinational_profile() -> Column:
     return F.struct(is_one.alias("is_multinational"), F.col("sector").alias("sector"), F.col("org_id").alias("registry_id"), F.coalesce("priority", F.lit(False)).alias("priority_employer"), F.coalesce("cities", _none()).alias("african_city_footprint"))
 
 
-@by_value("location_raw", "location_country")
-def enrich_locations(postings: DataFrame, african_terms: DataFrame, world_terms: DataFrame, countries: DataFrame, *, id_col: str = "id") -> DataFrame:
+def enrich_locations(postings: DataFrame, african_terms: DataFrame, world_terms: DataFrame, countries: DataFrame) -> DataFrame:
     """C11: resolve African places; where no country code is found, look among all countries."""
-    from jobloom.operators.matching import resolve_locations
-
-    rows = resolve_locations(postings, african_terms, countries, id_col=id_col).withColumn("no_code", F.lit(None).cast("string"))
-    rows = global_country(rows, world_terms, countries, "location_raw", "no_code", "location_country", "world", id_col=id_col)
+    rows = resolve_locations(postings, african_terms, countries).withColumn("no_code", F.lit(None).cast("string"))
+    rows = global_country(rows, world_terms, countries, "location_raw", "no_code", "location_country", "world")
     use = F.col("loc.country_code").isNull() & F.col("world").isNotNull()
-    iso3 = countries.select(F.col("iso2").alias("w2"), F.col("iso3").alias("w3"))
-    rows = rows.join(iso3, F.col("world.iso2") == F.col("w2"), "left")
+    rows = lookup(rows, F.array("world.iso2"), countries, "iso2", "_states").withColumn("w3", first(F.col("_states"))["iso3"])
     loc = (
         F.col("loc")
         .withField("country_code", F.when(use, F.col("world.iso2")).otherwise(F.col("loc.country_code")))
@@ -377,4 +409,4 @@ def enrich_locations(postings: DataFrame, african_terms: DataFrame, world_terms:
         .withField("known_non_african", use & ~F.coalesce("world.is_african", F.lit(True)))
         .withField("confidence", F.when(use, F.greatest(F.col("loc.confidence"), F.lit(0.96))).otherwise(F.col("loc.confidence")))
     )
-    return rows.withColumn("loc", loc).drop("world", "no_code", "w2", "w3")
+    return rows.withColumn("loc", whole(loc)).drop("world", "no_code", "w3", "_states")

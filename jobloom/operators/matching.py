@@ -1,85 +1,43 @@
-"""Matching texts and names with registries, by hash joins only.
+"""Matching texts and names with registries: inside of rows while a registry is small, by hash joins beyond.
 
-A phrase that lies on token boundaries is a contiguous run of tokens. So texts are exploded into their
-runs of 1 to k tokens, and runs are equi-joined with the phrases: the work follows the length of the
-texts, whatever the number of phrases, and no nested loop is needed.
+Steps add columns to the rows they are given and need no key of these: see lexicon.py.
 """
 
 from __future__ import annotations
 
-import inspect
-from collections.abc import Callable
-from functools import wraps
+import json
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.functions.normalise import norm_ascii_fold, norm_unicode, taxonomy_key
-
-
-VALUE_KEY = "value_key"
-
-
-def value_key(*columns: str) -> Column:
-    """A name for what is in these columns: rows with equal inputs have equal results."""
-    return F.md5(F.to_json(F.struct(*columns)))
-
-
-def by_value(*inputs: str) -> Callable:
-    """Run a step once for each distinct content of its input columns, and give the results to all rows.
-
-    The steps group what they find by id_col, which must be unique and not null. Business ids are neither
-    before de-duplication, so a caller that names no id_col gets a key of the inputs themselves. inputs are
-    columns, or parameters of the step that name columns.
-    """
-
-    def wrap(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-        signature = inspect.signature(step)
-
-        @wraps(step)
-        def run(postings: DataFrame, *args: object, id_col: str | None = None, **more: object) -> DataFrame:
-            if id_col is not None:
-                return step(postings, *args, id_col=id_col, **more)
-            bound = signature.bind(postings, *args, id_col=VALUE_KEY, **more)
-            bound.apply_defaults()
-            columns = list(dict.fromkeys(c for c in (bound.arguments.get(i, i) for i in inputs) if c is not None))
-            rows = postings.withColumn(VALUE_KEY, value_key(*columns))
-            found = step(rows.select(VALUE_KEY, *columns).dropDuplicates([VALUE_KEY]), *args, id_col=VALUE_KEY, **more)
-            new = [c for c in found.columns if c not in columns]
-            kept = [c for c in rows.columns if c == VALUE_KEY or c not in new]
-            return rows.select(*kept).join(found.select(*new), VALUE_KEY, "left").drop(VALUE_KEY)
-
-        return run
-
-    return wrap
-
-
-def _grams(text: Column, most: int) -> Column:
-    """All runs of 1 to most tokens of a text of single-spaced tokens, with their first positions."""
-    tokens = F.filter(F.split(text, " "), lambda x: x != "")
-    empty = F.array().cast("array<struct<at:int,gram:string>>")
-
-    def runs(n: int) -> Column:
-        found = F.transform(F.sequence(F.lit(1), F.size(tokens) - (n - 1)), lambda i: F.struct(i.alias("at"), F.array_join(F.slice(tokens, i, n), " ").alias("gram")))
-        return F.when(F.size(tokens) >= n, found).otherwise(empty)
-
-    return F.concat(empty, *map(runs, range(1, most + 1)))
+from jobloom.functions.normalise import norm_ascii_fold, norm_unicode, taxonomy_key, taxonomy_keys
+from jobloom.operators.lexicon import derived, first, grams, held, lookup, normalised, once, only, ordered, phrases_in, whole
 
 
 def phrase_hits(rows: DataFrame, text: str, phrases: DataFrame, phrase: str = "phrase", most: int | None = None) -> DataFrame:
     """Every (row, phrase) for which the phrase is in the text; all columns of phrases, and "at", the first position.
 
-    most is the number of tokens of the longest phrase; it is looked up if it isn't given.
+    The long form: a row for each hit. most is the number of tokens of the longest phrase, looked up if not given.
     """
     if most is None:
         most = phrases.agg(F.max(F.size(F.split(phrase, " ")))).first()[0] or 1
-    grams = rows.withColumn("g", F.explode(_grams(F.coalesce(text, F.lit("")), most))).withColumn(phrase, F.col("g.gram")).withColumn("at", F.col("g.at")).drop("g", text)
-    return grams.join(phrases, phrase)
+    each = rows.withColumn("g", F.explode(grams(F.coalesce(text, F.lit("")), most))).withColumn(phrase, F.col("g.key")).withColumn("at", F.col("g.at")).drop("g", text)
+    return each.join(phrases, phrase)
 
 
-def best_first(name: str, *order: Column, **fields: Column) -> Column:
-    """An array of structs in the given order, of a group's rows; for the first use [0]."""
-    return F.array_sort(F.collect_list(F.struct(*(o.alias(f"o{i}") for i, o in enumerate(order)), *(c.alias(k) for k, c in fields.items())))).alias(name)
+def _texts() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _prefixed(prefix: str, values: Column) -> Column:
+    return F.transform(values, lambda x: F.concat(F.lit(prefix), x))
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for table in tables[1:]:
+        out = out.unionByName(table, allowMissingColumns=True)
+    return out
 
 
 # ---- J1: organisations.
@@ -87,53 +45,47 @@ def best_first(name: str, *order: Column, **fields: Column) -> Column:
 NAME_SUFFIXES = [" careers", " jobs", " plc", " limited", " ltd"]
 
 
-@by_value("name_col")
-def match_organisations(postings: DataFrame, names: DataFrame, name_col: str = "org_name", *, id_col: str = "id") -> DataFrame:
+def match_organisations(postings: DataFrame, names: DataFrame, name_col: str = "org_name") -> DataFrame:
     """The organisation of a name or alias, else of the name less one suffix; all columns of names are added."""
-    key = norm_ascii_fold(name_col)
-    keyed = postings.select(id_col, key.alias("k"))
-    tries = F.array(F.col("k"), *(F.when(F.col("k").endswith(s), F.trim(F.expr(f"left(k, length(k) - {len(s)})"))) for s in NAME_SUFFIXES))
-    hits = keyed.select(id_col, F.posexplode(tries).alias("nth", "name_key")).where("name_key is not null and name_key != ''").join(names, "name_key")
-    kept = [c for c in names.columns if c != "name_key"]
-    first = hits.groupBy(id_col).agg(F.min_by(F.struct(*kept), "nth").alias("o")).select(F.col(id_col).alias("matched_id"), "o.*")
-    return postings.join(first, F.col(id_col) == F.col("matched_id"), "left").drop("matched_id")
+    rows = normalised(postings, name_col, norm_ascii_fold, f"_fold_{name_col}").withColumn("_name", F.col(f"_fold_{name_col}"))
+    less = [F.when(F.col("_name").endswith(s), F.trim(F.expr(f"left(_name, length(_name) - {len(s)})"))) for s in NAME_SUFFIXES]
+    keys = F.transform(F.array(F.col("_name"), *less), lambda k: F.when(k != "", k))
+    kept = {c: (lambda x, c=c: x[c]) for c in names.columns if c != "name_key"}
+    rows = once(lookup(rows, keys, names, "name_key", "_orgs"), {"_org": first(ordered("_orgs", lambda x: x["at"], **kept))})
+    return only(rows.withColumns({c: F.col("_org")[c] for c in kept}), postings, *kept)
 
 
 # ---- J2: sources.
-@by_value("url_col", "name_col")
-def match_sources(postings: DataFrame, sources: DataFrame, platforms: dict[str, str], url_col: str = "source_url", name_col: str = "source_label", *, id_col: str = "id") -> DataFrame:
+def match_sources(postings: DataFrame, sources: DataFrame, platforms: dict[str, str], url_col: str = "source_url", name_col: str = "source_label") -> DataFrame:
     """By host or a parent domain (in the registry's order), else by name, else by the platform's domain."""
-    host = F.lower(F.coalesce(F.try_parse_url(url_col, F.lit("HOST")), F.lit("")))
-    parts = F.split(host, r"\.")
-    parents = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
-    rows = postings.select(id_col, parents.alias("parents"), norm_ascii_fold(name_col).alias("label"))
-    hosts = rows.select(id_col, F.explode("parents").alias("domain")).where("domain != ''")
     fields = ["source_id", "source_kind", "source_confidence"]
-    by_domain = hosts.join(sources.where("domain is not null").withColumn("domain", F.lower("domain")), "domain").select(id_col, F.lit(0).alias("stage"), "rank", *fields)
-    named = sources.withColumn("label", norm_ascii_fold("source_name"))
-    by_name = rows.where("label != ''").join(named, "label").select(id_col, F.lit(1).alias("stage"), (-F.col("rank")).alias("rank"), *fields)
-    platform = F.create_map(*(F.lit(x) for item in platforms.items() for x in item))
-    by_platform = hosts.withColumn("source_id", F.try_element_at(platform, "domain")).where("source_id is not null").join(sources, "source_id").select(id_col, F.lit(2).alias("stage"), "rank", *fields)
-    first = by_domain.union(by_name).union(by_platform).groupBy(id_col).agg(F.min_by(F.struct(*fields), F.struct("stage", "rank")).alias("s")).select(F.col(id_col).alias("matched_id"), "s.*")
-    return postings.join(first, F.col(id_col) == F.col("matched_id"), "left").drop("matched_id")
 
+    def ways(sources: DataFrame) -> DataFrame:
+        made = [
+            sources.where("domain is not null").select(F.concat(F.lit("d:"), F.lower("domain")).alias("key"), F.lit(0).alias("stage"), F.col("rank").alias("nth"), *fields),
+            sources.select(F.concat(F.lit("n:"), norm_ascii_fold("source_name")).alias("key"), F.lit(1).alias("stage"), (-F.col("rank")).alias("nth"), *fields),
+        ]
+        if platforms:
+            served = F.from_json(F.lit(json.dumps(platforms)), "map<string,string>")
+            hosts = sources.select("*", F.explode(F.map_keys(F.map_filter(served, lambda _, v: v == F.col("source_id")))).alias("host"))
+            made.append(hosts.select(F.concat(F.lit("p:"), "host").alias("key"), F.lit(2).alias("stage"), F.col("rank").alias("nth"), *fields))
+        return _union(made)
 
-# ---- J3 to J10: taxonomy.
-def map_alias(postings: DataFrame, aliases: DataFrame, raw_col: str, out: str) -> DataFrame:
-    """The target of a raw label; null if there is none."""
-    return postings.withColumn("alias_key", taxonomy_key(raw_col)).join(aliases.select(F.col("key").alias("alias_key"), F.col("target").alias(out)), "alias_key", "left").drop("alias_key")
-
-
-def _first_distinct(mapped: DataFrame, id_col: str, limit: int | None) -> DataFrame:
-    """(id, terms): distinct targets in the order of their first position."""
-    once = mapped.groupBy(id_col, "target").agg(F.min("pos").alias("pos"))
-    terms = F.transform(F.array_sort(F.collect_list(F.struct("pos", "target"))), lambda x: x["target"])
-    return once.groupBy(id_col).agg((F.slice(terms, 1, limit) if limit else terms).alias("terms"))
+    host = F.lower(F.coalesce(F.try_parse_url(url_col, F.lit("HOST")), F.lit("")))
+    rows = once(normalised(postings, name_col, norm_ascii_fold, f"_fold_{name_col}"), {"_parts": F.split(host, r"\."), "_label": F.col(f"_fold_{name_col}")})
+    parents = F.filter(F.transform(F.sequence(F.lit(1), F.size("_parts")), lambda i: F.array_join(F.slice("_parts", i, F.size("_parts")), ".")), lambda d: d != "")
+    rows = once(rows, {"_parents": parents})
+    keys = F.concat(_prefixed("d:", F.col("_parents")), F.array(F.when(F.col("_label") != "", F.concat(F.lit("n:"), "_label"))), _prefixed("p:", F.col("_parents")))
+    rows = lookup(rows, keys, derived(f"sources {sorted(platforms.items())}", ways, sources), "key", "_found")
+    best = first(ordered("_found", lambda x: x["stage"], lambda x: x["nth"], **{c: (lambda x, c=c: x[c]) for c in fields}))
+    return only(once(rows, {"_best": best}).withColumns({c: F.col("_best")[c] for c in fields}), postings, *fields)
 
 
-def _attach(postings: DataFrame, terms: DataFrame, id_col: str, out: str) -> DataFrame:
-    empty = F.array().cast("array<string>")
-    return postings.join(terms.withColumnsRenamed({id_col: "term_id"}), F.col(id_col) == F.col("term_id"), "left").withColumn(out, F.coalesce("terms", empty)).drop("term_id", "terms")
+# ---- J3 to J10: taxonomy.
+def map_alias(postings: DataFrame, aliases: DataFrame, raw_col: str, out: str) -> DataFrame:
+    """The target of a raw label; null if there is none. Of several targets the smallest."""
+    rows = lookup(postings, F.array(taxonomy_key(raw_col)), aliases, "key", "_found")
+    return rows.withColumn(out, F.array_min(F.transform("_found", lambda x: x["target"]))).drop("_found")
 
 
 def _raw_terms(postings: DataFrame, raw_col: str, id_col: str, source_col: str | None = None) -> DataFrame:
@@ -144,7 +96,7 @@ def _raw_terms(postings: DataFrame, raw_col: str, id_col: str, source_col: str |
 def resolve_specialisations(postings: DataFrame, aliases: DataFrame, source_aliases: DataFrame, ignored: DataFrame, raw_col: str, source_col: str, id_col: str = "id") -> DataFrame:
     """One row for each raw term that isn't ignored: its target, or null if it is unmapped or the target unknown.
 
-    source_aliases (source_key, key, target) and ignored (source_key, key) hold "*" for all sources.
+    The long form, for audits. source_aliases (source_key, key, target) and ignored (source_key, key) hold "*" for all sources.
     """
     terms = _raw_terms(postings, raw_col, id_col, source_col)
     everywhere = ignored.where("source_key = '*'").select("key")
@@ -156,17 +108,44 @@ def resolve_specialisations(postings: DataFrame, aliases: DataFrame, source_alia
     return found.withColumn("mapped", F.coalesce("t1", "t2", "t3")).join(known, "mapped", "left").select(id_col, "source_key", "key", "raw", "pos", F.when(F.col("known"), F.col("mapped")).alias("target"))
 
 
-@by_value("raw_col", "source_col")
-def map_specialisations(postings: DataFrame, aliases: DataFrame, source_aliases: DataFrame, ignored: DataFrame, raw_col: str, source_col: str, out: str = "specialisations", limit: int = 3, *, id_col: str = "id") -> DataFrame:
-    """Distinct targets, the first `limit` in order."""
-    resolved = resolve_specialisations(postings, aliases, source_aliases, ignored, raw_col, source_col, id_col)
-    return _attach(postings, _first_distinct(resolved.where("target is not null"), id_col, limit), id_col, out)
-
-
-@by_value("raw_col")
-def map_skills(postings: DataFrame, aliases: DataFrame, raw_col: str, out: str = "skills", *, id_col: str = "id") -> DataFrame:
+def term_keys(postings: DataFrame, raw_col: str, source_col: str) -> DataFrame:
+    """Adds the keys of raw terms and of the source ("*" for none), unless they are there already."""
+    rows = normalised(postings, source_col, lambda c: taxonomy_key(F.coalesce(c, F.lit("*"))), f"_key_{source_col}")
+    return normalised(rows, raw_col, lambda c: taxonomy_keys(F.filter(F.coalesce(c, _texts()), lambda x: x != "")), f"_keys_{raw_col}")
+
+
+def map_specialisations(postings: DataFrame, aliases: DataFrame, source_aliases: DataFrame, ignored: DataFrame, raw_col: str, source_col: str, out: str = "specialisations", limit: int = 3) -> DataFrame:
+    """Distinct targets, the first `limit` in order. The source's own alias counts before a shared one, both
+    before the taxonomy; an alias whose target isn't in the taxonomy maps to nothing."""
+
+    def ways(aliases: DataFrame, source_aliases: DataFrame, ignored: DataFrame) -> DataFrame:
+        scoped = lambda kind: F.concat_ws("\x1f", F.lit(kind), "source_key", "key").alias("probe")
+        known = aliases.select(F.col("target").alias("known")).distinct()
+        return _union([
+            ignored.select(scoped("ignored"), F.lit(0).alias("way"), F.lit(None).cast("string").alias("target")),
+            source_aliases.join(known, F.col("target") == F.col("known"), "left").select(scoped("source"), F.lit(1).alias("way"), F.col("known").alias("target")),
+            aliases.select(F.concat_ws("\x1f", F.lit("taxonomy"), "key").alias("probe"), F.lit(3).alias("way"), "target"),
+        ])
+
+    rows = term_keys(postings, raw_col, source_col)
+    rows = rows.withColumns({"_src": F.col(f"_key_{source_col}"), "_keys": F.col(f"_keys_{raw_col}")})
+    probes = F.flatten(F.transform("_keys", lambda k: F.array(
+        F.concat_ws("\x1f", F.lit("ignored"), F.lit("*"), k), F.concat_ws("\x1f", F.lit("ignored"), "_src", k), F.concat_ws("\x1f", F.lit("source"), "_src", k),
+        F.concat_ws("\x1f", F.lit("source"), F.lit("*"), k), F.concat_ws("\x1f", F.lit("taxonomy"), k),
+    )))
+    rows = lookup(rows, probes, derived("specialisations", ways, aliases, source_aliases, ignored), "probe", "_found")
+    # Five probes for each term: its first entry decides, ignored ones before all.
+    by_term = ordered("_found", lambda x: x["at"], term=lambda x: F.floor((x["at"] - 1) / 5), way=lambda x: x["way"], target=lambda x: x["target"])
+    rows = once(rows, {"_found": by_term})
+    told = F.transform(F.sequence(F.lit(0).cast("bigint"), F.size("_keys").cast("bigint")), lambda t: first(F.filter("_found", lambda x: x["term"] == t))["target"])
+    return only(once(rows, {out: F.slice(F.array_distinct(F.array_compact(told)), 1, limit)}), postings, out)
+
+
+def map_skills(postings: DataFrame, aliases: DataFrame, raw_col: str, out: str = "skills") -> DataFrame:
     """Distinct targets in order; unmapped terms drop."""
-    return _attach(postings, _first_distinct(_raw_terms(postings, raw_col, id_col).join(aliases, "key"), id_col, None), id_col, out)
+    keys = taxonomy_keys(F.filter(F.coalesce(raw_col, _texts()), lambda x: x != ""))
+    rows = lookup(postings, keys, aliases, "key", "_found")
+    return rows.withColumn(out, F.array_distinct(F.transform(ordered("_found", lambda x: x["at"], t=lambda x: x["target"]), lambda x: x["t"]))).drop("_found")
 
 
 def unmapped_terms(resolved: DataFrame) -> DataFrame:
@@ -174,46 +153,51 @@ def unmapped_terms(resolved: DataFrame) -> DataFrame:
     return resolved.where("target is null").select("source_key", "key").distinct()
 
 
-@by_value("terms_col")
-def first_parent(postings: DataFrame, parents: DataFrame, terms_col: str, out: str, *, id_col: str = "id") -> DataFrame:
+def first_parent(postings: DataFrame, parents: DataFrame, terms_col: str, out: str) -> DataFrame:
     """Of the terms in order, the first one's parent that isn't null. parents: (term, parent)."""
-    hits = postings.select(id_col, F.posexplode(terms_col).alias("pos", "term")).join(parents, "term").where("parent is not null")
-    first = hits.groupBy(id_col).agg(F.min_by("parent", "pos").alias(out)).withColumnRenamed(id_col, "term_id")
-    return postings.join(first, F.col(id_col) == F.col("term_id"), "left").drop("term_id")
+    rows = lookup(postings, F.col(terms_col), parents, "term", "_found")
+    some = F.filter("_found", lambda x: x["parent"].isNotNull())
+    return once(rows, {out: first(ordered(some, lambda x: x["at"], p=lambda x: x["parent"]))["p"]}).drop("_found")
 
 
-@by_value("title_col", "context_col")
-def infer_specialisations(postings: DataFrame, aliases: DataFrame, title_col: str, context_col: str, out: str, limit: int = 3, *, id_col: str = "id") -> DataFrame:
+def infer_specialisations(postings: DataFrame, aliases: DataFrame, title_col: str, context_col: str, out: str, limit: int = 3) -> DataFrame:
     """Aliases of 4 or more characters in the title, of 8 or more in the context, between characters
     that aren't a-z or 0-9; title before context, longer before shorter, then by id.
 
-    Candidates come from the alias's first run of letters and digits, a regular expression decides.
+    Candidates come from the alias's first run of letters and digits, a regular expression decides. The text
+    stays in its row: only its distinct runs are looked up.
     """
-    usable = aliases.where("length(key) >= 4").withColumn("head", F.regexp_extract("key", "([a-z0-9]+)", 1)).where("head != ''")
-    texts = postings.select(id_col, F.explode(F.array(F.struct(F.lit(2).alias("place"), taxonomy_key(title_col).alias("text")), F.struct(F.lit(1).alias("place"), taxonomy_key(context_col).alias("text")))).alias("t")).select(id_col, "t.*")
-    heads = texts.select(id_col, "place", "text", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("([a-z0-9]+)"), 1))).alias("head"))
-    quoted = F.concat(F.lit(r"(?<![a-z0-9])\Q"), "key", F.lit(r"\E(?![a-z0-9])"))
-    hits = heads.join(usable, "head").where("place = 2 or length(key) >= 8").where(F.regexp_like("text", quoted))
-    best = hits.groupBy(id_col, "target").agg(F.max(F.struct("place", F.length("key").alias("size"))).alias("b"))
-    ranked = best.withColumn("pos", F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc("b.place"), F.desc("b.size"), "target")))
-    return _attach(postings, _first_distinct(ranked, id_col, limit), id_col, out)
+    usable = {n: derived(f"heads {n}", lambda t, n=n: t.where(F.length("key") >= n).withColumn("head", F.regexp_extract("key", "([a-z0-9]+)", 1)).where("head != ''"), aliases) for n in (4, 8)}
+    rows = once(postings, {"_title": taxonomy_key(title_col), "_context": taxonomy_key(context_col)})
+
+    def sure(place: int, text: str) -> Column:
+        quoted = lambda x: F.concat(F.lit(r"(?<![a-z0-9])\Q"), x["key"], F.lit(r"\E(?![a-z0-9])"))
+        found = F.filter(f"_in{text}", lambda x: F.regexp_like(text, quoted(x)))
+        return F.transform(found, lambda x: F.struct(F.lit(-place).alias("place"), (-F.length(x["key"])).alias("size"), x["target"].alias("target")))
+
+    for text, shortest in (("_title", 4), ("_context", 8)):
+        rows = lookup(rows, F.array_distinct(F.regexp_extract_all(text, F.lit("([a-z0-9]+)"), 1)), usable[shortest], "head", f"_in{text}")
+    hits = [sure(2, "_title"), sure(1, "_context")]
+    best = F.array_distinct(F.transform(F.array_sort(F.concat(*hits)), lambda x: x["target"]))
+    return rows.withColumn(out, F.slice(best, 1, limit)).drop("_title", "_context", "_in_title", "_in_context")
 
 
 def role_family(postings: DataFrame, by_specialisation: DataFrame, by_industry: DataFrame, families: list[str], spec_col: str = "specialisations", industry_col: str = "industry") -> DataFrame:
     """role_subfamily is the first specialisation; role_family follows from it, else from the industry, if it is a known family."""
-    rows = postings.withColumn("role_subfamily", F.try_element_at(F.col(spec_col), F.lit(1)))
-    rows = rows.join(by_specialisation.toDF("role_subfamily", "f1"), "role_subfamily", "left").join(by_industry.toDF(industry_col, "f2"), industry_col, "left")
-    family = F.coalesce("f1", "f2")
-    return rows.withColumn("role_family", F.when(family.isin(families), family)).drop("f1", "f2")
+    rows = once(postings, {"role_subfamily": F.try_element_at(F.col(spec_col), F.lit(1))})
+    keys = lambda prefix, table: table.toDF("term", "family").withColumn("key", F.concat(F.lit(prefix), "term"))
+    keyed = derived("families", lambda s, i: _union([keys("s:", s), keys("i:", i)]), by_specialisation, by_industry)
+    rows = lookup(rows, F.array(F.concat(F.lit("s:"), "role_subfamily"), F.concat(F.lit("i:"), industry_col)), keyed, "key", "_found")
+    family = first(ordered("_found", lambda x: x["at"], f=lambda x: x["family"]))["f"]
+    return once(once(rows, {"role_family": family}), {"role_family": F.when(F.col("role_family").isin(families), F.col("role_family"))}).drop("_found")
 
 
-@by_value("spec_col", "industry_col")
-def thematic_sectors(postings: DataFrame, themes: DataFrame, spec_col: str = "specialisations", industry_col: str = "industry", out: str = "thematic_sectors", *, id_col: str = "id") -> DataFrame:
+def thematic_sectors(postings: DataFrame, themes: DataFrame, spec_col: str = "specialisations", industry_col: str = "industry", out: str = "thematic_sectors") -> DataFrame:
     """Distinct themes of the industry and the specialisations, in order. themes: (key, themes array)."""
-    keys = F.concat(F.array(industry_col), F.coalesce(spec_col, F.array().cast("array<string>")))
-    hits = postings.select(id_col, F.posexplode(keys).alias("pos", "key")).join(themes, "key")
-    terms = F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "themes"))), lambda x: x["themes"])))
-    return _attach(postings, hits.groupBy(id_col).agg(terms.alias("terms")), id_col, out)
+    keys = F.concat(F.array(industry_col), F.coalesce(spec_col, _texts()))
+    rows = lookup(postings, keys, themes, "key", "_found")
+    terms = F.array_distinct(F.flatten(F.transform(ordered("_found", lambda x: x["at"], t=lambda x: x["themes"]), lambda x: x["t"])))
+    return once(rows, {out: F.coalesce(terms, _texts())}).drop("_found")
 
 
 def confidence_for_domain(postings: DataFrame, sources: DataFrame, domain_col: str, default: str = "unverified") -> DataFrame:
@@ -232,94 +216,106 @@ def iso_tokens(raw: str, length: int, more: str = "") -> Column:
     return F.regexp_extract_all(F.coalesce(raw, F.lit("")), F.lit(rf"(?:^|[\s,;/()\[\]{more}-])([A-Z]{{{length}}})(?=$|[\s,;/()\[\]{more}-])"), 1)
 
 
-def _iso_hit(rows: DataFrame, countries: DataFrame, id_col: str) -> DataFrame:
-    """(id, iso2) of the first token that is a code: three letters before two."""
-    tokens = rows.select(id_col, F.posexplode(F.concat(F.col("iso3_tokens"), F.col("iso2_tokens"))).alias("pos", "token"))
-    codes = countries.select(F.col("iso3").alias("token"), "iso2").union(countries.select(F.col("iso2").alias("token"), "iso2"))
-    return tokens.join(codes, "token").groupBy(id_col).agg(F.min_by("iso2", "pos").alias("iso_hit"))
+def _codes(countries: DataFrame, prefix: str, *columns: str) -> DataFrame:
+    """(key, iso2, rank) of countries by their codes in these columns."""
+    return _union([countries.select(F.concat(F.lit(prefix), c).alias("key"), "iso2", F.lit(0).alias("rank")) for c in columns])
+
+
+def _names(terms: DataFrame) -> DataFrame:
+    return terms.where("kind = 'country'").select(F.concat(F.lit("n:"), "term").alias("key"), "iso2", "rank")
+
+
+def _country_names(terms: DataFrame) -> DataFrame:
+    return derived("names", lambda t: t.where("kind = 'country'"), terms)
 
 
-@by_value("raw_col", "existing_col")
-def resolve_locations(postings: DataFrame, terms: DataFrame, countries: DataFrame, raw_col: str = "location_raw", existing_col: str = "location_country", *, id_col: str = "id") -> DataFrame:
+def place_hits(postings: DataFrame, african_terms: DataFrame, world_terms: DataFrame, raw_col: str) -> DataFrame:
+    """Adds what resolve_locations and global_country find in a text, unless it is there already."""
+    rows = phrases_in(postings, raw_col, norm_unicode, african_terms, "term", f"_places_in_{raw_col}")
+    return phrases_in(rows, raw_col, norm_unicode, _country_names(world_terms), "term", f"_world_in_{raw_col}")
+
+
+def resolve_locations(postings: DataFrame, terms: DataFrame, countries: DataFrame, raw_col: str = "location_raw", existing_col: str = "location_country") -> DataFrame:
     """Adds loc: country_code, country_iso3, country, city, admin_area, region, lat, lon, confidence, evidence, matched_alias, is_african.
 
     The longest term of a kind counts, ties by the registry's order. A city counts only in the country
     if one is known; a city or admin area found in one country only names the country itself. A city
     found in several countries is given without a country, with confidence 0.
     """
-    african = countries.where("is_african").select("iso2", "iso3", "name", "region")
-    rows = postings.select(id_col, F.trim(F.coalesce(raw_col, F.lit(""))).alias("raw"), norm_unicode(F.trim(F.coalesce(raw_col, F.lit("")))).alias("text"), norm_unicode(existing_col).alias("existing"), F.upper(F.trim(existing_col)).alias("existing_code"))
-    rows = rows.withColumn("iso3_tokens", iso_tokens("raw", 3)).withColumn("iso2_tokens", iso_tokens("raw", 2))
-
-    size = -F.length("term")
-    hits = phrase_hits(rows.select(id_col, "text"), "text", terms.withColumnRenamed("term", "phrase"), "phrase").withColumn("term", F.col("phrase")).dropDuplicates([id_col, "rank"])
-    lists = hits.groupBy(id_col).agg(best_first("found", size, F.col("rank"), kind=F.col("kind"), term=F.col("term"), alias=F.col("alias"), iso2=F.col("iso2"), canonical=F.col("canonical"), lat=F.col("lat"), lon=F.col("lon")))
-    by_name = rows.where("existing != ''").join(terms.where("kind = 'country'").select(F.col("term").alias("existing"), F.col("iso2").alias("e1"), "rank"), "existing").groupBy(id_col).agg(F.min_by("e1", "rank").alias("e1"))
-    by_code = rows.select(id_col, "existing_code").join(african.select(F.col("iso2").alias("existing_code"), F.col("iso2").alias("e2")), "existing_code").select(id_col, "e2")
-    by_code3 = rows.select(id_col, "existing_code").join(african.select(F.col("iso3").alias("existing_code"), F.col("iso2").alias("e3")), "existing_code").select(id_col, "e3")
-    full = rows
-    for more in (lists, by_name, by_code, by_code3, _iso_hit(rows, african, id_col)):
-        full = full.join(more, id_col, "left")
-
-    empty = F.array().cast(dict(lists.dtypes)["found"])
-    found = F.coalesce("found", empty)
-    of = lambda kind: F.filter(found, lambda x: x["kind"] == kind)
-    at = lambda xs: F.try_element_at(xs, F.lit(1))
-    alias_hit = at(of("country"))
-    full = full.withColumn("named", alias_hit)
-    full = full.withColumn("code0", F.coalesce("e1", "e2", "e3", "iso_hit", F.col("named.iso2"))).withColumn(
-        "how0", F.when(F.col("e1").isNotNull(), "existing_country").when(F.col("e2").isNotNull(), "existing_iso2").when(F.col("e3").isNotNull(), "existing_iso3").when(F.col("iso_hit").isNotNull(), "explicit_iso_code").when(F.col("named").isNotNull(), "explicit_country_alias")
-    )
-    inside = lambda xs, code: F.filter(xs, lambda x: F.col(code).isNull() | (x["iso2"] == F.col(code)))
-    full = full.withColumn("cities", inside(of("city"), "code0")).withColumn("city", at(F.col("cities")))
+    african = derived("african", lambda c: c.where("is_african").select("iso2", "iso3", "name", "region"), countries)
+    full = once(postings, {"_raw": F.trim(F.coalesce(raw_col, F.lit("")))})
+    full = normalised(phrases_in(full, raw_col, norm_unicode, terms, "term", f"_places_in_{raw_col}"), existing_col, norm_unicode, f"_norm_{existing_col}")
+    full = once(full, {"_hits": F.col(f"_places_in_{raw_col}"), "_existing": F.col(f"_norm_{existing_col}"), "_code": F.upper(F.trim(existing_col)), "_tokens": F.concat(iso_tokens("_raw", 3), iso_tokens("_raw", 2))})
+    known = derived("african codes", lambda t, a: _union([_names(t), _codes(a, "2:", "iso2"), _codes(a, "3:", "iso3"), _codes(a, "c:", "iso3", "iso2")]), terms, african)
+    own = F.array(F.when(F.col("_existing") != "", F.concat(F.lit("n:"), "_existing")), F.concat(F.lit("2:"), "_code"), F.concat(F.lit("3:"), "_code"))
+    full = lookup(full, F.concat(own, _prefixed("c:", F.col("_tokens"))), known, "key", "_known")
+    told = ordered("_known", lambda x: F.least(x["at"], F.lit(4)), lambda x: x["at"], lambda x: x["rank"], iso2=lambda x: x["iso2"], at=lambda x: F.least(x["at"], F.lit(4)))
+    same = {c: (lambda x, c=c: x[c]) for c in ("kind", "term", "alias", "iso2", "canonical", "lat", "lon")}
+    full = once(full, {"_told": told, "_found": F.array_distinct(ordered("_hits", lambda x: -F.length(x["term"]), lambda x: x["rank"], **same))})
+    of = lambda kind: F.filter("_found", lambda x: x["kind"] == kind)
+    how = F.create_map(*(F.lit(x) for item in enumerate(EXPLICIT[:4], 1) for x in item))
+    full = once(once(full, {"_first": first(F.col("_told")), "_named": first(of("country"))}), {
+        "_code0": F.coalesce("_first.iso2", "_named.iso2"),
+        "_how0": F.coalesce(F.try_element_at(how, F.col("_first.at")), F.when(F.col("_named").isNotNull(), F.lit(EXPLICIT[4]))),
+    })
+    inside = lambda kind, code: F.filter("_found", lambda x: (x["kind"] == kind) & (F.col(code).isNull() | (x["iso2"] == F.col(code))))
+    full = once(once(full, {"_cities": inside("city", "_code0")}), {"_city": first(F.col("_cities"))})
     alone = lambda xs, one: F.size(F.array_distinct(F.transform(F.filter(F.col(xs), lambda x: x["term"] == F.col(f"{one}.term")), lambda x: x["iso2"]))) == 1
-    city_tells = F.col("code0").isNull() & F.col("city").isNotNull() & alone("cities", "city")
-    full = full.withColumn("code1", F.when(city_tells, F.col("city.iso2")).otherwise(F.col("code0"))).withColumn("how1", F.when(city_tells, "country_inferred_from_unique_city").otherwise(F.col("how0")))
-    full = full.withColumn("admins", inside(of("admin"), "code1")).withColumn("admin", at(F.col("admins")))
-    admin_tells = F.col("code1").isNull() & F.col("admin").isNotNull() & alone("admins", "admin")
-    full = full.withColumn("code", F.when(admin_tells, F.col("admin.iso2")).otherwise(F.col("code1"))).withColumn("how", F.when(admin_tells, "country_inferred_from_admin_area").otherwise(F.col("how1"))).withColumn("region_hit", at(of("region")))
-    full = full.join(african.select(F.col("iso2").alias("code"), "iso3", "name", F.col("region").alias("own_region")), "code", "left")
-    explicit = F.col("how").isin(EXPLICIT)
+    city_tells = F.col("_code0").isNull() & F.col("_city").isNotNull() & alone("_cities", "_city")
+    full = once(full, {"_code1": F.when(city_tells, F.col("_city.iso2")).otherwise(F.col("_code0")), "_how1": F.when(city_tells, "country_inferred_from_unique_city").otherwise(F.col("_how0"))})
+    full = once(once(full, {"_admins": inside("admin", "_code1")}), {"_admin": first(F.col("_admins"))})
+    admin_tells = F.col("_code1").isNull() & F.col("_admin").isNotNull() & alone("_admins", "_admin")
+    full = once(full, {
+        "_code2": F.when(admin_tells, F.col("_admin.iso2")).otherwise(F.col("_code1")), "_how": F.when(admin_tells, "country_inferred_from_admin_area").otherwise(F.col("_how1")),
+        "_region": first(of("region")),
+    })
+    full = once(lookup(full, F.array("_code2"), african, "iso2", "_states"), {"_state": first(F.col("_states"))})
+    explicit = F.col("_how").isin(EXPLICIT)
+    there = lambda c: F.col(c).isNotNull()
     confidence = (
-        F.when(explicit & F.col("city").isNotNull(), 1.0).when(F.col("city").isNotNull() & (F.col("how") == "country_inferred_from_unique_city"), 0.96).when(explicit, 0.93)
-        .when(F.col("admin").isNotNull() & F.col("code").isNotNull(), 0.86).when(F.col("region_hit").isNotNull(), 0.68).otherwise(0.0)
+        F.when(explicit & there("_city"), 1.0).when(there("_city") & (F.col("_how") == "country_inferred_from_unique_city"), 0.96).when(explicit, 0.93)
+        .when(there("_admin") & there("_code2"), 0.86).when(there("_region"), 0.68).otherwise(0.0)
     )
-    evidence = F.array_compact(F.array(F.col("how"), F.when(F.col("city").isNotNull(), F.lit("explicit_city_alias")), F.when(F.col("admin").isNotNull(), F.lit("explicit_admin_area")), F.when(F.col("region_hit").isNotNull(), F.lit("explicit_region_alias"))))
-    alias = F.coalesce("city.alias", F.when(F.col("how") == "explicit_country_alias", F.col("named.alias")).when(F.col("how") == "country_inferred_from_admin_area", F.col("admin.alias")).otherwise(F.coalesce(F.when(F.col("how") == "explicit_iso_code", F.col("code")))))
+    evidence = F.array_compact(F.array(F.col("_how"), F.when(there("_city"), F.lit("explicit_city_alias")), F.when(there("_admin"), F.lit("explicit_admin_area")), F.when(there("_region"), F.lit("explicit_region_alias"))))
+    alias = F.coalesce("_city.alias", F.when(F.col("_how") == "explicit_country_alias", F.col("_named.alias")).when(F.col("_how") == "country_inferred_from_admin_area", F.col("_admin.alias")).when(F.col("_how") == "explicit_iso_code", F.col("_code2")))
     loc = F.struct(
-        F.col("code").alias("country_code"), F.col("iso3").alias("country_iso3"), F.col("name").alias("country"), F.col("city.canonical").alias("city"), F.col("admin.canonical").alias("admin_area"),
-        F.coalesce("own_region", "region_hit.canonical").alias("region"), F.col("city.lat").alias("lat"), F.col("city.lon").alias("lon"), confidence.alias("confidence"), evidence.alias("evidence"), alias.alias("matched_alias"),
-        (F.col("code").isNotNull() | F.col("region_hit").isNotNull()).alias("is_african"),
+        F.col("_code2").alias("country_code"), F.col("_state.iso3").alias("country_iso3"), F.col("_state.name").alias("country"), F.col("_city.canonical").alias("city"), F.col("_admin.canonical").alias("admin_area"),
+        F.coalesce("_state.region", "_region.canonical").alias("region"), F.col("_city.lat").alias("lat"), F.col("_city.lon").alias("lon"), confidence.alias("confidence"), evidence.alias("evidence"), alias.alias("matched_alias"),
+        (there("_code2") | there("_region")).alias("is_african"),
     )
-    return postings.join(full.select(F.col(id_col).alias("loc_id"), loc.alias("loc")), F.col(id_col) == F.col("loc_id"), "left").drop("loc_id")
+    return only(once(full, {"loc": loc}), postings, "loc")
 
 
 # ---- J13, J14: any country of the world.
-@by_value("raw_col", "code_col", "country_col")
-def global_country(postings: DataFrame, terms: DataFrame, countries: DataFrame, raw_col: str, code_col: str, country_col: str, out: str = "world", *, id_col: str = "id") -> DataFrame:
+def global_country(postings: DataFrame, terms: DataFrame, countries: DataFrame, raw_col: str, code_col: str, country_col: str, out: str = "world") -> DataFrame:
     """Struct (iso2, name, is_african) by an existing code, an exact name, an upper-case code in the text, or the longest name in it."""
-    rows = postings.select(id_col, F.coalesce(raw_col, F.lit("")).alias("raw"), F.upper(code_col).alias("code"), norm_unicode(country_col).alias("known"), norm_unicode(raw_col).alias("text"))
-    codes = countries.select(F.col("iso2").alias("code"), F.col("iso2").alias("c1")).union(countries.select("iso3", "iso2"))
-    names = terms.where("kind = 'country'")
-    rows = rows.withColumn("iso3_tokens", F.array().cast("array<string>")).withColumn("iso2_tokens", iso_tokens("raw", "2,3", "|"))
-    by_code = rows.join(codes, "code").select(id_col, "c1")
-    by_name = rows.where("known != ''").join(names.select(F.col("term").alias("known"), "iso2", "rank"), "known").groupBy(id_col).agg(F.min_by("iso2", "rank").alias("c2"))
-    by_token = _iso_hit(rows, countries, id_col).withColumnRenamed("iso_hit", "c3")
-    by_text = phrase_hits(rows.select(id_col, "text"), "text", names.withColumnRenamed("term", "phrase")).groupBy(id_col).agg(F.min_by("iso2", F.struct(-F.length("phrase"), F.col("rank"))).alias("c4"))
-    full = rows.select(id_col)
-    for more in (by_code, by_name, by_token, by_text):
-        full = full.join(more, id_col, "left")
-    full = full.select(F.col(id_col).alias("world_id"), F.coalesce("c1", "c2", "c3", "c4").alias("iso2")).join(countries.select("iso2", "name", "is_african"), "iso2")
-    return postings.join(full.select("world_id", F.struct("iso2", "name", "is_african").alias(out)), F.col(id_col) == F.col("world_id"), "left").drop("world_id")
-
-
-@by_value("text_col")
-def nationality_codes(postings: DataFrame, terms: DataFrame, text_col: str, out: str = "nationalities", *, id_col: str = "id") -> DataFrame:
+    names = _country_names(terms)
+    full = normalised(phrases_in(postings, raw_col, norm_unicode, names, "term", f"_world_in_{raw_col}"), country_col, norm_unicode, f"_norm_{country_col}")
+    full = once(full, {"_raw": F.coalesce(raw_col, F.lit("")), "_code": F.upper(code_col), "_name": F.col(f"_norm_{country_col}"), "_hits": F.col(f"_world_in_{raw_col}")})
+    known = derived("world codes", lambda t, c: _union([_codes(c, "c:", "iso2", "iso3"), _names(t)]), names, countries)
+    keys = F.concat(F.array(F.concat(F.lit("c:"), "_code"), F.when(F.col("_name") != "", F.concat(F.lit("n:"), "_name"))), _prefixed("c:", iso_tokens("_raw", "2,3", "|")))
+    full = lookup(full, keys, known, "key", "_known")
+    by_text = first(ordered("_hits", lambda x: -F.length(x["term"]), lambda x: x["rank"], iso2=lambda x: x["iso2"]))["iso2"]
+    by_key = first(ordered("_known", lambda x: x["at"], lambda x: x["rank"], iso2=lambda x: x["iso2"]))["iso2"]
+    full = once(full, {"_iso2": F.coalesce(by_key, by_text)})
+    full = lookup(full, F.array("_iso2"), countries, "iso2", "_states")
+    state = first(F.transform("_states", lambda x: F.struct(x["iso2"].alias("iso2"), x["name"].alias("name"), x["is_african"].alias("is_african"))))
+    return only(once(full, {out: state}), postings, out)
+
+
+def nationality_codes(postings: DataFrame, terms: DataFrame, text_col: str, out: str = "nationalities") -> DataFrame:
     """Distinct country codes, those of nationality terms first, then of country names; longer terms first."""
-    rows = postings.select(id_col, norm_unicode(text_col).alias("text"))
-    hits = phrase_hits(rows, "text", terms.withColumnRenamed("term", "phrase"))
-    first = hits.groupBy(id_col, "iso2").agg(F.min(F.struct((F.col("kind") == "country").alias("late"), (-F.length("phrase")).alias("size"), "rank")).alias("pos")).withColumnRenamed("iso2", "target")
-    return _attach(postings, _first_distinct(first, id_col, None), id_col, out)
+    rows = phrases_in(postings, text_col, norm_unicode, terms, "term", "_hits")
+    by = ordered("_hits", lambda x: (x["kind"] == "country"), lambda x: -F.length(x["term"]), lambda x: x["rank"], iso2=lambda x: x["iso2"])
+    return once(rows, {out: F.array_distinct(F.transform(by, lambda x: x["iso2"]))}).drop("_hits")
+
+
+def african_codes(countries: DataFrame) -> list[str]:
+    """Codes of African countries, taken once from the registry's table."""
+    table = held(countries)
+    if table is None:
+        raise ValueError("the registry of countries is larger than any list of countries")
+    return sorted(c for c, african in zip(table.column("iso2").to_pylist(), table.column("is_african").to_pylist(), strict=True) if african)
 
 
 # ---- J15 to J18.

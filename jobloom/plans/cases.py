@@ -8,7 +8,7 @@ states that, row by row, without any extraction.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +34,8 @@ class Case:
     inputs: dict[str, list]
     expected: dict[str, tuple[str, list]]
     run: Callable[[DataFrame], DataFrame]
+    #: Columns that differ from row to row, as feeds' texts do: what varied() adds has no meaning to the step.
+    vary: dict[str, str] = field(default_factory=dict)
 
     @property
     def n(self) -> int:
@@ -41,11 +43,11 @@ class Case:
 
     def query(self) -> Callable[[SparkSession, str], DataFrame]:
         def go(spark: SparkSession, sf_dir: str) -> DataFrame:
-            keys = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("k"))
+            keys = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("k")))
             row = F.pmod(F.col("k"), F.lit(self.n)).cast("int")
             # As in raw feeds, three postings share an id, and every fifth has none.
             identity = F.when(F.col("k") % 5 != 0, F.floor(F.col("k") / 3).cast("string"))
-            dealt = keys.select("k", identity.alias("id"), *(_dealt(values, row).alias(c) for c, values in self.inputs.items()))
+            dealt = keys.select("k", identity.alias("id"), *(varied(_dealt(values, row), self.vary.get(c)).alias(c) for c, values in self.inputs.items()))
             out = self.run(dealt)
             return out.select(F.col("k").cast("long").alias("k"), *(F.col(c).cast(kind if kind != "long" else "bigint").alias(c) for c, (kind, _) in self.expected.items()))
 
@@ -69,6 +71,24 @@ def _dealt(values: list, row: Column) -> Column:
     return F.element_at(F.array(*lits), row + 1)
 
 
+def varied(value: Column, how: str | None) -> Column:
+    """A dealt value with the row's key in it: as a word, as digits of another script (which names lose when they are
+    normalised), as a part of a URL's path, or as one more element. Nulls stay."""
+    key = F.col("k").cast("string")
+    if how == "word":
+        return F.concat(value, F.lit(" "), key)
+    if how == "digits":
+        return F.concat(value, F.lit(" "), F.translate(key, "0123456789", "٠١٢٣٤٥٦٧٨٩"))
+    if how == "path":
+        return F.concat(value, F.lit("/"), key)
+    return F.concat(value, F.array(F.concat(F.lit("unlisted "), key))) if how == "element" else value
+
+
+def spread(keys: DataFrame) -> DataFrame:
+    """The keys over all cores: the given tables are one small file each, and steps without a shuffle would run as one task."""
+    return keys.repartition(keys.sparkSession.sparkContext.defaultParallelism)
+
+
 def joined(value: Column | str) -> Column:
     """An array as one string, so that results compare alike everywhere."""
     return F.array_join(value, "|")

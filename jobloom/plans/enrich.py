@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from jobloom import registries as R
 from jobloom.functions import extract as X
-from jobloom.functions.normalise import norm_unicode
+from jobloom.functions.normalise import norm_ascii_fold, norm_unicode
 from jobloom.operators import classify as C
 from jobloom.operators import dedup as D
 from jobloom.operators import matching as M
 from jobloom.operators import quality as V
+from jobloom.operators.lexicon import normalised, once
 from jobloom.operators.lineage import settled
 from jobloom.operators.predicates import relevant, split_rejected
 from jobloom.operators.row_rules import row_rules
@@ -55,63 +56,53 @@ class Registries:
         )
 
 
-#: What the steps read of a posting; rows that agree in these columns get the same results.
-INPUTS = [
-    "title", "org_name", "summary", "eligibility_notes", "location_raw", "location_country", "raw_terms", "source_key", "source_url",
-    "source_label", "mode_hint", "industry", "apply_url", "apply_is_official", "government_fields", "government_profile",
-]
+#: What the organisation's profiles are made of; a posting's own columns of these names come back unchanged.
+_EMPLOYER = ["source_pack", "sector", "priority", "cities"]
+
+
+def _found_in_given_columns(rows: DataFrame, g: Registries) -> DataFrame:
+    """What the steps need of Python functions on given columns, together: one pass over batches, one worker for a task."""
+    for column, normaliser, prefix in (("org_name", norm_ascii_fold, "fold"), ("source_label", norm_ascii_fold, "fold"), ("location_country", norm_unicode, "norm"), ("mode_hint", norm_unicode, "norm")):
+        rows = normalised(rows, column, normaliser, f"_{prefix}_{column}")
+    rows = M.term_keys(rows, "raw_terms", "source_key")
+    rows = M.place_hits(rows, g.african_terms, g.world_terms, "location_raw")
+    return C.ngo_title_hits(C.investment_hits(rows, g.investment, "_body"), g.ngo)
 
 
 def enrich(postings: DataFrame, registries: Registries | None = None) -> DataFrame:
     """Organisation, location, role and investment, NGO, government, public institution, multinational,
     access, eligibility, source, in this order (an investment role's subfamily is read by the NGO classes).
 
-    Steps don't touch the postings themselves: each reads the few columns it needs of the distinct inputs and
-    gives what it found by a key of these inputs. What was found is joined with the postings once, at the end,
-    so ids may repeat or be missing. The distinct inputs and two narrow tables of findings are checkpointed,
-    because many steps read them: otherwise each would scan, hash and shuffle the postings again.
+    Each step looks registries up inside of the rows (lexicon.py), so the whole chain is one pass without a
+    shuffle, a join or a key, whatever the postings hold: ids may repeat or be missing. A registry that is
+    too large to be sent to all tasks makes its own step a join on the distinct inputs of that step.
     """
     g = registries or Registries.default(postings.sparkSession)
-    key = M.VALUE_KEY
-    rows = postings.withColumns({c: F.lit(None).cast(kind) for c, kind in DEFAULTS.items() if c not in postings.columns}).withColumn(key, M.value_key(*INPUTS))
-    values = settled(rows.select(key, *INPUTS).dropDuplicates([key]))
-    of = lambda *columns: values.select(key, *columns)
-
-    organisations = M.match_organisations(of("org_name"), g.organisations, id_col=key).drop("org_name")
-    places = C.enrich_locations(of("location_raw", "location_country"), g.african_terms, g.world_terms, g.countries, id_col=key).select(key, "loc")
-    terms = M.map_specialisations(of("raw_terms", "source_key"), g.specialisations, g.source_aliases, g.ignored, "raw_terms", "source_key", id_col=key).select(key, "specialisations")
-    sources = M.match_sources(of("source_url", "source_label"), g.sources, g.platforms, id_col=key).drop("source_url", "source_label")
-    facts = settled(organisations.join(places, key).join(terms, key).join(sources, key))
-
-    parents = M.first_parent(facts.select(key, "specialisations"), g.parents, "specialisations", "parent_industry", id_col=key).select(key, "parent_industry")
-    roles = of("title", "summary", "industry", "location_raw", "mode_hint").join(facts.select(key, "loc", "specialisations"), key).join(parents, key)
+    own = {c: f"_given_{c}" for c in _EMPLOYER if c in postings.columns}
+    rows = postings.withColumnsRenamed(own).withColumns({c: F.lit(None).cast(kind) for c, kind in DEFAULTS.items() if c not in postings.columns})
+    given = rows = _found_in_given_columns(once(rows, {"_body": F.concat_ws(" ", "summary", "eligibility_notes")}), g)
+    rows = M.match_organisations(rows, g.organisations)
+    rows = C.enrich_locations(rows, g.african_terms, g.world_terms, g.countries)
+    rows = M.map_specialisations(rows, g.specialisations, g.source_aliases, g.ignored, "raw_terms", "source_key")
+    rows = settled(M.match_sources(rows, g.sources, g.platforms))
+
+    rows = M.first_parent(rows, g.parents, "specialisations", "_parent_industry")
     code, region = F.col("loc.country_code"), F.col("loc.region")
     open_region = X.has("location_raw", X.OPEN_REGION)
     remote = X.has("location_raw", X.REMOTE) | open_region
     scope = F.when(code == "KE", "national").when(F.col("loc.is_african") & code.isNotNull(), "regional").when(code.isNotNull(), "international").when(remote & open_region, "international").when(region.isNotNull(), "regional")
-    roles = roles.withColumns({
-        "work_mode": X.work_mode("location_raw", norm_unicode("mode_hint"), "loc.country_code", "loc.region"),
+    rows = once(rows, {
+        "work_mode": X.work_mode("location_raw", F.col("_norm_mode_hint"), "loc.country_code", "loc.region"),
         "location_scope": scope,
         "is_remote_from_kenya": F.coalesce(remote & ((code == "KE") | (code.isNull() & (open_region | region.isNotNull()))), F.lit(False)),
-        "industry": F.coalesce("parent_industry", "industry", X.industry("title", "summary")),
-    })
-    roles = M.role_family(roles, *g.families).select(key, "specialisations", "industry", "work_mode", "location_scope", "is_remote_from_kenya", "role_family", "role_subfamily")
-    roles = M.thematic_sectors(roles, g.themes, id_col=key)
-    body = of("title", "summary", "eligibility_notes").select(key, "title", F.concat_ws(" ", "summary", "eligibility_notes").alias("body"))
-    invested = C.investment_profile(body.join(facts.select(key, "specialisations", "org_type"), key), g.investment, id_col=key).select(key, "investment_profile")
-    roles = settled(C.promote_role(roles.join(invested, key), g.themes).drop("specialisations"))
-
-    joined = of("title", "summary").join(facts.select(key, "specialisations", "org_type"), key).join(roles.select(key, "role_subfamily", "industry"), key)
-    programmes = C.ngo_profile(joined, g.ngo, id_col=key).select(key, "ngo_profile")
-    employers = ["org_id", "org_type", "source_pack", "sector", "priority", "cities"]
-    told = of("title", "summary", "eligibility_notes", "location_raw", "location_country", "apply_is_official", "apply_url", "government_fields", "government_profile")
-    told = told.join(facts.select(key, "loc", "source_kind", "source_confidence", *employers), key).join(roles.select(key, "work_mode", "location_scope", "is_remote_from_kenya"), key)
-    told = told.withColumns({"institution_profile": C.institution_profile(F.col("org_type")), "government_profile": C.government_profile(), "public_institution_profile": C.public_institution_profile(), "multinational_profile": C.multinational_profile()})
-    told = C.applicant_access(C.africa_relevance(told, g.world_terms, g.countries, id_col=key), g.world_terms, g.countries, id_col=key)
-    told = told.select(key, "institution_profile", "government_profile", "public_institution_profile", "multinational_profile", "africa_relevance", "african_applicant_access").withColumn("eligibility", C.eligibility_from_access())
-
-    found = facts.drop("source_pack", "sector", "priority", "cities").join(roles, key).join(programmes, key).join(told, key)
-    return rows.select(*(c for c in rows.columns if c == key or c not in found.columns)).join(found, key).drop(key)
+        "industry": F.coalesce("_parent_industry", "industry", X.industry("title", "summary")),
+    }).drop("_parent_industry")
+    rows = M.thematic_sectors(M.role_family(rows, *g.families), g.themes)
+    rows = settled(C.investment_profile(rows, g.investment, "_body"))
+    rows = settled(C.ngo_profile(C.promote_role(rows, g.themes), g.ngo))
+    rows = once(rows, {"institution_profile": C.institution_profile(F.col("org_type")), "government_profile": C.government_profile(), "public_institution_profile": C.public_institution_profile(), "multinational_profile": C.multinational_profile()})
+    rows = C.applicant_access(C.africa_relevance(rows, g.world_terms, g.countries), g.world_terms, g.countries)
+    return rows.withColumn("eligibility", C.eligibility_from_access()).drop(*_EMPLOYER, *(c for c in given.columns if c.startswith("_") and c not in own.values())).withColumnsRenamed({given: c for c, given in own.items()})
 
 
 def _audit(rows: DataFrame, reason: str) -> DataFrame:
@@ -135,7 +126,7 @@ def migrate_baseline(postings: DataFrame, registries: Registries | None = None,
     migrated: an error says how many do.
     """
     g = registries or Registries.default(postings.sparkSession)
-    african = [r.iso2 for r in g.countries.where("is_african").select("iso2").collect()]  # the registry of countries
+    african = M.african_codes(g.countries)
     rows = settled(enrich(postings, g).withColumns({"place_code": F.col("loc.country_code"), "in_africa": F.col("loc.is_african")}))
     stays = F.lit(True) if is_sample else relevant("is_remote_from_kenya", "in_africa", "place_code", african, "summary")
     kept, gone = rows.where(stays).drop("place_code", "in_africa"), rows.where(~stays)

@@ -9,7 +9,7 @@ from jobloom.operators import predicates as P
 from jobloom.operators import quality as V
 from jobloom.operators import reports as A
 from jobloom.operators import search as S
-from jobloom.plans.cases import Case, joined
+from jobloom.plans.cases import Case, joined, spread, varied
 from jobloom.plans.enrich import enrich, refresh
 from jobloom.registries import ORGANISATIONS
 
@@ -49,7 +49,8 @@ def _flat(d: DataFrame) -> DataFrame:
     })
 
 
-CHAIN = Case(_IN, _OUT, _flat)
+_VARY = {"title": "word", "org_name": "digits", "location_raw": "word", "summary": "word", "raw_terms": "element", "source_url": "path"}
+CHAIN = Case(_IN, _OUT, _flat, _VARY)
 FOUND = {"c13_enrichment": CHAIN.query()}
 SQL = {"c13_enrichment": CHAIN.sql()}
 
@@ -65,11 +66,11 @@ def query(sql: str | None = None):
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("k"))
+    keys = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("k")))
     from jobloom.plans.cases import _dealt
 
     row = F.pmod(F.col("k"), F.lit(CHAIN.n)).cast("int")
-    dealt = keys.select("k", F.col("k").cast("long").alias("pos"), F.col("k").cast("string").alias("id"), *(_dealt(v, row).alias(c) for c, v in _IN.items()))
+    dealt = keys.select("k", F.col("k").cast("long").alias("pos"), F.col("k").cast("string").alias("id"), *(varied(_dealt(v, row), _VARY.get(c)).alias(c) for c, v in _IN.items()))
     return enrich(dealt).withColumn("source_name", F.coalesce("source_id", F.lit("Unknown")))
 
 

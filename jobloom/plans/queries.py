@@ -38,8 +38,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def case(name: str, inputs: dict[str, list], expected: dict[str, tuple[str, list]], run: Callable[[DataFrame], DataFrame]) -> None:
-    one = Case(inputs, expected, run)
+def case(name: str, inputs: dict[str, list], expected: dict[str, tuple[str, list]], run: Callable[[DataFrame], DataFrame], **vary: str) -> None:
+    one = Case(inputs, expected, run, vary)
     FOUND[name], SQL[name] = one.query(), one.sql()
 
 
@@ -127,12 +127,14 @@ case(
     {"org_name": ["Harbour Growth Fund", "HGF Careers", "river development bank LTD", "Nobody", None, "Secours Ouvert"]},
     {"org_id": ("string", ["harbour-fund", "harbour-fund", "river-bank", None, None, "open-relief"]), "org_type": ("string", ["private_equity", "private_equity", "development_bank", None, None, "ngo"])},
     lambda d: M.match_organisations(d, R.organisation_names(d.sparkSession)),
+    org_name="digits",
 )
 case(
     "j2_match_sources",
     {"source_url": ["https://x.boards.example.com/1", "https://shop.example.net", "https://nowhere.test", "https://acme.ats.example.io", None, "https://nowhere.test"], "source_label": [None, None, "Relief Jobs", None, None, "?"]},
     {"source_id": ("string", ["boards", "market", "relief", "platform", None, None])},
     lambda d: M.match_sources(d, R.source_table(d.sparkSession), R.PLATFORM_DOMAINS),
+    source_url="path",
 )
 case("j3_map_industry", {"raw": ["IT", "Software &amp; Data", "banking", "unknown", None]}, {"industry": ("string", ["technology", "technology", "financial_services", None, None])}, lambda d: M.map_alias(d, R.alias_table(d.sparkSession, "industries"), "raw", "industry"))
 
@@ -147,19 +149,21 @@ def _taxonomy(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 _TERMS = [["Analytics", "MEL", "analytics"], ["1000 Eng", "other"], ["deals"], ["legacy", "Bookkeeping"], [], None, ["misc", "nonsense"]]
 _FROM = ["boards", "boards", "relief", "boards", "boards", "boards", "relief"]
-case("j4_map_specialisations", {"raw": _TERMS, "src": _FROM}, {"o": ("string", ["data_analysis|monitoring_evaluation", "software_engineering", "private_equity", "accounting", "", "", ""])}, lambda d: M.map_specialisations(d, *_taxonomy(d.sparkSession), "raw", "src").withColumn("o", joined("specialisations")))
-case("j5_map_skills", {"raw": [["Python", "Spreadsheets", "excel"], ["français"], ["?"], None]}, {"o": ("string", ["python|excel", "french", "", ""])}, lambda d: M.map_skills(d, R.alias_table(d.sparkSession, "skills"), "raw").withColumn("o", joined("skills")))
+case("j4_map_specialisations", {"raw": _TERMS, "src": _FROM}, {"o": ("string", ["data_analysis|monitoring_evaluation", "software_engineering", "private_equity", "accounting", "", "", ""])}, lambda d: M.map_specialisations(d, *_taxonomy(d.sparkSession), "raw", "src").withColumn("o", joined("specialisations")), raw="element")
+case("j5_map_skills", {"raw": [["Python", "Spreadsheets", "excel"], ["français"], ["?"], None]}, {"o": ("string", ["python|excel", "french", "", ""])}, lambda d: M.map_skills(d, R.alias_table(d.sparkSession, "skills"), "raw").withColumn("o", joined("skills")), raw="element")
 case(
     "j7_first_parent",
     {"terms": [["data_analysis", "private_equity"], ["nothing", "accounting"], [], None]},
     {"parent": ("string", ["technology", "financial_services", None, None])},
     lambda d: M.first_parent(d, R.small_table(d.sparkSession, [(s[0], s[2]) for s in R.TAXONOMY["specialisations"]], "term string, parent string"), "terms", "parent"),
+    terms="element",
 )
 case(
     "j8_infer_specialisations",
     {"a": ["Analytics lead", "Private Equity and analytics", "MEL", "Accountant", None], "b": ["backend engineering team", None, "bookkeeping office", "data analysis", None]},
     {"o": ("string", ["data_analysis|software_engineering", "private_equity|data_analysis", "accounting", "data_analysis", ""])},
     lambda d: M.infer_specialisations(d, R.alias_table(d.sparkSession, "specialisations"), "a", "b", "inferred").withColumn("o", joined("inferred")),
+    a="word", b="word",
 )
 case(
     "j9_role_family",
@@ -172,6 +176,7 @@ case(
     {"specialisations": [["data_analysis", "monitoring_evaluation"], ["private_equity"], [], None], "industry": ["technology", "none", "development_humanitarian", None]},
     {"o": ("string", ["digital|evidence|governance", "capital", "governance", ""])},
     lambda d: M.thematic_sectors(d, R.map_table(d.sparkSession, R.ROLES["themes"], "key", "themes")).withColumn("o", joined("thematic_sectors")),
+    specialisations="element",
 )
 case("j11_confidence_for_domain", {"dom": ["example.net", "gazette.example.gov", "other.test", None]}, {"domain_confidence": ("string", ["aggregated", "official", "unverified", "unverified"])}, lambda d: M.confidence_for_domain(d, R.source_table(d.sparkSession), "dom"))
 _PLACES = ["Nairobi, Kenya", "Lagos", "Turkana County", "West Africa", "Tashkent, UZ", "Cape Town, ZA", None, "القاهرة", "Johannesburg or Dakar", "Berlin"]
@@ -185,14 +190,16 @@ case(
         "african": ("boolean", [True, True, True, True, False, True, False, True, True, False]),
     },
     lambda d: M.resolve_locations(d, R.location_terms(d.sparkSession), R.country_table(d.sparkSession)).withColumns({"code": F.col("loc.country_code"), "city": F.col("loc.city"), "confidence": F.col("loc.confidence"), "african": F.col("loc.is_african")}),
+    location_raw="word",
 )
 case(
     "j13_global_country",
     {"raw": ["Tashkent, UZ", "Great Britain", "near Kenya", None, "none"], "code": [None, None, None, "DEU", None], "known": [None, None, None, None, "united states"]},
     {"o": ("string", ["UZ", "GB", "KE", "DE", "US"])},
     lambda d: M.global_country(d, R.country_terms(d.sparkSession), R.country_table(d.sparkSession), "raw", "code", "known").withColumn("o", F.col("world.iso2")),
+    raw="word",
 )
-case("j14_nationality_codes", {"t": ["Kenyan or British nationals in Germany", "none", None, "South African citizens"]}, {"o": ("string", ["GB|KE|DE", "", "", "ZA"])}, lambda d: M.nationality_codes(d, R.country_terms(d.sparkSession), "t").withColumn("o", joined("nationalities")))
+case("j14_nationality_codes", {"t": ["Kenyan or British nationals in Germany", "none", None, "South African citizens"]}, {"o": ("string", ["GB|KE|DE", "", "", "ZA"])}, lambda d: M.nationality_codes(d, R.country_terms(d.sparkSession), "t").withColumn("o", joined("nationalities")), t="word")
 case(
     "j15_salaries_to_usd",
     {"lo": [1000.0, 50.0, 10.0, 1.0, None], "hi": [2000.0, None, 20.0, 2.0, None], "cur": ["EUR", "usd", "GBP", "XXX", "EUR"], "per": ["month", "hour", "day", "year", "year"]},
@@ -216,6 +223,7 @@ case(
         "dfi": ("string", ["adjacent_experience", "none", "institutional_role", "adjacent_experience", "adjacent_experience", "none", "none"]),
     },
     lambda d: C.investment_profile(d, R.INVESTMENT).withColumns({"classification": F.col("investment_profile.classification"), "track": F.col("investment_profile.track"), "confidence": F.col("investment_profile.confidence"), "dfi": F.col("investment_profile.dfi_relevance")}),
+    title="word", body="word",
 )
 case(
     "c2_ngo_profile",
@@ -230,6 +238,7 @@ case(
         "grp": ("string", ["ngo", "un_agency", "other", "other", "ngo"]),
     },
     lambda d: C.ngo_profile(d, R.NGO).withColumns({"classification": F.col("ngo_profile.classification"), "track": F.col("ngo_profile.track"), "confidence": F.col("ngo_profile.confidence"), "grp": F.col("ngo_profile.organisation_group")}),
+    title="word", summary="word",
 )
 _ACCESS_IN = {
     "title": ["Nurse", "Advisor, Africa programme", "Clerk", "Remote engineer open to all African countries", "Regional lead for East Africa", "Remote worldwide role", "Engineer", "Cook"],
@@ -258,18 +267,21 @@ case(
         "codes": ("string", ["KE", "", "", "", "", "", "", ""]),
     },
     _access,
+    title="word", summary="word", location_raw="word",
 )
 case(
     "c6_eligibility_from_text",
     {"t": ["staff only", "must be a Kenyan citizen", "local hire", "required to hold: existing work authorization", "international applicants welcome", "", "", "", ""], "rem": [False] * 5 + [True, True, False, False], "m": [None] * 5 + ["remote_kenya", "remote_global", None, None], "c": [None] * 7 + ["KE", "NG"]},
     {"o": ("string", ["internal_only", "citizenship_restricted", "local_only", "uncertain", "likely_eligible", "likely_eligible", "likely_eligible", "likely_eligible", "uncertain"]), "confidence": ("double", [0.98, 0.9, 0.9, 0.82, 0.9, 0.92, 0.78, 0.86, 0.62])},
     lambda d: d.withColumn("e", C.eligibility_from_text(F.col("t"), F.col("rem"), F.col("m"), F.col("c"))).withColumns({"o": F.col("e.status"), "confidence": F.col("e.confidence")}),
+    t="word",
 )
 case(
     "c7_to_c10_employer_profiles",
     {"org_name": ["River Development Bank", "Ministry of Water", "Lake University", "Sky Telecom", "Nobody"]},
     {"dfi": ("boolean", [True, False, False, False, False]), "public": ("boolean", [False, True, True, False, False]), "institution": ("boolean", [False, False, True, False, False]), "multi": ("boolean", [False, False, False, True, False]), "footprint": ("string", ["", "", "", "Nairobi|Lagos", ""])},
     lambda d: _profiles(d),
+    org_name="digits",
 )
 
 

@@ -7,6 +7,8 @@ narrow tables that the operators join with.
 from __future__ import annotations
 
 import json
+from collections import OrderedDict
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,24 @@ from pyspark.sql.types import StructType
 
 from jobloom.functions.normalise import norm_ascii_fold, norm_unicode, norm_word, taxonomy_key
 
+_TABLES: OrderedDict[tuple, DataFrame] = OrderedDict()
+
+
+def remembered(make):
+    """The same table for the same session and contents, so that operators fetch and send it once."""
+
+    @wraps(make)
+    def run(spark: SparkSession, *args: object, **more: object) -> DataFrame:
+        key = (id(spark), spark.sparkContext.applicationId, make.__name__, json.dumps([args, sorted(more.items())], default=lambda x: getattr(x, "__name__", str(x)), sort_keys=True))
+        if key not in _TABLES:
+            _TABLES[key] = make(spark, *args, **more)
+            while len(_TABLES) > 64:
+                _TABLES.popitem(last=False)
+        return _TABLES[key]
+
+    return run
+
+
 def small_table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     """Rows that the driver holds as a table of known size: by its statistics Spark broadcasts it in joins while it
     is small, and shuffles it beyond spark.sql.autoBroadcastJoinThreshold."""
@@ -112,6 +132,7 @@ def _ranked(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return small_table(spark, [(*row, i) for i, row in enumerate(rows)], f"{schema}, rank int")
 
 
+@remembered
 def location_terms(spark: SparkSession, countries: list[dict] = COUNTRIES, regions: dict[str, list[str]] = REGIONS) -> DataFrame:
     """(kind, term, alias, iso2, canonical, lat, lon, rank) of African places: country, city, admin and region terms."""
     rows: list[tuple] = []
@@ -126,10 +147,12 @@ def location_terms(spark: SparkSession, countries: list[dict] = COUNTRIES, regio
     return made.where(F.length("term") >= F.when(F.col("kind") == "country", 3).when(F.col("kind") == "region", 1).otherwise(2))
 
 
+@remembered
 def country_table(spark: SparkSession, countries: list[dict] = COUNTRIES) -> DataFrame:
     return small_table(spark, [(c["iso2"], c["iso3"], c["name"], c["region"], c["is_african"]) for c in countries], "iso2 string, iso3 string, name string, region string, is_african boolean")
 
 
+@remembered
 def country_terms(spark: SparkSession, countries: list[dict] = COUNTRIES) -> DataFrame:
     """(kind, term, iso2, rank) of all countries: names with aliases, and nationality terms."""
     rows = [("country", a, c["iso2"]) for c in countries for a in (c["name"], *c["aliases"])]
@@ -137,6 +160,7 @@ def country_terms(spark: SparkSession, countries: list[dict] = COUNTRIES) -> Dat
     return _ranked(spark, rows, "kind string, alias string, iso2 string").withColumn("term", norm_unicode("alias")).where("length(term) >= 4")
 
 
+@remembered
 def organisation_names(spark: SparkSession, organisations: list[dict] = ORGANISATIONS) -> DataFrame:
     """One row for each name or alias; of equal names the last organisation counts."""
     rows = [(n, o["id"], o["type"], o["source_pack"], o["verified"], o["sector"], o["priority"], o["cities"]) for o in organisations for n in (o["name"], *o["aliases"])]
@@ -146,11 +170,13 @@ def organisation_names(spark: SparkSession, organisations: list[dict] = ORGANISA
     return last.select("name_key", "o.*")
 
 
+@remembered
 def source_table(spark: SparkSession, sources: list[dict] = SOURCES) -> DataFrame:
     rows = [(s["id"], s["name"], s["domain"], s["kind"], s["confidence"]) for s in sources]
     return _ranked(spark, rows, "source_id string, source_name string, domain string, source_kind string, source_confidence string")
 
 
+@remembered
 def alias_table(spark: SparkSession, kind: str, taxonomy: dict = TAXONOMY) -> DataFrame:
     """(key, target): every id, label and alias of industries, specialisations or skills."""
     rows = [(k, e[0]) for e in taxonomy[kind] for k in (e[0], e[1], *e[-1])]
@@ -164,6 +190,7 @@ def vocabularies(organisations: list[dict] = ORGANISATIONS, taxonomy: dict = TAX
     return {"organisation_type": given("type"), "sector": given("sector"), "category": given("sector"), "specialisation": sorted(canonical)}
 
 
+@remembered
 def track_phrases(spark: SparkSession, taxonomy: dict, normaliser=norm_word) -> DataFrame:
     """(track, track_ord, classification, canonical, kind, phrase, ord) of title and context phrases."""
     rows = [(t["id"], i, t["classification"], t["canonical"], kind, p, j) for i, t in enumerate(taxonomy["tracks"]) for kind in ("title", "context") for j, p in enumerate(t[kind])]
@@ -171,10 +198,12 @@ def track_phrases(spark: SparkSession, taxonomy: dict, normaliser=norm_word) ->
     return made.withColumn("phrase", normaliser("raw")).where("phrase != ''").drop("raw")
 
 
+@remembered
 def track_table(spark: SparkSession, taxonomy: dict) -> DataFrame:
     return small_table(spark, [(t["id"], i, t["classification"], t["canonical"]) for i, t in enumerate(taxonomy["tracks"])], "track string, track_ord int, classification string, canonical string")
 
 
+@remembered
 def map_table(spark: SparkSession, mapping: dict, key: str, value: str) -> DataFrame:
     return small_table(spark, [(k, v) for k, v in mapping.items()], f"{key} string, {value} {'array<string>' if isinstance(next(iter(mapping.values())), list) else 'string'}")
 
