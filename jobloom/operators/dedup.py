@@ -118,15 +118,22 @@ class Replay:
     """The greedy rule over the rows of one component, given in order."""
 
     def __init__(self) -> None:
-        self.slots: list[tuple] = []  # the row that holds each slot
+        self.slots: dict[int, tuple] = {}  # the row that holds each slot, which is named by the first row's position
         self.points: dict[str, int] = {}
+        self.told: dict[str, int] = {}  # what keys pointed to when the replay began
+
+    def hold(self, slot: int, row: tuple, keys: list[str]) -> None:
+        """A slot of an earlier replay, and those of the keys asked for that point to it."""
+        self.slots[slot] = row
+        self.points.update(dict.fromkeys(keys, slot))
+        self.told.update(dict.fromkeys(keys, slot))
 
     def add(self, row: tuple) -> tuple | None:
         """row: (pos, keys, precedence, ...). An event (row that stays, row that goes, replaced, matched keys) if one is removed."""
         hit = [k for k in row[1] if k in self.points]
         if not hit:
-            self.points.update(dict.fromkeys(row[1], len(self.slots)))
-            self.slots.append(row)
+            self.points.update(dict.fromkeys(row[1], row[0]))
+            self.slots[row[0]] = row
             return None
         at = min(self.points[k] for k in hit)
         held = self.slots[at]
@@ -141,7 +148,7 @@ def replay(rows: list[tuple]) -> tuple[list, list[tuple]]:
     """Kept rows by slot, and the events as (kept pos, removed pos, replaced, matched keys)."""
     run = Replay()
     events = [e for row in rows if (e := run.add(row))]
-    return run.slots, [(stays[0], goes[0], better, hit) for stays, goes, better, hit in events]
+    return list(run.slots.values()), [(stays[0], goes[0], better, hit) for stays, goes, better, hit in events]
 
 
 _PLAYED = "kept long, stays long, goes long, replaced boolean, matched_by array<string>, kind string"
@@ -161,7 +168,7 @@ def _played(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for component, pos, keys, score, completeness, public in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if component != now:
-                out += [(row[0], row[0], None, None, None, None) for row in run.slots]
+                out += [(row[0], row[0], None, None, None, None) for row in run.slots.values()]
                 now, run = component, Replay()
             event = run.add((pos, keys, (score, completeness), public))
             if event:
@@ -170,7 +177,7 @@ def _played(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 kind = None if not goes[3] else "safe_identity_consolidation" if safe else "destructive_or_unexplained_loss"
                 out.append((None, stays[0], goes[0], better, hit, kind))
         yield give()
-    out += [(row[0], row[0], None, None, None, None) for row in run.slots]
+    out += [(row[0], row[0], None, None, None, None) for row in run.slots.values()]
     yield give()
 
 

@@ -61,7 +61,7 @@ def test_enrichment_is_the_same_whatever_way_registries_go(spark, monkeypatch):
 
 
 def test_enrichment_keeps_columns_of_its_own_names(spark):
-    rows = spark.createDataFrame([("a", "Clerk", "mine", 7, ["c"])], "id string, title string, sector string, priority int, cities array<string>")
+    rows = spark.createDataFrame([("a", "Clerk", None, "mine", 7, ["c"])], "id string, title string, org_name string, sector string, priority int, cities array<string>")
     out = enrich(rows)
     assert not [c for c in out.columns if c.startswith("_")]
     got = out.select("sector", "priority", "cities", "org_id").first()
