@@ -121,6 +121,13 @@ case("p10_valid_title", {"t": ["Careers", "Data Analyst", "abc", "Plain Foods",
 case("p11_choose_title", {"a": ["Analyst", "Careers", "Driver", None], "b": ["Analyst, Lagos office", "Data Clerk", "Jobs", "Careers"]}, {"o": ("string", ["Analyst, Lagos office", "Data Clerk", "Driver", None])}, lambda d: d.withColumn("o", H.choose_title("a", "b")))
 case("p18_foreign_iso_token", {"t": ["Tashkent, UZ", "Nairobi, KE", "London, UK", None, "no codes"]}, {"o": ("boolean", [True, False, False, False, False])}, lambda d: d.withColumn("o", F.coalesce(P.foreign_iso_token("t", ["KE", "NG", "ZA", "SN", "TZ", "EG"]), F.lit(False))))
 
+case(
+    "f14_mixed_values",
+    {"j": ['{"name":"A","label":"B"}', '{"id":7,"tags":["x",{"title":"Y &amp; Z"},"X"]}', '[true,1.5,null," a  b "]', '{"name":"","slug":"s","more":{"description":"d","name":["n","D"]}}', '"plain"', None, "[]", '{"value":{"text":"deep"},"name":null}']},
+    {"o": ("string", ["A|B", "7|x|Y & Z", "True|1.5|a  b", "s|n|D", "plain", "", "", "deep"])},
+    lambda d: d.withColumn("o", joined(L.mixed_terms("j"))),
+)
+
 # ------------------------------------------------------------------ J: matching
 case(
     "j1_match_organisations",
@@ -523,11 +530,14 @@ def t2_health_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.health_windows(runs)
 
 
-@query("WITH l AS (SELECT event_type AS source, max(ts) AS last_good FROM events GROUP BY 1), m AS (SELECT max(ts) AS t FROM events) SELECT source, last_good, 1 AS freshness_hours FROM l, m WHERE date_diff('second', last_good, t) / 3600.0 > 1")
+@query("""WITH e AS (SELECT user_id % 40 AS source, ts, event_id % 11 = 0 AS bad FROM events), m AS (SELECT max(ts) AS t FROM events),
+l AS (SELECT source, max(ts) FILTER (NOT bad) AS last_good FROM e GROUP BY 1)
+SELECT CAST(source AS VARCHAR) AS source, last_good, CAST(1 + source % 3 AS INTEGER) AS freshness_hours FROM l, m WHERE last_good IS NULL OR date_diff('second', last_good, t) / 3600.0 > 1 + source % 3""")
 def t3_stale_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    runs = events.select(F.col("event_type").alias("source"), F.lit("ok").alias("status"), F.col("ts").alias("at"))
-    fresh = events.select(F.col("event_type").alias("source")).distinct().withColumn("freshness_hours", F.lit(1))
+    source = F.pmod("user_id", F.lit(40))
+    runs = events.select(source.cast("string").alias("source"), F.when(F.col("event_id") % 11 == 0, "error: timeout").otherwise("ok").alias("status"), F.col("ts").alias("at"))
+    fresh = events.select(source.cast("string").alias("source"), (1 + source % 3).cast("int").alias("freshness_hours")).distinct()
     return T.stale_sources(runs, fresh, F.lit(events.agg(F.max("ts")).first()[0]))
 
 

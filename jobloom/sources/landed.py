@@ -9,8 +9,9 @@ Adding a source is adding a Source to SOURCES.
 
 from __future__ import annotations
 
+import html
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -28,25 +29,31 @@ FIELDS = [
 ]
 
 
-# ---- F14: mixed values.
-PREFERRED = ["name", "label", "title", "display_name", "value", "text"]
+# ---- F14: mixed values. Keys that hold what an object is called, in this order.
+PREFERRED = ["name", "label", "title", "value", "text", "description"]
 
 
-def flatten_mixed(value: object) -> list[str]:
-    """Strings of a string, list or object, case-insensitively distinct, in order."""
-    if value is None or isinstance(value, bool):
-        return []
+def _leaves(value: object) -> Iterator[str]:
+    """Texts of a JSON value from left to right; of an object what its preferred keys hold, else all it holds."""
     if isinstance(value, dict):
-        inner = next(([value[k]] for k in PREFERRED if value.get(k) not in (None, "")), list(value.values()))
-        parts = [x for v in inner for x in flatten_mixed(v)]
+        named = [text for key in PREFERRED for text in _leaves(value.get(key))]
+        yield from named or _leaves(list(value.values()))
     elif isinstance(value, list):
-        parts = [x for v in value for x in flatten_mixed(v)]
-    else:
-        parts = [" ".join(str(value).split())]
-    distinct: dict[str, str] = {}
-    for p in filter(None, parts):
-        distinct.setdefault(p.casefold(), p)
-    return list(distinct.values())
+        for inner in value:
+            yield from _leaves(inner)
+    elif value is not None:
+        text = (html.unescape(value) if isinstance(value, str) else str(value)).strip()
+        if text:
+            yield text
+
+
+def flatten_mixed(value: object) -> list[str]:
+    """texts of a string, number, boolean, list or object at any depth, in order; of those that are equal when
+    case folded the first."""
+    first: dict[str, str] = {}
+    for text in _leaves(value):
+        first.setdefault(text.casefold(), text)
+    return list(first.values())
 
 
 @F.pandas_udf(ArrayType(StringType()))
