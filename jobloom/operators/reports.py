@@ -198,8 +198,21 @@ def counts_by_prefix(postings: DataFrame, specs: DataFrame) -> DataFrame:
     return specs.join(counted, "prefix", "left").select("source", F.coalesce("count", F.lit(0)).alias("count"))
 
 
-def registry_inventory(organisations: DataFrame) -> DataFrame:
-    """(metric, value, count) over a registry: totals, and counts by type and pack."""
-    totals = organisations.agg(F.count("*").alias("total"), F.count_if("verified").alias("verified"), F.count_if("priority").alias("priority"), F.count_if(F.col("source_pack").isNotNull()).alias("in_a_pack"))
-    flat = totals.select(F.explode(F.array(*(F.struct(F.lit("registry").alias("metric"), F.lit(c).alias("value"), F.col(c).alias("count")) for c in totals.columns))).alias("x")).select("x.*")
-    return flat.union(counters(organisations, {"type": (F.col("type"), "unknown"), "source_pack": (F.col("source_pack"), "none")}).select("dimension", "value", "count"))
+def registry_inventory(rows: DataFrame, flags: dict[str, Column], groupings: dict[str, Column], name: str = "registry") -> DataFrame:
+    """(metric, value, count) over a registry in one pass of grouping sets: how many entries it has, how many of
+    them each flag holds for, and how many there are of each value of each grouping ("none" for null).
+
+    flags count rows where they are true. A grouping set for each grouping and one for all rows share one scan
+    and one partial aggregation; values come back as rows, however many there are.
+    """
+    keys = [f"g{i}" for i in range(len(groupings))]
+    told = rows.select(*(F.coalesce(c.cast("string"), F.lit("none")).alias(k) for k, c in zip(keys, groupings.values(), strict=True)), *(F.coalesce(c, F.lit(False)).alias(f"f{i}") for i, c in enumerate(flags.values())))
+    counted = told.groupingSets([[], *([told[k]] for k in keys)], *(told[k] for k in keys)).agg(
+        F.grouping_id().alias("sets"), F.count("*").alias("entries"), *(F.count_if(f"f{i}").alias(f"n{i}") for i in range(len(flags)))
+    )
+    whole = (1 << len(keys)) - 1
+    line = lambda metric, value, count: F.struct(metric.alias("metric"), value.alias("value"), count.cast("long").alias("count"))
+    totals = F.array(line(F.lit(name), F.lit("entries"), F.col("entries")), *(line(F.lit(name), F.lit(f), F.col(f"n{i}")) for i, f in enumerate(flags)))
+    # In a set of one grouping only that grouping's bit is 0.
+    of_group = [F.when(F.col("sets") == whole - (1 << (len(keys) - 1 - i)), F.array(line(F.lit(f"{name}.{g}"), F.col(k), F.col("entries")))) for i, (k, g) in enumerate(zip(keys, groupings, strict=True))]
+    return counted.select(F.explode(F.when(F.col("sets") == whole, totals).otherwise(F.coalesce(*of_group)) if of_group else totals).alias("x")).select("x.*")

@@ -645,12 +645,12 @@ def h1_s20_json_ld(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from jobloom.plans import enriched_queries, table_queries
+    from jobloom.plans import coverage_queries, enriched_queries, table_queries
 
-    return FOUND | enriched_queries.FOUND | table_queries.FOUND
+    return FOUND | enriched_queries.FOUND | table_queries.FOUND | coverage_queries.FOUND
 
 
 def oracle_sql() -> dict[str, str]:
-    from jobloom.plans import enriched_queries, table_queries
+    from jobloom.plans import coverage_queries, enriched_queries, table_queries
 
-    return SQL | enriched_queries.SQL | table_queries.SQL
+    return SQL | enriched_queries.SQL | table_queries.SQL | coverage_queries.SQL

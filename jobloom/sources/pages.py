@@ -15,6 +15,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 from jobloom.functions import extract as X
 from jobloom.functions.normalise import html_to_text
 from jobloom.operators.dedup import first_by_id
+from jobloom.operators.lexicon import once
 
 
 def _strings(*names: str) -> ArrayType:
@@ -265,14 +266,14 @@ def from_pages(pages: DataFrame, as_of: Column, prefix: str = "official") -> Dat
     jobs = from_job_objects(json_ld_jobs(pages), prefix)
     bare = pages.join(json_ld_jobs(pages).select("page_id").distinct(), "page_id", "left_anti")
     # Each clean text is a column of its own, so that it is computed once.
-    bare = bare.select("*", clean_text("html").alias("page_text"), clean_text("listing_title").alias("listed"), page_title("html").alias("headed"))
-    bare = bare.withColumn("chosen", _choose(F.col("listed"), F.col("headed")))
-    title, text = F.col("chosen"), F.col("page_text")
-    years = X.years_experience(text)
+    bare = once(bare, {"page_text": clean_text("html"), "listed": clean_text("listing_title"), "headed": page_title("html")})
+    bare = once(bare, {"chosen": _choose(F.col("listed"), F.col("headed"))})
+    bare = once(bare.where(vacancy_evidence("page_text", "url", "chosen")), {"years": X.years_experience(F.col("page_text")), "closes": X.deadline(F.col("page_text"), F.year(as_of))})
+    title, text, years = F.col("chosen"), F.col("page_text"), F.col("years")
     times = F.regexp_extract("html", r"(?is)<time[^>]*datetime=[\"']([^\"']+)[\"']", 1)
-    rows = bare.where(vacancy_evidence("page_text", "url", "chosen")).select(
+    rows = bare.select(
         F.concat(F.lit(f"{prefix}-"), "organisation_id", F.lit("-"), F.substring(F.sha2("url", 256), 1, 16)).alias("id"), title.alias("title"), clean_text(F.try_element_at(location_candidates("html", "context"), F.lit(1))).alias("location_raw"),
-        X.timestamp(F.nullif(times, F.lit(""))).alias("posted_at"), X.deadline(text, F.year(as_of)).alias("deadline"), html_to_text("html").alias("summary"), F.col("url").alias("apply_url"), X.contract_type(title, text).alias("contract_type"),
+        X.timestamp(F.nullif(times, F.lit(""))).alias("posted_at"), F.col("closes").alias("deadline"), html_to_text("html").alias("summary"), F.col("url").alias("apply_url"), X.contract_type(title, text).alias("contract_type"),
         years["years_min"].alias("years_experience_min"), years["years_max"].alias("years_experience_max"), "organisation_id", F.lit("page").alias("found_by"), F.lit(0).alias("pos"),
     )
     open_ones = jobs.unionByName(rows).where(valid_title("title")).where(F.col("deadline").isNull() | (F.col("deadline") >= as_of))
