@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -154,3 +156,46 @@ def stale_sources(runs: DataFrame, freshness: DataFrame, as_of) -> DataFrame:
     joined = freshness.join(last, "source", "left")
     age = (F.unix_timestamp(as_of) - F.unix_timestamp("last_good")) / 3600
     return joined.where(F.col("last_good").isNull() | (age > F.col("freshness_hours"))).select("source", "last_good", "freshness_hours")
+
+
+STALE = "source string, last_good timestamp, stale_since timestamp"
+_SILENCE = "last_good timestamp, since timestamp, hours double, told boolean"
+
+
+def _epoch_ms(at: pd.Timestamp) -> int:
+    return int(at.value // 1_000_000)
+
+
+def _watched(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """One source: its last good run, and a timer at the end of its freshness. Runs of any age only move it forward."""
+    last, since, hours, told = state.get if state.exists else (None, None, None, False)
+    if state.hasTimedOut:
+        told = True
+        yield pd.DataFrame({"source": [key[0]], "last_good": [last], "stale_since": [since + pd.Timedelta(hours=hours)]})
+        state.update((last, since, hours, told))
+        return
+    for batch in batches:
+        good = batch.loc[~batch["status"].fillna("").str.startswith("error"), "at"].max()
+        if pd.notna(good) and (last is None or pd.isna(last) or good > last):
+            last, since, told = good, good, False
+        if since is None:  # no good run yet: its freshness counts from the first run that was seen
+            since = batch["at"].min()
+        hours = float(batch["freshness_hours"].iloc[-1])
+    ends = since + pd.Timedelta(hours=hours)
+    if not told and _epoch_ms(ends) <= state.getCurrentWatermarkMs():
+        told = True
+        yield pd.DataFrame({"source": [key[0]], "last_good": [last], "stale_since": [ends]})
+    state.update((last, since, hours, told))
+    if not told:
+        state.setTimeoutTimestamp(_epoch_ms(ends))
+
+
+def watch_freshness(runs: DataFrame, late: str = "30 minutes") -> DataFrame:
+    """T3 as a stream: a row for each source when event time passes its freshness_hours without a good run.
+
+    runs: a stream of (source, status, at, freshness_hours). A source is named once for each silence; a good run
+    ends the silence. Late runs count as long as they are newer than what is known. State is three values for each
+    source, kept in the stream's checkpoint, so a restart goes on where it stopped.
+    """
+    timed = runs.withWatermark("at", late).where("source IS NOT NULL AND at IS NOT NULL AND freshness_hours IS NOT NULL")
+    return timed.groupBy("source").applyInPandasWithState(_watched, STALE, _SILENCE, "append", GroupStateTimeout.EventTimeTimeout)
