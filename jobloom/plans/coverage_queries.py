@@ -189,3 +189,42 @@ def d2_to_d6_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, events = D.resolve_duplicates(keyed.withColumn("precedence", D.precedence(keyed)))
     kinds = F.array_join(F.transform("matched_by", lambda m: F.substring_index(m, ":", 1)), "|")
     return events.select("kept_pos", "removed_pos", F.col("replaced_existing").alias("replaced"), kinds.alias("matched"), F.col("government_duplicate_type").alias("label"))
+
+
+# ---- V5: the constraints of organisations, their connections and portals, each broken by the rows of one remainder.
+_V5 = {"organisation_type": ["ngo"], "investment_classification": ["core"], "ngo_classification": ["technical"], "sector": ["telecom"], "category": ["ports"], "portal_adapter": ["tables"]}
+
+
+@query("""WITH o AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 11 = 1 THEN 'Bad Id ' ELSE 'org-' END || c_custkey AS id FROM customer), c AS (SELECT DISTINCT o_custkey FROM orders)
+SELECT 'organisations' AS "table", 'id.form' AS rule, id AS key FROM o WHERE k % 11 = 1 UNION ALL SELECT 'organisations', 'name.required', id FROM o WHERE k % 11 = 2
+UNION ALL SELECT 'organisations', 'type.vocabulary', id FROM o WHERE k % 11 = 3 UNION ALL SELECT 'organisations', 'families.reference', id FROM o WHERE k % 11 = 4
+UNION ALL SELECT 'organisations', 'countries.reference', id FROM o WHERE k % 11 = 5 UNION ALL SELECT 'organisations', 'name.unique', 'same name' FROM o WHERE k % 11 = 6 HAVING count(*) > 1
+UNION ALL SELECT 'organisations', 'sources.required', id FROM o WHERE k NOT IN (SELECT o_custkey FROM c)
+UNION ALL SELECT 'connections', 'adapter.vocabulary', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey % 13 = 1 UNION ALL SELECT 'connections', 'identifier.required', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey % 13 = 2
+UNION ALL SELECT 'connections', 'defaults.reference', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey % 13 = 3 UNION ALL SELECT 'connections', 'connection.unique', 'lever:same' FROM orders WHERE o_orderkey % 13 = 4 HAVING count(*) > 1
+UNION ALL SELECT 'portals', 'adapter.vocabulary', 'p' || s_suppkey FROM supplier WHERE s_suppkey % 7 = 1 UNION ALL SELECT 'portals', 'reason.required_if_disabled', 'p' || s_suppkey FROM supplier WHERE s_suppkey % 7 = 2
+UNION ALL SELECT 'portals', 'listing.required_if_enabled', 'p' || s_suppkey FROM supplier WHERE s_suppkey % 7 = 3 UNION ALL SELECT 'portals', 'country.reference', 'p' || s_suppkey FROM supplier WHERE s_suppkey % 7 = 4
+UNION ALL SELECT 'portals', 'id.form', 'P ' || s_suppkey FROM supplier WHERE s_suppkey % 7 = 5""")
+def v5_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from jobloom.operators import constraints as C
+
+    k, o, s = F.col("c_custkey"), F.col("o_orderkey"), F.col("s_suppkey")
+    org_id = lambda key: F.concat(F.when(key % 11 == 1, "Bad Id ").otherwise("org-"), key.cast("string"))
+    some = lambda *values: F.array(*map(F.lit, values)).cast("array<string>")
+    tables = {
+        "organisations": table(spark, sf_dir, "customer").select(
+            org_id(k).alias("id"), F.when(k % 11 == 2, " ").when(k % 11 == 6, "Same Name").otherwise(F.concat(F.lit("Employer "), k.cast("string"))).alias("name"), F.when(k % 11 == 3, "club").otherwise("ngo").alias("organisation_type"),
+            F.when(k % 11 == 4, some("f1", "f9")).otherwise(some("f1")).alias("career_families"), F.when(k % 11 == 5, some("KE", "ZZ")).otherwise(some("KE")).alias("countries"),
+        ),
+        "connections": table(spark, sf_dir, "orders").select(
+            "o_orderkey", org_id(F.col("o_custkey")).alias("organisation_id"), F.when(o % 13 == 1, "fax").otherwise("lever").alias("adapter"),
+            F.when(o % 13 == 2, None).when(o % 13 == 4, "Same").otherwise(F.concat(F.lit("board "), o.cast("string"))).alias("identifier"), F.when(o % 13 == 3, some("s1", "s9")).otherwise(some("s1")).alias("default_specialisations"),
+        ),
+        "portals": table(spark, sf_dir, "supplier").select(
+            F.concat(F.when(s % 7 == 5, "P ").otherwise("p"), s.cast("string")).alias("id"), F.when(s % 7 == 4, "ZZ").otherwise("KE").alias("country_code"), F.when(s % 7 == 1, "x").otherwise("tables").alias("adapter"),
+            (s % 7 != 2).alias("enabled"), F.when(s % 7 != 3, "https://p.test").alias("listing_url"), F.lit(None).cast("string").alias("disabled_reason"),
+        ),
+        "countries": R.small_table(spark, [("KE",)], "iso2 string"), "role_families": R.small_table(spark, [("f1",)], "id string"), "specialisations": R.small_table(spark, [("s1",)], "id string"),
+    }
+    rules = [c for c in C.registry_constraints(_V5) if c.table in ("organisations", "connections", "portals")]
+    return C.check(tables, rules, {"organisations": "id", "connections": "o_orderkey", "portals": "id"})
