@@ -129,6 +129,40 @@ def page_of(found: DataFrame, page: int, size: int = PAGE) -> DataFrame:
     return found.offset((min(max(1, page), last) - 1) * size).limit(size)
 
 
+@dataclass(frozen=True)
+class Cursor:
+    """The place of a row in the order of a search: what was posted at, and its number."""
+
+    posted: object
+    pos: int
+
+
+def page_after(items: DataFrame, request: SearchRequest, as_of: Column, after: Cursor | None = None, size: int = PAGE, order_col: str = "pos") -> DataFrame:
+    """W7 without counting or skipping: the next rows of a search after a cursor (the first page for None).
+
+    The cursor is a comparison of columns, so it reaches the scan, and the page is a top-k: each task keeps
+    `size` rows, whatever page it is. order_col must be unique.
+    """
+    found = items.where(matches(request, as_of))
+    recent = request.sort_by == "recent"
+    if after is not None:
+        later = F.col(order_col) > after.pos
+        if recent and after.posted is not None:
+            at = F.lit(after.posted)
+            found = found.where((F.col("posted") < at) | ((F.col("posted") == at) & later) | F.col("posted").isNull())
+        elif recent:
+            found = found.where(F.col("posted").isNull() & later)
+        else:
+            found = found.where(later)
+    return found.orderBy(*([F.desc_nulls_last("posted")] if recent else []), order_col).limit(size)
+
+
+def cursor_of(page: DataFrame, order_col: str = "pos") -> Cursor | None:
+    """Where the next page goes on: after this page's last row; None if it is empty. A page is read, no more."""
+    last = page.select("posted", order_col).tail(1)
+    return Cursor(last[0][0], last[0][1]) if last else None
+
+
 def facet_options(items: DataFrame, limit: int = 60, by_label: bool = False) -> DataFrame:
     """(facet, value, count) over the whole table: the largest counts, or the first labels."""
     from pyspark.sql import Window

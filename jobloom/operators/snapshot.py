@@ -75,33 +75,66 @@ class Rejected(ValueError):
     """A result that must not replace the one before."""
 
 
-def publish(rows: DataFrame, root: str, minimum_rows: int = 1, keep_share: float = 0.5) -> str:
-    """Write to a fresh folder under root, check it, and only then point the root's `current` table at it.
+class Overtaken(RuntimeError):
+    """Another writer published while this result was checked, again and again."""
+
+
+def _versions(spark: SparkSession, root: str):
+    """(file system, folder of the pointers) of a root, through Spark's own Hadoop configuration."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/versions")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _latest(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    """(number, path) of the version that was published last; (0, None) if there is none."""
+    fs, folder = _versions(spark, root)
+    names = [status.getPath().getName() for status in fs.listStatus(folder)] if fs.exists(folder) else []
+    numbers = sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
+    if not numbers:
+        return 0, None
+    return numbers[-1], spark.read.text(f"{root.rstrip('/')}/versions/v{numbers[-1]:012d}").first()[0]
+
+
+def _claim(spark: SparkSession, root: str, number: int, path: str) -> bool:
+    """Make the pointer of a number, unless it is there: the file is written aside and renamed, and a rename to a name
+    that exists fails, so of two writers one gets the number and no reader sees half a pointer."""
+    fs, folder = _versions(spark, root)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(folder)
+    aside, target = hadoop(folder, f"_{uuid.uuid4().hex}"), hadoop(folder, f"v{number:012d}")
+    out = fs.create(aside, False)
+    out.write(bytearray(path.encode()))
+    out.close()
+    won = not fs.exists(target) and fs.rename(aside, target)
+    if not won:
+        fs.delete(aside, False)
+    return won
+
+
+def publish(rows: DataFrame, root: str, minimum_rows: int = 1, keep_share: float = 0.5, attempts: int = 5) -> str:
+    """Write to a fresh folder under root, check it, and only then point the root at it.
 
     A result with too few rows, or with less than keep_share of the last one's, is refused and the last
-    one stays. Nothing is overwritten in place; the pointer is a one-row table of append-only versions.
+    one stays. Nothing is overwritten in place. The pointer is a numbered file that only one writer can make: one
+    who finds the number taken compares its result with what was published meanwhile, and takes the next number.
     """
     spark = rows.sparkSession
     path = f"{root.rstrip('/')}/snapshot-{uuid.uuid4().hex}"
     rows.write.parquet(path)
     n = spark.read.parquet(path).count()
-    last = current(spark, root)
-    before = 0 if last is None else spark.read.parquet(last).count()
-    if n < minimum_rows or n < keep_share * before:
-        raise Rejected(f"{n} rows, {before} before: the snapshot before stays")
-    spark.createDataFrame([(path, n)], "path string, rows long").withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/versions")
-    return path
+    for _ in range(attempts):
+        number, last = _latest(spark, root)
+        before = 0 if last is None else spark.read.parquet(last).count()
+        if n < minimum_rows or n < keep_share * before:
+            raise Rejected(f"{n} rows, {before} before: the snapshot before stays")
+        if _claim(spark, root, number + 1, path):
+            return path
+    raise Overtaken(f"{attempts} others published first")
 
 
 def current(spark: SparkSession, root: str) -> str | None:
     """The path of the snapshot that was published last."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        row = spark.read.parquet(f"{root.rstrip('/')}/versions").orderBy(F.desc("at")).first()
-    except AnalysisException:
-        return None
-    return row.path if row else None
+    return _latest(spark, root)[1]
 
 
 def quality_repair(postings: DataFrame, defaults: DataFrame, african_codes: list[str]) -> tuple[DataFrame, DataFrame]:

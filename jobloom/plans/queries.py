@@ -499,6 +499,16 @@ def q7_recent_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.page_of(found, 2).select("id")
 
 
+@query("WITH " + POSTINGS + " SELECT id FROM postings ORDER BY posted_at DESC, pos LIMIT 30 OFFSET 60")
+def q7_keyset_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The third page, each by the cursor of the one before: nothing is counted or skipped."""
+    request, as_of, items = S.SearchRequest(selected={}, sort_by="recent"), F.lit("2026-01-01").cast("timestamp"), _items(spark, sf_dir)
+    page = S.page_after(items, request, as_of)
+    for _ in range(2):
+        page = S.page_after(items, request, as_of, S.cursor_of(page))
+    return page.select("id")
+
+
 @query("WITH " + POSTINGS + " SELECT count(*) AS rows, count(DISTINCT source_name) AS sources, CAST(0 AS BIGINT) AS families, CAST(1 AS BIGINT) AS countries, count(DISTINCT city) AS cities FROM postings")
 def q8_headline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.headline(_items(spark, sf_dir))
