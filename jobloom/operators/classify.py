@@ -152,6 +152,29 @@ def investment_profile(postings: DataFrame, taxonomy: dict, body_col: str = "bod
     return rows.select("_row.*", whole(profile).alias("investment_profile"))
 
 
+_CASE = "title string, summary string, organisation_type string, specialisations array<string>, expected_classification string, expected_track string, expected_programme_role boolean"
+
+
+def corpus_report(spark, path: str, taxonomy: dict, kind: str) -> DataFrame:
+    """Reviewed cases of a classifier (a JSON file {cases: [...]}) and whether it gets each exactly right.
+
+    Columns: title, expected_classification, expected_track, classification, track, hit. kind is "investment" (C1) or
+    "ngo" (C2, where being a programme role counts too). The hit rate is the mean of hit.
+    """
+    cases = spark.read.schema(f"cases array<struct<{', '.join(f.replace(' ', ':', 1) for f in _CASE.split(', '))}>>").json(path, multiLine=True).select(F.inline("cases"))
+    rows = cases.withColumns({"body": F.col("summary"), "org_type": F.coalesce("organisation_type", F.lit("private")), "role_subfamily": F.lit(None).cast("string"), "industry": F.lit(None).cast("string")})
+    if kind == "investment":
+        judged, profile, also = investment_profile(rows, taxonomy), "investment_profile", F.lit(True)
+    elif kind == "ngo":
+        judged, profile = ngo_profile(rows, taxonomy), "ngo_profile"
+        also = F.coalesce(F.col("expected_programme_role") == F.col("ngo_profile.is_programme_role"), F.lit(True))
+    else:
+        raise ValueError("kind is investment or ngo")
+    judged = judged.withColumns({"classification": F.col(f"{profile}.classification"), "track": F.col(f"{profile}.track")})
+    hit = F.col("classification").eqNullSafe(F.col("expected_classification")) & F.col("track").eqNullSafe(F.col("expected_track")) & also
+    return judged.select("title", "expected_classification", "expected_track", "classification", "track", hit.alias("hit"))
+
+
 def promote_role(postings: DataFrame, themes: DataFrame) -> DataFrame:
     """An investment role gets the family "investment", its canonical specialisation, and that one's themes."""
     role = F.col("investment_profile.is_investment_role")

@@ -18,6 +18,7 @@ from jobloom.operators import quality as V
 from jobloom.operators import reports as A
 from jobloom.operators import search as S
 from jobloom.operators import snapshot as U
+from jobloom.operators.lexicon import once
 from jobloom.plans.cases import Case, joined
 from jobloom.sources import landed as L
 from jobloom.sources import pages as H
@@ -78,8 +79,9 @@ case(
 case(
     "f5_contract_type",
     {"a": ["Volunteer nurse", "Engineer", "Consultant", "Juriste", "Advogado", "Mhasibu", None], "b": ["full-time", "12 month contract", "permanent", "CDI à Dakar", "contrato a termo", "mkataba wa muda maalum", None]},
-    {"o": ("string", ["volunteer", "fixed_term", "consultant", "permanent", "fixed_term", "fixed_term", "unknown"])},
-    lambda d: d.withColumn("o", X.contract_type("a", "b")),
+    {"o": ("string", ["volunteer", "fixed_term", "consultant", "permanent", "fixed_term", "fixed_term", "unknown"]), "language": ("string", ["en", "en", "en", "fr", "pt", "sw", None])},
+    lambda d: once(d, {"c": X.contract_type_with_language("a", "b")}).withColumns({"o": F.col("c.contract_type"), "language": F.col("c.language")}),
+    a="word", b="word",
 )
 case(
     "f6_deadline",
