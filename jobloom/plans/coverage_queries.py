@@ -228,3 +228,56 @@ def v5_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     rules = [c for c in C.registry_constraints(_V5) if c.table in ("organisations", "connections", "portals")]
     return C.check(tables, rules, {"organisations": "id", "connections": "o_orderkey", "portals": "id"})
+
+
+# ---- T1, S25, S27: what is kept in files. They are written to the shared folder and read back.
+def _folder(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    from jobloom.operators.lineage import settled
+
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        settled(spark.range(1))  # sets the folder of a local master, or says that a cluster needs one
+        root = spark.sparkContext.getCheckpointDir()
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("""WITH r AS (SELECT o_orderkey AS id, o_orderkey // 5 AS opening, o_orderkey % 7 AS score, o_orderkey % 3 AS batch FROM orders)
+SELECT opening, id FROM r QUALIFY row_number() OVER (PARTITION BY opening ORDER BY score DESC, batch, id) = 1""")
+def t1_merged_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of postings merged one after the other; up to five are one opening, the best one stays."""
+    from jobloom.streaming import jobs as T
+
+    k, root = F.col("o_orderkey"), _folder(spark, "refresh")
+    rows = table(spark, sf_dir, "orders").select(
+        k.alias("pos"), k.alias("id"), F.floor(k / 5).alias("opening"), F.array(F.concat(F.lit("semantic:"), F.floor(k / 5).cast("string"))).alias("keys"),
+        F.struct((k % 7).alias("score"), F.lit(0).alias("completeness")).alias("precedence"), F.lit(False).alias("is_government"),
+    )
+    for number in range(3):
+        batch = rows.where(k % 3 == number)
+        T.merge_batch(batch, number, root, buckets=8)
+    return T.kept_rows(spark, root, rows.schema, 2).select("opening", "id")
+
+
+@query("SELECT o_orderstatus AS status, count(*) AS rows FROM orders WHERE o_orderkey % 10 <> 0 GROUP BY 1")
+def s27_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three results are published: the second is a tenth of the first and is refused, the third replaces the first."""
+    orders, root = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), _folder(spark, "feed")
+    U.publish(orders, root)
+    try:
+        U.publish(orders.where("o_orderkey % 10 = 0"), root)
+        raise AssertionError("a tenth of the rows was published")
+    except U.Rejected:
+        pass
+    U.publish(orders.where("o_orderkey % 10 <> 0"), root)
+    return U.read_snapshot(spark, U.current(spark, root), orders.schema).groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("rows"))
+
+
+@query("SELECT o_orderkey AS id, o_orderstatus AS title, CAST(NULL AS VARCHAR) AS region, CAST(NULL AS BOOLEAN) AS is_public FROM orders")
+def s25_older_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot of an older schema, read with today's: fields that it lacks are null, also inside of structs."""
+    path = f"{_folder(spark, 'older')}/snapshot"
+    table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("title"), F.struct(F.col("o_orderpriority").alias("country")).alias("loc")).write.parquet(path)
+    today = "id long, title string, loc struct<country:string,region:string>, profile struct<is_public:boolean>"
+    return U.read_snapshot(spark, path, today).select("id", "title", F.col("loc.region").alias("region"), F.col("profile.is_public").alias("is_public"))
