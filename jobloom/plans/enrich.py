@@ -84,7 +84,8 @@ def enrich(postings: DataFrame, registries: Registries | None = None) -> DataFra
     rows = M.match_organisations(rows, g.organisations)
     rows = C.enrich_locations(rows, g.african_terms, g.world_terms, g.countries)
     rows = M.map_specialisations(rows, g.specialisations, g.source_aliases, g.ignored, "raw_terms", "source_key")
-    rows = settled(M.match_sources(rows, g.sources, g.platforms))
+    # What only these steps needed isn't carried through the checkpoint.
+    rows = settled(M.match_sources(rows, g.sources, g.platforms).drop("_fold_org_name", "_fold_source_label", "_norm_location_country", "_key_source_key", "_keys_raw_terms", "_places_in_location_raw"))
 
     rows = M.first_parent(rows, g.parents, "specialisations", "_parent_industry")
     code, region = F.col("loc.country_code"), F.col("loc.region")
@@ -98,7 +99,7 @@ def enrich(postings: DataFrame, registries: Registries | None = None) -> DataFra
         "industry": F.coalesce("_parent_industry", "industry", X.industry("title", "summary")),
     }).drop("_parent_industry")
     rows = M.thematic_sectors(M.role_family(rows, *g.families), g.themes)
-    rows = settled(C.investment_profile(rows, g.investment, "_body"))
+    rows = settled(C.investment_profile(rows, g.investment, "_body").drop("_investment_in_title", "_investment_in__body", "_norm_mode_hint", "_body"))
     rows = settled(C.ngo_profile(C.promote_role(rows, g.themes), g.ngo))
     rows = once(rows, {"institution_profile": C.institution_profile(F.col("org_type")), "government_profile": C.government_profile(), "public_institution_profile": C.public_institution_profile(), "multinational_profile": C.multinational_profile()})
     rows = C.applicant_access(C.africa_relevance(rows, g.world_terms, g.countries), g.world_terms, g.countries)
