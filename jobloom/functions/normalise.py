@@ -1,7 +1,8 @@
 """Six text normalisers that look alike and aren't interchangeable, and other text clean-up.
 
 Unicode normal forms, case folding and HTML entities aren't among Spark's functions; these steps are
-one Arrow-batched UDF for each normaliser, to be applied once to a column and reused.
+one Arrow function for each normaliser, to be applied once to a column and reused. All are of one kind, so that
+Spark evaluates those of one step in one Python worker.
 """
 
 from __future__ import annotations
@@ -9,8 +10,9 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
@@ -19,19 +21,41 @@ _NOT_ASCII = r"[^a-z0-9]+"
 
 
 def _fold(text: str) -> str:
+    if text.isascii():
+        return text
     return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
 
 
+#: What _letters_and_numbers makes of each ASCII character.
+_ASCII = {i: chr(i).lower() if chr(i).isalnum() else " " for i in range(128)}
+
+
 def _letters_and_numbers(text: str) -> str:
+    if text.isascii():
+        return " ".join(text.translate(_ASCII).split())
     folded = unicodedata.normalize("NFKC", text).casefold()
     return " ".join("".join(c if unicodedata.category(c)[0] in "LN" else " " for c in folded).split())
 
 
+#: Characters of texts that a function holds as Python strings at once; longer texts are taken one by one.
+SLICE = 1 << 20
+
+
+def _slices(values: pa.Array) -> Iterator[list]:
+    """The values as lists, of one value or of some SLICE bytes each."""
+    n = len(values)
+    step = max(1, n * SLICE // max(values.nbytes, 1))
+    return (values.slice(at, step).to_pylist() for at in range(0, n, step))
+
+
 def _vectorised(plain):
-    @F.pandas_udf(StringType())
-    def run(values: pd.Series) -> pd.Series:
-        known: dict = {}
-        return values.map(lambda x: None if x is None else known[x] if x in known else known.setdefault(x, plain(x)))
+    @F.arrow_udf(StringType())
+    def run(values: pa.Array) -> pa.Array:
+        made = []
+        for some in _slices(values):
+            known: dict = {None: None}
+            made.append(pa.array([known[x] if x in known else known.setdefault(x, plain(x)) for x in some], pa.string()))
+        return pa.concat_arrays(made) if made else pa.array([], pa.string())
 
     return run
 
@@ -46,6 +70,7 @@ _word = _vectorised(_words)
 _ngo = _vectorised(lambda x: _fold(x).casefold())
 _casefold = _vectorised(str.casefold)
 _unescape = _vectorised(html.unescape)
+_taxonomy = _vectorised(lambda x: _taxonomy_key(x))
 
 
 def _or_empty(value: Column | str) -> Column:
@@ -82,16 +107,19 @@ def norm_dedup(value: Column | str) -> Column:
     return F.trim(F.regexp_replace(bare, _NOT_ASCII, " "))
 
 
+def _taxonomy_key(text: str) -> str:
+    return re.sub(r"[^\S\x1c-\x1f]+", " ", html.unescape(text)).strip(" ").casefold()
+
+
 def taxonomy_key(value: Column | str) -> Column:
     """Entities resolved, white space collapsed, case folded. Punctuation stays."""
-    return _casefold(F.trim(F.regexp_replace(_unescape(_or_empty(value)), r"(?U)\s+", " ")))
+    return _taxonomy(_or_empty(value))
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def _keys_of(values: pd.Series) -> pd.Series:
-    known: dict = {}
-    plain = lambda x: re.sub(r"[^\S\x1c-\x1f]+", " ", html.unescape(x)).strip(" ").casefold()
-    return values.map(lambda xs: None if xs is None else [known[x] if x in known else known.setdefault(x, plain(x)) for x in ("" if x is None else x for x in xs)])
+@F.arrow_udf(ArrayType(StringType()))
+def _keys_of(values: pa.Array) -> pa.Array:
+    known: dict = {None: ""}
+    return pa.array([None if xs is None else [known[x] if x in known else known.setdefault(x, _taxonomy_key(x)) for x in xs] for xs in values.to_pylist()], pa.list_(pa.string()))
 
 
 def taxonomy_keys(values: Column | str) -> Column:

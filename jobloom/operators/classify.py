@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions.extract import eligibility_signals, has
-from jobloom.functions.normalise import norm_ascii_fold, norm_ngo, norm_word
-from jobloom.operators.lexicon import derived, first, lookup, once, ordered, phrases_in, whole
+from jobloom.functions.normalise import norm_ascii_fold, norm_ngo, norm_unicode, norm_word
+from jobloom.operators.lexicon import derived, first, lookup, normalised, once, ordered, phrases_in, together, whole
 from jobloom.operators.matching import african_codes, global_country, nationality_codes, resolve_locations
 from jobloom.registries import remembered, small_table, track_phrases, track_table
 
@@ -74,6 +74,15 @@ def ngo_title_hits(postings: DataFrame, taxonomy: dict) -> DataFrame:
     return phrases_in(postings, "title", norm_ngo, _listed(postings.sparkSession, lists, taxonomy, norm_ngo), "phrase", "_ngo_in_title")
 
 
+def _set_aside(columns: list[str]) -> list[Column]:
+    """Columns under names that a step's own don't clash with; not as one struct, which no reader could prune."""
+    return [F.col(c).alias(f"_own_{c}") for c in columns]
+
+
+def _back(columns: list[str]) -> list[Column]:
+    return [F.col(f"_own_{c}").alias(c) for c in columns]
+
+
 def investment_profile(postings: DataFrame, taxonomy: dict, body_col: str = "body") -> DataFrame:
     """Adds investment_profile. postings: title, body_col (text beside the title), specialisations, org_type.
 
@@ -82,11 +91,11 @@ def investment_profile(postings: DataFrame, taxonomy: dict, body_col: str = "bod
     institution's own context only strengthens evidence that is there.
     """
     spark = postings.sparkSession
-    own_columns = [c for c in postings.columns if c != "investment_profile"]
+    own_columns = [c for c in postings.columns if c not in ("investment_profile", "_investment_in_title", f"_investment_in_{body_col}")]
     lists = _investment_lists(taxonomy)
     rows = investment_hits(postings, taxonomy, body_col)
     rows = once(rows, {"in_title": F.col("_investment_in_title"), "in_body": F.col(f"_investment_in_{body_col}"), "specs": F.coalesce("specialisations", _none()), "kind": F.coalesce("org_type", F.lit("unverified"))})
-    rows = rows.select(F.struct(*own_columns).alias("_row"), "in_title", "in_body", "specs", F.col("kind").alias("org_type"))
+    rows = rows.select(*_set_aside(own_columns), "in_title", "in_body", "specs", F.col("kind").alias("org_type"))
     rows = lookup(rows, F.array_distinct("specs"), track_table(spark, taxonomy), "canonical", "in_specs")
     rows = once(rows, {
         "by_spec": _canonical("in_specs"), "by_title": _kind("in_title", "title", lambda x: -F.length(x["phrase"]), lambda x: x["ord"]),
@@ -149,7 +158,7 @@ def investment_profile(postings: DataFrame, taxonomy: dict, body_col: str = "bod
         F.when(is_dfi & role, 0.96).when(is_dfi, 0.9).when(role, 0.76).otherwise(0.82).alias("dfi_confidence"),
         role.alias("is_investment_role"),
     )
-    return rows.select("_row.*", whole(profile).alias("investment_profile"))
+    return rows.select(*_back(own_columns), whole(profile).alias("investment_profile"))
 
 
 _CASE = "title string, summary string, organisation_type string, specialisations array<string>, expected_classification string, expected_track string, expected_programme_role boolean"
@@ -191,12 +200,11 @@ def ngo_profile(postings: DataFrame, taxonomy: dict) -> DataFrame:
     A title phrase lifts a track to .96 at least; only the first phrase in a list's order is evidence.
     """
     spark = postings.sparkSession
-    own_columns = [c for c in postings.columns if c != "ngo_profile"]
+    own_columns = [c for c in postings.columns if c not in ("ngo_profile", "_ngo_in_title", "_ngo_in_context")]
     lists = {"negatives": taxonomy["negatives"], "supports": taxonomy["support_titles"]}
-    rows = once(ngo_title_hits(postings, taxonomy), {"_context": F.concat_ws(" ", "title", "summary", "role_subfamily", "industry")})
-    rows = phrases_in(rows, "_context", norm_ngo, _contexts(spark, taxonomy, norm_ngo), "phrase", "_ngo_in_context")
+    rows = hits_in_derived(ngo_title_hits(postings, taxonomy), taxonomy)
     rows = once(rows, {"in_title": F.col("_ngo_in_title"), "in_context": F.col("_ngo_in_context"), "specs": F.coalesce("specialisations", _none()), "kind": F.coalesce("org_type", F.lit("unverified"))})
-    rows = rows.select(F.struct(*own_columns).alias("_row"), "in_title", "in_context", "specs", F.col("kind").alias("org_type"))
+    rows = rows.select(*_set_aside(own_columns), "in_title", "in_context", "specs", F.col("kind").alias("org_type"))
     rows = lookup(rows, F.array_distinct("specs"), track_table(spark, taxonomy), "canonical", "in_specs")
     rows = once(rows, {"by_spec": _canonical("in_specs"), "by_title": _kind("in_title", "title", lambda x: x["ord"]), "by_context": _kind("in_context", "context", lambda x: x["ord"])})
     rows = once(rows, {"tracks": _by_track(spec=F.col("by_spec"), title_phrase=F.col("by_title"), context_phrase=F.col("by_context"))})
@@ -242,7 +250,7 @@ def ngo_profile(postings: DataFrame, taxonomy: dict) -> DataFrame:
         F.array_distinct(warned).alias("negative_evidence"),
         programme.alias("is_programme_role"),
     )
-    return rows.select("_row.*", whole(profile).alias("ngo_profile"))
+    return rows.select(*_back(own_columns), whole(profile).alias("ngo_profile"))
 
 
 # ---- C3, C4. Wording of remit, scope and access.
@@ -265,6 +273,27 @@ def access_text() -> Column:
     return F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in ("title", "summary", "eligibility_notes", "location_raw", "location_scope", "work_mode")))
 
 
+def hits_in_derived(postings: DataFrame, ngo: dict | None = None, terms: DataFrame | None = None, place: bool = False) -> DataFrame:
+    """Adds what ngo_profile finds beside the title (ngo), africa_relevance of the known country's name (place) and
+    applicant_access of nationalities (terms), unless it is there already. Inputs come first and all texts are read in
+    one pass. Only texts are searched for nationalities that say something of them."""
+    inputs, text = {}, access_text()
+    if ngo is not None and "_ngo_in_context" not in postings.columns:
+        inputs["_context"] = F.concat_ws(" ", "title", "summary", "role_subfamily", "industry")
+    if place and "_norm_known_name" not in postings.columns:
+        inputs["_known_name"] = F.coalesce("loc.country", "location_country")
+    if terms is not None and "_nations_in__told" not in postings.columns:
+        inputs["_told"] = F.when(has(text, NATIONALITY), text)
+    rows = once(postings, inputs) if inputs else postings
+    if "_context" in inputs:
+        rows = phrases_in(rows, "_context", norm_ngo, _contexts(rows.sparkSession, ngo, norm_ngo), "phrase", "_ngo_in_context")
+    if "_known_name" in inputs:
+        rows = normalised(rows, "_known_name", norm_unicode, "_norm_known_name")
+    if "_told" in inputs:
+        rows = phrases_in(rows, "_told", norm_unicode, terms, "term", "_nations_in__told")
+    return together(rows.drop(*inputs), postings)
+
+
 def africa_relevance(postings: DataFrame, terms: DataFrame, countries: DataFrame) -> DataFrame:
     """Adds africa_relevance, the first of eight states that holds.
 
@@ -272,7 +301,7 @@ def africa_relevance(postings: DataFrame, terms: DataFrame, countries: DataFrame
     loc (as resolve_locations gives it), location_country, is_remote_from_kenya, apply_is_official,
     apply_url, source_confidence, source_kind.
     """
-    rows = once(postings, {"known_code": F.coalesce("loc.country_code", "loc.country_iso3"), "known_name": F.coalesce("loc.country", "location_country"), "all_text": access_text()})
+    rows = once(hits_in_derived(postings, place=True), {"known_code": F.coalesce("loc.country_code", "loc.country_iso3"), "known_name": F.coalesce("loc.country", "location_country"), "all_text": access_text()})
     rows = global_country(rows, terms, countries, "location_raw", "known_code", "known_name", "world")
     text = F.col("all_text")
     african = F.coalesce(F.col("loc.is_african"), F.lit(False)) | F.coalesce(F.col("world.is_african"), F.lit(False))
@@ -296,16 +325,14 @@ def africa_relevance(postings: DataFrame, terms: DataFrame, countries: DataFrame
         .when(official & specific, state("official_location_pending", 0.55, ["verified_official_vacancy", "duty_station_not_confirmed"], "unverified", False, False))
         .otherwise(state("unresolved", 0.2, ["insufficient_geographic_evidence"], "unverified", False, False))
     )
-    return rows.withColumn("africa_relevance", whole(profile)).drop("known_code", "known_name", "world", "all_text")
+    return rows.withColumn("africa_relevance", whole(profile)).drop("known_code", "known_name", "_norm_known_name", "world", "all_text")
 
 
 def applicant_access(postings: DataFrame, terms: DataFrame, countries: DataFrame) -> DataFrame:
     """C4: adds african_applicant_access, the first of nine states that holds; structured government
     data come before wording. Needs africa_relevance and government_profile (may be null)."""
     african = african_codes(countries)
-    rows = once(postings, {"all_text": access_text()})
-    # Codes are read in texts only that say something of nationality.
-    rows = nationality_codes(rows.withColumn("_told", F.when(has("all_text", NATIONALITY), F.col("all_text"))), terms, "_told", "named").drop("_told")
+    rows = nationality_codes(once(hits_in_derived(postings, terms=terms), {"all_text": access_text()}), terms, "_told", "named")
     text = F.col("all_text")
     required = F.coalesce("government_profile.citizenship_required", F.lit(False))
     told = F.array_sort(F.array_distinct(F.transform(F.coalesce("government_profile.eligible_nationalities", _none()), F.upper)))

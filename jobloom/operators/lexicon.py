@@ -4,10 +4,16 @@ A step that matches rows with a registry gets what it found as an array of the r
 the row, so steps follow each other without a shuffle, a key of the rows or a join back. The registry
 goes to all tasks while it has at most HELD_ROWS entries and HELD_BYTES, which is checked; beyond that the
 same array is found by an equi-join of distinct inputs with the registry, with the same results.
+
+Exact keys of registries of at most NATIVE_ROWS entries are looked up by built-in functions alone, in a constant
+array of buckets: each step with a Python function that depends on the step before takes a Python worker of its own
+for each core, so the chain has as few of these as it can.
 """
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections import OrderedDict
 from collections.abc import Callable
 
@@ -20,6 +26,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from jobloom.functions.normalise import PLAIN
 
 HELD_ROWS, HELD_BYTES = 200_000, 32 << 20
+NATIVE_ROWS = 2_000
 #: Registries that the driver has fetched last; each is fetched once while it is among them.
 REMEMBERED = 64
 
@@ -126,6 +133,35 @@ def _in_rows(table: pa.Table, kind: ArrayType, key: str, plain: Callable[[str],
     return find
 
 
+_PLAIN_TYPES = ("string", "boolean", "int", "bigint", "double", "array<string>")
+
+
+def _buckets(registry: DataFrame, table: pa.Table, key: str) -> tuple[Column, int]:
+    """The registry's entries as a constant array of buckets by the CRC-32 of their keys, and the number of buckets."""
+    n = max(1, table.num_rows)
+    buckets: list[list] = [[] for _ in range(n)]
+    for entry in table.to_pylist():
+        if entry[key] is not None:
+            buckets[zlib.crc32(entry[key].encode()) % n].append(entry)
+    fields = ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in registry.schema.fields)
+    return F.from_json(F.lit(json.dumps(buckets, allow_nan=False)), f"array<array<struct<{fields}>>>"), n
+
+
+def _natively(registry: DataFrame, table: pa.Table, key: str, keys: Column) -> Column:
+    """What is found of keys, by built-in functions."""
+    buckets, n = _buckets(registry, table, key)
+
+    def of(k: Column, i: Column) -> Column:
+        same = F.filter(F.get(buckets, F.pmod(F.crc32(k), F.lit(n)).cast("int")), lambda e: e[key] == k)
+        return F.coalesce(F.transform(same, lambda e: F.struct((i + 1).alias("at"), *(e[c].alias(c) for c in registry.columns))), F.array().cast(_found_type(registry)))
+
+    return F.coalesce(F.flatten(F.transform(keys, of)), F.array().cast(_found_type(registry)))
+
+
+def _is_plain(registry: DataFrame) -> bool:
+    return all(f.dataType.simpleString() in _PLAIN_TYPES for f in registry.schema.fields)
+
+
 def _by_join(rows: DataFrame, probes: Column, registry: DataFrame, key: str, out: str) -> DataFrame:
     """The same array by an equi-join: probes, an array of (at, key), are exploded for distinct contents only."""
     given = once(once(rows, {"_probe": probes}), {"_value": F.md5(F.to_json("_probe"))})
@@ -141,6 +177,8 @@ def lookup(rows: DataFrame, keys: Column, registry: DataFrame, key: str, out: st
     """Adds out: the registry's entries whose key is among keys (an array), as structs with "at", the key's number
     from 1. Null keys match nothing. The array's order is not defined: sort by what decides."""
     table = held(registry, most)
+    if table is not None and table.num_rows <= NATIVE_ROWS and _is_plain(registry):
+        return once(once(rows, {"_asked": keys}), {out: _natively(registry, table, key, F.col("_asked"))}).drop("_asked")
     if table is not None:
         return once(rows, {"_asked": keys}).withColumn(out, _in_rows(table, _found_type(registry), key, None)("_asked")).drop("_asked")
     rows = once(rows, {"_asked": F.coalesce(keys, F.array().cast("array<string>"))})
@@ -190,7 +228,7 @@ def ordered(found: str | Column, *order, **fields) -> Column:
     """The found entries as structs of fields (name -> function of an entry), sorted by order (functions of one)."""
     column = F.col(found) if isinstance(found, str) else found
     made = F.transform(column, lambda x: F.struct(*(o(x).alias(f"o{i}") for i, o in enumerate(order)), *(f(x).alias(n) for n, f in fields.items())))
-    return F.array_sort(made)
+    return F.sort_array(made)
 
 
 def first(found: Column) -> Column:
@@ -203,6 +241,13 @@ def whole(value: Column) -> Column:
     return F.when(F.spark_partition_id() >= 0, value)
 
 
+def together(rows: DataFrame, before: DataFrame) -> DataFrame:
+    """The columns that rows have beyond those of before, computed once and in one layer of the plan: Catalyst would else
+    put each Python function where its result is used, and take a worker for each of these places."""
+    found = [c for c in rows.columns if c not in before.columns]
+    return once(rows, {c: F.col(c) for c in found}) if found else rows
+
+
 def once(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """withColumns of values that are each computed once."""
     return rows.withColumns({name: whole(value) for name, value in columns.items()})

@@ -305,9 +305,10 @@ def global_country(postings: DataFrame, terms: DataFrame, countries: DataFrame,
 
 def nationality_codes(postings: DataFrame, terms: DataFrame, text_col: str, out: str = "nationalities") -> DataFrame:
     """Distinct country codes, those of nationality terms first, then of country names; longer terms first."""
-    rows = phrases_in(postings, text_col, norm_unicode, terms, "term", "_hits")
-    by = ordered("_hits", lambda x: (x["kind"] == "country"), lambda x: -F.length(x["term"]), lambda x: x["rank"], iso2=lambda x: x["iso2"])
-    return once(rows, {out: F.array_distinct(F.transform(by, lambda x: x["iso2"]))}).drop("_hits")
+    hits = f"_nations_in_{text_col}"
+    rows = phrases_in(postings, text_col, norm_unicode, terms, "term", hits)
+    by = ordered(hits, lambda x: (x["kind"] == "country"), lambda x: -F.length(x["term"]), lambda x: x["rank"], iso2=lambda x: x["iso2"])
+    return once(rows, {out: F.array_distinct(F.transform(by, lambda x: x["iso2"]))}).drop(hits)
 
 
 def african_codes(countries: DataFrame) -> list[str]:

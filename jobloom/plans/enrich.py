@@ -14,7 +14,7 @@ from jobloom.operators import classify as C
 from jobloom.operators import dedup as D
 from jobloom.operators import matching as M
 from jobloom.operators import quality as V
-from jobloom.operators.lexicon import normalised, once
+from jobloom.operators.lexicon import normalised, once, together
 from jobloom.operators.lineage import settled
 from jobloom.operators.predicates import relevant, split_rejected
 from jobloom.operators.row_rules import row_rules
@@ -60,13 +60,15 @@ class Registries:
 _EMPLOYER = ["source_pack", "sector", "priority", "cities"]
 
 
-def _found_in_given_columns(rows: DataFrame, g: Registries) -> DataFrame:
-    """What the steps need of Python functions on given columns, together: one pass over batches, one worker for a task."""
+def _found_in_given_columns(given: DataFrame, g: Registries, missing: set[str]) -> DataFrame:
+    """What the steps need of Python functions on given columns, together: one pass over batches, one worker for a task.
+    Of a column that the postings don't have, all texts are empty."""
+    rows = given
     for column, normaliser, prefix in (("org_name", norm_ascii_fold, "fold"), ("source_label", norm_ascii_fold, "fold"), ("location_country", norm_unicode, "norm"), ("mode_hint", norm_unicode, "norm")):
-        rows = normalised(rows, column, normaliser, f"_{prefix}_{column}")
+        rows = rows.withColumn(f"_{prefix}_{column}", F.lit("")) if column in missing else normalised(rows, column, normaliser, f"_{prefix}_{column}")
     rows = M.term_keys(rows, "raw_terms", "source_key")
     rows = M.place_hits(rows, g.african_terms, g.world_terms, "location_raw")
-    return C.ngo_title_hits(C.investment_hits(rows, g.investment, "_body"), g.ngo)
+    return together(C.ngo_title_hits(C.investment_hits(rows, g.investment, "_body"), g.ngo), given)
 
 
 def enrich(postings: DataFrame, registries: Registries | None = None) -> DataFrame:
@@ -79,28 +81,33 @@ def enrich(postings: DataFrame, registries: Registries | None = None) -> DataFra
     """
     g = registries or Registries.default(postings.sparkSession)
     own = {c: f"_given_{c}" for c in _EMPLOYER if c in postings.columns}
-    rows = postings.withColumnsRenamed(own).withColumns({c: F.lit(None).cast(kind) for c, kind in DEFAULTS.items() if c not in postings.columns})
-    given = rows = _found_in_given_columns(once(rows, {"_body": F.concat_ws(" ", "summary", "eligibility_notes")}), g)
+    missing = {c for c in DEFAULTS if c not in postings.columns}
+    rows = postings.withColumnsRenamed(own).withColumns({c: F.lit(None).cast(DEFAULTS[c]) for c in sorted(missing)})
+    # Inputs are computed before the pass, once, however the caller makes them.
+    texts = [c for c in ("title", "summary", "org_name", "location_raw", "raw_terms", "source_key", "mode_hint", "source_label", "location_country") if c in postings.columns]
+    rows = once(rows, {"_body": F.concat_ws(" ", "summary", "eligibility_notes")} | {c: F.col(c) for c in texts})
+    given = rows = _found_in_given_columns(rows, g, missing)
     rows = M.match_organisations(rows, g.organisations)
     rows = C.enrich_locations(rows, g.african_terms, g.world_terms, g.countries)
     rows = M.map_specialisations(rows, g.specialisations, g.source_aliases, g.ignored, "raw_terms", "source_key")
-    # What only these steps needed isn't carried through the checkpoint.
-    rows = settled(M.match_sources(rows, g.sources, g.platforms).drop("_fold_org_name", "_fold_source_label", "_norm_location_country", "_key_source_key", "_keys_raw_terms", "_places_in_location_raw"))
+    rows = M.match_sources(rows, g.sources, g.platforms)
 
     rows = M.first_parent(rows, g.parents, "specialisations", "_parent_industry")
     code, region = F.col("loc.country_code"), F.col("loc.region")
     open_region = X.has("location_raw", X.OPEN_REGION)
     remote = X.has("location_raw", X.REMOTE) | open_region
     scope = F.when(code == "KE", "national").when(F.col("loc.is_african") & code.isNotNull(), "regional").when(code.isNotNull(), "international").when(remote & open_region, "international").when(region.isNotNull(), "regional")
+    untold = F.col("_parent_industry").isNull() & F.col("industry").isNull()
+    rows = once(once(rows, {"_low": F.when(untold, X.industry_text("title", "summary"))}), {"_named_industry": F.when(untold, X.industry_found(F.col("_low")))})
     rows = once(rows, {
         "work_mode": X.work_mode("location_raw", F.col("_norm_mode_hint"), "loc.country_code", "loc.region"),
         "location_scope": scope,
         "is_remote_from_kenya": F.coalesce(remote & ((code == "KE") | (code.isNull() & (open_region | region.isNotNull()))), F.lit(False)),
-        "industry": F.coalesce("_parent_industry", "industry", X.industry("title", "summary")),
-    }).drop("_parent_industry")
+        "industry": F.coalesce("_parent_industry", "industry", X.industry_named(F.col("_named_industry"))),
+    }).drop("_parent_industry", "_low", "_named_industry")
     rows = M.thematic_sectors(M.role_family(rows, *g.families), g.themes)
-    rows = settled(C.investment_profile(rows, g.investment, "_body").drop("_investment_in_title", "_investment_in__body", "_norm_mode_hint", "_body"))
-    rows = settled(C.ngo_profile(C.promote_role(rows, g.themes), g.ngo))
+    rows = C.promote_role(C.investment_profile(rows, g.investment, "_body"), g.themes)
+    rows = C.ngo_profile(C.hits_in_derived(rows, g.ngo, g.world_terms, place=True), g.ngo)
     rows = once(rows, {"institution_profile": C.institution_profile(F.col("org_type")), "government_profile": C.government_profile(), "public_institution_profile": C.public_institution_profile(), "multinational_profile": C.multinational_profile()})
     rows = C.applicant_access(C.africa_relevance(rows, g.world_terms, g.countries), g.world_terms, g.countries)
     return rows.withColumn("eligibility", C.eligibility_from_access()).drop(*_EMPLOYER, *(c for c in given.columns if c.startswith("_") and c not in own.values())).withColumnsRenamed({given: c for c, given in own.items()})

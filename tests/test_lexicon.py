@@ -66,3 +66,38 @@ def test_enrichment_keeps_columns_of_its_own_names(spark):
     assert not [c for c in out.columns if c.startswith("_")]
     got = out.select("sector", "priority", "cities", "org_id").first()
     assert tuple(got) == ("mine", 7, ["c"], None)
+
+
+def test_small_registries_are_looked_up_without_python(spark, monkeypatch):
+    _, _, df, registry = _made(spark)
+    rows = df.withColumn("keys", F.when(F.col("id") % 7 != 0, F.concat(F.split("text", " "), F.array(F.lit(None).cast("string"), F.lit("a b")))))
+    native = L.lookup(rows, F.col("keys"), registry, "phrase", "found")
+    monkeypatch.setattr(L, "NATIVE_ROWS", 0)
+    inside = L.lookup(rows, F.col("keys"), registry, "phrase", "found")
+    assert _hits(native) == _hits(inside) and native.schema == inside.schema
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" in plan(inside) and "EvalPython" not in plan(native) and "from_json" not in plan(native)
+
+
+def test_enrichment_takes_two_python_passes_and_no_files(spark):
+    rows = spark.createDataFrame([("a", "Clerk", "Open Relief", "Nairobi", "deal", ["x"], "boards")], "id string, title string, org_name string, location_raw string, summary string, raw_terms array<string>, source_key string")
+    rows = enrich(rows.where("id is not null"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 2 and "ExistingRDD" not in plan.replace("Scan ExistingRDD[id", "")
+    place = rows.select("loc")._jdf.queryExecution().executedPlan().toString()
+    assert place.count("ArrowEvalPython") == 1 and len(place) < len(plan) / 2
+
+
+def test_normalisers_of_ascii_and_of_long_texts(spark, monkeypatch):
+    from jobloom.functions import normalise as N
+
+    texts = ["".join(map(chr, range(128))), "Ab  C_d-9", "", "É" * 5, "x\u00a0Y\x1c\x85z &amp; ß"] * 3
+    for plain in N.PLAIN.values():
+        for t in texts:
+            if t.isascii():  # the short way of ASCII gives what the long way gives: one more letter apart
+                assert plain(t + " é").split(" ")[:-1] == plain(t).split(" ") or not plain(t)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(99, None)], "i int, t string").coalesce(1)
+    made = lambda: [tuple(r) for r in df.select("i", N.norm_unicode("t"), N.norm_ngo("t"), N.norm_word("t"), N.taxonomy_key("t")).orderBy("i").collect()]
+    whole = made()
+    monkeypatch.setattr(N, "SLICE", 1)
+    assert made() == whole and whole[-1] == (99, "", "", "", "")
