@@ -639,10 +639,11 @@ def s26_fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH b AS (SELECT page_id, regexp_replace(coalesce(html, ''), '(?s)<!--.*?-->|<!\\w[^>]*>|<\\?[^>]*>|</?[A-Za-z][^>]*>', '', 'g') AS t FROM pages),
-u AS (SELECT page_id, replace(replace(replace(replace(replace(replace(t, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS t FROM b),
+u AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g') AS t FROM b),
 c AS (SELECT page_id, trim(regexp_replace(t, '\\s+', ' ', 'g'), ' ') AS t FROM u)
 SELECT page_id, CASE WHEN length(t) > 300 THEN substr(t, 1, 300) || '...' WHEN t <> '' THEN t END AS summary FROM c""")
 def f1_html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities are resolved as HTML5 does: these six names count without their semicolon too, as where a page is cut."""
     return table(spark, sf_dir, "pages").select("page_id", N.html_to_text("html").alias("summary"))
 
 
