@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobloom.functions.normalise import norm_dedup
-from jobloom.operators.lineage import settled
+from jobloom.operators.lineage import settled, stored
 
 # Parameters that only track visitors, names that identify nobody, weights of sources.
 TRACKING = ["utm_source", "utm_medium", "utm_campaign", "utm_content", "utm_term", "ref", "source"]
@@ -187,7 +187,7 @@ def resolve_duplicates(postings: DataFrame, order_col: str = "pos") -> tuple[Dat
     kept are the rows that hold a slot at the end. events (D6) name both rows, the keys that matched, and for a
     removed government row whether an identity key explains it.
     """
-    light = settled(postings.select(F.col(order_col).alias("pos"), "keys", "precedence", "is_government"))
+    light = stored(postings.select(F.col(order_col).alias("pos"), "keys", "precedence", "is_government"), "keys")
     keyed = light.select("pos", F.explode("keys").alias("key"))
     first = keyed.groupBy("key").agg(F.min("pos").alias("first"), F.count("*").alias("n")).where("n > 1")
     shared = settled(keyed.join(first, "key").select("pos", "key", "first"))

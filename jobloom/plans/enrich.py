@@ -15,7 +15,7 @@ from jobloom.operators import dedup as D
 from jobloom.operators import matching as M
 from jobloom.operators import quality as V
 from jobloom.operators.lexicon import normalised, once, together
-from jobloom.operators.lineage import settled
+from jobloom.operators.lineage import stored
 from jobloom.operators.predicates import relevant, split_rejected
 from jobloom.operators.row_rules import row_rules
 
@@ -135,7 +135,7 @@ def migrate_baseline(postings: DataFrame, registries: Registries | None = None,
     """
     g = registries or Registries.default(postings.sparkSession)
     african = M.african_codes(g.countries)
-    rows = settled(enrich(postings, g).withColumns({"place_code": F.col("loc.country_code"), "in_africa": F.col("loc.is_african")}))
+    rows = stored(enrich(postings, g).withColumns({"place_code": F.col("loc.country_code"), "in_africa": F.col("loc.is_african")}), "migrated")
     stays = F.lit(True) if is_sample else relevant("is_remote_from_kenya", "in_africa", "place_code", african, "summary")
     kept, gone = rows.where(stays).drop("place_code", "in_africa"), rows.where(~stays)
     bad = V.violations(kept, row_rules(kept.schema, g.vocabularies)).count() + V.duplicate_keys(kept, "id").count()
@@ -147,9 +147,9 @@ def migrate_baseline(postings: DataFrame, registries: Registries | None = None,
 def refresh(postings: DataFrame, registries: Registries | None = None) -> dict[str, DataFrame]:
     """The full refresh after projection: enrich, reject what is out of scope, resolve duplicates.
 
-    Returns kept, rejected and events; kept is checkpointed, since many reports read it.
+    Returns kept, rejected and events; enriched rows are stored once, since many reports read them.
     """
-    enriched = settled(enrich(postings, registries))
+    enriched = stored(enrich(postings, registries), "enriched")
     kept, rejected = split_rejected(enriched)
     public = F.struct(F.col("government_profile.is_government_or_public_service").alias("is_government"), F.col("government_profile.registry_id").alias("registry_id"), F.col("government_profile.advert_reference").alias("advert_reference"), F.col("government_profile.public_service_grade").alias("grade"))
     keyed = D.identity_keys(kept.withColumns({"country_code": F.col("loc.country_code"), "country": F.col("loc.country"), "city": F.col("loc.city"), "government": public}))

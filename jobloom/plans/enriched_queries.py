@@ -150,7 +150,7 @@ SELECT (SELECT count(*) FROM g) AS kept, count(*) FILTER (t = 5) AS rejected, co
 def refresh_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain of a refresh: rows kept, rejected and merged. Up to three postings are one opening: they
     share the numbered title, the summary, the deadline and the address, and differ in their ids."""
-    rows = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    rows = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey"))
     from jobloom.plans.cases import _dealt
 
     k = F.col("o_orderkey")

@@ -294,13 +294,13 @@ def a6_report_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An older snapshot of postings, each an opening of its own."""
-    from jobloom.plans.cases import _dealt
+    from jobloom.plans.cases import _dealt, spread
 
     k = F.col("o_orderkey")
     row = F.pmod(k, F.lit(E.CHAIN.n)).cast("int")
     told = {c: _dealt(v, row) for c, v in E._IN.items()}
     told |= {"title": F.concat_ws(" ", told["title"], k.cast("string")), "apply_url": F.concat(F.lit("https://a.test/"), k.cast("string")), "source_url": F.lit("https://boards.example.com/list")}
-    return table(spark, sf_dir, "orders").select(k.cast("long").alias("pos"), k.cast("string").alias("id"), *(v.alias(c) for c, v in told.items()))
+    return spread(table(spark, sf_dir, "orders").select("o_orderkey")).select(k.cast("long").alias("pos"), k.cast("string").alias("id"), *(v.alias(c) for c, v in told.items()))
 
 
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS id, 'Clerk ' || o_orderkey AS title, 'Plain Foods' AS organisation, 'Tashkent, UZ' AS location, 'known_non_african_without_africa_remit' AS reason FROM orders WHERE o_orderkey % 8 = 5")

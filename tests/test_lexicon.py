@@ -101,3 +101,12 @@ def test_normalisers_of_ascii_and_of_long_texts(spark, monkeypatch):
     whole = made()
     monkeypatch.setattr(N, "SLICE", 1)
     assert made() == whole and whole[-1] == (99, "", "", "", "")
+
+
+def test_refresh_stores_wide_rows_as_columns(spark):
+    from jobloom.plans.enrich import refresh
+
+    rows = spark.range(40).selectExpr("id AS pos", "CAST(id AS STRING) AS id", "concat('Clerk ', id) AS title", "'Open Relief' AS org_name", "'Nairobi' AS location_raw", "'deal' AS summary", "array('x') AS raw_terms", "'boards' AS source_key")
+    out = refresh(rows)
+    assert "FileScan parquet" in out["rejected"]._jdf.queryExecution().executedPlan().toString().replace("Scan parquet", "FileScan parquet")
+    assert out["kept"].count() + out["rejected"].count() + out["events"].count() == 40
