@@ -33,10 +33,14 @@ def official_scope(opted_in: str, is_african: str, country_code: str, title: str
     return _false(F.col(opted_in)) | _false(F.col(is_african)) | F.col(country_code).isNull() | X.has(head, X.OPEN_REGION)
 
 
+def rejection_reason() -> Column:
+    """Why a row is rejected, or null: a known duty station outside Africa without a remit for it."""
+    return F.when(F.col("africa_relevance.status") == "non_african", F.lit("known_non_african_without_africa_remit"))
+
+
 def split_rejected(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(kept, rejected); known duty stations outside Africa without a remit for it are rejected with a reason."""
-    foreign = F.coalesce(F.col("africa_relevance.status") == "non_african", F.lit(False))
-    return postings.where(~foreign), postings.where(foreign).withColumn("reason", F.lit("known_non_african_without_africa_remit"))
+    return postings.where(rejection_reason().isNull()), postings.where(rejection_reason().isNotNull()).withColumn("reason", rejection_reason())
 
 
 def still_open(deadline: str, as_of: Column) -> Column:

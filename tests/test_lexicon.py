@@ -110,3 +110,14 @@ def test_refresh_stores_wide_rows_as_columns(spark):
     out = refresh(rows)
     assert "FileScan parquet" in out["rejected"]._jdf.queryExecution().executedPlan().toString().replace("Scan parquet", "FileScan parquet")
     assert out["kept"].count() + out["rejected"].count() + out["events"].count() == 40
+
+
+def test_split_is_counted_in_one_pass(spark, monkeypatch):
+    from jobloom.plans import enriched_queries as Q
+
+    given = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select(F.struct(F.when(F.col("o_orderkey") % 3 == 0, "non_african").when(F.col("o_orderkey") % 3 == 1, "unresolved").alias("status")).alias("africa_relevance"))
+    monkeypatch.setattr(Q, "enriched", lambda spark, sf_dir: given)
+    counted = Q.p9_split_rejected(spark, "")
+    assert counted._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    kept, rejected = Q.P.split_rejected(given)
+    assert tuple(counted.first()) == (kept.count(), rejected.count()) and rejected.count() > 0
