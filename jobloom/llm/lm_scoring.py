@@ -39,6 +39,8 @@ SLICE = 3 << 20  # bytes of text whose windows are laid out at once
 KNOWN = 150_000  # rare words whose codes a worker keeps
 RATE = 0.05
 _RARE = -(1 << 63)
+_TOP, _ALL = 1 << 63, 1 << 64
+_digest = xxhash.xxh64_intdigest
 
 
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -67,14 +69,14 @@ class _Codes(dict):
     """word -> its place among the network's words, or its rare_code."""
 
     def __init__(self, words: list[bytes]) -> None:
-        self.words = words
+        self.words, self.most = words, len(words) + KNOWN
         super().__init__(zip(words, range(len(words)), strict=True))
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > len(self.words) + KNOWN:
+        if len(self) > self.most:
             self.clear()
             self.update(zip(self.words, range(len(self.words)), strict=True))
-        got = self[word] = rare_code(word)
+        got = self[word] = (_digest(word, 42) | _TOP) - _ALL  # rare_code, without a call for each word
         return got
 
 
@@ -218,9 +220,9 @@ class WindowNetwork:
         if grad is not None:
             d_h *= 1 - h[:, :HIDDEN] ** 2
             grad[bias, :HIDDEN] += d_h.sum(0)
-            flat = inputs.ravel()
-            for j in range(HIDDEN):
-                grad[:bias, j] += np.bincount(flat, weights=np.tile(d_h[:, j], len(AROUND)), minlength=bias)
+            flat = inputs.ravel().astype(np.intp)  # bincount's own types, or each call would convert all of them
+            for j, weights in enumerate(np.ascontiguousarray(d_h.T, np.float64)):
+                grad[:bias, j] += np.bincount(flat, weights=np.tile(weights, len(AROUND)), minlength=bias)
         given = np.empty_like(log_p)
         given[order] = log_p
         return given
@@ -237,7 +239,7 @@ def _round(docs: DataFrame, vocabulary: Vocabulary, table: np.ndarray) -> tuple[
         vocab, start = sent.value
         codes, net, bias = _Codes(vocab.words), WindowNetwork(vocab, start.copy()), vocab.rows()[0]
         squares, grad, used = np.ones_like(start), np.zeros_like(start), np.zeros(len(start), np.int64)
-        loss, tokens = 0.0, 0
+        loss, tokens, step = 0.0, 0, np.empty_like(start)
         for batch in slices(batches, 1, SLICE):
             some = Windows.of([raw or b"" for raw in as_bytes(batch.column(1))], codes, vocab)
             order = np.random.default_rng(0).permutation(len(some.output))
@@ -245,8 +247,9 @@ def _round(docs: DataFrame, vocabulary: Vocabulary, table: np.ndarray) -> tuple[
                 rows = order[at : at + MINIBATCH]
                 grad[:] = 0
                 loss -= float(net.run(some.inputs[:, rows], some.output[rows], grad).sum(dtype=np.float64))
-                squares += grad * grad
-                net.table -= np.float32(RATE) * grad / np.sqrt(squares)
+                squares += np.multiply(grad, grad, out=step)
+                grad *= np.float32(RATE)
+                net.table -= np.divide(grad, np.sqrt(squares, out=step), out=step)
                 used[:bias] += np.bincount(some.inputs[:, rows].ravel(), minlength=bias)
             used[bias:] += len(order)
             tokens += len(order)

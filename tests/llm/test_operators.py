@@ -689,3 +689,13 @@ def test_media_is_cut_and_read_from_the_tables(spark, docs, monkeypatch):
     assert Counter(tuple(r) for r in media.read_media(records, shared).collect()) == want
     with pytest.raises(Exception, match="missing|differ"):
         media.read_media(records, shared.where("digest > unhex('80')")).collect()
+
+
+def test_codes_of_rare_words_are_rare_code_also_when_forgotten(monkeypatch):
+    from jobloom.llm import lm_scoring
+
+    monkeypatch.setattr(lm_scoring, "KNOWN", 3)
+    codes = lm_scoring._Codes([b"a", b"b"])
+    for word in [b"w%d" % i for i in range(40)] * 2:
+        assert codes[word] == lm_scoring.rare_code(word) < 0
+        assert len(codes) <= 2 + 3 + 1 and codes[b"a"] == 0 and codes[b"b"] == 1
