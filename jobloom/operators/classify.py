@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.functions.extract import eligibility_signals, has
+from jobloom.functions.extract import eligibility_signals, has, lowered, says
 from jobloom.functions.normalise import norm_ascii_fold, norm_ngo, norm_unicode, norm_word
-from jobloom.operators.lexicon import derived, first, lookup, normalised, once, ordered, phrases_in, together, whole
+from jobloom.operators.lexicon import derived, first, lookup, lookup_first, normalised, once, ordered, phrases_in, together, whole
 from jobloom.operators.matching import african_codes, global_country, nationality_codes, resolve_locations
 from jobloom.registries import remembered, small_table, track_phrases, track_table
 
@@ -264,6 +264,19 @@ LOCAL_ONLY = r"\b(?:local candidates? only|local applicants? only|locally recrui
 NATIONALITY = r"\b(?:national position|national officer|nationals? only|citizens? only|must be (?:a |an )?(?:[a-z -]+ )?(?:nationals?|citizens?)|only (?:[a-z -]+ )?(?:nationals?|citizens?)|restricted to (?:[a-z -]+ )?(?:nationals?|citizens?))\b"
 INTERNAL = r"\b(?:internal candidates? only|internal applicants? only|staff only)\b"
 NOT_OPEN = r"\b(?:not open to international applicants?|no international applicants?|applicants? must reside in|must be based in (?:the )?united states|us residents? only|canada residents? only)\b"
+#: Words of which one is in each match of a pattern, in lower case: what says() looks for first.
+WORDS = {
+    AFRICA_REMIT: ["afri", "saharan"],
+    REMOTE_GLOBAL: ["remote", "worldwide", "global", "anywhere", "location flexible", "emea", "europe middle east"],
+    AFRICA_ACCESS: ["africa"],
+    ANY_AFRICAN_NATIONAL: ["african"],
+    INTERNATIONAL: ["international", "global recruitment", "visa sponsorship", "relocation support"],
+    WORK_AUTHORISATION: ["work authori", "right to work", "work permit", "sponsorship"],
+    LOCAL_ONLY: ["local"],
+    NATIONALITY: ["national", "citizen"],
+    INTERNAL: ["internal", "staff only"],
+    NOT_OPEN: ["international applicant", "must reside in", "must be based in", "residents only", "resident only"],
+}
 OFFICIAL_KINDS = ["employer_ats", "employer_official", "government_official", "institution_official"]
 
 _RELEVANCE = "status string, confidence double, evidence array<string>, certification_level string, default_visible boolean, known_country_code string, known_country_name string"
@@ -273,25 +286,35 @@ def access_text() -> Column:
     return F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in ("title", "summary", "eligibility_notes", "location_raw", "location_scope", "work_mode")))
 
 
+def _access_texts() -> dict[str, Column]:
+    return {"_access": access_text(), "_access_low": lowered(access_text())}
+
+
+def _told_of(pattern: str) -> Column:
+    """Whether the text of _access_texts has the pattern."""
+    return says("_access", "_access_low", pattern, WORDS[pattern])
+
+
 def hits_in_derived(postings: DataFrame, ngo: dict | None = None, terms: DataFrame | None = None, place: bool = False) -> DataFrame:
     """Adds what ngo_profile finds beside the title (ngo), africa_relevance of the known country's name (place) and
     applicant_access of nationalities (terms), unless it is there already. Inputs come first and all texts are read in
     one pass. Only texts are searched for nationalities that say something of them."""
-    inputs, text = {}, access_text()
+    inputs, rows = {}, postings
     if ngo is not None and "_ngo_in_context" not in postings.columns:
         inputs["_context"] = F.concat_ws(" ", "title", "summary", "role_subfamily", "industry")
     if place and "_norm_known_name" not in postings.columns:
         inputs["_known_name"] = F.coalesce("loc.country", "location_country")
     if terms is not None and "_nations_in__told" not in postings.columns:
-        inputs["_told"] = F.when(has(text, NATIONALITY), text)
-    rows = once(postings, inputs) if inputs else postings
+        rows = once(rows, _access_texts())
+        inputs["_told"] = F.when(_told_of(NATIONALITY), F.col("_access"))
+    rows = once(rows, inputs) if inputs else rows
     if "_context" in inputs:
         rows = phrases_in(rows, "_context", norm_ngo, _contexts(rows.sparkSession, ngo, norm_ngo), "phrase", "_ngo_in_context")
     if "_known_name" in inputs:
         rows = normalised(rows, "_known_name", norm_unicode, "_norm_known_name")
     if "_told" in inputs:
         rows = phrases_in(rows, "_told", norm_unicode, terms, "term", "_nations_in__told")
-    return together(rows.drop(*inputs), postings)
+    return together(rows.drop(*inputs, *_access_texts()), postings)
 
 
 def africa_relevance(postings: DataFrame, terms: DataFrame, countries: DataFrame) -> DataFrame:
@@ -301,13 +324,13 @@ def africa_relevance(postings: DataFrame, terms: DataFrame, countries: DataFrame
     loc (as resolve_locations gives it), location_country, is_remote_from_kenya, apply_is_official,
     apply_url, source_confidence, source_kind.
     """
-    rows = once(hits_in_derived(postings, place=True), {"known_code": F.coalesce("loc.country_code", "loc.country_iso3"), "known_name": F.coalesce("loc.country", "location_country"), "all_text": access_text()})
+    rows = once(hits_in_derived(postings, place=True), {"known_code": F.coalesce("loc.country_code", "loc.country_iso3"), "known_name": F.coalesce("loc.country", "location_country")} | _access_texts())
     rows = global_country(rows, terms, countries, "location_raw", "known_code", "known_name", "world")
-    text = F.col("all_text")
+    text = F.col("_access")
     african = F.coalesce(F.col("loc.is_african"), F.lit(False)) | F.coalesce(F.col("world.is_african"), F.lit(False))
     foreign = F.coalesce(~F.col("world.is_african"), F.lit(False))
-    remit, access = has(text, AFRICA_REMIT), has(text, AFRICA_ACCESS)
-    remote = has(text, REMOTE_GLOBAL) | F.coalesce("is_remote_from_kenya", F.lit(False))
+    remit, access = _told_of(AFRICA_REMIT), _told_of(AFRICA_ACCESS)
+    remote = _told_of(REMOTE_GLOBAL) | F.coalesce("is_remote_from_kenya", F.lit(False))
     official = F.coalesce("apply_is_official", F.lit(False)) | F.coalesce(F.col("source_confidence") == "official", F.lit(False)) | F.coalesce(F.col("source_kind").isin(OFFICIAL_KINDS), F.lit(False))
     specific = (F.length(F.trim(F.coalesce("title", F.lit("")))) >= 4) & F.coalesce("apply_url", F.lit("")).rlike("^https?://")
 
@@ -325,15 +348,14 @@ def africa_relevance(postings: DataFrame, terms: DataFrame, countries: DataFrame
         .when(official & specific, state("official_location_pending", 0.55, ["verified_official_vacancy", "duty_station_not_confirmed"], "unverified", False, False))
         .otherwise(state("unresolved", 0.2, ["insufficient_geographic_evidence"], "unverified", False, False))
     )
-    return rows.withColumn("africa_relevance", whole(profile)).drop("known_code", "known_name", "_norm_known_name", "world", "all_text")
+    return rows.withColumn("africa_relevance", whole(profile)).drop("known_code", "known_name", "_norm_known_name", "world", *_access_texts())
 
 
 def applicant_access(postings: DataFrame, terms: DataFrame, countries: DataFrame) -> DataFrame:
     """C4: adds african_applicant_access, the first of nine states that holds; structured government
     data come before wording. Needs africa_relevance and government_profile (may be null)."""
     african = african_codes(countries)
-    rows = nationality_codes(once(hits_in_derived(postings, terms=terms), {"all_text": access_text()}), terms, "_told", "named")
-    text = F.col("all_text")
+    rows = nationality_codes(once(hits_in_derived(postings, terms=terms), _access_texts()), terms, "_told", "named")
     required = F.coalesce("government_profile.citizenship_required", F.lit(False))
     told = F.array_sort(F.array_distinct(F.transform(F.coalesce("government_profile.eligible_nationalities", _none()), F.upper)))
     known = F.col("africa_relevance.known_country_code")
@@ -347,24 +369,24 @@ def applicant_access(postings: DataFrame, terms: DataFrame, countries: DataFrame
 
     given = F.col("government_profile.citizenship_required")
     structured = required & (F.size(told) > 0)
-    named = has(text, NATIONALITY)
+    named = _told_of(NATIONALITY)
     profile = (
-        F.when(F.coalesce("government_profile.internal_only", F.lit(False)) | has(text, INTERNAL), state("internal_only", 0.99, "structured_or_explicit_internal_only", "explicit", told, given, None, "excluded"))
+        F.when(F.coalesce("government_profile.internal_only", F.lit(False)) | _told_of(INTERNAL), state("internal_only", 0.99, "structured_or_explicit_internal_only", "explicit", told, given, None, "excluded"))
         .when(structured & (F.size(of_africa(told)) > 0), state("confirmed_specific_african_nationality", 0.99, "structured_government_citizenship_requirement", "structured_source", of_africa(told), True, None, "certified"))
         .when(structured, state("not_open", 0.99, "structured_non_african_citizenship_requirement", "structured_source", told, True, None, "excluded"))
-        .when(has(text, ANY_AFRICAN_NATIONAL), state("confirmed_any_african_national", 0.96, "explicit_any_african_nationality", "explicit", _none(), False, None, "certified"))
-        .when(has(text, NOT_OPEN), state("not_open", 0.95, "explicit_not_open_to_international_or_african_applicants", "explicit", _none(), None, None, "excluded"))
-        .when(has(text, WORK_AUTHORISATION), state("work_authorisation_required", 0.92, "explicit_existing_work_authorisation_required", "explicit", _none(), None, True, "conditional"))
+        .when(_told_of(ANY_AFRICAN_NATIONAL), state("confirmed_any_african_national", 0.96, "explicit_any_african_nationality", "explicit", _none(), False, None, "certified"))
+        .when(_told_of(NOT_OPEN), state("not_open", 0.95, "explicit_not_open_to_international_or_african_applicants", "explicit", _none(), None, None, "excluded"))
+        .when(_told_of(WORK_AUTHORISATION), state("work_authorisation_required", 0.92, "explicit_existing_work_authorisation_required", "explicit", _none(), None, True, "conditional"))
         .when(named & (F.size(of_africa(detected)) > 0), state("confirmed_specific_african_nationality", 0.96, "explicit_african_nationality_requirement", "explicit", of_africa(detected), True, None, "certified"))
         .when(named & (F.size(elsewhere(detected)) > 0), state("not_open", 0.96, "explicit_non_african_nationality_requirement", "explicit", elsewhere(detected), True, None, "excluded"))
         .when(named, state("local_only", 0.88, "explicit_nationality_requirement_country_unresolved", "explicit", _none(), True, None, "conditional"))
-        .when(has(text, LOCAL_ONLY), state("local_only", 0.9, "explicit_local_recruitment", "explicit", _none(), None, True, "conditional"))
-        .when(has(text, INTERNATIONAL), state("confirmed_international_recruitment", 0.94, "explicit_international_recruitment", "explicit", _none(), False, None, "certified"))
-        .when(has(text, AFRICA_ACCESS), state("likely_open", 0.88, "explicit_africa_applicant_access", "explicit", _none(), False, None, "conditional"))
+        .when(_told_of(LOCAL_ONLY), state("local_only", 0.9, "explicit_local_recruitment", "explicit", _none(), None, True, "conditional"))
+        .when(_told_of(INTERNATIONAL), state("confirmed_international_recruitment", 0.94, "explicit_international_recruitment", "explicit", _none(), False, None, "certified"))
+        .when(_told_of(AFRICA_ACCESS), state("likely_open", 0.88, "explicit_africa_applicant_access", "explicit", _none(), False, None, "conditional"))
         .when(F.col("africa_relevance.status") == "remote_confirmed_open_to_africa", state("likely_open", 0.82, "remote_confirmed_open_to_africa", "strong_inference", _none(), None, None, "conditional"))
         .otherwise(state("unknown", 0.25, "applicant_access_not_stated", "none", told, given, None, "unverified"))
     )
-    return rows.withColumn("african_applicant_access", whole(profile)).drop("all_text", "named")
+    return rows.withColumn("african_applicant_access", whole(profile)).drop(*_access_texts(), "named")
 
 
 #: Access status -> legacy eligibility.
@@ -448,7 +470,7 @@ def enrich_locations(postings: DataFrame, african_terms: DataFrame, world_terms:
     rows = resolve_locations(postings, african_terms, countries).withColumn("no_code", F.lit(None).cast("string"))
     rows = global_country(rows, world_terms, countries, "location_raw", "no_code", "location_country", "world")
     use = F.col("loc.country_code").isNull() & F.col("world").isNotNull()
-    rows = lookup(rows, F.array("world.iso2"), countries, "iso2", "_states").withColumn("w3", first(F.col("_states"))["iso3"])
+    rows = lookup_first(rows, [F.col("world.iso2")], countries, "iso2", "_state", ["iso3"]).withColumn("w3", F.col("_state.iso3"))
     loc = (
         F.col("loc")
         .withField("country_code", F.when(use, F.col("world.iso2")).otherwise(F.col("loc.country_code")))
@@ -459,4 +481,4 @@ def enrich_locations(postings: DataFrame, african_terms: DataFrame, world_terms:
         .withField("known_non_african", use & ~F.coalesce("world.is_african", F.lit(True)))
         .withField("confidence", F.when(use, F.greatest(F.col("loc.confidence"), F.lit(0.96))).otherwise(F.col("loc.confidence")))
     )
-    return rows.withColumn("loc", whole(loc)).drop("world", "no_code", "w3", "_states")
+    return rows.withColumn("loc", whole(loc)).drop("world", "no_code", "w3", "_state")

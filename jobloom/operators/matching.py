@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions.normalise import norm_ascii_fold, norm_unicode, taxonomy_key, taxonomy_keys
-from jobloom.operators.lexicon import derived, first, grams, held, lookup, normalised, once, only, ordered, phrases_in, whole
+from jobloom.operators.lexicon import derived, first, grams, held, lookup, lookup_first, normalised, once, only, ordered, phrases_in, whole
 
 
 def phrase_hits(rows: DataFrame, text: str, phrases: DataFrame, phrase: str = "phrase", most: int | None = None) -> DataFrame:
@@ -49,9 +49,8 @@ def match_organisations(postings: DataFrame, names: DataFrame, name_col: str = "
     """The organisation of a name or alias, else of the name less one suffix; all columns of names are added."""
     rows = normalised(postings, name_col, norm_ascii_fold, f"_fold_{name_col}").withColumn("_name", F.col(f"_fold_{name_col}"))
     less = [F.when(F.col("_name").endswith(s), F.trim(F.expr(f"left(_name, length(_name) - {len(s)})"))) for s in NAME_SUFFIXES]
-    keys = F.transform(F.array(F.col("_name"), *less), lambda k: F.when(k != "", k))
-    kept = {c: (lambda x, c=c: x[c]) for c in names.columns if c != "name_key"}
-    rows = once(lookup(rows, keys, names, "name_key", "_orgs"), {"_org": first(ordered("_orgs", lambda x: x["at"], **kept))})
+    kept = [c for c in names.columns if c != "name_key"]
+    rows = lookup_first(rows, [F.when(k != "", k) for k in (F.col("_name"), *less)], names, "name_key", "_org", kept)
     return only(rows.withColumns({c: F.col("_org")[c] for c in kept}), postings, *kept)
 
 
@@ -187,9 +186,8 @@ def role_family(postings: DataFrame, by_specialisation: DataFrame, by_industry:
     rows = once(postings, {"role_subfamily": F.try_element_at(F.col(spec_col), F.lit(1))})
     keys = lambda prefix, table: table.toDF("term", "family").withColumn("key", F.concat(F.lit(prefix), "term"))
     keyed = derived("families", lambda s, i: _union([keys("s:", s), keys("i:", i)]), by_specialisation, by_industry)
-    rows = lookup(rows, F.array(F.concat(F.lit("s:"), "role_subfamily"), F.concat(F.lit("i:"), industry_col)), keyed, "key", "_found")
-    family = first(ordered("_found", lambda x: x["at"], f=lambda x: x["family"]))["f"]
-    return once(once(rows, {"role_family": family}), {"role_family": F.when(F.col("role_family").isin(families), F.col("role_family"))}).drop("_found")
+    rows = lookup_first(rows, [F.concat(F.lit("s:"), "role_subfamily"), F.concat(F.lit("i:"), industry_col)], keyed, "key", "_family", ["family"])
+    return once(rows, {"role_family": F.when(F.col("_family.family").isin(families), F.col("_family.family"))}).drop("_family")
 
 
 def thematic_sectors(postings: DataFrame, themes: DataFrame, spec_col: str = "specialisations", industry_col: str = "industry", out: str = "thematic_sectors") -> DataFrame:
@@ -269,7 +267,7 @@ def resolve_locations(postings: DataFrame, terms: DataFrame, countries: DataFram
         "_code2": F.when(admin_tells, F.col("_admin.iso2")).otherwise(F.col("_code1")), "_how": F.when(admin_tells, "country_inferred_from_admin_area").otherwise(F.col("_how1")),
         "_region": first(of("region")),
     })
-    full = once(lookup(full, F.array("_code2"), african, "iso2", "_states"), {"_state": first(F.col("_states"))})
+    full = lookup_first(full, [F.col("_code2")], african, "iso2", "_state", ["iso3", "name", "region"])
     explicit = F.col("_how").isin(EXPLICIT)
     there = lambda c: F.col(c).isNotNull()
     confidence = (
@@ -298,9 +296,7 @@ def global_country(postings: DataFrame, terms: DataFrame, countries: DataFrame,
     by_text = first(ordered("_hits", lambda x: -F.length(x["term"]), lambda x: x["rank"], iso2=lambda x: x["iso2"]))["iso2"]
     by_key = first(ordered("_known", lambda x: x["at"], lambda x: x["rank"], iso2=lambda x: x["iso2"]))["iso2"]
     full = once(full, {"_iso2": F.coalesce(by_key, by_text)})
-    full = lookup(full, F.array("_iso2"), countries, "iso2", "_states")
-    state = first(F.transform("_states", lambda x: F.struct(x["iso2"].alias("iso2"), x["name"].alias("name"), x["is_african"].alias("is_african"))))
-    return only(once(full, {out: state}), postings, out)
+    return only(lookup_first(full, [F.col("_iso2")], countries, "iso2", out, ["iso2", "name", "is_african"]), postings, out)
 
 
 def nationality_codes(postings: DataFrame, terms: DataFrame, text_col: str, out: str = "nationalities") -> DataFrame:

@@ -94,17 +94,17 @@ def enrich(postings: DataFrame, registries: Registries | None = None) -> DataFra
 
     rows = M.first_parent(rows, g.parents, "specialisations", "_parent_industry")
     code, region = F.col("loc.country_code"), F.col("loc.region")
-    open_region = X.has("location_raw", X.OPEN_REGION)
-    remote = X.has("location_raw", X.REMOTE) | open_region
+    open_region = X.place_says("location_raw", "_low_place", X.OPEN_REGION)
+    remote = X.place_says("location_raw", "_low_place", X.REMOTE) | open_region
     scope = F.when(code == "KE", "national").when(F.col("loc.is_african") & code.isNotNull(), "regional").when(code.isNotNull(), "international").when(remote & open_region, "international").when(region.isNotNull(), "regional")
     untold = F.col("_parent_industry").isNull() & F.col("industry").isNull()
-    rows = once(once(rows, {"_low": F.when(untold, X.industry_text("title", "summary"))}), {"_named_industry": F.when(untold, X.industry_found(F.col("_low")))})
+    rows = once(once(rows, {"_low": F.when(untold, X.industry_text("title", "summary")), "_low_place": X.lowered("location_raw")}), {"_named_industry": F.when(untold, X.industry_found(F.col("_low")))})
     rows = once(rows, {
-        "work_mode": X.work_mode("location_raw", F.col("_norm_mode_hint"), "loc.country_code", "loc.region"),
+        "work_mode": X.work_mode("location_raw", F.col("_norm_mode_hint"), "loc.country_code", "loc.region", "_low_place"),
         "location_scope": scope,
         "is_remote_from_kenya": F.coalesce(remote & ((code == "KE") | (code.isNull() & (open_region | region.isNotNull()))), F.lit(False)),
         "industry": F.coalesce("_parent_industry", "industry", X.industry_named(F.col("_named_industry"))),
-    }).drop("_parent_industry", "_low", "_named_industry")
+    }).drop("_parent_industry", "_low", "_low_place", "_named_industry")
     rows = M.thematic_sectors(M.role_family(rows, *g.families), g.themes)
     rows = C.promote_role(C.investment_profile(rows, g.investment, "_body"), g.themes)
     rows = C.ngo_profile(C.hits_in_derived(rows, g.ngo, g.world_terms, place=True), g.ngo)
