@@ -27,8 +27,6 @@ from jobloom.functions.normalise import PLAIN
 
 HELD_ROWS, HELD_BYTES = 200_000, 32 << 20
 NATIVE_ROWS = 2_000
-#: Places for a registry's keys, each of its own, that lookup_first makes at the most.
-SLOTS = 4_096
 #: Registries that the driver has fetched last; each is fetched once while it is among them.
 REMEMBERED = 64
 
@@ -160,21 +158,6 @@ def _natively(registry: DataFrame, table: pa.Table, key: str, keys: Column) -> C
     return F.coalesce(F.flatten(F.transform(keys, of)), F.array().cast(_found_type(registry)))
 
 
-def _slots(registry: DataFrame, table: pa.Table, key: str) -> tuple[Column, int] | None:
-    """The registry's entries as a constant array with one place for each key by its CRC-32, and the number of places;
-    None if keys repeat, or no number of up to SLOTS places parts them all."""
-    entries = [e for e in table.to_pylist() if e[key] is not None]
-    codes = [zlib.crc32(e[key].encode()) for e in entries]
-    n = next((n for n in range(max(1, len(codes)), SLOTS + 1) if len({c % n for c in codes}) == len(codes)), None) if len(codes) <= SLOTS else None
-    if n is None:
-        return None
-    placed: list = [None] * n
-    for code, entry in zip(codes, entries, strict=True):
-        placed[code % n] = entry
-    fields = ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in registry.schema.fields)
-    return F.from_json(F.lit(json.dumps(placed, allow_nan=False)), f"array<struct<{fields}>>"), n
-
-
 def _is_plain(registry: DataFrame) -> bool:
     return all(f.dataType.simpleString() in _PLAIN_TYPES for f in registry.schema.fields)
 
@@ -203,24 +186,6 @@ def lookup(rows: DataFrame, keys: Column, registry: DataFrame, key: str, out: st
     return _by_join(rows, numbered, registry, key, out).drop("_asked")
 
 
-def lookup_first(rows: DataFrame, keys: list[Column], registry: DataFrame, key: str, out: str, fields: list[str], most: int = HELD_ROWS) -> DataFrame:
-    """Adds out: of the first key that the registry has, these fields of its entry (of several, the smallest), or null.
-
-    Where each key of the registry has one entry and a place of its own, this takes plain expressions: unlike array
-    functions they are compiled, and Spark makes one step of them and their neighbours without copying the row between.
-    """
-    table = held(registry, most)
-    slots = _slots(registry, table, key) if table is not None and table.num_rows <= NATIVE_ROWS and _is_plain(registry) else None
-    if slots is None:
-        rows = lookup(rows, F.array(*keys), registry, key, "_found", most)
-        return once(rows, {out: first(ordered("_found", lambda x: x["at"], **{c: (lambda x, c=c: x[c]) for c in fields}))}).drop("_found").withColumn(out, F.when(F.col(out).isNotNull(), F.struct(*(F.col(out)[c].alias(c) for c in fields))))
-    asked = {f"_asked{i}": k for i, k in enumerate(keys)}
-    rows = once(rows, asked)
-    rows = once(rows, {f"_at{c}": F.get(slots[0], F.pmod(F.crc32(c), F.lit(slots[1])).cast("int")) for c in asked})
-    same = F.coalesce(*(F.when(F.col(f"_at{c}")[key] == F.col(c), F.struct(*(F.col(f"_at{c}")[f].alias(f) for f in fields))) for c in asked))
-    return once(rows, {out: same}).drop(*asked, *(f"_at{c}" for c in asked))
-
-
 def phrases_in(rows: DataFrame, text: str, normaliser: Callable, registry: DataFrame, key: str, out: str, most: int = HELD_ROWS) -> DataFrame:
     """Adds out: the registry's entries whose phrase is a run of the tokens of the normalised text, as structs with
     "at", the number of its first token from 1, one for each place. Tokens are what lies between single spaces.
