@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.functions.extract import eligibility_signals, has
+from jobloom.functions.extract import begins, eligibility_signals, has
 from jobloom.functions.normalise import norm_ascii_fold, norm_ngo, norm_unicode, norm_word
 from jobloom.operators.lexicon import derived, first, lookup, normalised, once, ordered, phrases_in, together, whole
 from jobloom.operators.matching import african_codes, global_country, nationality_codes, resolve_locations
@@ -100,8 +100,8 @@ def investment_profile(postings: DataFrame, taxonomy: dict, body_col: str = "bod
     rows = once(rows, {
         "by_spec": _canonical("in_specs"), "by_title": _kind("in_title", "title", lambda x: -F.length(x["phrase"]), lambda x: x["ord"]),
         "by_context": _kind("in_title", "context", lambda x: x["ord"]), "by_body": _kind("in_body", "context", lambda x: x["ord"]),
-    })
-    rows = once(rows, {"tracks": _by_track(spec=F.col("by_spec"), title_phrase=F.col("by_title"), title_context=F.col("by_context"), body_context=F.col("by_body"))})
+    } | {name: _of_list("in_title", name) for name in lists})
+    tracks = _by_track(spec=F.col("by_spec"), title_phrase=F.col("by_title"), title_context=F.col("by_context"), body_context=F.col("by_body"))
 
     def score(t: Column) -> Column:
         return (
@@ -110,8 +110,7 @@ def investment_profile(postings: DataFrame, taxonomy: dict, body_col: str = "bod
         )
 
     found = {c: (lambda x, c=c: x[c]) for c in ("track", "classification", "canonical", "spec", "title_phrase", "title_context", "body_context")}
-    rows = once(rows, {"b": first(ordered("tracks", lambda t: -score(t), lambda t: t["track_ord"], score=score, **found))}).drop("by_spec", "by_title", "by_context", "by_body")
-    rows = once(rows, {name: _of_list("in_title", name) for name in lists})
+    rows = once(rows, {"b": first(ordered(tracks, lambda t: -score(t), lambda t: t["track_ord"], score=score, **found))}).drop("by_spec", "by_title", "by_context", "by_body")
     fallback = next(t for t in taxonomy["tracks"] if t["id"] == taxonomy["fallback_track"])
 
     is_investment, is_dfi, is_finance = (F.col("org_type").isin(taxonomy[k]) for k in ("investment_types", "dfi_types", "finance_types"))
@@ -130,12 +129,11 @@ def investment_profile(postings: DataFrame, taxonomy: dict, body_col: str = "bod
         "by_spec": (~generic & F.col("b.spec").isNotNull()),
     })
     dropped = some("absolute") | (some("hard") & ~F.col("by_title"))
-    rows = once(rows, {"live": F.col("track0").isNotNull() & ~dropped})
+    live = F.col("track0").isNotNull() & ~dropped
     weak = ~F.col("by_title") & ~F.col("by_spec")
     institution = is_investment | is_dfi
     lifted = F.col("score0") + F.when(institution, F.when(weak, 0.30).otherwise(0.08)).when(is_finance, 0.04).otherwise(0.0)
-    rows = once(rows, {"score1": lifted, "live": F.col("live") & ~(weak & (lifted < 0.55))})
-    rows = once(rows, {"role": F.col("live") & (F.col("score1") >= 0.7)})
+    rows = once(rows, {"score1": lifted, "role": live & ~(weak & (lifted < 0.55)) & (lifted >= 0.7)})
     role = F.col("role")
     context = F.when(institution, F.concat(F.lit("institution_context:"), "org_type")).when(is_finance, F.concat(F.lit("finance_institution_context:"), "org_type"))
     evidence = (
@@ -206,8 +204,8 @@ def ngo_profile(postings: DataFrame, taxonomy: dict) -> DataFrame:
     rows = once(rows, {"in_title": F.col("_ngo_in_title"), "in_context": F.col("_ngo_in_context"), "specs": F.coalesce("specialisations", _none()), "kind": F.coalesce("org_type", F.lit("unverified"))})
     rows = rows.select(*_set_aside(own_columns), "in_title", "in_context", "specs", F.col("kind").alias("org_type"))
     rows = lookup(rows, F.array_distinct("specs"), track_table(spark, taxonomy), "canonical", "in_specs")
-    rows = once(rows, {"by_spec": _canonical("in_specs"), "by_title": _kind("in_title", "title", lambda x: x["ord"]), "by_context": _kind("in_context", "context", lambda x: x["ord"])})
-    rows = once(rows, {"tracks": _by_track(spec=F.col("by_spec"), title_phrase=F.col("by_title"), context_phrase=F.col("by_context"))})
+    rows = once(rows, {"by_spec": _canonical("in_specs"), "by_title": _kind("in_title", "title", lambda x: x["ord"]), "by_context": _kind("in_context", "context", lambda x: x["ord"])} | {name: _of_list("in_title", name) for name in lists})
+    tracks = _by_track(spec=F.col("by_spec"), title_phrase=F.col("by_title"), context_phrase=F.col("by_context"))
 
     def base(t: Column) -> Column:
         return F.when(t["title_phrase"].isNotNull(), F.lit(0.96)).when(t["spec"].isNotNull(), F.lit(0.82)).otherwise(F.lit(0.0))
@@ -225,8 +223,7 @@ def ngo_profile(postings: DataFrame, taxonomy: dict) -> DataFrame:
         ))
 
     found = {c: (lambda x, c=c: x[c]) for c in ("track", "classification", "canonical")}
-    rows = once(rows, {"b": first(ordered("tracks", lambda t: -score_of(t), lambda t: t["track_ord"], score=score_of, evidence=evidence, **found))})
-    rows = once(rows, {name: _of_list("in_title", name) for name in lists})
+    rows = once(rows, {"b": first(ordered(tracks, lambda t: -score_of(t), lambda t: t["track_ord"], score=score_of, evidence=evidence, **found))})
 
     is_ngo = F.col("org_type").isin(taxonomy["ngo_types"])
     score = F.coalesce("b.score", F.lit(0.0))
@@ -254,16 +251,16 @@ def ngo_profile(postings: DataFrame, taxonomy: dict) -> DataFrame:
 
 
 # ---- C3, C4. Wording of remit, scope and access.
-AFRICA_REMIT = r"\b(?:africa|african|sub[- ]saharan|east africa|west africa|central africa|southern africa|north africa|pan[- ]african|afrique|africa ocidental|africa oriental|afrika mashariki|afrika magharibi)\b"
-REMOTE_GLOBAL = r"\b(?:remote(?:ly)?|worldwide|global(?:ly)?|anywhere|location flexible|work from anywhere|emea|europe middle east and africa)\b"
-AFRICA_ACCESS = r"\b(?:open to|applications? from|applicants? from|candidates? from|eligible applicants? from)\s+(?:all\s+)?(?:african countries|africa|the african continent|sub[- ]saharan africa)\b"
-ANY_AFRICAN_NATIONAL = r"\b(?:citizens?|nationals?)\s+of\s+(?:any|all)\s+african\s+(?:country|countries|states?)\b|\bopen to african (?:citizens?|nationals?)\b"
-INTERNATIONAL = r"\b(?:international applicants? (?:are )?(?:welcome|eligible|encouraged)|open to international applicants?|internationally recruited|global recruitment|visa sponsorship (?:is )?(?:available|provided)|relocation support (?:is )?provided)\b"
-WORK_AUTHORISATION = r"\b(?:must|should|required to)\s+(?:already\s+)?(?:have|hold|possess)\s+(?:valid\s+)?(?:work authori[sz]ation|right to work|work permit)|\bno (?:visa|work permit) sponsorship\b|\bwithout sponsorship\b"
-LOCAL_ONLY = r"\b(?:local candidates? only|local applicants? only|locally recruited|local hire|local contract)\b"
-NATIONALITY = r"\b(?:national position|national officer|nationals? only|citizens? only|must be (?:a |an )?(?:[a-z -]+ )?(?:nationals?|citizens?)|only (?:[a-z -]+ )?(?:nationals?|citizens?)|restricted to (?:[a-z -]+ )?(?:nationals?|citizens?))\b"
-INTERNAL = r"\b(?:internal candidates? only|internal applicants? only|staff only)\b"
-NOT_OPEN = r"\b(?:not open to international applicants?|no international applicants?|applicants? must reside in|must be based in (?:the )?united states|us residents? only|canada residents? only)\b"
+AFRICA_REMIT = begins("[acenpsw][aefou]", r"\b(?:africa|african|sub[- ]saharan|east africa|west africa|central africa|southern africa|north africa|pan[- ]african|afrique|africa ocidental|africa oriental|afrika mashariki|afrika magharibi)\b")
+REMOTE_GLOBAL = begins("[aeglrw][elmnou]", r"\b(?:remote(?:ly)?|worldwide|global(?:ly)?|anywhere|location flexible|work from anywhere|emea|europe middle east and africa)\b")
+AFRICA_ACCESS = begins("[aceo][alp]", r"\b(?:open to|applications? from|applicants? from|candidates? from|eligible applicants? from)\s+(?:all\s+)?(?:african countries|africa|the african continent|sub[- ]saharan africa)\b")
+ANY_AFRICAN_NATIONAL = begins("[cno][aip]", r"\b(?:citizens?|nationals?)\s+of\s+(?:any|all)\s+african\s+(?:country|countries|states?)\b|\bopen to african (?:citizens?|nationals?)\b")
+INTERNATIONAL = begins("[giorv][eilnp]", r"\b(?:international applicants? (?:are )?(?:welcome|eligible|encouraged)|open to international applicants?|internationally recruited|global recruitment|visa sponsorship (?:is )?(?:available|provided)|relocation support (?:is )?provided)\b")
+WORK_AUTHORISATION = begins("[mnrsw][ehiou]", r"\b(?:must|should|required to)\s+(?:already\s+)?(?:have|hold|possess)\s+(?:valid\s+)?(?:work authori[sz]ation|right to work|work permit)|\bno (?:visa|work permit) sponsorship\b|\bwithout sponsorship\b")
+LOCAL_ONLY = begins("[l][o]", r"\b(?:local candidates? only|local applicants? only|locally recruited|local hire|local contract)\b")
+NATIONALITY = begins("[cmnor][aeinu]", r"\b(?:national position|national officer|nationals? only|citizens? only|must be (?:a |an )?(?:[a-z -]+ )?(?:nationals?|citizens?)|only (?:[a-z -]+ )?(?:nationals?|citizens?)|restricted to (?:[a-z -]+ )?(?:nationals?|citizens?))\b")
+INTERNAL = begins("[is][nt]", r"\b(?:internal candidates? only|internal applicants? only|staff only)\b")
+NOT_OPEN = begins("[acmnu][aopsu]", r"\b(?:not open to international applicants?|no international applicants?|applicants? must reside in|must be based in (?:the )?united states|us residents? only|canada residents? only)\b")
 OFFICIAL_KINDS = ["employer_ats", "employer_official", "government_official", "institution_official"]
 
 _RELEVANCE = "status string, confidence double, evidence array<string>, certification_level string, default_visible boolean, known_country_code string, known_country_name string"
@@ -332,7 +329,8 @@ def applicant_access(postings: DataFrame, terms: DataFrame, countries: DataFrame
     """C4: adds african_applicant_access, the first of nine states that holds; structured government
     data come before wording. Needs africa_relevance and government_profile (may be null)."""
     african = african_codes(countries)
-    rows = nationality_codes(once(hits_in_derived(postings, terms=terms), {"all_text": access_text()}), terms, "_told", "named")
+    rows = once(hits_in_derived(postings, terms=terms), {"all_text": access_text(), "says_nationality": has(access_text(), NATIONALITY)})
+    rows = nationality_codes(rows, terms, "_told", "named")
     text = F.col("all_text")
     required = F.coalesce("government_profile.citizenship_required", F.lit(False))
     told = F.array_sort(F.array_distinct(F.transform(F.coalesce("government_profile.eligible_nationalities", _none()), F.upper)))
@@ -347,7 +345,7 @@ def applicant_access(postings: DataFrame, terms: DataFrame, countries: DataFrame
 
     given = F.col("government_profile.citizenship_required")
     structured = required & (F.size(told) > 0)
-    named = has(text, NATIONALITY)
+    named = F.col("says_nationality")
     profile = (
         F.when(F.coalesce("government_profile.internal_only", F.lit(False)) | has(text, INTERNAL), state("internal_only", 0.99, "structured_or_explicit_internal_only", "explicit", told, given, None, "excluded"))
         .when(structured & (F.size(of_africa(told)) > 0), state("confirmed_specific_african_nationality", 0.99, "structured_government_citizenship_requirement", "structured_source", of_africa(told), True, None, "certified"))
@@ -364,7 +362,7 @@ def applicant_access(postings: DataFrame, terms: DataFrame, countries: DataFrame
         .when(F.col("africa_relevance.status") == "remote_confirmed_open_to_africa", state("likely_open", 0.82, "remote_confirmed_open_to_africa", "strong_inference", _none(), None, None, "conditional"))
         .otherwise(state("unknown", 0.25, "applicant_access_not_stated", "none", told, given, None, "unverified"))
     )
-    return rows.withColumn("african_applicant_access", whole(profile)).drop("all_text", "named")
+    return rows.withColumn("african_applicant_access", whole(profile)).drop("all_text", "says_nationality", "named")
 
 
 #: Access status -> legacy eligibility.

@@ -178,7 +178,9 @@ def lookup(rows: DataFrame, keys: Column, registry: DataFrame, key: str, out: st
     from 1. Null keys match nothing. The array's order is not defined: sort by what decides."""
     table = held(registry, most)
     if table is not None and table.num_rows <= NATIVE_ROWS and _is_plain(registry):
-        return once(once(rows, {"_asked": keys}), {out: _natively(registry, table, key, F.col("_asked"))}).drop("_asked")
+        # Neither the keys nor what is found is a layer of the plan: what reads the array once takes it in place. By its
+        # type the column may be null, as the one from Python is; the optimizer folds the condition.
+        return rows.withColumn(out, F.when(F.lit(1) == F.lit(1), _natively(registry, table, key, keys)))
     if table is not None:
         return once(rows, {"_asked": keys}).withColumn(out, _in_rows(table, _found_type(registry), key, None)("_asked")).drop("_asked")
     rows = once(rows, {"_asked": F.coalesce(keys, F.array().cast("array<string>"))})

@@ -84,9 +84,16 @@ def varied(value: Column, how: str | None) -> Column:
     return F.concat(value, F.array(F.concat(F.lit("unlisted "), key))) if how == "element" else value
 
 
+#: The most rows of a task, on average: what a task and its Python workers hold doesn't grow with the table.
+TASK_ROWS = 250_000
+
+
 def spread(keys: DataFrame) -> DataFrame:
-    """The keys over all cores: the given tables are one small file each, and steps without a shuffle would run as one task."""
-    return keys.repartition(keys.sparkSession.sparkContext.defaultParallelism)
+    """The keys over all cores: the given tables are one small file each, and steps without a shuffle would run as one task.
+    Large tables take more tasks, by their rows (a count that reads the files' footers), so that cores which are not there
+    yet, or are slow, don't decide how much work one task has."""
+    cores = keys.sparkSession.sparkContext.defaultParallelism
+    return keys.repartition(cores * max(1, -(-keys.count() // (TASK_ROWS * cores))))
 
 
 def joined(value: Column | str) -> Column:
