@@ -61,17 +61,25 @@ def _contexts(spark, taxonomy: dict, normaliser) -> DataFrame:
     return derived("contexts", lambda t: t.where("kind = 'context'"), track_phrases(spark, taxonomy, normaliser))
 
 
+def investment_phrases(spark, taxonomy: dict) -> tuple[DataFrame, DataFrame]:
+    """What investment_profile looks for in titles, and in the text beside them."""
+    return _listed(spark, _investment_lists(taxonomy), taxonomy, norm_word), _contexts(spark, taxonomy, norm_word)
+
+
+def ngo_phrases(spark, taxonomy: dict) -> tuple[DataFrame, DataFrame]:
+    """What ngo_profile looks for in titles, and in the text beside them."""
+    return _listed(spark, {"negatives": taxonomy["negatives"], "supports": taxonomy["support_titles"]}, taxonomy, norm_ngo), _contexts(spark, taxonomy, norm_ngo)
+
+
 def investment_hits(postings: DataFrame, taxonomy: dict, body_col: str) -> DataFrame:
     """Adds what investment_profile finds in the title and the body, unless it is there already."""
-    spark = postings.sparkSession
-    rows = phrases_in(postings, "title", norm_word, _listed(spark, _investment_lists(taxonomy), taxonomy, norm_word), "phrase", "_investment_in_title")
-    return phrases_in(rows, body_col, norm_word, _contexts(spark, taxonomy, norm_word), "phrase", f"_investment_in_{body_col}")
+    titles, contexts = investment_phrases(postings.sparkSession, taxonomy)
+    return phrases_in(phrases_in(postings, "title", norm_word, titles, "phrase", "_investment_in_title"), body_col, norm_word, contexts, "phrase", f"_investment_in_{body_col}")
 
 
 def ngo_title_hits(postings: DataFrame, taxonomy: dict) -> DataFrame:
     """Adds what ngo_profile finds in the title, unless it is there already."""
-    lists = {"negatives": taxonomy["negatives"], "supports": taxonomy["support_titles"]}
-    return phrases_in(postings, "title", norm_ngo, _listed(postings.sparkSession, lists, taxonomy, norm_ngo), "phrase", "_ngo_in_title")
+    return phrases_in(postings, "title", norm_ngo, ngo_phrases(postings.sparkSession, taxonomy)[0], "phrase", "_ngo_in_title")
 
 
 def _set_aside(columns: list[str]) -> list[Column]:
@@ -273,6 +281,11 @@ def access_text() -> Column:
     return F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in ("title", "summary", "eligibility_notes", "location_raw", "location_scope", "work_mode")))
 
 
+def known_country() -> tuple[Column, Column]:
+    """The code and the name by which africa_relevance looks up a row's country."""
+    return F.coalesce("loc.country_code", "loc.country_iso3"), F.coalesce("loc.country", "location_country")
+
+
 def hits_in_derived(postings: DataFrame, ngo: dict | None = None, terms: DataFrame | None = None, place: bool = False) -> DataFrame:
     """Adds what ngo_profile finds beside the title (ngo), africa_relevance of the known country's name (place) and
     applicant_access of nationalities (terms), unless it is there already. Inputs come first and all texts are read in
@@ -281,7 +294,7 @@ def hits_in_derived(postings: DataFrame, ngo: dict | None = None, terms: DataFra
     if ngo is not None and "_ngo_in_context" not in postings.columns:
         inputs["_context"] = F.concat_ws(" ", "title", "summary", "role_subfamily", "industry")
     if place and "_norm_known_name" not in postings.columns:
-        inputs["_known_name"] = F.coalesce("loc.country", "location_country")
+        inputs["_known_name"] = known_country()[1]
     if terms is not None and "_nations_in__told" not in postings.columns:
         inputs["_told"] = F.when(has(text, NATIONALITY), text)
     rows = once(postings, inputs) if inputs else postings
@@ -301,8 +314,12 @@ def africa_relevance(postings: DataFrame, terms: DataFrame, countries: DataFrame
     loc (as resolve_locations gives it), location_country, is_remote_from_kenya, apply_is_official,
     apply_url, source_confidence, source_kind.
     """
-    rows = once(hits_in_derived(postings, place=True), {"known_code": F.coalesce("loc.country_code", "loc.country_iso3"), "known_name": F.coalesce("loc.country", "location_country"), "all_text": access_text()})
-    rows = global_country(rows, terms, countries, "location_raw", "known_code", "known_name", "world")
+    if "_known_world" in postings.columns:  # the chain by rows has found it, and made the text
+        rows = postings.withColumns({"world": F.col("_known_world"), "all_text": F.col("_all_text")})
+    else:
+        code, name = known_country()
+        rows = once(hits_in_derived(postings, place=True), {"known_code": code, "known_name": name, "all_text": access_text()})
+        rows = global_country(rows, terms, countries, "location_raw", "known_code", "known_name", "world")
     text = F.col("all_text")
     african = F.coalesce(F.col("loc.is_african"), F.lit(False)) | F.coalesce(F.col("world.is_african"), F.lit(False))
     foreign = F.coalesce(~F.col("world.is_african"), F.lit(False))
@@ -332,7 +349,10 @@ def applicant_access(postings: DataFrame, terms: DataFrame, countries: DataFrame
     """C4: adds african_applicant_access, the first of nine states that holds; structured government
     data come before wording. Needs africa_relevance and government_profile (may be null)."""
     african = african_codes(countries)
-    rows = nationality_codes(once(hits_in_derived(postings, terms=terms), {"all_text": access_text()}), terms, "_told", "named")
+    if "_named" in postings.columns:  # the chain by rows has found them, and made the text
+        rows = postings.withColumns({"named": F.col("_named"), "all_text": F.col("_all_text")})
+    else:
+        rows = nationality_codes(once(hits_in_derived(postings, terms=terms), {"all_text": access_text()}), terms, "_told", "named")
     text = F.col("all_text")
     required = F.coalesce("government_profile.citizenship_required", F.lit(False))
     told = F.array_sort(F.array_distinct(F.transform(F.coalesce("government_profile.eligible_nationalities", _none()), F.upper)))

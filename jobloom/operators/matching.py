@@ -56,27 +56,38 @@ def match_organisations(postings: DataFrame, names: DataFrame, name_col: str = "
 
 
 # ---- J2: sources.
-def match_sources(postings: DataFrame, sources: DataFrame, platforms: dict[str, str], url_col: str = "source_url", name_col: str = "source_label") -> DataFrame:
-    """By host or a parent domain (in the registry's order), else by name, else by the platform's domain."""
-    fields = ["source_id", "source_kind", "source_confidence"]
+SOURCE_FIELDS = ["source_id", "source_kind", "source_confidence"]
+
+
+def source_ways(sources: DataFrame, platforms: dict[str, str]) -> DataFrame:
+    """(key, stage, nth, fields) of every way to a source."""
 
     def ways(sources: DataFrame) -> DataFrame:
         made = [
-            sources.where("domain is not null").select(F.concat(F.lit("d:"), F.lower("domain")).alias("key"), F.lit(0).alias("stage"), F.col("rank").alias("nth"), *fields),
-            sources.select(F.concat(F.lit("n:"), norm_ascii_fold("source_name")).alias("key"), F.lit(1).alias("stage"), (-F.col("rank")).alias("nth"), *fields),
+            sources.where("domain is not null").select(F.concat(F.lit("d:"), F.lower("domain")).alias("key"), F.lit(0).alias("stage"), F.col("rank").alias("nth"), *SOURCE_FIELDS),
+            sources.select(F.concat(F.lit("n:"), norm_ascii_fold("source_name")).alias("key"), F.lit(1).alias("stage"), (-F.col("rank")).alias("nth"), *SOURCE_FIELDS),
         ]
         if platforms:
             served = F.from_json(F.lit(json.dumps(platforms)), "map<string,string>")
             hosts = sources.select("*", F.explode(F.map_keys(F.map_filter(served, lambda _, v: v == F.col("source_id")))).alias("host"))
-            made.append(hosts.select(F.concat(F.lit("p:"), "host").alias("key"), F.lit(2).alias("stage"), F.col("rank").alias("nth"), *fields))
+            made.append(hosts.select(F.concat(F.lit("p:"), "host").alias("key"), F.lit(2).alias("stage"), F.col("rank").alias("nth"), *SOURCE_FIELDS))
         return _union(made)
 
-    host = F.lower(F.coalesce(F.try_parse_url(url_col, F.lit("HOST")), F.lit("")))
-    rows = once(normalised(postings, name_col, norm_ascii_fold, f"_fold_{name_col}"), {"_parts": F.split(host, r"\."), "_label": F.col(f"_fold_{name_col}")})
+    return derived(f"sources {sorted(platforms.items())}", ways, sources)
+
+
+def host_of(url_col: str) -> Column:
+    return F.lower(F.coalesce(F.try_parse_url(url_col, F.lit("HOST")), F.lit("")))
+
+
+def match_sources(postings: DataFrame, sources: DataFrame, platforms: dict[str, str], url_col: str = "source_url", name_col: str = "source_label") -> DataFrame:
+    """By host or a parent domain (in the registry's order), else by name, else by the platform's domain."""
+    fields = SOURCE_FIELDS
+    rows = once(normalised(postings, name_col, norm_ascii_fold, f"_fold_{name_col}"), {"_parts": F.split(host_of(url_col), r"\."), "_label": F.col(f"_fold_{name_col}")})
     parents = F.filter(F.transform(F.sequence(F.lit(1), F.size("_parts")), lambda i: F.array_join(F.slice("_parts", i, F.size("_parts")), ".")), lambda d: d != "")
     rows = once(rows, {"_parents": parents})
     keys = F.concat(_prefixed("d:", F.col("_parents")), F.array(F.when(F.col("_label") != "", F.concat(F.lit("n:"), "_label"))), _prefixed("p:", F.col("_parents")))
-    rows = lookup(rows, keys, derived(f"sources {sorted(platforms.items())}", ways, sources), "key", "_found")
+    rows = lookup(rows, keys, source_ways(sources, platforms), "key", "_found")
     best = first(ordered("_found", lambda x: x["stage"], lambda x: x["nth"], **{c: (lambda x, c=c: x[c]) for c in fields}))
     return only(once(rows, {"_best": best}).withColumns({c: F.col("_best")[c] for c in fields}), postings, *fields)
 
@@ -114,9 +125,8 @@ def term_keys(postings: DataFrame, raw_col: str, source_col: str) -> DataFrame:
     return normalised(rows, raw_col, lambda c: taxonomy_keys(F.filter(F.coalesce(c, _texts()), lambda x: x != "")), f"_keys_{raw_col}")
 
 
-def map_specialisations(postings: DataFrame, aliases: DataFrame, source_aliases: DataFrame, ignored: DataFrame, raw_col: str, source_col: str, out: str = "specialisations", limit: int = 3) -> DataFrame:
-    """Distinct targets, the first `limit` in order. The source's own alias counts before a shared one, both
-    before the taxonomy; an alias whose target isn't in the taxonomy maps to nothing."""
+def specialisation_ways(aliases: DataFrame, source_aliases: DataFrame, ignored: DataFrame) -> DataFrame:
+    """(probe, way, target) of what is ignored, of sources' aliases and of the taxonomy."""
 
     def ways(aliases: DataFrame, source_aliases: DataFrame, ignored: DataFrame) -> DataFrame:
         scoped = lambda kind: F.concat_ws("\x1f", F.lit(kind), "source_key", "key").alias("probe")
@@ -127,13 +137,19 @@ def map_specialisations(postings: DataFrame, aliases: DataFrame, source_aliases:
             aliases.select(F.concat_ws("\x1f", F.lit("taxonomy"), "key").alias("probe"), F.lit(3).alias("way"), "target"),
         ])
 
+    return derived("specialisations", ways, aliases, source_aliases, ignored)
+
+
+def map_specialisations(postings: DataFrame, aliases: DataFrame, source_aliases: DataFrame, ignored: DataFrame, raw_col: str, source_col: str, out: str = "specialisations", limit: int = 3) -> DataFrame:
+    """Distinct targets, the first `limit` in order. The source's own alias counts before a shared one, both
+    before the taxonomy; an alias whose target isn't in the taxonomy maps to nothing."""
     rows = term_keys(postings, raw_col, source_col)
     rows = rows.withColumns({"_src": F.col(f"_key_{source_col}"), "_keys": F.col(f"_keys_{raw_col}")})
     probes = F.flatten(F.transform("_keys", lambda k: F.array(
         F.concat_ws("\x1f", F.lit("ignored"), F.lit("*"), k), F.concat_ws("\x1f", F.lit("ignored"), "_src", k), F.concat_ws("\x1f", F.lit("source"), "_src", k),
         F.concat_ws("\x1f", F.lit("source"), F.lit("*"), k), F.concat_ws("\x1f", F.lit("taxonomy"), k),
     )))
-    rows = lookup(rows, probes, derived("specialisations", ways, aliases, source_aliases, ignored), "probe", "_found")
+    rows = lookup(rows, probes, specialisation_ways(aliases, source_aliases, ignored), "probe", "_found")
     # Five probes for each term: its first entry decides, ignored ones before all.
     by_term = ordered("_found", lambda x: x["at"], term=lambda x: F.floor((x["at"] - 1) / 5), way=lambda x: x["way"], target=lambda x: x["target"])
     rows = once(rows, {"_found": by_term})
@@ -182,12 +198,16 @@ def infer_specialisations(postings: DataFrame, aliases: DataFrame, title_col: st
     return rows.withColumn(out, F.slice(best, 1, limit)).drop("_title", "_context", "_in_title", "_in_context")
 
 
+def family_keys(by_specialisation: DataFrame, by_industry: DataFrame) -> DataFrame:
+    """(key, family): specialisations' families under "s:", industries' under "i:"."""
+    keys = lambda prefix, table: table.toDF("term", "family").withColumn("key", F.concat(F.lit(prefix), "term"))
+    return derived("families", lambda s, i: _union([keys("s:", s), keys("i:", i)]), by_specialisation, by_industry)
+
+
 def role_family(postings: DataFrame, by_specialisation: DataFrame, by_industry: DataFrame, families: list[str], spec_col: str = "specialisations", industry_col: str = "industry") -> DataFrame:
     """role_subfamily is the first specialisation; role_family follows from it, else from the industry, if it is a known family."""
     rows = once(postings, {"role_subfamily": F.try_element_at(F.col(spec_col), F.lit(1))})
-    keys = lambda prefix, table: table.toDF("term", "family").withColumn("key", F.concat(F.lit(prefix), "term"))
-    keyed = derived("families", lambda s, i: _union([keys("s:", s), keys("i:", i)]), by_specialisation, by_industry)
-    rows = lookup(rows, F.array(F.concat(F.lit("s:"), "role_subfamily"), F.concat(F.lit("i:"), industry_col)), keyed, "key", "_found")
+    rows = lookup(rows, F.array(F.concat(F.lit("s:"), "role_subfamily"), F.concat(F.lit("i:"), industry_col)), family_keys(by_specialisation, by_industry), "key", "_found")
     family = first(ordered("_found", lambda x: x["at"], f=lambda x: x["family"]))["f"]
     return once(once(rows, {"role_family": family}), {"role_family": F.when(F.col("role_family").isin(families), F.col("role_family"))}).drop("_found")
 

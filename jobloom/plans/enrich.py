@@ -6,15 +6,17 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from jobloom import registries as R
 from jobloom.functions import extract as X
 from jobloom.functions.normalise import norm_ascii_fold, norm_unicode
+from jobloom.operators import by_row as B
 from jobloom.operators import classify as C
 from jobloom.operators import dedup as D
 from jobloom.operators import matching as M
 from jobloom.operators import quality as V
-from jobloom.operators.lexicon import normalised, once, together
+from jobloom.operators.lexicon import held, normalised, once, together
 from jobloom.operators.lineage import stored
 from jobloom.operators.predicates import relevant, split_rejected
 from jobloom.operators.row_rules import row_rules
@@ -71,13 +73,76 @@ def _found_in_given_columns(given: DataFrame, g: Registries, missing: set[str])
     return together(C.ngo_title_hits(C.investment_hits(rows, g.investment, "_body"), g.ngo), given)
 
 
+def _whole(g: Registries, spark: SparkSession) -> dict[str, list[dict]] | None:
+    """All registries of the chain as lists of entries; None if one of them is larger than may be sent to all tasks."""
+    (titles, contexts), (ngo_titles, ngo_contexts) = C.investment_phrases(spark, g.investment), C.ngo_phrases(spark, g.ngo)
+    tables = {
+        "names": g.organisations, "sources": M.source_ways(g.sources, g.platforms), "terms": M.specialisation_ways(g.specialisations, g.source_aliases, g.ignored), "parents": g.parents, "african": g.african_terms,
+        "world": M._country_names(g.world_terms), "nations": g.world_terms, "countries": g.countries, "families": M.family_keys(*g.families[:2]), "themes": g.themes.toDF("key", "themes"),
+        "titles": titles, "contexts": contexts, "tracks": R.track_table(spark, g.investment), "ngo_titles": ngo_titles, "ngo_contexts": ngo_contexts, "ngo_tracks": R.track_table(spark, g.ngo),
+    }
+    found = {name: held(table) for name, table in tables.items()}
+    return None if any(t is None for t in found.values()) else {name: t.to_pylist() for name, t in found.items()}
+
+
+def _matched_by_row(given: DataFrame, g: Registries, w: dict[str, list[dict]]) -> DataFrame:
+    """What depends on given columns, in one pass: organisation, location, terms, source and investment."""
+    columns = StructType([f for f in g.organisations.schema.fields if f.name != "name_key"])
+    found_source = StructType([f for f in g.sources.schema.fields if f.name in M.SOURCE_FIELDS])
+    text = lambda c: F.col(c).cast("string")
+    terms = (F.col("raw_terms").cast("array<string>"), text("source_key"))
+    rows = given.withColumns({
+        "_employer": B.employer_step(columns, w["names"], M.NAME_SUFFIXES)(text("org_name")),
+        "_loc": B.place_step(StructType.fromDDL(B.LOC), w["african"], w["world"], w["countries"], M.EXPLICIT)(text("location_raw"), text("location_country")),
+        "_terms": B.terms_step(StructType.fromDDL("specialisations array<string>, parent string"), w["terms"], w["parents"])(*terms),
+        "_source": B.source_step(found_source, w["sources"])(M.host_of("source_url"), text("source_label")),
+        "_investment": B.investment_step(StructType.fromDDL(B.INVESTMENT), g.investment, w["titles"], w["contexts"], w["tracks"], w["names"], M.NAME_SUFFIXES, w["terms"])(text("title"), text("_body"), text("org_name"), *terms),
+        "_norm_mode_hint": norm_unicode("mode_hint"),
+    })
+    return together(rows, given).withColumns({
+        **{c: F.col("_employer")[c] for c in columns.names}, **{c: F.col("_source")[c] for c in M.SOURCE_FIELDS}, "loc": F.col("_loc"),
+        "specialisations": F.col("_terms.specialisations"), "_parent_industry": F.col("_terms.parent"), "investment_profile": F.col("_investment"),
+    })
+
+
+def _matched_by_columns(given: DataFrame, g: Registries, missing: set[str]) -> DataFrame:
+    """The same as _matched_by_row, but for the investment profile, by columns and joins."""
+    rows = M.match_organisations(_found_in_given_columns(given, g, missing), g.organisations)
+    rows = C.enrich_locations(rows, g.african_terms, g.world_terms, g.countries)
+    rows = M.map_specialisations(rows, g.specialisations, g.source_aliases, g.ignored, "raw_terms", "source_key")
+    return M.first_parent(M.match_sources(rows, g.sources, g.platforms), g.parents, "specialisations", "_parent_industry")
+
+
+def _classified_by_row(rows: DataFrame, g: Registries, w: dict[str, list[dict]]) -> DataFrame:
+    """What depends on the industry and the scope, in one pass: families and themes, NGO, and what relevance and access look up."""
+    before = rows = once(rows, {"_all_text": C.access_text()})
+    role, canonical = F.col("investment_profile.is_investment_role"), F.col("investment_profile.canonical_specialisation")
+    subfamily = F.when(role & canonical.isNotNull(), canonical).otherwise(F.try_element_at("specialisations", F.lit(1)))
+    family = StructType.fromDDL("role_family string, role_subfamily string, thematic_sectors array<string>")
+    text = lambda c: F.col(c).cast("string")
+    rows = rows.withColumns({
+        "_family": B.family_step(family, w["families"], g.families[2], w["themes"])("specialisations", "industry", role, canonical),
+        "_ngo": B.ngo_step(StructType.fromDDL(B.NGO), g.ngo, w["ngo_titles"], w["ngo_contexts"], w["ngo_tracks"])(text("title"), text("summary"), subfamily, "industry", "specialisations", "org_type"),
+        "_known_world": B.world_step(StructType.fromDDL("iso2 string, name string, is_african boolean"), w["world"], w["countries"])(text("location_raw"), *C.known_country()),
+        "_named": B.nations_step(ArrayType(StringType()), w["nations"])(F.when(X.has("_all_text", C.NATIONALITY), F.col("_all_text"))),
+    })
+    return together(rows, before).withColumns({**{c: F.col("_family")[c] for c in family.names}, "ngo_profile": F.col("_ngo")})
+
+
+def _classified_by_columns(rows: DataFrame, g: Registries) -> DataFrame:
+    """The same by columns and joins, and the investment profile."""
+    rows = M.thematic_sectors(M.role_family(rows, *g.families), g.themes)
+    rows = C.promote_role(C.investment_profile(rows, g.investment, "_body"), g.themes)
+    return C.ngo_profile(C.hits_in_derived(rows, g.ngo, g.world_terms, place=True), g.ngo)
+
+
 def enrich(postings: DataFrame, registries: Registries | None = None) -> DataFrame:
     """Organisation, location, role and investment, NGO, government, public institution, multinational,
     access, eligibility, source, in this order (an investment role's subfamily is read by the NGO classes).
 
-    Each step looks registries up inside of the rows (lexicon.py), so the whole chain is one pass without a
-    shuffle, a join or a key, whatever the postings hold: ids may repeat or be missing. A registry that is
-    too large to be sent to all tasks makes its own step a join on the distinct inputs of that step.
+    Registries are looked up inside of the rows (by_row.py), so the whole chain is one pass without a shuffle, a join
+    or a key, whatever the postings hold: ids may repeat or be missing. If a registry is too large to be sent to
+    all tasks, the chain goes by columns (lexicon.py), where that registry's step is a join on its distinct inputs.
     """
     g = registries or Registries.default(postings.sparkSession)
     own = {c: f"_given_{c}" for c in _EMPLOYER if c in postings.columns}
@@ -86,13 +151,9 @@ def enrich(postings: DataFrame, registries: Registries | None = None) -> DataFra
     # Inputs are computed before the pass, once, however the caller makes them.
     texts = [c for c in ("title", "summary", "org_name", "location_raw", "raw_terms", "source_key", "mode_hint", "source_label", "location_country") if c in postings.columns]
     rows = once(rows, {"_body": F.concat_ws(" ", "summary", "eligibility_notes")} | {c: F.col(c) for c in texts})
-    given = rows = _found_in_given_columns(rows, g, missing)
-    rows = M.match_organisations(rows, g.organisations)
-    rows = C.enrich_locations(rows, g.african_terms, g.world_terms, g.countries)
-    rows = M.map_specialisations(rows, g.specialisations, g.source_aliases, g.ignored, "raw_terms", "source_key")
-    rows = M.match_sources(rows, g.sources, g.platforms)
+    whole = _whole(g, postings.sparkSession)
+    rows = _matched_by_row(rows, g, whole) if whole else _matched_by_columns(rows, g, missing)
 
-    rows = M.first_parent(rows, g.parents, "specialisations", "_parent_industry")
     code, region = F.col("loc.country_code"), F.col("loc.region")
     open_region = X.has("location_raw", X.OPEN_REGION)
     remote = X.has("location_raw", X.REMOTE) | open_region
@@ -105,12 +166,10 @@ def enrich(postings: DataFrame, registries: Registries | None = None) -> DataFra
         "is_remote_from_kenya": F.coalesce(remote & ((code == "KE") | (code.isNull() & (open_region | region.isNotNull()))), F.lit(False)),
         "industry": F.coalesce("_parent_industry", "industry", X.industry_named(F.col("_named_industry"))),
     }).drop("_parent_industry", "_low", "_named_industry")
-    rows = M.thematic_sectors(M.role_family(rows, *g.families), g.themes)
-    rows = C.promote_role(C.investment_profile(rows, g.investment, "_body"), g.themes)
-    rows = C.ngo_profile(C.hits_in_derived(rows, g.ngo, g.world_terms, place=True), g.ngo)
+    rows = _classified_by_row(rows, g, whole) if whole else _classified_by_columns(rows, g)
     rows = once(rows, {"institution_profile": C.institution_profile(F.col("org_type")), "government_profile": C.government_profile(), "public_institution_profile": C.public_institution_profile(), "multinational_profile": C.multinational_profile()})
     rows = C.applicant_access(C.africa_relevance(rows, g.world_terms, g.countries), g.world_terms, g.countries)
-    return rows.withColumn("eligibility", C.eligibility_from_access()).drop(*_EMPLOYER, *(c for c in given.columns if c.startswith("_") and c not in own.values())).withColumnsRenamed({given: c for c, given in own.items()})
+    return rows.withColumn("eligibility", C.eligibility_from_access()).drop(*_EMPLOYER, *(c for c in rows.columns if c.startswith("_") and c not in own.values())).withColumnsRenamed({given: c for c, given in own.items()})
 
 
 def _audit(rows: DataFrame, reason: str) -> DataFrame:
