@@ -26,15 +26,41 @@ def _fold(text: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
 
 
-#: What _letters_and_numbers makes of each ASCII character.
+class _Characters(dict):
+    """What becomes of each character of a text, for str.translate: told once for a character while they are few."""
+
+    def __init__(self, told) -> None:
+        self.told = told
+
+    def __missing__(self, point: int) -> str:
+        made = self.told(chr(point))
+        if len(self) < 1 << 16:
+            self[point] = made
+        return made
+
+
+def _only_ascii(case):
+    """Characters of decomposed texts: without combining marks, and a space for what is no letter or digit of ASCII in this case."""
+    return _Characters(lambda c: "" if unicodedata.combining(c) else "".join(x if x.isascii() and x.isalnum() else " " for x in case(c)))
+
+
+#: What _letters_and_numbers makes of each ASCII character, and _words.
 _ASCII = {i: chr(i).lower() if chr(i).isalnum() else " " for i in range(128)}
+_ASCII_WORDS = _ASCII | {ord("_"): "_"}
+_LETTERS = _Characters(lambda c: c if unicodedata.category(c)[0] in "LN" else " ")
+_LOWERED, _CASEFOLDED = _only_ascii(str.lower), _only_ascii(str.casefold)
 
 
 def _letters_and_numbers(text: str) -> str:
     if text.isascii():
         return " ".join(text.translate(_ASCII).split())
-    folded = unicodedata.normalize("NFKC", text).casefold()
-    return " ".join("".join(c if unicodedata.category(c)[0] in "LN" else " " for c in folded).split())
+    return " ".join(unicodedata.normalize("NFKC", text).casefold().translate(_LETTERS).split())
+
+
+def _ascii_of(text: str, characters: dict) -> str:
+    if text.isascii():
+        return " ".join(text.translate(_ASCII).split())
+    return " ".join(unicodedata.normalize("NFKD", text).translate(characters).split())
 
 
 #: Characters of texts that a function holds as Python strings at once; longer texts are taken one by one.
@@ -61,6 +87,8 @@ def _vectorised(plain):
 
 
 def _words(text: str) -> str:
+    if text.isascii() and "&" not in text:
+        return " ".join(text.translate(_ASCII_WORDS).split())
     return re.sub(r"[^\w]+", " ", _fold(unicodedata.normalize("NFKD", html.unescape(text)).casefold())).strip()
 
 
@@ -108,6 +136,8 @@ def norm_dedup(value: Column | str) -> Column:
 
 
 def _taxonomy_key(text: str) -> str:
+    if text.isascii() and text.isprintable() and "&" not in text:
+        return " ".join(text.split()).lower()
     return re.sub(r"[^\S\x1c-\x1f]+", " ", html.unescape(text)).strip(" ").casefold()
 
 
@@ -135,8 +165,8 @@ def slug(value: Column | str) -> Column:
 PLAIN = {
     norm_unicode: _letters_and_numbers,
     norm_word: _words,
-    norm_ascii_fold: lambda x: re.sub(_NOT_ASCII, " ", _fold(x).lower()).strip(" "),
-    norm_ngo: lambda x: re.sub(_NOT_ASCII, " ", _fold(x).casefold()).strip(" "),
+    norm_ascii_fold: lambda x: _ascii_of(x, _LOWERED),
+    norm_ngo: lambda x: _ascii_of(x, _CASEFOLDED),
 }
 
 

@@ -24,11 +24,21 @@ from pyspark.sql.types import DataType, StructType
 from jobloom.functions.normalise import PLAIN, _taxonomy_key, norm_ascii_fold, norm_ngo, norm_unicode, norm_word
 from jobloom.operators.lexicon import PhraseAutomaton
 
-#: Results that a step keeps from one batch to the next.
-KEPT = 1 << 12
+#: Results that a step keeps from one batch to the next, and normal forms of names and terms that steps share.
+KEPT, SHARED = 1 << 12, 1 << 15
 
 Entry = dict
-_unicode, _fold, _word, _ngo = (PLAIN[n] for n in (norm_unicode, norm_ascii_fold, norm_word, norm_ngo))
+_unicode, _word, _ngo = (PLAIN[n] for n in (norm_unicode, norm_word, norm_ngo))
+
+
+@lru_cache(SHARED)
+def _fold(name: str) -> str:
+    return PLAIN[norm_ascii_fold](name)
+
+
+@lru_cache(SHARED)
+def _term(raw: str) -> str:
+    return _taxonomy_key(raw)
 
 
 def _ordered(value):
@@ -66,6 +76,19 @@ def _grouped(entries: list[Entry], key: str) -> dict[str, list[Entry]]:
     return found
 
 
+def _values(column: pa.Array) -> list:
+    """The column's values; texts and arrays of texts by way of objects, which takes a fraction of to_pylist()'s time."""
+    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+        return column.to_numpy(zero_copy_only=False).tolist()
+    if pa.types.is_list(column.type) and pa.types.is_string(column.type.value_type):
+        each, out, at = column.flatten().to_numpy(zero_copy_only=False).tolist(), [], 0
+        for n in column.value_lengths().to_pylist():
+            out.append(None if n is None else each[at : at + n])
+            at += n or 0
+        return out
+    return column.to_pylist()
+
+
 def step(kind: DataType, build: Callable[[], tuple[Callable, Callable]]):
     """An Arrow function of several columns. build() gives (asked, answer) once for each task: asked(*values of a row) is
     what the result depends on, and can be hashed; answer(asked) is the result."""
@@ -79,7 +102,7 @@ def step(kind: DataType, build: Callable[[], tuple[Callable, Callable]]):
             made.extend((asked, lru_cache(KEPT)(answer)))
         asked, answer = made
         places: dict = {}
-        at = [places.setdefault(asked(*values), len(places)) for values in zip(*(c.to_pylist() for c in columns), strict=True)]
+        at = [places.setdefault(asked(*values), len(places)) for values in zip(*map(_values, columns), strict=True)]
         return pa.array([answer(x) for x in places], wanted).take(pa.array(at, pa.int32()))
 
     return run
@@ -89,10 +112,20 @@ class Phrases:
     """Which entries of a registry have their phrase in a text, as sorted numbers of entries."""
 
     def __init__(self, entries: list[Entry], key: str, plain: Callable[[str], str]) -> None:
-        self.automaton, self.plain = PhraseAutomaton([e[key] for e in entries]), plain
+        self.root, self.plain = PhraseAutomaton([e[key] for e in entries]).root, plain
+
+    def among(self, tokens: list[str]) -> tuple[int, ...]:
+        root, found = self.root, set()
+        for start in [i for i, t in enumerate(tokens) if t in root]:
+            node, at = root[tokens[start]], start
+            while node is not None:
+                found.update(node.get("", ()))
+                at += 1
+                node = node.get(tokens[at]) if at < len(tokens) else None
+        return tuple(sorted(found))
 
     def __call__(self, text: str | None) -> tuple[int, ...]:
-        return tuple(sorted({place for _, place in self.automaton.hits(self.plain(text))})) if text else ()
+        return self.among(self.plain(text).split(" ")) if text else ()
 
 
 # ---- J1: organisations.
@@ -155,16 +188,16 @@ class Terms:
         self.known = {k: min(es, key=lambda e: _by(e["way"], e["target"]))["target"] for k, es in _grouped(ways, "probe").items()}
 
     def target(self, source: str, key: str) -> str | None:
-        for probe in (("ignored", "*", key), ("ignored", source, key), ("source", source, key), ("source", "*", key), ("taxonomy", key)):
-            if (joined := "\x1f".join(probe)) in self.known:
-                return self.known[joined]
+        for probe in (f"ignored\x1f*\x1f{key}", f"ignored\x1f{source}\x1f{key}", f"source\x1f{source}\x1f{key}", f"source\x1f*\x1f{key}", f"taxonomy\x1f{key}"):
+            if probe in self.known:
+                return self.known[probe]
         return None
 
     def __call__(self, terms: list | None, source: str | None) -> tuple[str, ...]:
         if not terms:
             return ()
-        source = _taxonomy_key("*" if source is None else source)
-        return tuple(_distinct(_some(*(self.target(source, _taxonomy_key(t)) for t in terms if t))))[: self.limit]
+        source = _term("*" if source is None else source)
+        return tuple(_distinct(_some(*[self.target(source, _term(t)) for t in terms if t])))[: self.limit]
 
 
 def terms_step(kind: StructType, ways: list[Entry], parents: list[Entry]):
@@ -199,14 +232,14 @@ class World:
         self.known = {k: min(es, key=lambda e: _by(e["rank"], e["iso2"]))["iso2"] for k, es in _grouped(codes + by_name, "key").items()}
         self.countries = {k: es[0] for k, es in _grouped(countries, "iso2").items()}
 
-    def asked(self, raw: str | None, code: str | None, name: str | None) -> str | None:
-        """iso2 of what is found."""
+    def asked(self, raw: str | None, code: str | None, name: str | None, tokens: list[str] | None = None) -> str | None:
+        """iso2 of what is found. tokens are those of the text, where they are known."""
         raw, name = raw or "", _unicode(name) if name else ""
         keys = [*(["c:" + code.upper()] if code is not None else []), *(["n:" + name] if name else []), *("c:" + t for t in self.iso(raw))]
         by_key = next((self.known[k] for k in keys if k in self.known), None)
         if by_key is not None:
             return by_key
-        found = self.phrases(raw)
+        found = self.phrases(raw) if tokens is None else self.phrases.among(tokens)
         return min((self.names[p] for p in found), key=lambda e: _by(-len(e["term"]), e["rank"], e["iso2"]))["iso2"] if found else None
 
     def answer(self, iso2: str | None) -> Entry | None:
@@ -242,7 +275,8 @@ def place_step(kind: StructType, terms: list[Entry], names: list[Entry], countri
             own = [] if country is None else [("2:" + country.strip(" ").upper(), 2), ("3:" + country.strip(" ").upper(), 3)]
             keys = [*([("n:" + name, 1)] if name else []), *own, *(("c:" + t, 4) for t in (*three(text), *two(text)))]
             told = next(((known[k], at) for k, at in keys if k in known), None)
-            return told, phrases(raw), world.asked(raw, None, country), country
+            tokens = _unicode(text).split(" ")
+            return told, phrases.among(tokens), world.asked(raw, None, country, tokens), country
 
         def answer(key):
             told, places, elsewhere, country = key
@@ -324,6 +358,20 @@ def family_step(kind: StructType, families: list[Entry], allowed: list[str], the
     return step(kind, build)
 
 
+# ---- A20: the industry that a text names.
+def industry_step(kind: DataType, keywords: dict[str, list[str]]):
+    """(text in lower case) -> the industry with most keywords in it, ties to the first declared; null for none."""
+
+    def asked(low):
+        if not low:
+            return None
+        scores = [(sum([w in low for w in words]), -i) for i, words in enumerate(keywords.values())]
+        best = max(scores)
+        return list(keywords)[-best[1]] if best[0] else None
+
+    return step(kind, lambda: (asked, lambda name: name))
+
+
 # ---- C1, C2.
 _TRACK = ("track_ord", "track", "classification", "canonical")
 

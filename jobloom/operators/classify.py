@@ -349,7 +349,7 @@ def applicant_access(postings: DataFrame, terms: DataFrame, countries: DataFrame
     """C4: adds african_applicant_access, the first of nine states that holds; structured government
     data come before wording. Needs africa_relevance and government_profile (may be null)."""
     african = african_codes(countries)
-    if "_named" in postings.columns:  # the chain by rows has found them, and made the text
+    if "_named" in postings.columns:  # the chain by rows has found them in _told, and made the text
         rows = postings.withColumns({"named": F.col("_named"), "all_text": F.col("_all_text")})
     else:
         rows = nationality_codes(once(hits_in_derived(postings, terms=terms), {"all_text": access_text()}), terms, "_told", "named")
@@ -367,7 +367,7 @@ def applicant_access(postings: DataFrame, terms: DataFrame, countries: DataFrame
 
     given = F.col("government_profile.citizenship_required")
     structured = required & (F.size(told) > 0)
-    named = has(text, NATIONALITY)
+    named = F.col("_told").isNotNull() if "_told" in postings.columns else has(text, NATIONALITY)
     profile = (
         F.when(F.coalesce("government_profile.internal_only", F.lit(False)) | has(text, INTERNAL), state("internal_only", 0.99, "structured_or_explicit_internal_only", "explicit", told, given, None, "excluded"))
         .when(structured & (F.size(of_africa(told)) > 0), state("confirmed_specific_african_nationality", 0.99, "structured_government_citizenship_requirement", "structured_source", of_africa(told), True, None, "certified"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions.extract import percent
+from jobloom.operators.lexicon import whole
 
 
 def _label(value: Column, missing: str) -> Column:
@@ -33,9 +34,12 @@ def counters(postings: DataFrame, dimensions: dict[str, tuple[Column, str]], arr
     """
     from pyspark.sql import Window
 
-    flat = [F.array(F.struct(F.lit(name).alias("dimension"), _label(value, missing).alias("value"))) for name, (value, missing) in dimensions.items()]
-    flat += [F.transform(F.coalesce(value, F.array().cast("array<string>")), _tagger(name)) for name, value in (arrays or {}).items()]
-    counted = postings.select(F.explode(F.concat(*flat)).alias("d")).groupBy("d.dimension", "d.value").agg(F.count("*").alias("count"))
+    names = [*dimensions, *(arrays or {})]
+    single = [F.array(*(_entry(i)(_label(value, missing)) for i, (value, missing) in enumerate(dimensions.values())))] if dimensions else []
+    flat = [*single, *(F.transform(F.coalesce(value, F.array().cast("array<string>")), _entry(i)) for i, value in enumerate((arrays or {}).values(), len(dimensions)))]
+    # Made before explode(), which would interpret how it is made; dimensions have numbers until they are counted.
+    each = postings.select(whole(F.concat(*flat)).alias("all")).select(F.explode("all").alias("d"))
+    counted = each.groupBy("d.nth", "d.value").agg(F.count("*").alias("count")).select(F.element_at(F.array(*map(F.lit, names)), F.col("nth") + 1).alias("dimension"), "value", "count")
     return counted.withColumn("rank", F.row_number().over(Window.partitionBy("dimension").orderBy(F.desc("count"), "value")))
 
 
@@ -104,8 +108,8 @@ def most_common(rows: DataFrame, column: str, order: str) -> DataFrame:
     return counted.orderBy(F.desc("count"), "first").limit(1).select("value", "count")
 
 
-def _tagger(name: str):
-    return lambda x: F.struct(F.lit(name).alias("dimension"), x.alias("value"))
+def _entry(nth: int):
+    return lambda value: F.struct(F.lit(nth).alias("nth"), value.alias("value"))
 
 
 def completeness(postings: DataFrame, fields: dict[str, Column]) -> DataFrame:

@@ -98,6 +98,7 @@ def _matched_by_row(given: DataFrame, g: Registries, w: dict[str, list[dict]]) -
         "_source": B.source_step(found_source, w["sources"])(M.host_of("source_url"), text("source_label")),
         "_investment": B.investment_step(StructType.fromDDL(B.INVESTMENT), g.investment, w["titles"], w["contexts"], w["tracks"], w["names"], M.NAME_SUFFIXES, w["terms"])(text("title"), text("_body"), text("org_name"), *terms),
         "_norm_mode_hint": norm_unicode("mode_hint"),
+        "_named_industry": B.industry_step(StringType(), X.INDUSTRY_KEYWORDS)(F.when(F.col("industry").isNull(), X.industry_text("title", "summary"))),
     })
     return together(rows, given).withColumns({
         **{c: F.col("_employer")[c] for c in columns.names}, **{c: F.col("_source")[c] for c in M.SOURCE_FIELDS}, "loc": F.col("_loc"),
@@ -110,12 +111,15 @@ def _matched_by_columns(given: DataFrame, g: Registries, missing: set[str]) -> D
     rows = M.match_organisations(_found_in_given_columns(given, g, missing), g.organisations)
     rows = C.enrich_locations(rows, g.african_terms, g.world_terms, g.countries)
     rows = M.map_specialisations(rows, g.specialisations, g.source_aliases, g.ignored, "raw_terms", "source_key")
-    return M.first_parent(M.match_sources(rows, g.sources, g.platforms), g.parents, "specialisations", "_parent_industry")
+    rows = M.first_parent(M.match_sources(rows, g.sources, g.platforms), g.parents, "specialisations", "_parent_industry")
+    untold = F.col("_parent_industry").isNull() & F.col("industry").isNull()
+    rows = once(once(rows, {"_low": F.when(untold, X.industry_text("title", "summary"))}), {"_best_industry": F.when(untold, X.industry_found(F.col("_low")))})
+    return once(rows, {"_named_industry": X.industry_named(F.col("_best_industry"))})
 
 
 def _classified_by_row(rows: DataFrame, g: Registries, w: dict[str, list[dict]]) -> DataFrame:
     """What depends on the industry and the scope, in one pass: families and themes, NGO, and what relevance and access look up."""
-    before = rows = once(rows, {"_all_text": C.access_text()})
+    before = rows = once(once(rows, {"_all_text": C.access_text()}), {"_told": F.when(X.has("_all_text", C.NATIONALITY), F.col("_all_text"))})
     role, canonical = F.col("investment_profile.is_investment_role"), F.col("investment_profile.canonical_specialisation")
     subfamily = F.when(role & canonical.isNotNull(), canonical).otherwise(F.try_element_at("specialisations", F.lit(1)))
     family = StructType.fromDDL("role_family string, role_subfamily string, thematic_sectors array<string>")
@@ -124,7 +128,7 @@ def _classified_by_row(rows: DataFrame, g: Registries, w: dict[str, list[dict]])
         "_family": B.family_step(family, w["families"], g.families[2], w["themes"])("specialisations", "industry", role, canonical),
         "_ngo": B.ngo_step(StructType.fromDDL(B.NGO), g.ngo, w["ngo_titles"], w["ngo_contexts"], w["ngo_tracks"])(text("title"), text("summary"), subfamily, "industry", "specialisations", "org_type"),
         "_known_world": B.world_step(StructType.fromDDL("iso2 string, name string, is_african boolean"), w["world"], w["countries"])(text("location_raw"), *C.known_country()),
-        "_named": B.nations_step(ArrayType(StringType()), w["nations"])(F.when(X.has("_all_text", C.NATIONALITY), F.col("_all_text"))),
+        "_named": B.nations_step(ArrayType(StringType()), w["nations"])("_told"),
     })
     return together(rows, before).withColumns({**{c: F.col("_family")[c] for c in family.names}, "ngo_profile": F.col("_ngo")})
 
@@ -158,14 +162,12 @@ def enrich(postings: DataFrame, registries: Registries | None = None) -> DataFra
     open_region = X.has("location_raw", X.OPEN_REGION)
     remote = X.has("location_raw", X.REMOTE) | open_region
     scope = F.when(code == "KE", "national").when(F.col("loc.is_african") & code.isNotNull(), "regional").when(code.isNotNull(), "international").when(remote & open_region, "international").when(region.isNotNull(), "regional")
-    untold = F.col("_parent_industry").isNull() & F.col("industry").isNull()
-    rows = once(once(rows, {"_low": F.when(untold, X.industry_text("title", "summary"))}), {"_named_industry": F.when(untold, X.industry_found(F.col("_low")))})
     rows = once(rows, {
         "work_mode": X.work_mode("location_raw", F.col("_norm_mode_hint"), "loc.country_code", "loc.region"),
         "location_scope": scope,
         "is_remote_from_kenya": F.coalesce(remote & ((code == "KE") | (code.isNull() & (open_region | region.isNotNull()))), F.lit(False)),
-        "industry": F.coalesce("_parent_industry", "industry", X.industry_named(F.col("_named_industry"))),
-    }).drop("_parent_industry", "_low", "_named_industry")
+        "industry": F.coalesce("_parent_industry", "industry", "_named_industry"),
+    }).drop("_parent_industry", "_named_industry")
     rows = _classified_by_row(rows, g, whole) if whole else _classified_by_columns(rows, g)
     rows = once(rows, {"institution_profile": C.institution_profile(F.col("org_type")), "government_profile": C.government_profile(), "public_institution_profile": C.public_institution_profile(), "multinational_profile": C.multinational_profile()})
     rows = C.applicant_access(C.africa_relevance(rows, g.world_terms, g.countries), g.world_terms, g.countries)

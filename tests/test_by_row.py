@@ -48,3 +48,29 @@ def test_by_rows_and_by_columns_are_the_same(spark, monkeypatch):
 def test_the_plan_by_rows_has_few_layers(spark):
     plan = E.enrich(spark.createDataFrame(_postings(3, 1), _SCHEMA))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 2 and plan.count("Project") < 20
+
+
+def test_normalisers_by_tables_of_characters():
+    """Texts of all scripts, against the definitions character by character."""
+    import html
+    import re
+    import unicodedata
+
+    from jobloom.functions import normalise as N
+
+    bare = lambda x: "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c))
+    want = {
+        N.norm_ascii_fold: lambda x: re.sub(r"[^a-z0-9]+", " ", bare(x).lower()).strip(" "),
+        N.norm_ngo: lambda x: re.sub(r"[^a-z0-9]+", " ", bare(x).casefold()).strip(" "),
+        N.norm_word: lambda x: re.sub(r"[^\w]+", " ", bare(unicodedata.normalize("NFKD", html.unescape(x)).casefold())).strip(),
+        N.norm_unicode: lambda x: " ".join("".join(c if unicodedata.category(c)[0] in "LN" else " " for c in unicodedata.normalize("NFKC", x).casefold()).split()),
+    }
+    key = lambda x: re.sub(r"[^\S\x1c-\x1f]+", " ", html.unescape(x)).strip(" ").casefold()
+    rng = random.Random(3)
+    points = [p for p in range(0x3100) if not 0xD800 <= p < 0xE000] + [0x1F600, 0x1D7D8, 0xFB03, 0xFF21]
+    texts = ["".join(map(chr, points[i : i + 40])) for i in range(0, len(points), 40)] + ["".join(chr(rng.choice(points[: 128 if i % 2 else None])) for _ in range(30)) for i in range(2_000)]
+    texts += [f"a{chr(p)}B {chr(p)}" for p in points]
+    for text in texts:
+        for normaliser, plain in want.items():
+            assert N.PLAIN[normaliser](text) == plain(text), (normaliser.__name__, text)
+        assert N._taxonomy_key(text) == key(text), text
