@@ -96,7 +96,6 @@ _unicode = _vectorised(_letters_and_numbers)
 _ascii_fold = _vectorised(lambda x: _fold(x).lower())
 _word = _vectorised(_words)
 _ngo = _vectorised(lambda x: _fold(x).casefold())
-_casefold = _vectorised(str.casefold)
 _unescape = _vectorised(html.unescape)
 _taxonomy = _vectorised(lambda x: _taxonomy_key(x))
 
@@ -129,10 +128,30 @@ def norm_ngo(value: Column | str) -> Column:
 LEGAL_SUFFIXES = ("limited", "ltd", "incorporated", "inc", "plc", "llc", "company", "co")
 
 
+#: Before a text that is only case folded: what its words are is left to Java's pattern.
+_FOLDED = "\0"
+_ASCII_ONLY = _Characters(lambda c: c if c.isascii() and c.isalnum() else " ")
+
+
+def _dedup_key(text: str) -> str:
+    text = text.casefold()
+    if text.isascii():  # a legal suffix is a whole run of letters, digits and underscores
+        told = " ".join([w for w in text.translate(_ASCII_WORDS).split() if w not in LEGAL_SUFFIXES])
+        return " ".join(told.replace("_", " ").split()) if "_" in told else told
+    return _FOLDED + text if any(s in text for s in LEGAL_SUFFIXES) else " ".join(text.translate(_ASCII_ONLY).split())
+
+
+_dedup = _vectorised(lambda x: _dedup_key(x))
+
+
 def norm_dedup(value: Column | str) -> Column:
-    """Case folded, legal suffixes dropped, no Unicode folding: an accented letter becomes a space."""
-    bare = F.regexp_replace(_casefold(_or_empty(value)), rf"(?U)\b({'|'.join(LEGAL_SUFFIXES)})\b", " ")
-    return F.trim(F.regexp_replace(bare, _NOT_ASCII, " "))
+    """Case folded, legal suffixes dropped, no Unicode folding: an accented letter becomes a space.
+
+    Suffixes in texts of other scripts are left to a pattern of the JVM, whose classes of characters aren't Python's.
+    """
+    found = _dedup(_or_empty(value))
+    bare = F.regexp_replace(F.substring(found, 2, 1 << 30), rf"(?U)\b({'|'.join(LEGAL_SUFFIXES)})\b", " ")
+    return F.when(found.startswith(_FOLDED), F.trim(F.regexp_replace(bare, _NOT_ASCII, " "))).otherwise(found)
 
 
 def _taxonomy_key(text: str) -> str:

@@ -74,3 +74,19 @@ def test_normalisers_by_tables_of_characters():
         for normaliser, plain in want.items():
             assert N.PLAIN[normaliser](text) == plain(text), (normaliser.__name__, text)
         assert N._taxonomy_key(text) == key(text), text
+
+
+def test_keys_for_duplicates_are_as_the_pattern_says(spark):
+    from pyspark.sql import functions as F
+
+    from jobloom.functions import normalise as N
+
+    rng = random.Random(5)
+    parts = ["Ltd", "ltd.", "co", "CO-op", "a_ltd", "ltd_", "_", "inc", "Company", "company's", "companý", "Äcme", "é", "̈ltd", "ltď", "co‍", "Kltd", "ß", "plc", "الشركة", "limited", "x", "9", "-", "\t", "\n", "ⓐco", "co'", "llc,llc", ""]
+    texts = [(i, "".join(x + rng.choice(["", " ", " ", "."]) for x in rng.choices(parts[: 12 if i % 3 else None], k=rng.randrange(7)))) for i in range(3_000)] + [(-1, None)]
+    folded = spark.createDataFrame([(i, t, (t or "").casefold()) for i, t in texts], "i int, t string, low string").coalesce(2)
+    plain = F.trim(F.regexp_replace(F.regexp_replace("low", rf"(?U)\b({'|'.join(N.LEGAL_SUFFIXES)})\b", " "), "[^a-z0-9]+", " "))
+    got = folded.select("i", "t", N.norm_dedup("t").alias("key"), plain.alias("want")).collect()
+    assert len(got) == 3_001
+    for r in got:
+        assert r["key"] == r["want"], r
